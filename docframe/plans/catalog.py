@@ -2,25 +2,14 @@
 
 from __future__ import annotations
 
-import importlib
+from docframe.plans import fragments, invoices, layouts, markdown, responses, runs
 
-MODULES = ("markdown", "invoices", "fragments", "responses", "layouts", "runs")
-
-
-def _merged(name: str) -> dict:
-    out: dict = {}
-    for module in MODULES:
-        try:
-            loaded = importlib.import_module(f"docframe.plans.{module}")
-        except ModuleNotFoundError:
-            continue
-        out.update(getattr(loaded, name))
-    return out
+MODULES = (invoices, markdown, fragments, responses, layouts, runs)
 
 
 def queries() -> dict:
-    return _merged("QUERIES")
+    return {name: fn for module in MODULES for name, fn in module.QUERIES.items()}
 
 
 def oracle_sql() -> dict:
-    return _merged("ORACLES")
+    return {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

@@ -434,3 +434,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         (e % 3 != 0).alias("has_document"),
         (e % 4 != 0).alias("has_record"),
     )
+
+
+# Profiles of a batch manifest and the document type each stands for.
+PROFILES = [("invoice", "generic_invoice"), ("logistics", "logistics_load")]
