@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docframe.functions import outline
+from docframe.functions.rows import explode
 from docframe.functions.text import (
     FRONT_MATTER,
     H1_LINE,
@@ -236,7 +237,7 @@ def assembled_parts(fragments: DataFrame, pages_per_part: int = PAGES_PER_PART)
     extra = F.when(F.col("has_h1"), 0).otherwise(2)
     return (
         texts.join(facts, ["doc_id", "part"])
-        .filter((F.col("text") != "") | first)
+        .filter(F.col("filled") | first)
         .select(
             "doc_id",
             F.col("lead.source_file").alias("source_file"),
@@ -307,9 +308,8 @@ def validated_parts(fragments: DataFrame, pages_per_part: int = PAGES_PER_PART)
 
 def validation_warnings(fragments: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFrame:
     """(doc_id, part_no, warning_no, warning) in document order."""
-    return validated_parts(fragments, pages_per_part).select(
-        "doc_id", "part_no", F.posexplode("warnings").alias("warning_no", "warning")
-    )
+    parts = validated_parts(fragments, pages_per_part)
+    return explode(parts, ["doc_id", "part_no"], "warnings", "warning", pos="warning_no")
 
 
 def md_documents(fragments: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFrame:

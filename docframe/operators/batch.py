@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docframe.functions.rows import computed, inline
 from docframe.functions.text import is_blank
 from docframe.operators import fields
 from docframe.operators import tables as tb
@@ -152,11 +153,11 @@ def document_counts(pages: DataFrame, text: str = "md") -> DataFrame:
             lambda r: F.struct(F.lit("field").alias("kind"), r["line"].alias("line"), F.lit(1).cast("long").alias("n")),
         ),
     )
-    rows = parsed.select("doc_id", "source_file", F.inline(facts))
+    rows = inline(parsed, ["doc_id", "source_file"], facts)
     pair = fields.pair(F.col("line"))
     key = F.when(F.col("kind") == "field", F.when(fields.accepted(pair["key"], pair["value"]), pair["key"])).otherwise("")
     by_key = (
-        rows.withColumn("key", key)
+        computed(rows, key=key)
         .filter(F.col("key").isNotNull())
         .groupBy("doc_id", "kind", "key")
         .agg(F.sum("n").alias("n"), F.min("source_file").alias("source_file"))

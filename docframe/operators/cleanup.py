@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docframe.functions.rows import explode
 from docframe.functions.text import WS, split_lines, ustrip
 
 # Words of copyright and authorship notices.
@@ -81,9 +82,7 @@ def repeated_lines(pages: DataFrame, share: float = 0.5, min_pages: int = 3) ->
     shuffle. Blank lines are left out.
     """
     distinct = F.array_distinct(F.transform(split_lines(F.col("text")), ustrip))
-    lines = pages.select(
-        "doc_id", "page_number", F.explode(F.filter(distinct, lambda s: s != "")).alias("line")
-    )
+    lines = explode(pages, ["doc_id", "page_number"], F.filter(distinct, lambda s: s != ""), "line")
     seen = lines.groupBy("doc_id", "line").agg(
         F.count(F.lit(1)).alias("n_pages"), F.min("page_number").alias("first_page")
     ).filter(F.col("n_pages") >= min_pages)

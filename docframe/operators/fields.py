@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docframe.functions.rows import computed, inline
 from docframe.functions.text import split_lines, strip_front_matter, ustrip
 from docframe.operators import tables as tb
 
@@ -47,13 +48,10 @@ def key_value_lines(
     pages: DataFrame, text: str = "text", markdown: bool = False
 ) -> DataFrame:
     """(doc_id, page_number, line_no, key, value): every line that holds a pair."""
-    lines = pages.select(
-        "doc_id", "page_number", F.inline(candidate_lines(F.col(text), markdown))
-    )
-    return (
-        lines.select("doc_id", "page_number", "line_no", pair(F.col("line")).alias("p"))
-        .select("doc_id", "page_number", "line_no", "p.key", "p.value")
-        .filter(accepted(F.col("key"), F.col("value")))
+    lines = inline(pages, ["doc_id", "page_number"], candidate_lines(F.col(text), markdown))
+    found = computed(lines, p=pair(F.col("line")))
+    return found.filter(accepted(F.col("p.key"), F.col("p.value"))).select(
+        "doc_id", "page_number", "line_no", "p.key", "p.value"
     )
 
 

@@ -10,39 +10,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docframe.functions import outline
+from docframe.functions.rows import computed, explode
 from docframe.functions.text import WS, split_lines, ustrip
 
 LINES_PER_CHUNK = 60
 
 
 def _outlined(docs: DataFrame, text: str) -> DataFrame:
-    return (
-        docs.select("doc_id", split_lines(F.col(text)).alias("lines"))
-        .select("doc_id", "lines", outline.headings(F.col("lines")).alias("heads"))
-    )
+    lined = computed(docs.select("doc_id", text), lines=split_lines(F.col(text))).drop(text)
+    return computed(lined, heads=outline.headings(F.col("lines")))
 
 
 def heading_skips(docs: DataFrame, text: str = "md") -> DataFrame:
     """One row per heading that skips a level."""
     paired = outline.with_previous(F.col("heads"), F.lit(0))
-    return (
-        _outlined(docs, text)
-        .select("doc_id", F.explode(F.filter(paired, outline.skipped)).alias("h"))
-        .select(
-            "doc_id",
-            F.col("h.line_no").alias("line_no"),
-            F.col("h.previous").alias("previous_level"),
-            F.col("h.level").alias("level"),
-            outline.skip_message(F.col("h"), F.lit(0)).alias("message"),
-        )
+    skips = F.filter(paired, outline.skipped)
+    return explode(_outlined(docs, text), ["doc_id"], skips, "h").select(
+        "doc_id",
+        F.col("h.line_no").alias("line_no"),
+        F.col("h.previous").alias("previous_level"),
+        F.col("h.level").alias("level"),
+        outline.skip_message(F.col("h"), F.lit(0)).alias("message"),
     )
 
 
 def fix_heading_skips(docs: DataFrame, text: str = "md") -> DataFrame:
     """The documents with a filler heading before each one-level skip."""
-    paired = _outlined(docs, text).withColumn(
-        "paired", outline.with_previous(F.col("heads"), F.lit(0))
-    )
+    paired = computed(_outlined(docs, text), paired=outline.with_previous(F.col("heads"), F.lit(0)))
     fixed = outline.repaired_lines(F.col("lines"), F.col("heads"), F.col("paired"))
     return paired.select("doc_id", F.array_join(fixed, "\n").alias(text))
 
@@ -50,7 +44,7 @@ def fix_heading_skips(docs: DataFrame, text: str = "md") -> DataFrame:
 def sections(docs: DataFrame, text: str = "md") -> DataFrame:
     """Section index: heading, path of enclosing headings, line range, body."""
     cut = outline.with_end(F.col("heads"), F.size("lines"))
-    marked = _outlined(docs, text).select("doc_id", "lines", cut.alias("cuts"))
+    marked = computed(_outlined(docs, text), cuts=cut)
     bodies = F.transform(
         "cuts",
         lambda h: F.struct(
@@ -61,9 +55,8 @@ def sections(docs: DataFrame, text: str = "md") -> DataFrame:
             F.array_join(F.slice(F.col("lines"), h["line_no"] + 1, h["end"] - h["line_no"]), "\n").alias("body"),
         ),
     )
-    # The slice above reads "lines" once more here, which keeps it a column.
-    rows = marked.select("doc_id", F.size("lines").alias("n_lines"), F.posexplode(bodies).alias("section", "s"))
-    rows = rows.select("doc_id", (F.col("section") + 1).alias("section_no"), "n_lines", "s.*")
+    rows = explode(marked, ["doc_id", F.size("lines").alias("n_lines")], bodies, "s", pos="section")
+    rows = rows.select("doc_id", (F.col("section") + 1).alias("section_no"), "s.*")
     so_far = Window.partitionBy("doc_id").orderBy("section_no").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -94,15 +87,13 @@ def chunks(docs: DataFrame, text: str = "md", lines_per_chunk: int = LINES_PER_C
     bucket = lambda line: F.floor((line - 1) / lines_per_chunk)
     own = F.transform("heads", lambda h: h["line_no"])
     starts = F.when(F.get(own, F.lit(0)) == 1, own).otherwise(F.concat(F.array(F.lit(1)), own))
-    marked = _outlined(docs, text).filter(F.size("lines") > 0).select(
-        "doc_id", "lines", starts.alias("starts")
-    )
+    marked = computed(_outlined(docs, text).filter(F.size("lines") > 0), starts=starts)
     previous = F.concat(F.array(F.lit(None).cast("int")), F.col("starts"))
     opened = F.filter(
         F.zip_with("starts", previous, lambda s, p: F.when(p.isNull() | (bucket(s) != bucket(p)), s)),
         lambda s: s.isNotNull(),
     )
-    marked = marked.select("doc_id", "lines", opened.alias("opened"))
+    marked = computed(marked, opened=opened)
     ends = F.concat(
         F.transform(F.slice("opened", F.lit(2), F.size("opened")), lambda s: s - 1),
         F.array(F.size("lines")),
@@ -116,6 +107,4 @@ def chunks(docs: DataFrame, text: str = "md", lines_per_chunk: int = LINES_PER_C
             F.array_join(F.slice(F.col("lines"), s, e - s + 1), "\n").alias("text"),
         ),
     )
-    return marked.select("doc_id", F.posexplode(pieces).alias("chunk_no", "c")).select(
-        "doc_id", "chunk_no", "c.*"
-    )
+    return explode(marked, ["doc_id"], pieces, "c", pos="chunk_no").select("doc_id", "chunk_no", "c.*")

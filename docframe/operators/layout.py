@@ -56,7 +56,8 @@ def page_provenance(items: DataFrame, items_per_part: int = ITEMS_PER_PART) -> D
     """
     cited = (
         items.filter(F.coalesce(F.col("text"), F.lit("")) != "")
-        .select("doc_id", "item_no", "text", F.explode(F.array_distinct("prov")).alias("page_number"))
+        .select("doc_id", "item_no", "text", F.explode_outer(F.array_distinct("prov")).alias("page_number"))
+        .filter(F.col("page_number").isNotNull())
         .withColumn("part_no", F.floor((F.col("item_no") - 1) / items_per_part).cast("int"))
     )
     parts = (

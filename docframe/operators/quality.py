@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docframe.functions import outline
+from docframe.functions.rows import computed, explode
 from docframe.functions.text import TABLE_SEPARATOR, split_lines, ustrip
 
 WORD = r"\p{L}+"
@@ -18,8 +19,9 @@ def quality_checklist(docs: DataFrame, text: str = "md") -> DataFrame:
     Columns: doc_id, one_title, no_skips, tables_consistent, images_relative,
     unreadable_pages.
     """
-    lined = docs.select("doc_id", F.col(text).alias("md"), split_lines(F.col(text)).alias("lines"))
-    headed = lined.select("doc_id", "md", "lines", outline.headings(F.col("lines")).alias("heads"))
+    source = docs.select("doc_id", F.col(text).alias("md"))
+    lined = computed(source, lines=split_lines(F.col("md")))
+    headed = computed(lined, heads=outline.headings(F.col("lines")))
     paired = outline.with_previous(F.col("heads"), F.lit(0))
     # Width of each pipe line (0: none), then neighbours of the same table compared.
     widths = F.transform(
@@ -29,7 +31,7 @@ def quality_checklist(docs: DataFrame, text: str = "md") -> DataFrame:
         .otherwise(F.size(F.split(F.regexp_replace(s, r"\A\||\|\z", ""), r"\|"))),
     )
     content = F.filter(widths, lambda w: w >= 0)
-    measured = headed.select("doc_id", "md", "heads", "lines", content.alias("widths"))
+    measured = computed(headed, widths=content)
     shifted = F.concat(F.array(F.lit(0)), F.col("widths"))
     uneven = F.exists(
         F.zip_with("widths", shifted, lambda w, p: (w > 0) & (p > 0) & (w != p)),
@@ -76,13 +78,10 @@ def line_diff(left: DataFrame, right: DataFrame, text: str = "md") -> DataFrame:
 
     Lines are counted before they meet, so no pairs are formed.
     """
-    side = lambda df, name: df.select(
-        "doc_id",
-        F.explode(split_lines(F.col(text))).alias("line"),
-        F.lit(1 if name == "n_left" else 0).alias("l"),
-        F.lit(0 if name == "n_left" else 1).alias("r"),
+    side = lambda df, l, r: explode(
+        df, ["doc_id", F.lit(l).alias("l"), F.lit(r).alias("r")], split_lines(F.col(text)), "line"
     )
-    both = side(left, "n_left").unionByName(side(right, "n_right"))
+    both = side(left, 1, 0).unionByName(side(right, 0, 1))
     return (
         both.groupBy("doc_id", "line")
         .agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right"))
@@ -94,7 +93,7 @@ def word_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, df): in how many documents each lower-case word occurs."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
     return (
-        docs.select(F.explode(words).alias("word"))
+        explode(docs, [], words, "word")
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("df"))
     )
@@ -144,14 +143,9 @@ def repair_glued_words(
 
     Only the words of a line meet in one group.
     """
-    lines = docs.select("doc_id", F.posexplode(split_lines(F.col(text))).alias("line_no", "line"))
-    pieces = lines.select(
-        "doc_id",
-        "line_no",
-        F.posexplode(
-            F.regexp_extract_all("line", F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0))
-        ).alias("at", "piece"),
-    )
+    lines = explode(docs, ["doc_id"], split_lines(F.col(text)), "line", pos="line_no")
+    found = F.regexp_extract_all("line", F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0))
+    pieces = explode(lines, ["doc_id", "line_no"], found, "piece", pos="at")
     mended = pieces.withColumn("word", F.lower("piece")).join(
         cuts.select("word", F.length("first").alias("n_first")), "word", "left"
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docframe.functions.rows import computed, explode
 from docframe.functions.text import is_blank, strip_json_fences
 from docframe.sources.schemas import Schema
 
@@ -26,14 +27,11 @@ def _kind(v: Column, path: str) -> Column:
 
 def parse_responses(responses: DataFrame) -> DataFrame:
     """Responses with ``parsed`` (variant) and ``valid``: a JSON object with object fields."""
-    parsed = responses.withColumn(
-        "parsed", F.try_parse_json(strip_json_fences(F.col("raw")))
-    )
+    parsed = computed(responses, parsed=F.try_parse_json(strip_json_fences(F.col("raw"))))
     v = F.col("parsed")
     fields = _kind(v, "$.fields")
-    return parsed.withColumn(
-        "valid", _is_object(v) & (fields.startswith("OBJECT") | (fields == "VOID"))
-    )
+    valid = _is_object(v) & (fields.startswith("OBJECT") | (fields == "VOID"))
+    return computed(parsed, valid=valid)
 
 
 def clamp_confidence(text: Column) -> Column:
@@ -51,12 +49,17 @@ def validated_records(responses: DataFrame, schema: Schema) -> DataFrame:
     unexpected fields by name, items that are no objects.
     """
     v = F.col("parsed")
-    got = parse_responses(responses).filter("valid").select(
-        "doc_id",
-        F.coalesce(F.try_variant_get(v, "$.fields", "map<string,string>"), F.create_map().cast("map<string,string>")).alias("given"),
-        F.coalesce(F.try_variant_get(v, "$.line_items", "array<variant>"), F.array().cast("array<variant>")).alias("items"),
-        F.coalesce(F.try_variant_get(v, "$.warnings", NO_STRINGS), F.array().cast(NO_STRINGS)).alias("own"),
-        F.try_variant_get(v, "$.confidence", "string").alias("confidence_text"),
+    got = computed(
+        parse_responses(responses).filter("valid"),
+        given=F.coalesce(
+            F.try_variant_get(v, "$.fields", "map<string,string>"),
+            F.create_map().cast("map<string,string>"),
+        ),
+        items=F.coalesce(
+            F.try_variant_get(v, "$.line_items", "array<variant>"), F.array().cast("array<variant>")
+        ),
+        own=F.coalesce(F.try_variant_get(v, "$.warnings", NO_STRINGS), F.array().cast(NO_STRINGS)),
+        confidence_text=F.try_variant_get(v, "$.confidence", "string"),
     )
     known = F.array(*[F.lit(n) for n in schema.field_names])
     required = [
@@ -114,23 +117,24 @@ def skipped_line_items(records: DataFrame) -> DataFrame:
 
 
 def _warnings_like(records: DataFrame, start: str) -> DataFrame:
-    return records.select("doc_id", F.explode("warnings").alias("warning")).filter(
+    return explode(records, ["doc_id"], "warnings", "warning").filter(
         F.col("warning").startswith(start)
     )
 
 
 def record_fields(records: DataFrame) -> DataFrame:
     """(doc_id, name, value, extraction_method): fields in long form, nulls kept."""
-    return records.select(
-        "doc_id", F.explode("fields").alias("name", "value"), "extraction_method"
-    )
+    return explode(
+        records, ["doc_id", "extraction_method"], F.map_entries("fields"), "f"
+    ).select("doc_id", F.col("f.key").alias("name"), "f.value", "extraction_method")
 
 
 def record_items(records: DataFrame) -> DataFrame:
     """(doc_id, item_no, name, value): line items in long form."""
-    return records.select(
-        "doc_id", F.posexplode("line_items").alias("item_no", "item")
-    ).select("doc_id", "item_no", F.explode("item").alias("name", "value"))
+    items = explode(records, ["doc_id"], "line_items", "item", pos="item_no")
+    return explode(items, ["doc_id", "item_no"], F.map_entries("item"), "f").select(
+        "doc_id", "item_no", F.col("f.key").alias("name"), "f.value"
+    )
 
 
 def record_warnings(records: DataFrame) -> DataFrame:
@@ -143,7 +147,7 @@ def record_warnings(records: DataFrame) -> DataFrame:
         .when(w.startswith("LLM "), "model_failure")
         .otherwise("model")
     )
-    return records.select("doc_id", F.posexplode("warnings").alias("warning_no", "warning")).select(
+    return explode(records, ["doc_id"], "warnings", "warning", pos="warning_no").select(
         "doc_id", "warning_no", category.alias("category"), "warning"
     )
 
@@ -214,10 +218,12 @@ def line_items_wide(
     records: DataFrame, documents: DataFrame, schema: Schema, parent: str
 ) -> DataFrame:
     """One row per line item: file, document, the parent field, a column per item field."""
-    items = records.select(
-        "doc_id",
-        F.try_element_at("fields", F.lit(parent)).alias(parent),
-        F.posexplode("line_items").alias("item_no", "item"),
+    items = explode(
+        records,
+        ["doc_id", F.try_element_at("fields", F.lit(parent)).alias(parent)],
+        "line_items",
+        "item",
+        pos="item_no",
     )
     return items.join(documents.select("doc_id", "source_file"), "doc_id").select(
         F.col("source_file").alias("file_name"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docframe.functions.rows import computed, explode, inline
 from docframe.functions.text import (
     FRONT_MATTER_LOOSE,
     HTML_COMMENT,
@@ -61,9 +62,8 @@ def segment_array(md: Column) -> Column:
 
 def segments(docs: DataFrame, text: str = "md") -> DataFrame:
     """(doc_id, tuid, segment): segments numbered from 1 in document order."""
-    return docs.select(
-        "doc_id", F.posexplode(segment_array(F.col(text))).alias("_pos", "segment")
-    ).select("doc_id", (F.col("_pos") + 1).alias("tuid"), "segment")
+    rows = explode(docs, ["doc_id"], segment_array(F.col(text)), "segment", pos="_pos")
+    return rows.select("doc_id", (F.col("_pos") + 1).alias("tuid"), "segment")
 
 
 def table_row_segments(docs: DataFrame, text: str = "md") -> DataFrame:
@@ -81,7 +81,7 @@ def table_row_segments(docs: DataFrame, text: str = "md") -> DataFrame:
         ),
         lambda r: F.coalesce(r["segment"], F.lit("")) != "",
     )
-    return docs.select("doc_id", F.inline(rows))
+    return inline(docs, ["doc_id"], rows)
 
 
 def _unit(tuid: Column, segment: Column, source: str, target: str) -> Column:
@@ -123,7 +123,7 @@ def tmx_documents(
         f'          creationdate="{created}"/>\n'
         "  <body>\n"
     )
-    cut = docs.select("doc_id", segment_array(F.col(text)).alias("segments")).filter(
+    cut = computed(docs.select("doc_id", text), segments=segment_array(F.col(text))).filter(
         F.size("segments") > 0
     )
     units = F.transform("segments", lambda s, i: _unit(i + 1, s, source, target))

@@ -12,9 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docframe.functions.rows import computed, explode
 from docframe.functions.text import (
     PIECE,
     TABLE_SEPARATOR,
+    WS_CLASS,
     file_stem,
     is_blank,
     split_lines,
@@ -36,11 +38,11 @@ def table_runs(text: Column) -> Column:
     pieces = F.transform(
         F.split(F.array_join(marked, "\n"), PIECE), lambda r: F.btrim(r, F.lit("\n"))
     )
-    # a run of separator lines only is no table
+    # a run of separator and empty lines only is no table
     return F.filter(
         pieces,
         lambda r: F.exists(
-            F.split(r, "\n"), lambda s: (s != "") & ~s.rlike(TABLE_SEPARATOR)
+            F.split(r, "\n"), lambda s: s.rlike(f"[^|{WS_CLASS}]") & ~s.rlike(TABLE_SEPARATOR)
         ),
     )
 
@@ -62,14 +64,10 @@ def import_markdown_tables(
     Columns: KEY, the page columns in ``keep``, has_separator (a separator
     follows the first row), raw_rows.
     """
-    run = pages.select(
-        "doc_id", "page_number", *keep, F.posexplode(table_runs(F.col(text))).alias("_pos", "run")
-    ).select(
-        "doc_id",
-        "page_number",
-        *keep,
-        (F.col("_pos") + 1).alias("page_table"),
-        F.split("run", "\n").alias("lines"),
+    place = ["doc_id", "page_number", *keep]
+    found = explode(pages, place, table_runs(F.col(text)), "run", pos="_pos")
+    run = computed(
+        found.select(*place, (F.col("_pos") + 1).alias("page_table"), "run"), lines=F.split("run", "\n")
     )
     first, second = F.get("lines", F.lit(0)), F.get("lines", F.lit(1))
     content = F.filter("lines", lambda s: ~s.rlike(TABLE_SEPARATOR))
@@ -98,11 +96,11 @@ def detect_header(tables: DataFrame) -> DataFrame:
     text = F.transform(
         "raw_rows", lambda r: F.transform(r, lambda c: ustrip(F.coalesce(c, F.lit(""))))
     )
-    kept = tables.withColumn("_kept", F.filter(text, lambda r: F.exists(r, lambda c: c != "")))
+    kept = computed(tables, _kept=F.filter(text, lambda r: F.exists(r, lambda c: c != "")))
     kept = kept.filter(F.size("_kept") > 0)
     first = F.get("_kept", F.lit(0))
     given = F.col("has_separator") if "has_separator" in tables.columns else F.lit(False)
-    kept = kept.withColumn("_header", given | ((F.size("_kept") > 1) & is_header_row(first)))
+    kept = computed(kept, _header=given | ((F.size("_kept") > 1) & is_header_row(first)))
     others = [c for c in tables.columns if c not in (*KEY, "has_separator", "raw_rows")]
     return kept.select(
         *KEY,
@@ -160,7 +158,7 @@ def table_numbering(tables: DataFrame) -> DataFrame:
 def table_rows(tables: DataFrame) -> DataFrame:
     """One line per data row, row_index counted from 0 per table."""
     others = [c for c in tables.columns if c != "rows"]
-    return tables.select(*others, F.posexplode("rows").alias("row_index", "cells"))
+    return explode(tables, others, "rows", "cells", pos="row_index")
 
 
 def _pairs(names: Column, cells: Column) -> Column:
@@ -177,13 +175,13 @@ def rows_to_dicts(tables: DataFrame) -> DataFrame:
     named = tables.select(*KEY, column_names().alias("names"), "rows")
     unique = F.size(F.array_distinct("names")) == F.size("names")
     cells = table_rows(named.select(*KEY, "names", unique.alias("unique"), "rows"))
-    cells = cells.withColumn("pairs", _pairs(F.col("names"), F.col("cells")))
+    cells = computed(cells, pairs=_pairs(F.col("names"), F.col("cells")))
     last = F.filter(
         "pairs",
         lambda p, i: F.col("unique")
         | ~F.exists(F.slice("pairs", i + 2, F.size("pairs")), lambda q: q["key"] == p["key"]),
     )
-    return cells.select(*KEY, "row_index", F.posexplode(last).alias("pos", "p")).select(
+    return explode(cells, [*KEY, "row_index"], last, "p", pos="pos").select(
         *KEY, "row_index", "pos", "p.key", "p.value"
     )
 

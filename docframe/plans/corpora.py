@@ -16,20 +16,17 @@ ROWS_PER_PAGE = 5
 PART_BLOCK = 1024
 
 
-# Tables whose rows are worked on before the first shuffle.
-SPREAD = ("documents", "pages", "conversations", "lineitem", "events")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; one scanned in fewer pieces than there are cores is spread first.
+def spread(df: DataFrame) -> DataFrame:
+    """A scan in fewer pieces than there are cores, dealt out before text work.
 
     A large table comes in far more pieces than that and is left as it is.
     """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 # --------------------------------------------------------------- invoices
@@ -176,7 +173,7 @@ def md_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
              ELSE line END)"""
     )
     return (
-        table(spark, sf_dir, "documents")
+        spread(table(spark, sf_dir, "documents"))
         .select("doc_id", F.split("text", "\n").alias("lines"))
         .select("doc_id", F.array_join(decorated, "\n").alias("md"))
     )
@@ -195,7 +192,7 @@ def raw_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
              ELSE line END)"""
     )
     return (
-        table(spark, sf_dir, "documents")
+        spread(table(spark, sf_dir, "documents"))
         .select("doc_id", "source", "lang", F.split("text", "\n").alias("lines"))
         .select("doc_id", "source", "lang", F.array_join(decorated, "\n").alias("text"))
     )
@@ -238,7 +235,7 @@ def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     ).otherwise(F.lit(""))
     return (
-        table(spark, sf_dir, "conversations")
+        spread(table(spark, sf_dir, "conversations"))
         .select(
             F.col("conv_id").alias("doc_id"),
             (F.col("turn") + 1).cast("int").alias("page_number"),
@@ -258,7 +255,7 @@ def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, page_number, text, extraction_method) with blank and near-empty pages."""
     c, p = F.col("conv_id"), F.col("turn") + 1
-    return table(spark, sf_dir, "conversations").select(
+    return spread(table(spark, sf_dir, "conversations")).select(
         c.alias("doc_id"),
         p.cast("int").alias("page_number"),
         F.when((c + p) % 8 == 0, F.lit(" \n\t "))
@@ -310,7 +307,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(body)
     )
     return (
-        table(spark, sf_dir, "orders")
+        spread(table(spark, sf_dir, "orders"))
         .filter(k % 17 != 0)
         .select(k.alias("doc_id"), raw.alias("raw"))
     )
@@ -390,7 +387,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     return (
-        table(spark, sf_dir, "pages")
+        spread(table(spark, sf_dir, "pages"))
         .select(i.alias("doc_id"), F.explode(F.filter(options, lambda o: o.isNotNull())).alias("o"))
         .select("doc_id", "o.method", F.lit(1).alias("page_number"), "o.text")
     )
@@ -398,7 +395,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, n_bytes): size of each web page in bytes."""
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages")).select(
         F.col("page_id").alias("doc_id"), F.octet_length("html").cast("long").alias("n_bytes")
     )
 

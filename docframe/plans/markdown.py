@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docframe.functions.text import inline_plain_text
 from docframe.operators import cleanup, headings, quality, segments
-from docframe.plans.corpora import md_docs, raw_docs, table
+from docframe.plans.corpora import md_docs, raw_docs, spread, table
 from docframe.session import work_folder
 from docframe.sources.files import scan_markdown
 
@@ -125,7 +125,7 @@ def _scan_markdown(spark, sf):
 
 
 def _title_lengths(spark, sf):
-    return table(spark, sf, "pages").select(
+    return spread(table(spark, sf, "pages")).select(
         "page_id",
         inline_plain_text(
             F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)
@@ -160,9 +160,9 @@ QUERIES = {
     "line_diff": lambda s, d: quality.line_diff(
         md_docs(s, d), headings.fix_heading_skips(md_docs(s, d))
     ),
-    "split_glued_words": lambda s, d: quality.split_glued_words(table(s, d, "documents")),
+    "split_glued_words": lambda s, d: quality.split_glued_words(spread(table(s, d, "documents"))),
     "repaired_words": lambda s, d: quality.repair_glued_words(
-        table(s, d, "documents"), quality.split_glued_words(table(s, d, "documents"))
+        spread(table(s, d, "documents")), quality.split_glued_words(spread(table(s, d, "documents")))
     ),
     "repeated_lines": lambda s, d: cleanup.repeated_lines(_sourced(s, d), share=0.1),
     "drop_repeated_lines": lambda s, d: cleanup.drop_repeated_lines(_sourced(s, d), share=0.1),
@@ -171,7 +171,7 @@ QUERIES = {
 
 
 def _sourced(spark, sf):
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         F.col("source").alias("doc_id"), F.col("doc_id").alias("page_number"), "text"
     )
 
