@@ -159,12 +159,11 @@ def document_counts(pages: DataFrame, text: str = "md") -> DataFrame:
     by_key = (
         computed(rows, key=key)
         .filter(F.col("key").isNotNull())
-        .groupBy("doc_id", "kind", "key")
-        .agg(F.sum("n").alias("n"), F.min("source_file").alias("source_file"))
+        .groupBy("doc_id", "source_file", "kind", "key")
+        .agg(F.sum("n").alias("n"))
     )
     total = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
-    return by_key.groupBy("doc_id").agg(
-        F.min("source_file").alias("source_file"),
+    return by_key.groupBy("doc_id", "source_file").agg(
         total("page").alias("pages"),
         total("table").alias("tables_found"),
         F.count_if(F.col("kind") == "field").alias("fields_found"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docframe.functions.text import is_blank, ustrip
 
 TOLERANCE = 2.0
-CELL = 64.0
+CELL = 256.0
 METHODS = ("primary", "secondary", "ocr")
 ITEMS_PER_PART = 1000
 

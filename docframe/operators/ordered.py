@@ -79,18 +79,20 @@ def number_rows(
     order: Sequence[str],
     out: str = "rn",
     heavy: int = HEAVY,
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame]:
     """1-based row numbers per key, in ``order``, for rows without a dense position.
 
-    Keys of up to ``heavy`` rows are numbered by a window. Larger ones are cut
-    by ``blocks``, expressions that never decrease along ``order``, and their
-    equal rows are folded into one row and a count before they are shuffled.
-    The list of heavy keys is broadcast: it has at most one entry per ``heavy``
-    rows of the input, so a trillion rows make a million entries.
+    Returns the rows of ordinary keys and those of heavy ones. Keys of up to
+    ``heavy`` rows are numbered by a window, and what the caller groups or joins
+    by the key next needs no further shuffle. Larger ones are cut by ``blocks``,
+    expressions that never decrease along ``order``, and their equal rows are
+    folded into one row and a count before they are shuffled. The list of heavy
+    keys is broadcast: it has at most one entry per ``heavy`` rows of the input,
+    so a trillion rows make a million entries.
     """
     key = list(key)
     listed = F.broadcast(heavy_keys(rows, key, heavy))
-    plain = rows.join(listed, key, "left_anti").withColumn(
+    ordinary = rows.join(listed, key, "left_anti").withColumn(
         out, F.row_number().over(Window.partitionBy(*key).orderBy(*order)).cast("long")
     )
 
@@ -113,4 +115,4 @@ def number_rows(
     spread = local.join(carried, [*key, *names]).select(
         *rows.columns, F.explode(F.sequence(start + 1, start + F.col("_n"))).alias(out)
     )
-    return plain.unionByName(spread)
+    return ordinary, spread

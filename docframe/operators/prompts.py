@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docframe.functions.text import is_blank
-from docframe.operators.ordered import running_totals
 from docframe.operators.tables import column_names
 from docframe.sources.schemas import Schema
 
 MAX_CHARS = 32_000
 MAX_ROWS = 50
+FAN_IN = 1024
 TABLE_BASE = 1 << 40
 
 FRONT_MATTER_WANTED = "Begin with YAML front matter: titolo, comune, tipo, anno."
@@ -47,35 +47,45 @@ def _table_text(index: Column) -> Column:
     )
 
 
+def first_chars(pieces: DataFrame, max_chars: int, separator: str = "\n\n") -> DataFrame:
+    """(doc_id, text): the pieces of each document in order of ``pos``, cut at ``max_chars``.
+
+    Joins runs of FAN_IN pieces, cuts, and joins the results again. A cut prefix
+    of each run is all the next level can need, so no group ever holds more than
+    FAN_IN times ``max_chars`` characters, whatever the length of the document.
+    """
+    level = pieces.select("doc_id", "pos", F.substring("piece", 1, max_chars).alias("piece"))
+    for width in (FAN_IN, FAN_IN**2, None):
+        run = F.lit(0).cast("long") if width is None else F.floor(F.col("pos") / width)
+        joined = F.array_join(F.transform("found", lambda p: p["piece"]), separator)
+        level = (
+            level.withColumn("run", run)
+            .groupBy("doc_id", "run")
+            .agg(F.sort_array(F.collect_list(F.struct("pos", "piece"))).alias("found"))
+            .select(
+                "doc_id",
+                F.get("found", F.lit(0))["pos"].alias("pos"),
+                F.substring(joined, 1, max_chars).alias("piece"),
+            )
+        )
+    return level.select("doc_id", F.col("piece").alias("text"))
+
+
 def document_text(pages: DataFrame, tables: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
-    """(doc_id, text): page texts, then the numbered tables, cut at ``max_chars``.
+    """(doc_id, text): non-blank page texts, then the numbered tables, cut at ``max_chars``.
 
-    The cut is part of the operator. Pieces that begin behind it are dropped
-    before any text is gathered, so a group never exceeds the cut by more than
-    one piece.
+    The cut is part of the operator.
     """
     page_pieces = pages.filter(~is_blank(F.col("text"))).select(
-        "doc_id",
-        F.col("page_number").cast("long").alias("pos"),
-        F.substring("text", 1, max_chars).alias("piece"),
+        "doc_id", F.col("page_number").cast("long").alias("pos"), F.col("text").alias("piece")
     )
     named = tables.filter(F.size("rows") > 0).withColumn("names", column_names())
     table_pieces = named.select(
         "doc_id",
         (F.lit(TABLE_BASE) + F.col("table_idx")).alias("pos"),
-        F.substring(_table_text(F.col("table_idx")), 1, max_chars).alias("piece"),
+        _table_text(F.col("table_idx")).alias("piece"),
     )
-    pieces = page_pieces.unionByName(table_pieces)
-    sizes = pieces.select("doc_id", "pos", (F.length("piece") + 2).alias("size"))
-    over = sizes.groupBy("doc_id").agg(F.sum("size").alias("all")).filter(F.col("all") > max_chars)
-    behind = running_totals(
-        sizes.join(over.select("doc_id"), "doc_id", "left_semi"), ["doc_id"], "pos", ["size"]
-    ).filter(F.col("size_before") >= max_chars + 2)
-    joined = pieces.join(behind.select("doc_id", "pos"), ["doc_id", "pos"], "left_anti").groupBy(
-        "doc_id"
-    ).agg(F.sort_array(F.collect_list(F.struct("pos", "piece"))).alias("pieces"))
-    text = F.array_join(F.transform("pieces", lambda p: p["piece"]), "\n\n")
-    return joined.select("doc_id", F.substring(text, 1, max_chars).alias("text"))
+    return first_chars(page_pieces.unionByName(table_pieces), max_chars)
 
 
 def _field_line(field: dict) -> str:

@@ -37,20 +37,22 @@ ITEM_ORDER = [
 ]
 
 
-def invoice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines numbered 1..n per order, with their page and row on it."""
-    lines = number_rows(
-        table(spark, sf_dir, "lineitem"),
-        ["l_orderkey"],
+def _numbered_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Order lines numbered 1..n per order: ordinary orders, and those with very many."""
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "doc_id")
+    return number_rows(
+        lines,
+        ["doc_id"],
         {"line": F.col("l_linenumber"), "part": F.floor(F.col("l_partkey") / PART_BLOCK)},
         ITEM_ORDER,
     )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+
+
+def _items(lines: DataFrame, part: DataFrame) -> DataFrame:
     return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_orderkey").alias("doc_id"),
+        "doc_id",
         F.col("rn").cast("int").alias("rn"),
         (F.floor((F.col("rn") - 1) / ROWS_PER_PAGE) + 1).cast("int").alias("page_number"),
-        "l_linenumber",
         F.col("p_name").alias("description"),
         money(F.col("l_quantity")).alias("quantity"),
         money(F.col("p_retailprice")).alias("unit_price"),
@@ -58,6 +60,17 @@ def invoice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+
+
+def invoice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines numbered 1..n per order, with the page they stand on."""
+    part = _parts(spark, sf_dir)
+    ordinary, heavy = _numbered_lines(spark, sf_dir)
+    return _items(ordinary, part).unionByName(_items(heavy, part))
+
+
 def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order that has lines, with the values an invoice shows."""
     counts = (
@@ -112,8 +125,7 @@ def _invoice_head() -> Column:
     )
 
 
-def invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, page_number, page_count, source_file, md): one invoice per order."""
+def _pages(items: DataFrame, headers: DataFrame) -> DataFrame:
     k = F.col("doc_id")
     cells = F.when(
         (k % 9 == 0) & (F.col("rn") == 1), F.array("description", "quantity", "unit_price")
@@ -121,8 +133,7 @@ def invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
     # a page holds at most ROWS_PER_PAGE rows, so this gathering is bounded
     tables = (
-        invoice_items(spark, sf_dir)
-        .select("doc_id", "page_number", F.struct("rn", row.alias("line")).alias("r"))
+        items.select("doc_id", "page_number", F.struct("rn", row.alias("line")).alias("r"))
         .groupBy("doc_id", "page_number")
         .agg(F.sort_array(F.collect_list("r")).alias("rows"))
     )
@@ -142,7 +153,7 @@ def invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     first = F.concat(_invoice_head(), tail)
-    return tables.join(invoice_headers(spark, sf_dir), "doc_id").select(
+    return tables.join(headers, "doc_id").select(
         "doc_id",
         "page_number",
         "page_count",
@@ -153,6 +164,17 @@ def invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, page_number, page_count, source_file, md): one invoice per order.
+
+    Rows of ordinary orders are shuffled once, by order: the window, the pages
+    and the join with the headers all use that distribution.
+    """
+    headers, part = invoice_headers(spark, sf_dir), _parts(spark, sf_dir)
+    ordinary, heavy = _numbered_lines(spark, sf_dir)
+    return _pages(_items(ordinary, part), headers).unionByName(_pages(_items(heavy, part), headers))
+
+
 # --------------------------------------------------------------- markdown
 
 def md_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,7 +102,7 @@ def _line_items(spark, sf):
 
 
 def _heuristic(spark, sf):
-    return fields.heuristic_record(invoice_pages(spark, sf)).select("doc_id", "kind", "page_number", "a", "b", "key", "value")
+    return fields.heuristic_record(_stored_pages(spark, sf)).select("doc_id", "kind", "page_number", "a", "b", "key", "value")
 
 
 def _typed(spark, sf):
@@ -116,12 +116,14 @@ def _typed(spark, sf):
 
 
 def _reconcile(spark, sf):
-    items = tb.rows_to_dicts(_tables(spark, sf)).filter(F.col("key").isin("Amount", "col_3"))
+    pages = _stored_pages(spark, sf)
+    tables = tb.detect_header(tb.import_markdown_tables(pages))
+    items = tb.rows_to_dicts(tables).filter(F.col("key").isin("Amount", "col_3"))
+    pairs = fields.key_value_lines(pages, "md", markdown=True)
+    found = fields.schema_guided_fields(pairs, schema_aliases(spark, load_schema("generic_invoice")))
     amounts = items.select("doc_id", F.col("value").try_cast("decimal(18,2)").alias("amount"))
-    totals = (
-        _schema_fields(spark, sf)
-        .filter(F.col("name") == "total_amount")
-        .select("doc_id", F.col("value").try_cast("decimal(18,2)").alias("total"))
+    totals = found.filter(F.col("name") == "total_amount").select(
+        "doc_id", F.col("value").try_cast("decimal(18,2)").alias("total")
     )
     out = fields.reconcile_totals(amounts, totals)
     return out.select("doc_id", *[F.col(c).cast("double").alias(c) for c in ("items_total", "total", "difference")])
@@ -139,8 +141,13 @@ def _combined(spark, sf):
     )
 
 
+def _stored_pages(spark, sf):
+    """Pages written out once, for queries that read them several times."""
+    return written(invoice_pages(spark, sf), "pages")
+
+
 def _doc_text(spark, sf, max_chars=prompts.MAX_CHARS):
-    pages = invoice_pages(spark, sf)
+    pages = _stored_pages(spark, sf)
     texts = pages.select("doc_id", "page_number", F.col("md").alias("text"))
     numbered = tb.numbered_tables(tb.detect_header(_raw(pages)))
     return prompts.document_text(texts, numbered, max_chars)
@@ -159,8 +166,7 @@ def _prompts(spark, sf):
 
 
 def _workbook(spark, sf):
-    # The sheets read the pages several times, so these are written out once.
-    pages = written(invoice_pages(spark, sf), "pages")
+    pages = _stored_pages(spark, sf)
     summary = batch.document_counts(pages).select(
         "doc_id",
         F.array("source_file", *[F.col(c).cast("string") for c in ("pages", "tables_found", "fields_found")]).alias("values"),
