@@ -21,8 +21,9 @@ WS_CHARS = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Line boundaries.
-NEWLINE = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029])"
+# Line boundaries other than "\n", and blanks within a line.
+OTHER_NEWLINE = r"[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029](?:(?<=\r)\n)?"
+BLANK_CLASS = r"\t\x1f \xa0\u1680\u2000-\u200a\u202f\u205f\u3000"
 
 # Document grammar. (?d) makes "." stop at "\n" only, (?s) lets
 # it cross lines.
@@ -61,12 +62,20 @@ def is_blank(c: Column) -> Column:
     return ustrip(c) == F.lit("")
 
 
+def unix_lines(c: Column) -> Column:
+    """The text with every universal line end written as a line feed."""
+    return F.regexp_replace(c, OTHER_NEWLINE, "\n")
+
+
 def split_lines(c: Column) -> Column:
     """Lines of a text at universal line ends, without a trailing empty one."""
-    body = F.regexp_replace(c, NEWLINE + r"\z", "")
-    return F.when(c == F.lit(""), F.array().cast("array<string>")).otherwise(
-        F.split(body, NEWLINE)
+    parts = F.array(F.split(unix_lines(c), "\n"))
+    # the one-element array binds the lines to a name, so they are split once
+    kept = F.transform(
+        parts,
+        lambda a: F.when(F.element_at(a, -1) == "", F.slice(a, F.lit(1), F.size(a) - 1)).otherwise(a),
     )
+    return F.get(kept, F.lit(0))
 
 
 def chain(c: Column, rules) -> Column:

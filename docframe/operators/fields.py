@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docframe.functions.rows import computed, inline
-from docframe.functions.text import split_lines, strip_front_matter, ustrip
+from docframe.functions.text import WS, split_lines, strip_front_matter, ustrip
 from docframe.operators import tables as tb
 
 # Separators in the order they are tried, and the key length.
@@ -36,11 +36,11 @@ def candidate_lines(text: Column, markdown: bool = False) -> Column:
 
     With ``markdown`` the front matter, headings and pipe lines are left out.
     """
-    stripped = F.transform(split_lines(strip_front_matter(text) if markdown else text), ustrip)
+    lines = split_lines(strip_front_matter(text) if markdown else text)
     numbered = F.transform(
-        stripped, lambda s, i: F.struct((i + 1).alias("line_no"), s.alias("line"))
+        lines, lambda s, i: F.struct((i + 1).alias("line_no"), s.alias("line"))
     )
-    pattern = r"\A(?![|#]).*[:=—-]" if markdown else "[:=—-]"
+    pattern = rf"\A{WS}*+(?![|#]).*[:=—-]" if markdown else "[:=—-]"
     return F.filter(numbered, lambda r: r["line"].rlike(pattern))
 
 

@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from docframe.functions.rows import computed, explode
 from docframe.functions.text import (
+    BLANK_CLASS,
     PIECE,
     TABLE_SEPARATOR,
     WS_CLASS,
     file_stem,
     is_blank,
-    split_lines,
     table_cells,
+    unix_lines,
     ustrip,
 )
 from docframe.operators.ordered import BLOCK
@@ -29,27 +30,36 @@ KEY = ("doc_id", "page_number", "page_table")
 CONFIDENCE = 0.9
 
 
+# A line that does not begin with a pipe; a separator line before stripping.
+OTHER_LINE = rf"(?<![^\n])[{BLANK_CLASS}]*+(?!\|)[^\n]*+"
+LOOSE_SEPARATOR = rf"\A[{WS_CLASS}]*+\|[{WS_CLASS}\-:|]+\|[{WS_CLASS}\-:|]*\z"
+CONTENT = rf"[^|{WS_CLASS}]"
+
+
+def _is_content(line: Column) -> Column:
+    return line.rlike(CONTENT) & ~line.rlike(LOOSE_SEPARATOR)
+
+
 def table_runs(text: Column) -> Column:
-    """Maximal runs of pipe lines, each one text."""
-    marked = F.transform(
-        F.transform(split_lines(text), ustrip),
-        lambda s: F.when(s.startswith("|"), s).otherwise(F.lit(PIECE)),
-    )
-    pieces = F.transform(
-        F.split(F.array_join(marked, "\n"), PIECE), lambda r: F.btrim(r, F.lit("\n"))
-    )
-    # a run of separator and empty lines only is no table
+    """Maximal runs of pipe lines, each one text.
+
+    All other lines become piece marks in one pass over the text. Runs of
+    separator and empty lines only are no tables.
+    """
+    marked = F.regexp_replace(unix_lines(text), OTHER_LINE, PIECE)
     return F.filter(
-        pieces,
-        lambda r: F.exists(
-            F.split(r, "\n"), lambda s: s.rlike(f"[^|{WS_CLASS}]") & ~s.rlike(TABLE_SEPARATOR)
-        ),
+        F.split(marked, PIECE),
+        lambda r: r.contains("|") & F.exists(F.split(r, "\n"), _is_content),
     )
 
 
+def run_lines(run: Column) -> Column:
+    return F.filter(F.transform(F.split(run, "\n"), ustrip), lambda s: s != "")
+
+
 def is_ragged(run: Column) -> Column:
     """Whether the rows of a run of pipe lines differ in width."""
-    content = F.filter(F.split(run, "\n"), lambda s: ~s.rlike(TABLE_SEPARATOR))
+    content = F.filter(run_lines(run), lambda s: ~s.rlike(TABLE_SEPARATOR))
     widths = F.transform(
         content, lambda s: F.size(F.split(F.regexp_replace(s, r"\A\||\|\z", ""), r"\|"))
     )
@@ -67,7 +77,7 @@ def import_markdown_tables(
     place = ["doc_id", "page_number", *keep]
     found = explode(pages, place, table_runs(F.col(text)), "run", pos="_pos")
     run = computed(
-        found.select(*place, (F.col("_pos") + 1).alias("page_table"), "run"), lines=F.split("run", "\n")
+        found.select(*place, (F.col("_pos") + 1).alias("page_table"), "run"), lines=run_lines(F.col("run"))
     )
     first, second = F.get("lines", F.lit(0)), F.get("lines", F.lit(1))
     content = F.filter("lines", lambda s: ~s.rlike(TABLE_SEPARATOR))
