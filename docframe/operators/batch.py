@@ -57,10 +57,12 @@ def resume_plan(inputs: DataFrame, cached: DataFrame, force: bool = False) -> Da
     """Inputs with ``action``: 'skip' (a cached pair exists, not forced) or 'work'."""
     if force:
         return inputs.withColumn("action", F.lit("work"))
-    keys = cached.select("doc_id")
-    done = inputs.join(keys, "doc_id", "left_semi").withColumn("action", F.lit("skip"))
-    todo = inputs.join(keys, "doc_id", "left_anti").withColumn("action", F.lit("work"))
-    return done.unionByName(todo)
+    done = cached.select("doc_id").distinct().withColumn("_done", F.lit(True))
+    return (
+        inputs.join(done, "doc_id", "left")
+        .withColumn("action", F.when(F.col("_done"), "skip").otherwise("work"))
+        .drop("_done")
+    )
 
 
 def doc_record_join(documents: DataFrame, records: DataFrame) -> DataFrame:

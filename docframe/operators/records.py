@@ -48,9 +48,13 @@ def validated_records(responses: DataFrame, schema: Schema) -> DataFrame:
     Warnings come in the order: the model's own, missing required fields,
     unexpected fields by name, items that are no objects.
     """
+    return _records(parse_responses(responses).filter("valid"), schema).drop("valid")
+
+
+def _records(parsed: DataFrame, schema: Schema, keep: tuple[str, ...] = ()) -> DataFrame:
     v = F.col("parsed")
     got = computed(
-        parse_responses(responses).filter("valid"),
+        parsed,
         given=F.coalesce(
             F.try_variant_get(v, "$.fields", "map<string,string>"),
             F.create_map().cast("map<string,string>"),
@@ -90,6 +94,8 @@ def validated_records(responses: DataFrame, schema: Schema) -> DataFrame:
     present = lambda a: F.filter(a, lambda w: w.isNotNull())
     return got.select(
         "doc_id",
+        "valid",
+        *keep,
         F.lit(schema.document_type).alias("document_type"),
         F.map_filter("given", lambda k, _: k.isin(schema.field_names)).alias("fields"),
         good_items.alias("line_items"),
@@ -161,31 +167,30 @@ def record_with_fallback(
     long rows (doc_id, extraction_method, document_type, warning, name, value),
     one per field, or one with a null name for a record without fields.
     """
-    parsed = parse_responses(responses).select("doc_id", "valid")
-    status = documents.select("doc_id").join(parsed, "doc_id", "left")
-    failed = status.filter(~F.coalesce("valid", F.lit(False))).select(
-        "doc_id",
-        F.lit("heuristic").alias("extraction_method"),
-        F.lit("unknown").alias("document_type"),
-        F.when(F.col("valid").isNull(), "LLM call failed: no response")
+    answered = documents.select("doc_id").join(
+        responses.select("doc_id", "raw"), "doc_id", "left"
+    )
+    parsed = parse_responses(answered).withColumn("valid", F.coalesce("valid", F.lit(False)))
+    records = _records(parsed, schema, keep=("raw",))
+    entries = F.when(F.col("valid"), F.map_entries("fields"))
+    rows = records.select(
+        "doc_id", "valid", F.col("raw").isNull().alias("silent"), F.explode_outer(entries).alias("f")
+    )
+    found = heuristic_fields.select("doc_id", F.col("key").alias("h_name"), F.col("value").alias("h_value"))
+    r, h = rows.alias("r"), found.alias("h")
+    joined = r.join(h, (F.col("r.doc_id") == F.col("h.doc_id")) & ~F.col("r.valid"), "left")
+    model = F.col("r.valid")
+    return joined.select(
+        F.col("r.doc_id").alias("doc_id"),
+        F.when(model, "llm").otherwise("heuristic").alias("extraction_method"),
+        F.when(model, schema.document_type).otherwise("unknown").alias("document_type"),
+        F.when(model, None)
+        .when(F.col("r.silent"), "LLM call failed: no response")
         .otherwise("LLM returned invalid JSON")
         .alias("warning"),
+        F.when(model, F.col("r.f.key")).otherwise(F.col("h.h_name")).alias("name"),
+        F.when(model, F.col("r.f.value")).otherwise(F.col("h.h_value")).alias("value"),
     )
-    fallback = failed.join(
-        heuristic_fields.select("doc_id", F.col("key").alias("name"), "value"), "doc_id", "left"
-    )
-    model = (
-        validated_records(responses, schema)
-        .join(documents.select("doc_id"), "doc_id", "left_semi")
-        .select(
-            "doc_id",
-            "extraction_method",
-            "document_type",
-            F.lit(None).cast("string").alias("warning"),
-            F.explode_outer("fields").alias("name", "value"),
-        )
-    )
-    return model.unionByName(fallback)
 
 
 def raw_responses(responses: DataFrame) -> DataFrame:
