@@ -1,10 +1,15 @@
-"""A corpus made ready for training: five stages, each over all its predecessor kept."""
+"""A corpus made ready for training: five stages, each over all its predecessor kept.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of the
+documents. ``n_chars``, where there is one, follows the text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docframe.llm import decontamination, quality_rules
+from docframe.llm import decontamination, jaccard_join, line_dedup, quality_rules, queries
 from docframe.session import written
 
 
@@ -13,12 +18,34 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines whose template recurs across documents go, but for the first; every document stays."""
+    out = line_dedup.dedup(docs)
+    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at a similarity of 0.8, that with the smallest doc_id stays."""
+    return jaccard_join.keep_first(docs, gram=5, percent=80)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a window of the benchmark occurs go."""
     return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("quality_rules", quality), ("benchmark_decontamination", decontaminate)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the sequences that hold the remaining documents."""
+    return queries.packed(docs)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", decontaminate),
+    ("packing", pack),
+]
 
 #: Covariance estimates, components and packing have no counterpart in SQL; tests compare with brute force.
 ORACLE_SQL = None
