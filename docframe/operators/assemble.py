@@ -41,9 +41,13 @@ def clean_fragments(fragments: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ front matter
 
 def front_matter_entries(block: Column) -> Column:
-    """[{key, value}] of the flat ``key: value`` lines of a front matter block."""
+    """[{key, value}] of the flat ``key: value`` lines of a front matter block.
+
+    An indented line that is no list item goes on with the value above it.
+    """
+    unfolded = F.regexp_replace(block, r"\n[ \t]+(?!-(?:[ \t]|\n|\z))(?=\S)", " ")
     lines = F.filter(
-        F.split(block, "\n"), lambda s: s.contains(":") & ~ustrip(s).startswith("#")
+        F.split(unfolded, "\n"), lambda s: s.contains(":") & ~ustrip(s).startswith("#")
     )
     return F.transform(
         lines,
@@ -307,9 +311,12 @@ def validated_parts(fragments: DataFrame, pages_per_part: int = PAGES_PER_PART)
 
 
 def validation_warnings(fragments: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFrame:
-    """(doc_id, part_no, warning_no, warning) in document order."""
-    parts = validated_parts(fragments, pages_per_part)
-    return explode(parts, ["doc_id", "part_no"], "warnings", "warning", pos="warning_no")
+    """(doc_id, warning_no, warning) in document order, numbered through all parts."""
+    parts = validated_parts(fragments, pages_per_part).select("doc_id", "part_no", "warnings")
+    earlier = Window.partitionBy("doc_id").orderBy("part_no").rowsBetween(Window.unboundedPreceding, -1)
+    counted = parts.withColumn("before", F.coalesce(F.sum(F.size("warnings")).over(earlier), F.lit(0)).cast("int"))
+    rows = explode(counted, ["doc_id", "before"], "warnings", "warning", pos="_pos")
+    return rows.select("doc_id", (F.col("before") + F.col("_pos")).alias("warning_no"), "warning")
 
 
 def md_documents(fragments: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFrame:
@@ -339,7 +346,8 @@ def full_text(pages: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFra
     """(doc_id, part_no, text): non-blank page texts, a blank line between them.
 
     Parts after the first begin with their separator, so that concatenating the
-    parts of a document gives its whole text.
+    parts of a document gives its whole text. Which part is the first comes from
+    a window over slim rows, joined back by part.
     """
     parts = (
         nonblank_pages(pages)
@@ -352,10 +360,11 @@ def full_text(pages: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFra
             F.array_join(F.transform("pages", lambda p: p["text"]), "\n\n").alias("text"),
         )
     )
-    starts = nonblank_pages(pages).groupBy("doc_id").agg(F.min("page_number").alias("start"))
-    first = F.floor((F.col("start") - 1) / pages_per_part) == F.col("part")
-    return parts.join(starts, "doc_id").select(
+    part_of = F.floor((F.col("page_number") - 1) / pages_per_part).cast("int").alias("part")
+    filled = nonblank_pages(pages).select("doc_id", part_of).distinct()
+    starts = filled.select("doc_id", "part", (F.min("part").over(Window.partitionBy("doc_id")) == F.col("part")).alias("first"))
+    return parts.join(starts, ["doc_id", "part"]).select(
         "doc_id",
         F.col("part").alias("part_no"),
-        F.when(first, F.col("text")).otherwise(F.concat(F.lit("\n\n"), "text")).alias("text"),
+        F.when(F.col("first"), F.col("text")).otherwise(F.concat(F.lit("\n\n"), "text")).alias("text"),
     )

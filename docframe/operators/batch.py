@@ -17,12 +17,20 @@ MAX_UPLOAD_BYTES = 20 * 1024 * 1024
 # ------------------------------------------------------------ inputs
 
 def scan_inputs(files: DataFrame, suffix: str = ".pdf", ignore_case: bool = False) -> DataFrame:
-    """Files with the suffix, by path. A folder scan minds case, an explicit list does not.
+    """Files with the suffix. A folder scan minds case, an explicit list does not.
 
-    Sorted for reading; downstream operators never rely on the order.
+    Rows keep the order they come in; whoever shows them sorts them.
     """
     name = F.lower("source_file") if ignore_case else F.col("source_file")
-    return files.filter(name.endswith(suffix)).orderBy("source_file")
+    return files.filter(name.endswith(suffix))
+
+
+def required_inputs(files: DataFrame, suffix: str = ".pdf", ignore_case: bool = False) -> DataFrame:
+    """``scan_inputs``, or a ValueError if there is none; only the first row is looked for."""
+    found = scan_inputs(files, suffix, ignore_case)
+    if found.isEmpty():
+        raise ValueError(f"no input ends in {suffix}")
+    return found
 
 
 def admission_filter(files: DataFrame, max_bytes: int = MAX_UPLOAD_BYTES) -> DataFrame:
@@ -38,14 +46,15 @@ def admission_filter(files: DataFrame, max_bytes: int = MAX_UPLOAD_BYTES) -> Dat
     )
 
 
-def manifest_scan(manifest: DataFrame, profiles: DataFrame, default: str = "generic") -> DataFrame:
+def manifest_scan(manifest: DataFrame, profiles: dict[str, str], default: str = "generic") -> DataFrame:
     """Manifest rows with the document type of their profile; unknown profiles take the default.
 
-    ``profiles`` is the small (profile, document_type) table of the known ones.
+    ``profiles`` gives the type of the known ones; they are few and hot, so they
+    are looked up in the row.
     """
-    return manifest.join(profiles, "profile", "left").withColumn(
-        "document_type", F.coalesce("document_type", F.lit(default))
-    )
+    known = F.create_map(*[F.lit(x) for pair in profiles.items() for x in pair])
+    kind = F.try_element_at(known, F.col("profile")) if profiles else F.lit(None).cast("string")
+    return manifest.withColumn("document_type", F.coalesce(kind, F.lit(default)))
 
 
 def load_artifacts(documents: DataFrame, records: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -65,6 +74,19 @@ def resume_plan(inputs: DataFrame, cached: DataFrame, force: bool = False) -> Da
     )
 
 
+def resumed_results(plan: DataFrame, cached: DataFrame) -> DataFrame:
+    """Result rows of the inputs that are skipped: success in 0 seconds, with the counts of the cached pair.
+
+    ``plan`` is a resume plan, ``cached`` has (doc_id, pages, tables_found,
+    fields_found, warnings_count), the warnings being those of the document.
+    """
+    counts = ["pages", "tables_found", "fields_found", "warnings_count"]
+    return plan.filter(F.col("action") == "skip").join(cached.select("doc_id", *counts), "doc_id").select(
+        "doc_id", "source_file", F.lit("success").alias("status"), *counts,
+        F.lit(0).cast("decimal(18,2)").alias("processing_seconds"), F.lit(True).alias("resumed"),
+    )
+
+
 def doc_record_join(documents: DataFrame, records: DataFrame) -> DataFrame:
     """Every document paired with its record."""
     return documents.join(records, "doc_id")
@@ -101,7 +123,9 @@ def batch_report(results: DataFrame) -> DataFrame:
             F.sum("pages").alias("pages"),
             F.sum("warnings_count").alias("warnings"),
             F.sum("processing_seconds").cast("double").alias("seconds"),
+            F.round(F.avg("processing_seconds"), 6).cast("double").alias("mean_seconds"),
             F.max("processing_seconds").cast("double").alias("max_seconds"),
+            F.round(F.avg("confidence"), 6).alias("mean_confidence"),
             F.grouping("status").alias("_s"),
             F.grouping("method").alias("_m"),
         )
@@ -109,32 +133,35 @@ def batch_report(results: DataFrame) -> DataFrame:
     name = lambda flag, c: F.when(F.col(flag) == 1, "all").otherwise(F.col(c))
     return rolled.select(
         name("_s", "status").alias("status"), name("_m", "method").alias("method"),
-        "total", "succeeded", "failed", "pages", "warnings", "seconds", "max_seconds",
+        "total", "succeeded", "failed", "pages", "warnings", "seconds", "mean_seconds", "max_seconds", "mean_confidence",
     )
 
 
-def run_summary(results: DataFrame) -> DataFrame:
-    """(outcome, n, first_file, last_file): converted, skipped and failed inputs.
+def warnings_by_code(results: DataFrame) -> DataFrame:
+    """(code, n, documents): how often each warning code occurs; ``results`` carry ``warning_codes``."""
+    rows = results.select("doc_id", F.explode("warning_codes").alias("code"))
+    per_doc = rows.groupBy("code", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return per_doc.groupBy("code").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("documents"))
 
-    The lists themselves are the input rows by outcome; they are not gathered.
-    """
+
+def outcomes(results: DataFrame) -> DataFrame:
+    """(outcome, source_file): every input of a run as converted, skipped or failed; the lists of a run's report."""
     outcome = F.when(F.col("status") != "success", "failed").when(
         F.col("fields_found") == 0, "skipped"
     ).otherwise("converted")
-    return (
-        results.withColumn("outcome", outcome)
-        .groupBy("outcome")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("source_file").alias("first_file"),
-            F.max("source_file").alias("last_file"),
-        )
-    )
+    return results.select(outcome.alias("outcome"), "source_file")
+
+
+def run_summary(results: DataFrame) -> DataFrame:
+    """(outcome, n): converted, skipped and failed inputs."""
+    return outcomes(results).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
 def document_counts(pages: DataFrame, text: str = "md") -> DataFrame:
     """(doc_id, source_file, pages, tables_found, fields_found, warnings_count) per document.
 
+    These are the document's own warnings; ``with_records`` adds those of its record.
+
     One pass over the page texts: a page sends its slim counts and the lines
     that may hold a field; both combine before they are shuffled. A table whose
     rows differ in width counts as one warning.
@@ -173,6 +200,28 @@ def document_counts(pages: DataFrame, text: str = "md") -> DataFrame:
     )
 
 
+def with_records(counts: DataFrame, records: DataFrame, resumed: DataFrame | None = None) -> DataFrame:
+    """Document counts with ``extraction_methods``, ``resumed``, and the warnings of the record added for fresh ones.
+
+    ``records`` is (doc_id, extraction_method, warnings); ``resumed`` is (doc_id).
+    """
+    told = records.select("doc_id", "extraction_method", F.size("warnings").alias("_w"))
+    joined = counts.join(told, "doc_id", "left")
+    if resumed is None:
+        joined = joined.withColumn("resumed", F.lit(False))
+    else:
+        marks = resumed.select("doc_id", F.lit(True).alias("_r")).distinct()
+        joined = joined.join(marks, "doc_id", "left").withColumn("resumed", F.coalesce("_r", F.lit(False))).drop("_r")
+    added = F.when(F.col("resumed"), 0).otherwise(F.coalesce("_w", F.lit(0)))
+    methods = F.array_distinct(F.array_compact(F.array(F.lit("markdown_import"), F.col("extraction_method"))))
+    return joined.select(
+        *[c for c in counts.columns if c != "warnings_count"],
+        (F.col("warnings_count") + added).alias("warnings_count"),
+        methods.alias("extraction_methods"),
+        "resumed",
+    )
+
+
 def batch_summary(counts: DataFrame, extracted_at: str, method: str, document_type: str = "unknown") -> DataFrame:
     """Summary sheet of a batch from its document counts.
 
@@ -230,6 +279,13 @@ def batch_line_items(numbered: DataFrame) -> DataFrame:
     )
 
 
+# The metadata columns of a workbook's summary.
+METADATA = (
+    "source_file", "document_id", "document_type", "pages", "tables_found", "fields_found", "warnings",
+    "extracted_at", "extraction_method",
+)
+
+
 def document_workbook(
     summary: DataFrame,
     found: DataFrame,
@@ -239,7 +295,8 @@ def document_workbook(
 ) -> DataFrame:
     """All sheets of all documents: (doc_id, sheet, a, b, values).
 
-    ``a`` and ``b`` order the rows of a sheet. ``summary`` is (doc_id, values).
+    ``a`` and ``b`` order the rows of a sheet. ``summary`` has doc_id and the
+    columns of METADATA but document_id, which is the doc_id.
     """
     row = lambda df, sheet, a, b, values: df.select(
         "doc_id",
@@ -250,8 +307,9 @@ def document_workbook(
     )
     zero = F.lit(0)
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    about = summary.withColumn("document_id", F.col("doc_id"))
     parts: list[DataFrame] = [
-        row(summary, F.lit("Summary"), zero, zero, F.col("values")),
+        row(about, F.lit("Summary"), F.lit(-1), zero, F.array(*[text(c) for c in METADATA])),
         row(
             found, F.lit("Summary"), F.col("first_page"), F.col("first_line"),
             F.array("key", "value"),
@@ -267,7 +325,7 @@ def document_workbook(
             F.array(text("page_number"), F.col("text"), F.col("extraction_method")),
         ),
         row(
-            warnings, F.lit("Warnings"), zero, zero,
+            warnings, F.lit("Warnings"), F.coalesce(F.col("page_number"), zero), zero,
             F.array(F.col("code"), F.col("message"), text("page_number")),
         ),
     ]
@@ -280,3 +338,32 @@ def document_workbook(
 def json_artifacts(pairs: DataFrame, *columns: str | Column) -> DataFrame:
     """(doc_id, json): the given columns of each row as one JSON text."""
     return pairs.select("doc_id", F.to_json(F.struct(*columns)).alias("json"))
+
+
+PAGE = "struct<page_number:int,text:string>"
+TABLE = "struct<table_idx:int,page_number:int,columns:array<string>,rows:array<array<string>>>"
+PART = f"doc_id long, part_no int, source_file string, page_count int, pages array<{PAGE}>, tables array<{TABLE}>"
+
+
+def document_artifacts(documents: DataFrame, pages: DataFrame, numbered: DataFrame, pages_per_part: int = 1000) -> DataFrame:
+    """(doc_id, part_no, json): each document with its pages and tables as JSON, in parts of so many pages.
+
+    ``documents`` is (doc_id, source_file, page_count), ``pages`` (doc_id, page_number, text).
+    """
+    part = F.floor((F.col("page_number") - 1) / pages_per_part).cast("int").alias("part_no")
+    none_page, none_table = F.lit(None).cast(PAGE), F.lit(None).cast(TABLE)
+    texts = pages.select("doc_id", part, F.struct("page_number", "text").cast(PAGE).alias("page"), none_table.alias("table"))
+    tables = numbered.select(
+        "doc_id", part, none_page.alias("page"), F.struct("table_idx", "page_number", "columns", "rows").cast(TABLE).alias("table")
+    )
+    together = texts.unionByName(tables).groupBy("doc_id", "part_no").agg(
+        F.sort_array(F.collect_list("page")).alias("pages"), F.array_sort(F.collect_list("table")).alias("tables")
+    )
+    return together.join(documents.select("doc_id", "source_file", "page_count"), "doc_id").select(
+        "doc_id", "part_no", F.to_json(F.struct("doc_id", "part_no", "source_file", "page_count", "pages", "tables")).alias("json")
+    )
+
+
+def read_document_artifacts(artifacts: DataFrame) -> DataFrame:
+    """The parts of (doc_id, part_no, json) rows."""
+    return artifacts.select(F.from_json("json", PART).alias("d")).select("d.*")

@@ -1,4 +1,4 @@
-"""Line rules for raw page text: boilerplate, TOC lines, headings, unreadable pages."""
+"""Line rules for raw page text: notices, TOC lines, headings, unreadable pages, repeated lines."""
 
 from __future__ import annotations
 
@@ -8,10 +8,16 @@ from pyspark.sql import functions as F
 from docframe.functions.rows import explode
 from docframe.functions.text import WS, split_lines, ustrip
 
-# Words of copyright and authorship notices.
-NOTICE_WORDS = ("copyright", "vietato", "autori", "estensori")
+# A line is a notice if it opens with a copyright mark, names authors before a
+# colon, or forbids copying. Legal text that merely uses such a word stays.
+NOTICES = (
+    r"\A\W*(?:copyright\b|©)",
+    r"\A\W*(?:gli\s+)?(?:autori|estensori)\s*(?::|\z)",
+    r"\bvietat[aeio]\b.*\b(?:riproduzion[ei]|riprodurre|copiare|copia|duplicazione)\b",
+)
 TOC_LINE = rf"(?d)\A{WS}*#{{0,6}}{WS}*(.*?){WS}*\.{{3,}}{WS}*\d+{WS}*\z"
 READABLE_CHARS = 20
+PAGES_PER_BUCKET = 1000
 
 
 def _edit(text: Column, keep=None, change=None) -> Column:
@@ -23,10 +29,13 @@ def _edit(text: Column, keep=None, change=None) -> Column:
     return F.array_join(lines, "\n")
 
 
+def is_notice(line: Column) -> Column:
+    return line.rlike("(?iU)" + "|".join(NOTICES))
+
+
 def drop_boilerplate_lines(text: Column) -> Column:
     """Text without lone page numbers and without notice lines."""
-    notice = "(?i)" + "|".join(NOTICE_WORDS)
-    return _edit(text, keep=lambda s: ~ustrip(s).rlike(r"\A\d+\z") & ~s.rlike(notice))
+    return _edit(text, keep=lambda s: ~ustrip(s).rlike(r"\A\d+\z") & ~is_notice(s))
 
 
 def normalize_toc(text: Column) -> Column:
@@ -66,13 +75,10 @@ def is_unreadable(text: Column) -> Column:
 
 
 def mark_unreadable(pages: DataFrame) -> DataFrame:
-    """Pages whose text is replaced by a marker if there is next to none."""
-    marker = F.concat(
-        F.lit("<!-- UNREADABLE: page "), F.col("page_number").cast("string"), F.lit(" -->")
-    )
-    return pages.withColumn("unreadable", is_unreadable(F.col("text"))).withColumn(
-        "text", F.when(F.col("unreadable"), marker).otherwise(F.col("text"))
-    )
+    """Pages with ``unreadable`` and ``marker``, the comment for pages with next to no text; the text stays."""
+    marker = F.concat(F.lit("<!-- UNREADABLE: page "), F.col("page_number").cast("string"), F.lit(" -->"))
+    flagged = pages.withColumn("unreadable", is_unreadable(F.col("text")))
+    return flagged.withColumn("marker", F.when(F.col("unreadable"), marker))
 
 
 def repeated_lines(pages: DataFrame, share: float = 0.5, min_pages: int = 3) -> DataFrame:
@@ -96,7 +102,9 @@ def drop_repeated_lines(pages: DataFrame, share: float = 0.5, min_pages: int = 3
     """Pages without repeated headers and footers; the first occurrence stays.
 
     A line on ``share`` of the pages leaves room for at most 1/share times the
-    lines of an average page, which bounds the list a document carries.
+    lines of an average page, which bounds the list a document carries. Lists
+    meet pages by document and bucket of pages, so a document with a large part
+    of all pages is spread over many tasks.
     """
     lists = (
         repeated_lines(pages, share, min_pages)
@@ -105,7 +113,10 @@ def drop_repeated_lines(pages: DataFrame, share: float = 0.5, min_pages: int = 3
             F.map_from_entries(F.collect_list(F.struct("line", "first_page"))).alias("repeated")
         )
     )
-    joined = pages.join(lists, "doc_id", "left").withColumn("lines", split_lines(F.col("text")))
+    bucket = F.floor(F.col("page_number") / PAGES_PER_BUCKET).alias("_bucket")
+    dealt = pages.select("doc_id", bucket).distinct().join(lists, "doc_id")
+    joined = pages.select("*", bucket).join(dealt, ["doc_id", "_bucket"], "left").drop("_bucket")
+    joined = joined.withColumn("lines", split_lines(F.col("text")))
     stripped = joined.withColumn("stripped", F.transform("lines", ustrip))
     tagged = F.zip_with("lines", "stripped", lambda s, t: F.struct(s.alias("line"), t.alias("key")))
     kept = F.filter(

@@ -27,8 +27,9 @@ def pair(line: Column) -> Column:
     return found
 
 
-def accepted(key: Column, value: Column) -> Column:
-    return (F.length(key) > 1) & (F.length(key) <= MAX_KEY) & (value != "")
+def accepted(key: Column, value: Column, max_key: int = MAX_KEY) -> Column:
+    """Whether a pair counts: a key of 2 to ``max_key`` characters with a value."""
+    return (F.length(key) > 1) & (F.length(key) <= max_key) & (value != "")
 
 
 def candidate_lines(text: Column, markdown: bool = False) -> Column:
@@ -45,12 +46,12 @@ def candidate_lines(text: Column, markdown: bool = False) -> Column:
 
 
 def key_value_lines(
-    pages: DataFrame, text: str = "text", markdown: bool = False
+    pages: DataFrame, text: str = "text", markdown: bool = False, max_key: int = MAX_KEY
 ) -> DataFrame:
     """(doc_id, page_number, line_no, key, value): every line that holds a pair."""
     lines = inline(pages, ["doc_id", "page_number"], candidate_lines(F.col(text), markdown))
     found = computed(lines, p=pair(F.col("line")))
-    return found.filter(accepted(F.col("p.key"), F.col("p.value"))).select(
+    return found.filter(accepted(F.col("p.key"), F.col("p.value"), max_key)).select(
         "doc_id", "page_number", "line_no", "p.key", "p.value"
     )
 
@@ -79,32 +80,28 @@ def key_values(pages: DataFrame, text: str = "text", markdown: bool = False) ->
     return last_per_key(key_value_lines(pages, text, markdown))
 
 
-def heuristic_record(pages: DataFrame, text: str = "md") -> DataFrame:
-    """Fields and line items of each document in one long table.
+def heuristic_record(pages: DataFrame, warnings: DataFrame | None = None, text: str = "md") -> DataFrame:
+    """Fields, line items and warnings of each document in one long table.
 
-    Columns: doc_id, kind ('field' or 'item'), page_number, a, b (position on the
-    page: line and 0, or table and row), key, value.
+    Columns: doc_id, kind ('field', 'item' or 'warning'), page_number, a, b
+    (position on the page: line and 0, or table and row), key, value.
+    ``warnings`` are the document's (doc_id, code, message, page_number); their
+    key is the code.
     """
+    row = lambda df, kind, page, a, b, key, value: df.select(
+        "doc_id", F.lit(kind).alias("kind"), page.cast("int").alias("page_number"), a.cast("int").alias("a"),
+        b.cast("int").alias("b"), key.alias("key"), value.alias("value"),
+    )
+    c, zero = F.col, F.lit(0)
     found = key_values(pages, text, markdown=True)
     items = tb.rows_to_dicts(tb.detect_header(tb.import_markdown_tables(pages, text)))
-    return found.select(
-        "doc_id",
-        F.lit("field").alias("kind"),
-        F.col("first_page").alias("page_number"),
-        F.col("first_line").alias("a"),
-        F.lit(0).alias("b"),
-        "key",
-        "value",
-    ).unionByName(
-        items.select(
-            "doc_id",
-            F.lit("item").alias("kind"),
-            "page_number",
-            F.col("page_table").alias("a"),
-            F.col("row_index").alias("b"),
-            "key",
-            "value",
-        )
+    out = row(found, "field", c("first_page"), c("first_line"), zero, c("key"), c("value")).unionByName(
+        row(items, "item", c("page_number"), c("page_table"), c("row_index"), c("key"), c("value"))
+    )
+    if warnings is None:
+        return out
+    return out.unionByName(
+        row(warnings, "warning", F.coalesce("page_number", zero), zero, zero, c("code"), c("message"))
     )
 
 
@@ -112,13 +109,19 @@ def normalised_key(key: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(key), "[^a-z0-9]+", "_"), F.lit("_"))
 
 
-def schema_guided_fields(pairs: DataFrame, aliases: DataFrame) -> DataFrame:
+def _claimed(key: Column, aliases: dict[str, str]) -> Column:
+    """Name of the schema field that claims a key, by a literal table of spellings; null if none does."""
+    spelled = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
+    return F.try_element_at(spelled, normalised_key(key)) if aliases else F.lit(None).cast("string")
+
+
+def schema_guided_fields(pairs: DataFrame, aliases: dict[str, str]) -> DataFrame:
     """(doc_id, name, value): pairs whose key names a schema field or one of its aliases.
 
-    ``pairs`` are key-value lines; ``aliases`` is the small (alias, name) table of
-    a schema. The side is left to the size check of the optimizer.
+    ``pairs`` are key-value lines, ``aliases`` gives the field of each spelling
+    (``Schema.aliases``). Keys are few and hot, so they are looked up in the row.
     """
-    matched = pairs.withColumn("alias", normalised_key(F.col("key"))).join(aliases, "alias")
+    matched = pairs.withColumn("name", _claimed(F.col("key"), aliases)).filter(F.col("name").isNotNull())
     at = F.struct("page_number", "line_no")
     return (
         matched.groupBy("doc_id", "name")
@@ -127,14 +130,32 @@ def schema_guided_fields(pairs: DataFrame, aliases: DataFrame) -> DataFrame:
     )
 
 
-def unexpected_keys(pairs: DataFrame, aliases: DataFrame) -> DataFrame:
+def unexpected_keys(pairs: DataFrame, aliases: dict[str, str]) -> DataFrame:
     """(doc_id, key) of pairs that no schema field claims."""
-    return (
-        pairs.withColumn("alias", normalised_key(F.col("key")))
-        .join(aliases, "alias", "left_anti")
-        .select("doc_id", "key")
-        .distinct()
+    return pairs.filter(_claimed(F.col("key"), aliases).isNull()).select("doc_id", "key").distinct()
+
+
+# Whole amounts: digits with or without grouping, and a decimal part. A point
+# with three digits behind it groups only where a comma or a second group follows.
+PLAIN = r"\d+(?:\.\d+)?"
+POINTS = r"\d{1,3}(?:\.\d{3})+,\d+|\d{1,3}(?:\.\d{3}){2,}|\d+,\d{1,2}|\d{1,3}(?:[  ']\d{3})+,\d+"
+COMMAS = r"\d{1,3}(?:,\d{3})+(?:\.\d+)?|\d{1,3}(?:[  ']\d{3})+(?:\.\d+)?"
+# Currency codes and signs.
+UNIT = r"(?:EUR|USD|GBP|CHF|JPY|CNY|CAD|AUD|NZD|SEK|NOK|DKK|PLN|CZK|HUF|RON|INR|BRL|MXN|ZAR|[€$£¥])?"
+
+
+def amount(value: Column, kind: str = "decimal(18,2)") -> Column:
+    """A text that is one amount, with a currency sign or code, grouping, and a sign or parentheses; else null."""
+    bare = F.regexp_replace(ustrip(value), rf"\A{UNIT}{WS}*|{WS}*{UNIT}\z", "")
+    inside = F.regexp_extract(bare, r"\A\((.*)\)\z", 1)
+    sign = F.when((inside != "") | bare.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    digits = F.regexp_replace(F.when(inside != "", inside).otherwise(bare), rf"\A[+-]?{WS}*{UNIT}{WS}*", "")
+    number = (
+        F.when(digits.rlike(rf"\A(?:{PLAIN})\z"), digits)
+        .when(digits.rlike(rf"\A(?:{COMMAS})\z"), F.regexp_replace(digits, "[,  ']", ""))
+        .when(digits.rlike(rf"\A(?:{POINTS})\z"), F.replace(F.regexp_replace(digits, "[.  ']", ""), F.lit(","), F.lit(".")))
     )
+    return F.concat(sign, number).try_cast(kind)
 
 
 def typed_value(value: Column, kind: str) -> Column:
@@ -142,9 +163,9 @@ def typed_value(value: Column, kind: str) -> Column:
     if kind == "date":
         return F.try_to_date(ustrip(value), "yyyy-MM-dd")
     if kind == "currency":
-        return F.regexp_replace(value, r"[^0-9.\-]", "").try_cast("decimal(18,2)")
+        return amount(value)
     if kind == "number":
-        return F.regexp_replace(ustrip(value), ",", "").try_cast("double")
+        return amount(value, "double")
     return value
 
 
@@ -173,14 +194,22 @@ def typed_record(fields: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def reconcile_totals(items: DataFrame, totals: DataFrame) -> DataFrame:
-    """(doc_id, items_total, total, difference): line amounts summed against the stated total.
+    """(doc_id, items_total, total, difference, unread): line amounts summed against the stated total.
 
-    ``items`` is (doc_id, amount), ``totals`` is (doc_id, total), both decimal.
+    ``items`` is (doc_id, value) and ``totals`` (doc_id, value), both as written.
+    ``unread`` counts the amounts that are none, the total among them; where
+    there are any, the difference is null rather than that of a partial sum.
     """
-    summed = items.groupBy("doc_id").agg(F.sum("amount").alias("items_total"))
-    return summed.join(totals, "doc_id").select(
+    read = items.select("doc_id", "value", amount(F.col("value")).alias("n"))
+    summed = read.groupBy("doc_id").agg(
+        F.sum("n").alias("items_total"), F.count_if(F.col("n").isNull() & F.col("value").isNotNull()).alias("bad")
+    )
+    stated = totals.select("doc_id", amount(F.col("value")).alias("total"))
+    unread = F.col("bad") + F.when(F.col("total").isNull(), 1).otherwise(0)
+    return summed.join(stated, "doc_id").select(
         "doc_id",
         "items_total",
         "total",
-        (F.col("total") - F.col("items_total")).alias("difference"),
+        F.when(unread == 0, F.col("total") - F.col("items_total")).alias("difference"),
+        unread.cast("long").alias("unread"),
     )

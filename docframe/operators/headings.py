@@ -1,110 +1,164 @@
 """Heading checks, repair, sections and chunks of Markdown documents.
 
-Documents are one text cell each; outline work stays in the row and only slim
-results leave it.
+A document is one text cell, or one per part; outline work stays in the row and
+only slim results leave it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docframe.functions import outline
 from docframe.functions.rows import computed, explode
 from docframe.functions.text import WS, split_lines, ustrip
+from docframe.operators.parts import in_parts, line_ends, numbered, with_earlier
 
 LINES_PER_CHUNK = 60
+LEVELS = 4
 
 
 def _outlined(docs: DataFrame, text: str) -> DataFrame:
-    lined = computed(docs.select("doc_id", text), lines=split_lines(F.col(text))).drop(text)
-    return computed(lined, heads=outline.headings(F.col("lines")))
+    """(doc_id, part_no, lines, heads, ends_before, level_before): outlines with what earlier parts leave open."""
+    whole = not in_parts(docs)
+    source = numbered(docs).select("doc_id", "part_no", F.col(text).alias("_md"))
+    lined = computed(source, lines=split_lines(F.col("_md")), ends=line_ends(F.col("_md"))).drop("_md")
+    headed = computed(lined, heads=outline.headings(F.col("lines")))
+    last = F.when(F.size("heads") > 0, F.element_at("heads", -1)["level"])
+    carried = with_earlier(headed, whole, {"ends": F.col("ends")}, {"level": last})
+    return carried.withColumn("level_before", F.coalesce("level_before", F.lit(0)))
+
+
+def _key(docs: DataFrame) -> list[str]:
+    return ["doc_id", "part_no"] if in_parts(docs) else ["doc_id"]
 
 
 def heading_skips(docs: DataFrame, text: str = "md") -> DataFrame:
-    """One row per heading that skips a level."""
-    paired = outline.with_previous(F.col("heads"), F.lit(0))
+    """One row per heading that skips a level; lines are counted through all parts."""
+    paired = outline.with_previous(F.col("heads"), F.col("level_before"))
     skips = F.filter(paired, outline.skipped)
-    return explode(_outlined(docs, text), ["doc_id"], skips, "h").select(
+    return explode(_outlined(docs, text), ["doc_id", "ends_before"], skips, "h").select(
         "doc_id",
-        F.col("h.line_no").alias("line_no"),
+        (F.col("h.line_no") + F.col("ends_before")).alias("line_no"),
         F.col("h.previous").alias("previous_level"),
         F.col("h.level").alias("level"),
-        outline.skip_message(F.col("h"), F.lit(0)).alias("message"),
+        outline.skip_message(F.col("h"), F.col("ends_before")).alias("message"),
     )
 
 
 def fix_heading_skips(docs: DataFrame, text: str = "md") -> DataFrame:
-    """The documents with a filler heading before each one-level skip."""
-    paired = computed(_outlined(docs, text), paired=outline.with_previous(F.col("heads"), F.lit(0)))
+    """The documents, or their parts, with a filler heading before each one-level skip."""
+    paired = computed(_outlined(docs, text), paired=outline.with_previous(F.col("heads"), F.col("level_before")))
     fixed = outline.repaired_lines(F.col("lines"), F.col("heads"), F.col("paired"))
-    return paired.select("doc_id", F.array_join(fixed, "\n").alias(text))
+    return paired.select(*_key(docs), F.array_join(fixed, "\n").alias(text))
 
 
-def sections(docs: DataFrame, text: str = "md") -> DataFrame:
-    """Section index: heading, path of enclosing headings, line range, body."""
-    cut = outline.with_end(F.col("heads"), F.size("lines"))
-    marked = computed(_outlined(docs, text), cuts=cut)
-    bodies = F.transform(
-        "cuts",
-        lambda h: F.struct(
-            h["level"].alias("level"),
-            ustrip(F.regexp_replace(h["text"], rf"^#{{1,4}}{WS}+", "")).alias("title"),
-            h["line_no"].alias("first_line"),
-            h["end"].alias("last_line"),
-            F.array_join(F.slice(F.col("lines"), h["line_no"] + 1, h["end"] - h["line_no"]), "\n").alias("body"),
-        ),
+def _title(line: Column) -> Column:
+    return ustrip(F.regexp_replace(line, rf"^#{{1,4}}{WS}+", ""))
+
+
+def _opened(stack: Column, head: Column) -> Column:
+    """The titles of the open headings, by level, after one more heading."""
+    return F.transform(
+        stack, lambda t, k: F.when(k + 1 < head["level"], t).when(k + 1 == head["level"], _title(head["text"]))
     )
-    rows = explode(marked, ["doc_id", F.size("lines").alias("n_lines")], bodies, "s", pos="section")
-    rows = rows.select("doc_id", (F.col("section") + 1).alias("section_no"), "s.*")
-    so_far = Window.partitionBy("doc_id").orderBy("section_no").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+
+
+def sections(docs: DataFrame, text: str = "md") -> DataFrame:
+    """Section index: heading, path of enclosing headings, line range, body.
+
+    Of documents in parts, a section that goes on in a later part has a row
+    there too, with ``piece_no`` counting up; its pieces' bodies, joined by line
+    ends, are its body.
+    """
+    whole = not in_parts(docs)
+    nothing = F.array(*[F.lit(None).cast("string")] * LEVELS)
+    fold = lambda start: F.aggregate("heads", start, _opened)
+    marked = _outlined(docs, text)
+    touched = lambda k: F.exists("heads", lambda h: h["level"] <= k + 1)
+    closing = fold(nothing)
+    lasts = {f"t{k}": F.when(touched(k), F.struct(closing[k].alias("title"))) for k in range(LEVELS)}
+    lasts["at"] = F.when(F.size("heads") > 0, F.struct("part_no", F.element_at("heads", -1)["level"].alias("level"), _title(F.element_at("heads", -1)["text"]).alias("title")))
+    marked = with_earlier(marked, whole, {"n": F.size("heads")}, lasts)
+    stack = F.array(*[F.col(f"t{k}_before")["title"] for k in range(LEVELS)])
+    start = F.struct(stack.alias("stack"), F.array().cast("array<string>").alias("paths"))
+    path = lambda s, level: F.array_join(F.filter(F.slice(s, F.lit(1), level), lambda t: t.isNotNull()), " > ")
+
+    def step(state: Column, h: Column) -> Column:
+        after = _opened(state["stack"], h)
+        return F.struct(after.alias("stack"), F.concat(state["paths"], F.array(path(after, h["level"]))).alias("paths"))
+
+    marked = computed(
+        marked,
+        cuts=outline.with_end(F.col("heads"), F.size("lines")),
+        paths=F.aggregate("heads", start, step, lambda s: s["paths"]),
+        stack=stack,
     )
-    seen = rows.withColumns(
-        {
-            f"_l{k}": F.max(
-                F.when(F.col("level") == k, F.struct("section_no", "title"))
-            ).over(so_far)
-            for k in range(1, 5)
-        }
+    row = lambda no, piece, level, title, where, first, last, body: F.struct(
+        no.cast("int").alias("section_no"), piece.cast("int").alias("piece_no"), level.cast("int").alias("level"),
+        title.alias("title"), where.alias("path"), first.alias("first_line"), last.alias("last_line"), body.alias("body"),
     )
-    steps = []
-    for k in range(1, 5):
-        at = F.col(f"_l{k}.section_no")
-        valid = F.col("level") >= k
-        for j in range(1, k):
-            valid = valid & (at > F.coalesce(F.col(f"_l{j}.section_no"), F.lit(0)))
-        steps.append(F.when(valid, F.col(f"_l{k}.title")))
-    return seen.select(
-        "doc_id", "section_no", "level", "title",
-        F.array_join(F.array(*steps), " > ").alias("path"),
-        "first_line", "last_line", "body",
+    cut = lambda a, n: F.array_join(F.slice(F.col("lines"), a, F.greatest(n, F.lit(0))), "\n")
+    here = F.transform(
+        "cuts",
+        lambda h, i: row(
+            F.col("n_before") + i + 1, F.lit(0), h["level"], _title(h["text"]), F.get("paths", i),
+            h["line_no"] + F.col("ends_before"), h["end"] + F.col("ends_before"),
+            cut(h["line_no"] + 1, h["end"] - h["line_no"]),
+        ),
     )
+    if not whole:
+        # The first line of a later part is the rest of the line before; what follows up to a heading goes on.
+        until = F.when(F.size("heads") > 0, F.get("heads", F.lit(0))["line_no"] - 1).otherwise(F.size("lines"))
+        on = row(
+            F.col("n_before"), F.col("part_no") - F.col("at_before.part_no"), F.col("at_before.level"),
+            F.col("at_before.title"), path(F.col("stack"), F.col("at_before.level")), F.col("ends_before") + 2,
+            F.col("ends_before") + until, cut(F.lit(2), until - 1),
+        )
+        goes_on = F.col("at_before").isNotNull() & (until > 1)
+        here = F.concat(F.when(goes_on, F.array(on)).otherwise(F.array().cast(marked.select(F.array(on).alias("x")).schema["x"].dataType)), here)
+    rows = explode(marked, ["doc_id"], here, "s").select("doc_id", "s.*")
+    return rows.drop("piece_no") if whole else rows
 
 
 def chunks(docs: DataFrame, text: str = "md", lines_per_chunk: int = LINES_PER_CHUNK) -> DataFrame:
-    """Chunks of about ``lines_per_chunk`` lines that start at headings only."""
+    """Chunks of about ``lines_per_chunk`` lines that start at headings only.
+
+    Of documents in parts, a chunk that goes on in a later part has a row there
+    too, with ``piece_no`` counting up; pieces are joined by line ends.
+    """
+    whole = not in_parts(docs)
     bucket = lambda line: F.floor((line - 1) / lines_per_chunk)
-    own = F.transform("heads", lambda h: h["line_no"])
-    starts = F.when(F.get(own, F.lit(0)) == 1, own).otherwise(F.concat(F.array(F.lit(1)), own))
-    marked = computed(_outlined(docs, text).filter(F.size("lines") > 0), starts=starts)
-    previous = F.concat(F.array(F.lit(None).cast("int")), F.col("starts"))
+    marked = _outlined(docs, text)
+    last = F.when(F.size("heads") > 0, F.element_at("heads", -1)["line_no"] + F.col("ends_before"))
+    marked = with_earlier(marked, whole, None, {"start": last}).filter(F.size("lines") > 0)
+    own = F.transform("heads", lambda h: h["line_no"] + F.col("ends_before"))
+    begins = F.col("ends_before") == 0 if whole else F.col("part_no") == 0
+    starts = F.when(begins & (F.coalesce(F.get(own, F.lit(0)), F.lit(0)) != 1), F.concat(F.array(F.lit(1)), own)).otherwise(own)
+    marked = computed(marked, starts=starts)
+    # The start before the first one of a part: the last heading so far, or the document's first line.
+    before = F.when(~begins, F.coalesce("start_before", F.lit(1))).cast("int")
+    previous = F.concat(F.array(before), F.col("starts"))
     opened = F.filter(
         F.zip_with("starts", previous, lambda s, p: F.when(p.isNull() | (bucket(s) != bucket(p)), s)),
         lambda s: s.isNotNull(),
     )
-    marked = computed(marked, opened=opened)
-    ends = F.concat(
-        F.transform(F.slice("opened", F.lit(2), F.size("opened")), lambda s: s - 1),
-        F.array(F.size("lines")),
+    marked = with_earlier(computed(marked, opened=opened), whole, {"n": F.size("opened")}, {"at": F.when(F.size("opened") > 0, F.col("part_no"))})
+    end = F.size("lines") + F.col("ends_before")
+    ends = F.concat(F.transform(F.slice("opened", F.lit(2), F.size("opened")), lambda s: s - 1), F.array(end))
+    piece = lambda no, p, s, e: F.struct(
+        no.cast("int").alias("chunk_no"), p.cast("int").alias("piece_no"), s.cast("int").alias("first_line"), e.cast("int").alias("last_line"),
+        F.array_join(F.slice(F.col("lines"), s - F.col("ends_before"), e - s + 1), "\n").alias("text"),
     )
-    pieces = F.zip_with(
-        "opened",
-        ends,
-        lambda s, e: F.struct(
-            s.alias("first_line"),
-            e.alias("last_line"),
-            F.array_join(F.slice(F.col("lines"), s, e - s + 1), "\n").alias("text"),
-        ),
+    marked = computed(marked, closes=ends)
+    spans = F.filter(
+        F.transform(F.arrays_zip(F.col("opened").alias("s"), F.col("closes").alias("e")), lambda z, i: F.when(z["s"].isNotNull(), piece(F.col("n_before") + i, F.lit(0), z["s"], z["e"]))),
+        lambda p: p.isNotNull(),
     )
-    return explode(marked, ["doc_id"], pieces, "c", pos="chunk_no").select("doc_id", "chunk_no", "c.*")
+    if not whole:
+        until = F.when(F.size("opened") > 0, F.get("opened", F.lit(0)) - 1).otherwise(end)
+        on = piece(F.col("n_before") - 1, F.col("part_no") - F.col("at_before"), F.col("ends_before") + 2, until)
+        goes_on = F.col("at_before").isNotNull() & (until >= F.col("ends_before") + 2)
+        spans = F.concat(F.filter(F.array(F.when(goes_on, on)), lambda p: p.isNotNull()), spans)
+    rows = explode(marked, ["doc_id"], spans, "c").select("doc_id", "c.*")
+    return rows.drop("piece_no") if whole else rows

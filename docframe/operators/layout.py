@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docframe.functions.text import is_blank, ustrip
@@ -70,18 +70,37 @@ def page_provenance(items: DataFrame, items_per_part: int = ITEMS_PER_PART) -> D
             F.array_join(F.transform("rows", lambda r: r["text"]), "\n\n").alias("text"),
         )
     )
-    pages = (
-        cited.groupBy("doc_id", "page_number")
-        .agg(F.min("part_no").alias("first"), F.max(~is_blank(F.col("text"))).alias("filled"))
-        .filter("filled")
-    )
-    return parts.join(pages, ["doc_id", "page_number"]).select(
+    # Which part of a page is the first, and whether the page has text, from slim rows, met by part.
+    slim = cited.groupBy("doc_id", "page_number", "part_no").agg(F.max(~is_blank(F.col("text"))).alias("filled"))
+    page = Window.partitionBy("doc_id", "page_number")
+    places = slim.select(
+        "doc_id", "page_number", "part_no",
+        (F.col("part_no") == F.min("part_no").over(page)).alias("first"),
+        F.max("filled").over(page).alias("filled"),
+    ).filter("filled")
+    return parts.join(places, ["doc_id", "page_number", "part_no"]).select(
         "doc_id",
         "page_number",
         "part_no",
-        F.when(F.col("part_no") == F.col("first"), F.col("text"))
-        .otherwise(F.concat(F.lit("\n\n"), "text"))
-        .alias("text"),
+        F.when(F.col("first"), F.col("text")).otherwise(F.concat(F.lit("\n\n"), "text")).alias("text"),
+    )
+
+
+def layout_page_text(blocks: DataFrame, boxes: DataFrame, tables_md: DataFrame) -> DataFrame:
+    """(doc_id, page_number, text): the tables of a page as Markdown, then its blocks outside them, blank lines between.
+
+    ``tables_md`` is (doc_id, page_number, page_table, md); ``blocks`` carry
+    ``block_no``, their reading order. A page's pieces are bounded by the page.
+    """
+    place = lambda kind, no: F.struct(F.lit(kind).alias("kind"), no.cast("long").alias("no"))
+    outside = blocks_outside_tables(blocks, boxes)
+    pieces = tables_md.select("doc_id", "page_number", place(0, F.col("page_table")).alias("at"), F.col("md").alias("piece")).unionByName(
+        outside.select("doc_id", "page_number", place(1, F.col("block_no")).alias("at"), F.col("text").alias("piece"))
+    )
+    return (
+        pieces.groupBy("doc_id", "page_number")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("pieces"))
+        .select("doc_id", "page_number", F.array_join(F.transform("pieces", lambda p: p["piece"]), "\n\n").alias("text"))
     )
 
 

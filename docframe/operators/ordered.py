@@ -1,9 +1,8 @@
 """Ordered work over groups of any size.
 
-A plain window over a key sends the whole key to one task. The helpers here
-treat keys by size: ordinary keys get the plain window, large ones are cut into
-blocks that keep the order, and the window over the key then only sees one slim
-total per block.
+A plain window over a key sends the whole key to one task. The helpers here cut
+every key into blocks that keep the order; the window over the key only sees one
+slim total per block.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 4096
-HEAVY = 1_000_000
 
 
 def _up_to_previous(window):
@@ -62,57 +60,24 @@ def running_totals(
     )
 
 
-def heavy_keys(rows: DataFrame, key: Sequence[str], heavy: int) -> DataFrame:
-    """Keys with more than ``heavy`` rows; at most ``rows / heavy`` of them exist.
-
-    Only the key columns are read, and counts combine before the shuffle.
-    """
-    return (
-        rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > heavy).select(*key)
-    )
-
-
 def number_rows(
     rows: DataFrame,
     key: Sequence[str],
     blocks: dict[str, Column],
     order: Sequence[str],
     out: str = "rn",
-    heavy: int = HEAVY,
-) -> tuple[DataFrame, DataFrame]:
-    """1-based row numbers per key, in ``order``, for rows without a dense position.
+) -> DataFrame:
+    """Rows with their 1-based number per key, in ``order``.
 
-    Returns the rows of ordinary keys and those of heavy ones. Keys of up to
-    ``heavy`` rows are numbered by a window, and what the caller groups or joins
-    by the key next needs no further shuffle. Larger ones are cut by ``blocks``,
-    expressions that never decrease along ``order``, and their equal rows are
-    folded into one row and a count before they are shuffled. The list of heavy
-    keys is broadcast: it has at most one entry per ``heavy`` rows of the input,
-    so a trillion rows make a million entries.
+    ``blocks`` are expressions that never decrease along ``order``; rows are
+    numbered within a key's blocks, and what comes before a block is summed on
+    one slim row per block, so no key needs to fit in a task.
     """
-    key = list(key)
-    listed = F.broadcast(heavy_keys(rows, key, heavy))
-    ordinary = rows.join(listed, key, "left_anti").withColumn(
-        out, F.row_number().over(Window.partitionBy(*key).orderBy(*order)).cast("long")
-    )
-
-    folded = rows.join(listed, key, "left_semi").groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
-    cut = folded.withColumns({f"_b_{n}": e for n, e in blocks.items()})
-    names = [f"_b_{n}" for n in blocks]
-    inside = Window.partitionBy(*key, *names).orderBy(*order)
-    local = cut.withColumns(
-        {
-            "_first": F.row_number().over(inside),
-            "_in": F.coalesce(F.sum("_n").over(_up_to_previous(inside)), F.lit(0)),
-            "_all": F.sum("_n").over(_whole(inside)),
-        }
-    )
+    key, names = list(key), [f"_b_{n}" for n in blocks]
+    cut = rows.withColumns({f"_b_{n}": e for n, e in blocks.items()})
+    sizes = cut.groupBy(*key, *names).agg(F.count(F.lit(1)).alias("_n"))
     across = _up_to_previous(Window.partitionBy(*key).orderBy(*names))
-    carried = local.filter("_first = 1").select(
-        *key, *names, F.coalesce(F.sum("_all").over(across), F.lit(0)).alias("_to")
-    )
-    start = F.col("_in") + F.col("_to")
-    spread = local.join(carried, [*key, *names]).select(
-        *rows.columns, F.explode(F.sequence(start + 1, start + F.col("_n"))).alias(out)
-    )
-    return ordinary, spread
+    starts = sizes.select(*key, *names, F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_to"))
+    inside = Window.partitionBy(*key, *names).orderBy(*order)
+    numbered = cut.join(starts, [*key, *names]).withColumn(out, (F.row_number().over(inside) + F.col("_to")).cast("long"))
+    return numbered.drop(*names, "_to")

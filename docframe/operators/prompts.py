@@ -1,30 +1,34 @@
-"""Requests for an external model: per page and per document with a schema."""
+"""Requests for an external model: per page, and per document for a record of its type."""
 
 from __future__ import annotations
 
-import json
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docframe.functions.text import is_blank
 from docframe.operators.tables import column_names
 from docframe.sources.schemas import Schema
 
-MAX_CHARS = 32_000
-MAX_ROWS = 50
-FAN_IN = 1024
-TABLE_BASE = 1 << 40
+PAGES_PER_PART = 1000
+CHARS_PER_REQUEST = 32_000
 
 FRONT_MATTER_WANTED = "Begin with YAML front matter: titolo, comune, tipo, anno."
 FRONT_MATTER_UNWANTED = "Write no front matter, this is a later page."
 
 
 def page_prompts(pages: DataFrame) -> DataFrame:
-    """(doc_id, page_number, prompt): the request for each page."""
-    totals = pages.groupBy("doc_id").agg(F.count(F.lit(1)).alias("total"))
+    """(doc_id, page_number, prompt): the request for each page.
+
+    Pages that carry their document's ``page_count`` are not shuffled.
+    """
+    if "page_count" in pages.columns:
+        counted = pages.withColumn("total", F.col("page_count"))
+    else:
+        counted = pages.join(pages.groupBy("doc_id").agg(F.count(F.lit(1)).alias("total")), "doc_id")
     wish = F.when(F.col("page_number") == 1, FRONT_MATTER_WANTED).otherwise(FRONT_MATTER_UNWANTED)
-    return pages.join(totals, "doc_id").select(
+    return counted.select(
         "doc_id",
         "page_number",
         F.concat(
@@ -37,107 +41,93 @@ def page_prompts(pages: DataFrame) -> DataFrame:
     )
 
 
-def _table_text(index: Column) -> Column:
+def _table_text() -> Column:
     line = lambda cells: F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
     rule = line(F.transform("names", lambda c: F.lit("---")))
-    rows = F.transform(F.slice("rows", F.lit(1), F.lit(MAX_ROWS)), line)
+    lines = F.concat(F.array(line(F.col("names")), rule), F.transform("rows", line))
     return F.concat(
-        F.lit("\n[Table "), index.cast("string"), F.lit("]\n"),
-        F.array_join(F.concat(F.array(line(F.col("names")), rule), rows), "\n"),
+        F.lit("\n[Table "), F.col("table_idx").cast("string"), F.lit("]\n"), F.array_join(lines, "\n")
     )
 
 
-def first_chars(pieces: DataFrame, max_chars: int, separator: str = "\n\n") -> DataFrame:
-    """(doc_id, text): the pieces of each document in order of ``pos``, cut at ``max_chars``.
+def document_text(pages: DataFrame, tables: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFrame:
+    """(doc_id, part_no, text): non-blank page texts, then the numbered tables, all of both.
 
-    Joins runs of FAN_IN pieces, cuts, and joins the results again. A cut prefix
-    of each run is all the next level can need, so no group ever holds more than
-    FAN_IN times ``max_chars`` characters, whatever the length of the document.
-    """
-    level = pieces.select("doc_id", "pos", F.substring("piece", 1, max_chars).alias("piece"))
-    for width in (FAN_IN, FAN_IN**2, None):
-        run = F.lit(0).cast("long") if width is None else F.floor(F.col("pos") / width)
-        joined = F.array_join(F.transform("found", lambda p: p["piece"]), separator)
-        level = (
-            level.withColumn("run", run)
-            .groupBy("doc_id", "run")
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "piece"))).alias("found"))
-            .select(
-                "doc_id",
-                F.get("found", F.lit(0))["pos"].alias("pos"),
-                F.substring(joined, 1, max_chars).alias("piece"),
-            )
-        )
-    return level.select("doc_id", F.col("piece").alias("text"))
-
-
-def document_text(pages: DataFrame, tables: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
-    """(doc_id, text): non-blank page texts, then the numbered tables, cut at ``max_chars``.
-
-    The cut is part of the operator.
+    A document of up to ``pages_per_part`` pages is one part. A longer one comes
+    in parts of so many pages, each followed by its own tables, so text is
+    shuffled once and no group grows with a document.
     """
-    page_pieces = pages.filter(~is_blank(F.col("text"))).select(
-        "doc_id", F.col("page_number").cast("long").alias("pos"), F.col("text").alias("piece")
+    part = F.floor((F.col("page_number") - 1) / pages_per_part).cast("int").alias("part_no")
+    place = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.cast("long").alias("a"), b.cast("long").alias("b"))
+    texts = pages.filter(~is_blank(F.col("text"))).select(
+        "doc_id", part, place(0, F.col("page_number"), F.lit(0)).alias("at"), F.col("text").alias("piece")
     )
     named = tables.filter(F.size("rows") > 0).withColumn("names", column_names())
-    table_pieces = named.select(
-        "doc_id",
-        (F.lit(TABLE_BASE) + F.col("table_idx")).alias("pos"),
-        _table_text(F.col("table_idx")).alias("piece"),
-    )
-    return first_chars(page_pieces.unionByName(table_pieces), max_chars)
-
-
-def _field_line(field: dict) -> str:
-    mark = ", REQUIRED" if field.get("required") else ""
-    line = f"  - {field['name']} ({field.get('type', 'string')}{mark})"
-    note = field.get("description")
-    return f"{line}\n    Description: {note}" if note else line
-
-
-def prompt_frame(schema: Schema) -> tuple[str, str]:
-    """Text before and after the document text in a schema request."""
-    shape = {
-        "document_type": schema.document_type,
-        "fields": {n: f"<{t}|null>" for n, t in schema.types.items()},
-        "line_items": [{i["name"]: f"<{i.get('type', 'string')}>" for i in schema.line_items}]
-        if schema.line_items
-        else [],
-        "confidence": "<0 to 1>",
-        "warnings": ["<text>"],
-    }
-    rows = [
-        f"  - {i['name']} ({i.get('type', 'string')}): {i.get('description', '')}"
-        for i in schema.line_items
-    ]
-    items = (
-        "\nRepeating line items, possibly none:\n" + "\n".join(rows) + "\n" if rows else ""
+    found = named.select("doc_id", part, place(1, F.col("table_idx"), F.lit(0)).alias("at"), _table_text().alias("piece"))
+    return (
+        texts.unionByName(found)
+        .groupBy("doc_id", "part_no")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("pieces"))
+        .select("doc_id", "part_no", F.array_join(F.transform("pieces", lambda p: p["piece"]), "\n\n").alias("text"))
     )
-    about = f"Description: {schema.description}" if schema.description else ""
-    before = "\n".join(
-        [
-            "Read the fields listed here from the document at the end.",
-            "",
-            f"Type: {schema.document_type}",
-            about,
-            "",
-            "Fields:",
-            "\n".join(map(_field_line, schema.fields)),
-            items,
-            "Answer with JSON of this shape and nothing else; use null for what is not there:",
-            json.dumps(shape, indent=2),
-            "",
-            "Document:",
-            "",
-        ]
+
+
+def cut_text(parts: DataFrame, max_chars: int, separator: str = "\n\n") -> DataFrame:
+    """(doc_id, part_no, text): the first ``max_chars`` characters of each document, for callers who ask for a cut.
+
+    Only the lengths of the parts are brought into order; what lies beyond the
+    cut is not shuffled.
+    """
+    slim = parts.select("doc_id", "part_no", F.length("text").alias("n"))
+    before = Window.partitionBy("doc_id").orderBy("part_no").rowsBetween(Window.unboundedPreceding, -1)
+    used = F.coalesce(F.sum(F.col("n") + len(separator)).over(before), F.lit(0))
+    room = slim.select("doc_id", "part_no", (F.lit(max_chars) - used).cast("int").alias("room")).filter("room > 0")
+    head = parts.select("doc_id", "part_no", F.substring("text", 1, max_chars).alias("text"))
+    return head.join(room, ["doc_id", "part_no"]).select(
+        "doc_id", "part_no", F.substring("text", F.lit(1), F.col("room")).alias("text")
     )
-    return before, "\n"
 
 
-def schema_prompts(texts: DataFrame, schema: Schema) -> DataFrame:
-    """(doc_id, prompt): the extraction request of each document."""
-    before, after = prompt_frame(schema)
-    return texts.select("doc_id", F.concat(F.lit(before), "text", F.lit(after)).alias("prompt"))
+def requests(parts: DataFrame, chars: int = CHARS_PER_REQUEST) -> DataFrame:
+    """The parts with ``request_no`` and ``text`` cut into pieces of at most ``chars`` characters, none left out."""
+    n = F.greatest(F.lit(1), F.ceil(F.length("text") / chars)).cast("int")
+    others = [c for c in parts.columns if c != "text"]
+    cut = parts.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("request_no"))
+    return cut.select(*others, "request_no", F.substring("text", F.col("request_no") * chars + 1, F.lit(chars)).alias("text"))
+
+
+def _columns_table(heading: str, columns: Iterable) -> list[str]:
+    rows = [f"| {c.name} | {c.type} | {'required' if c.required else ''} | {c.note} |" for c in columns]
+    return [heading, "| key | type | must | meaning |", "| --- | --- | --- | --- |", *rows, ""] if rows else []
+
+
+def instructions(schema: Schema) -> str:
+    """What a model is told to make of a document of this type: the columns as tables, then the keys to answer with."""
+    keys = "{" + ", ".join(f'"{n}": null' for n in schema.names) + "}"
+    items = "[{" + ", ".join(f'"{n}": null' for n in schema.item_names) + "}]" if schema.items else "[]"
+    return "\n".join([
+        f"Make a record of type {schema.document_type} from the text after the last line of this request."
+        + (f" Such a document is: {schema.about}." if schema.about else ""),
+        "",
+        *_columns_table("Fields, each once:", schema.fields),
+        *_columns_table("Line items, as many as there are:", schema.items),
+        "Answer with nothing but one JSON object that has these keys; a value the text does not state stays null,",
+        "confidence lies between 0 and 1, and warnings are short sentences:",
+        f'{{"document_type": "{schema.document_type}", "fields": {keys}, "line_items": {items}, "confidence": null, "warnings": []}}',
+        "----",
+    ])
+
+
+def schema_prompts(texts: DataFrame, schemas: dict[str, Schema], document_type: Column | str = "document_type") -> DataFrame:
+    """(doc_id, part_no, request_no, prompt): the request of each piece of text for a record of the document's type.
+
+    The instructions of all types are literals, so nothing is joined; pieces of
+    an unknown type get no request.
+    """
+    kind = F.col(document_type) if isinstance(document_type, str) else document_type
+    told = F.create_map(*[F.lit(x) for name, s in schemas.items() for x in (name, instructions(s))])
+    asked = texts.select("*", F.try_element_at(told, kind).alias("_told")).filter(F.col("_told").isNotNull())
+    return asked.select("doc_id", "part_no", "request_no", F.concat("_told", F.lit("\n"), "text").alias("prompt"))
 
 
 def is_retryable(message: Column) -> Column:

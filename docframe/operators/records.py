@@ -1,11 +1,15 @@
 """Records from model responses: parsing, validation, fallback, output shapes.
 
-A response is one JSON text per document and is validated inside its row; only
-the fallback joins documents with responses.
+A response is one JSON text per document and is validated inside its row,
+against the schema of the document's type; only the fallback joins documents
+with responses. What the validation finds is kept as notes with a kind, apart
+from the sentences a model adds itself.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +18,12 @@ from docframe.functions.text import is_blank, strip_json_fences
 from docframe.sources.schemas import Schema
 
 REVIEW_BELOW = 0.8
-NO_STRINGS = "array<string>"
+STRINGS = "array<string>"
+NOTES = "array<struct<kind:string,about:string,text:string>>"
+# How a number may be written in a confidence given as text.
+NUMBER = r"(?i)\A\s*[+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|inf|infinity|nan)\s*\z"
+
+Schemas = Schema | dict[str, Schema]
 
 
 def _is_object(v: Column) -> Column:
@@ -26,7 +35,11 @@ def _kind(v: Column, path: str) -> Column:
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:
-    """Responses with ``parsed`` (variant) and ``valid``: a JSON object with object fields."""
+    """Responses with ``parsed`` (variant) and ``valid``: a JSON object with object fields.
+
+    Of a repeated key the last value counts, which is a setting of the session.
+    """
+    responses.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     parsed = computed(responses, parsed=F.try_parse_json(strip_json_fences(F.col("raw"))))
     v = F.col("parsed")
     fields = _kind(v, "$.fields")
@@ -35,23 +48,50 @@ def parse_responses(responses: DataFrame) -> DataFrame:
 
 
 def clamp_confidence(text: Column) -> Column:
-    """A confidence given as text or number, clamped to [0, 1]; null if it is no number."""
-    number = F.when(text == "true", 1.0).when(text == "false", 0.0).otherwise(text.try_cast("double"))
+    """A confidence given as text, clamped to [0, 1]; null if it is no number."""
+    number = F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
     return F.when(number.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), number)))
 
 
-def validated_records(responses: DataFrame, schema: Schema) -> DataFrame:
+def _confidence(v: Column) -> Column:
+    """The confidence of a response: a number, a truth value, or a text that is a number."""
+    kind, text = _kind(v, "$.confidence"), F.try_variant_get(v, "$.confidence", "string")
+    return (
+        F.when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0))
+        .when(kind.isin("VOID") | kind.startswith("OBJECT") | kind.startswith("ARRAY"), None)
+        .otherwise(clamp_confidence(text))
+    )
+
+
+def _by_type(schemas: Schemas, of: Callable[[Schema], list[str]]) -> Column:
+    """An array of names for the row's ``_type``, as a literal."""
+    names = lambda s: F.array(*[F.lit(n) for n in of(s)]).cast(STRINGS)
+    if isinstance(schemas, Schema):
+        return names(schemas)
+    entries = [x for k, s in schemas.items() for x in (F.lit(k), names(s))]
+    return F.coalesce(F.try_element_at(F.create_map(*entries), F.col("_type")), F.array().cast(STRINGS))
+
+
+def _typed(rows: DataFrame, schemas: Schemas) -> DataFrame:
+    """Rows with ``_type``, the schema that holds for them."""
+    kind = F.lit(schemas.document_type) if isinstance(schemas, Schema) else F.col("document_type")
+    return rows.withColumn("_type", kind)
+
+
+def validated_records(responses: DataFrame, schemas: Schemas) -> DataFrame:
     """Records of the valid responses.
 
+    With one schema per document type, responses carry their ``document_type``.
     Columns: doc_id, document_type, fields (map of the schema's fields that are
-    present), line_items (array of maps), confidence, warnings, extraction_method.
-    Warnings come in the order: the model's own, missing required fields,
-    unexpected fields by name, items that are no objects.
+    present), line_items (array of maps), confidence, warnings, notes,
+    extraction_method. ``warnings`` are the texts: the model's own, then those of
+    ``notes`` (missing required fields, unexpected fields by name, items that are
+    no objects).
     """
-    return _records(parse_responses(responses).filter("valid"), schema).drop("valid")
+    return _records(parse_responses(_typed(responses, schemas)).filter("valid"), schemas).drop("valid")
 
 
-def _records(parsed: DataFrame, schema: Schema, keep: tuple[str, ...] = ()) -> DataFrame:
+def _records(parsed: DataFrame, schemas: Schemas, keep: tuple[str, ...] = ()) -> DataFrame:
     v = F.col("parsed")
     got = computed(
         parsed,
@@ -62,70 +102,66 @@ def _records(parsed: DataFrame, schema: Schema, keep: tuple[str, ...] = ()) -> D
         items=F.coalesce(
             F.try_variant_get(v, "$.line_items", "array<variant>"), F.array().cast("array<variant>")
         ),
-        own=F.coalesce(F.try_variant_get(v, "$.warnings", NO_STRINGS), F.array().cast(NO_STRINGS)),
-        confidence_text=F.try_variant_get(v, "$.confidence", "string"),
-    )
-    known = F.array(*[F.lit(n) for n in schema.field_names])
-    required = [
-        F.when(
-            F.coalesce(is_blank(F.try_element_at("given", F.lit(n))), F.lit(True)),
-            F.lit(f"Required field missing or empty: '{n}'"),
-        )
-        for n in schema.required
-    ]
+        own=F.coalesce(F.try_variant_get(v, "$.warnings", STRINGS), F.array().cast(STRINGS)),
+        known=_by_type(schemas, lambda s: s.names),
+        needed=_by_type(schemas, lambda s: s.required),
+        columns=_by_type(schemas, lambda s: s.item_names),
+    )
+    # The wordings of the three findings.
+    note = lambda kind, about, text: F.struct(F.lit(kind).alias("kind"), about.alias("about"), text.alias("text"))
+    missing = F.transform(
+        F.filter("needed", lambda n: F.coalesce(is_blank(F.try_element_at("given", n)), F.lit(True))),
+        lambda n: note("missing_required", n, F.concat(F.lit("Required field missing or empty: '"), n, F.lit("'"))),
+    )
     unexpected = F.transform(
-        F.array_sort(F.array_except(F.map_keys("given"), known)),
-        lambda k: F.concat(F.lit("Unexpected field ignored: '"), k, F.lit("'")),
-    )
-    bad_items = F.transform(
-        "items",
-        lambda x, i: F.when(
-            ~_is_object(x),
-            F.concat(F.lit("Line item "), i.cast("string"), F.lit(" is not a dict — skipped")),
-        ),
+        F.array_sort(F.array_except(F.map_keys("given"), F.col("known"))),
+        lambda k: note("unexpected_field", k, F.concat(F.lit("Unexpected field ignored: '"), k, F.lit("'"))),
+    )
+    places = F.filter(
+        F.transform("items", lambda x, i: F.when(~_is_object(x), i.cast("string"))), lambda i: i.isNotNull()
     )
-    item_names = schema.item_names
-    good_items = F.transform(
+    bad = F.transform(
+        places, lambda i: note("bad_line_item", i, F.concat(F.lit("Line item "), i, F.lit(" is not a dict — skipped")))
+    )
+    good = F.transform(
         F.filter("items", _is_object),
         lambda x: F.map_filter(
-            F.try_variant_get(x, "$", "map<string,string>"), lambda k, _: k.isin(item_names)
+            F.try_variant_get(x, "$", "map<string,string>"), lambda k, _: F.array_contains("columns", k)
         ),
     )
-    present = lambda a: F.filter(a, lambda w: w.isNotNull())
-    return got.select(
+    noted = computed(got, notes=F.concat(missing, unexpected, bad))
+    return noted.select(
         "doc_id",
         "valid",
         *keep,
-        F.lit(schema.document_type).alias("document_type"),
-        F.map_filter("given", lambda k, _: k.isin(schema.field_names)).alias("fields"),
-        good_items.alias("line_items"),
-        clamp_confidence(F.col("confidence_text")).alias("confidence"),
-        F.concat(
-            "own",
-            present(F.array(*required)) if required else F.array().cast(NO_STRINGS),
-            unexpected,
-            present(bad_items),
-        ).alias("warnings"),
+        F.col("_type").alias("document_type"),
+        F.map_filter("given", lambda k, _: F.array_contains("known", k)).alias("fields"),
+        good.alias("line_items"),
+        _confidence(v).alias("confidence"),
+        F.concat("own", F.transform("notes", lambda n: n["text"])).alias("warnings"),
+        "notes",
         F.lit("llm").alias("extraction_method"),
     )
 
 
 def missing_required(records: DataFrame) -> DataFrame:
-    return _warnings_like(records, "Required field missing")
+    """(doc_id, name, warning) of required fields a record lacks."""
+    return _noted(records, "missing_required", "name")
 
 
 def unexpected_fields(records: DataFrame) -> DataFrame:
-    return _warnings_like(records, "Unexpected field ignored")
+    """(doc_id, name, warning) of fields the schema does not have."""
+    return _noted(records, "unexpected_field", "name")
 
 
 def skipped_line_items(records: DataFrame) -> DataFrame:
-    return _warnings_like(records, "Line item ")
+    """(doc_id, item_no, warning) of line items that are no objects."""
+    return _noted(records, "bad_line_item", "item_no").withColumn("item_no", F.col("item_no").cast("int"))
 
 
-def _warnings_like(records: DataFrame, start: str) -> DataFrame:
-    return explode(records, ["doc_id"], "warnings", "warning").filter(
-        F.col("warning").startswith(start)
-    )
+def _noted(records: DataFrame, kind: str, name: str) -> DataFrame:
+    found = explode(records, ["doc_id"], F.filter("notes", lambda n: n["kind"] == kind), "n")
+    return found.select("doc_id", F.col("n.about").alias(name), F.col("n.text").alias("warning"))
 
 
 def record_fields(records: DataFrame) -> DataFrame:
@@ -143,54 +179,85 @@ def record_items(records: DataFrame) -> DataFrame:
     )
 
 
+def _sentences() -> Column:
+    """All warnings of a record with their kind; those of the model itself are of kind 'model'."""
+    own = F.slice("warnings", F.lit(1), F.size("warnings") - F.size("notes"))
+    return F.concat(
+        F.transform(own, lambda w: F.struct(F.lit("model").alias("category"), w.alias("warning"))),
+        F.transform("notes", lambda n: F.struct(n["kind"].alias("category"), n["text"].alias("warning"))),
+    )
+
+
 def record_warnings(records: DataFrame) -> DataFrame:
     """(doc_id, warning_no, category, warning) for review."""
-    w = F.col("warning")
-    category = (
-        F.when(w.startswith("Required field missing"), "missing_required")
-        .when(w.startswith("Unexpected field"), "unexpected_field")
-        .when(w.startswith("Line item "), "bad_line_item")
-        .when(w.startswith("LLM "), "model_failure")
-        .otherwise("model")
+    return explode(records, ["doc_id"], _sentences(), "w", pos="warning_no").select(
+        "doc_id", "warning_no", "w.category", "w.warning"
     )
-    return explode(records, ["doc_id"], "warnings", "warning", pos="warning_no").select(
-        "doc_id", "warning_no", category.alias("category"), "warning"
+
+
+def answered(documents: DataFrame, responses: DataFrame, schemas: Schemas) -> DataFrame:
+    """One row per document: the model's record, or an empty one with ``valid`` false and the failure noted.
+
+    ``documents`` carry their ``document_type`` if there are several schemas.
+    """
+    keep = ["doc_id"] if isinstance(schemas, Schema) else ["doc_id", "document_type"]
+    both = documents.select(*keep).join(responses.select("doc_id", "raw"), "doc_id", "left")
+    parsed = parse_responses(_typed(both, schemas)).withColumn("valid", F.coalesce("valid", F.lit(False)))
+    records = _records(parsed, schemas, keep=("raw",))
+    valid, silent = F.col("valid"), F.col("raw").isNull()
+    failure = F.when(silent, "LLM call failed: no response").otherwise("LLM returned invalid JSON")
+    note = F.array(F.struct(F.lit("model_failure").alias("kind"), F.lit("").alias("about"), failure.alias("text")))
+    no_map = F.create_map().cast("map<string,string>")
+    return records.select(
+        "doc_id",
+        "valid",
+        F.when(valid, F.col("document_type")).otherwise("unknown").alias("document_type"),
+        F.when(valid, F.col("fields")).otherwise(no_map).alias("fields"),
+        F.when(valid, F.col("line_items")).otherwise(F.array().cast("array<map<string,string>>")).alias("line_items"),
+        F.when(valid, F.col("confidence")).alias("confidence"),
+        F.when(valid, F.col("warnings")).otherwise(F.array(failure)).alias("warnings"),
+        F.when(valid, F.col("notes")).otherwise(note.cast(NOTES)).alias("notes"),
+        F.when(valid, "llm").otherwise("heuristic").alias("extraction_method"),
     )
 
 
 def record_with_fallback(
-    documents: DataFrame, responses: DataFrame, heuristic_fields: DataFrame, schema: Schema
+    documents: DataFrame,
+    responses: DataFrame,
+    heuristic: Callable[[DataFrame], DataFrame],
+    schemas: Schemas,
 ) -> DataFrame:
-    """One record per document: the model's if its response is valid, else the heuristic one.
+    """Whole records of all documents in long form: the model's if its response is valid, else the heuristic one.
 
-    ``documents`` is (doc_id), ``heuristic_fields`` (doc_id, key, value). Returns
-    long rows (doc_id, extraction_method, document_type, warning, name, value),
-    one per field, or one with a null name for a record without fields.
+    ``heuristic`` gets the (doc_id) of the documents that fall back and returns
+    their rows (doc_id, kind, page_number, a, b, key, value), kind being 'field',
+    'item' or 'warning'; no other document is parsed. Result rows have the same
+    columns, with kind 'record' for one row per document that holds its method,
+    type and confidence, and the failure as its last warning.
     """
-    answered = documents.select("doc_id").join(
-        responses.select("doc_id", "raw"), "doc_id", "left"
-    )
-    parsed = parse_responses(answered).withColumn("valid", F.coalesce("valid", F.lit(False)))
-    records = _records(parsed, schema, keep=("raw",))
-    entries = F.when(F.col("valid"), F.map_entries("fields"))
-    rows = records.select(
-        "doc_id", "valid", F.col("raw").isNull().alias("silent"), F.explode_outer(entries).alias("f")
-    )
-    found = heuristic_fields.select("doc_id", F.col("key").alias("h_name"), F.col("value").alias("h_value"))
-    r, h = rows.alias("r"), found.alias("h")
-    joined = r.join(h, (F.col("r.doc_id") == F.col("h.doc_id")) & ~F.col("r.valid"), "left")
-    model = F.col("r.valid")
-    return joined.select(
-        F.col("r.doc_id").alias("doc_id"),
-        F.when(model, "llm").otherwise("heuristic").alias("extraction_method"),
-        F.when(model, schema.document_type).otherwise("unknown").alias("document_type"),
-        F.when(model, None)
-        .when(F.col("r.silent"), "LLM call failed: no response")
-        .otherwise("LLM returned invalid JSON")
-        .alias("warning"),
-        F.when(model, F.col("r.f.key")).otherwise(F.col("h.h_name")).alias("name"),
-        F.when(model, F.col("r.f.value")).otherwise(F.col("h.h_value")).alias("value"),
+    records = answered(documents, responses, schemas)
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    row = lambda kind, a, b, key, value: F.struct(
+        F.lit(kind).alias("kind"), F.lit(0).alias("page_number"), a.cast("int").alias("a"), b.cast("int").alias("b"),
+        key.alias("key"), value.alias("value"),
+    )
+    zero = F.lit(0)
+    heads = F.array(
+        row("record", zero, zero, F.lit("extraction_method"), F.col("extraction_method")),
+        row("record", F.lit(1), zero, F.lit("document_type"), F.col("document_type")),
+        row("record", F.lit(2), zero, F.lit("confidence"), F.when(F.col("confidence").isNotNull(), text("confidence"))),
     )
+    fields = F.transform(F.map_entries("fields"), lambda f, i: row("field", i, zero, f["key"], f["value"]))
+    items = F.flatten(F.transform(
+        "line_items",
+        lambda item, i: F.transform(F.map_entries(item), lambda f, j: row("item", i, j, f["key"], f["value"])),
+    ))
+    # What the document itself warns of comes before the failure.
+    late = F.when(F.col("valid"), 0).otherwise(1_000_000)
+    warnings = F.transform(_sentences(), lambda w, i: row("warning", late + i, zero, w["category"], w["warning"]))
+    told = explode(records, ["doc_id"], F.concat(heads, fields, items, warnings), "r").select("doc_id", "r.*")
+    fallen = heuristic(records.filter(~F.col("valid")).select("doc_id"))
+    return told.unionByName(fallen.select(*told.columns))
 
 
 def raw_responses(responses: DataFrame) -> DataFrame:
@@ -203,6 +270,20 @@ def raw_responses(responses: DataFrame) -> DataFrame:
     )
 
 
+RECORD = "document_type string, fields map<string,string>, line_items array<map<string,string>>, confidence double, warnings array<string>, extraction_method string"
+
+
+def record_artifacts(records: DataFrame) -> DataFrame:
+    """(doc_id, json): each record as one JSON text."""
+    columns = [c.split()[0] for c in RECORD.split(", ")]
+    return records.select("doc_id", F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("json"))
+
+
+def read_record_artifacts(artifacts: DataFrame) -> DataFrame:
+    """The records of (doc_id, json) rows."""
+    return artifacts.select("doc_id", F.from_json("json", RECORD).alias("r")).select("doc_id", "r.*")
+
+
 def review_status(records: DataFrame) -> Column:
     low = F.col("confidence").isNull() | (F.col("confidence") < REVIEW_BELOW)
     return F.when((F.size("warnings") > 0) | low, "needs_review").otherwise("ok")
@@ -213,7 +294,7 @@ def summary_wide(records: DataFrame, documents: DataFrame, schema: Schema) -> Da
     return records.join(documents.select("doc_id", "source_file"), "doc_id").select(
         F.col("source_file").alias("file_name"),
         "document_type",
-        *[F.try_element_at("fields", F.lit(n)).alias(n) for n in schema.field_names],
+        *[F.try_element_at("fields", F.lit(n)).alias(n) for n in schema.names],
         "confidence",
         review_status(records).alias("review_status"),
     )
@@ -237,3 +318,27 @@ def line_items_wide(
         "item_no",
         *[F.try_element_at("item", F.lit(n)).alias(n) for n in schema.item_names],
     )
+
+
+def by_letter(wide: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """A sheet laid out by a template: columns A, B, ... up to the last letter that ``mapping`` names.
+
+    ``mapping`` gives the column of ``wide`` for a letter (AA follows Z);
+    letters without one, and columns ``wide`` lacks, are empty texts.
+    """
+    def number(letters: str) -> int:
+        n = 0
+        for c in letters.upper():
+            n = n * 26 + ord(c) - 64
+        return n
+
+    def letters(n: int) -> str:
+        out = ""
+        while n:
+            n, rest = divmod(n - 1, 26)
+            out = chr(65 + rest) + out
+        return out
+
+    placed = {number(k): v for k, v in mapping.items()}
+    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in wide.columns else F.lit("")
+    return wide.select(*[cell(placed.get(n, "")).alias(letters(n)) for n in range(1, max(placed, default=0) + 1)])

@@ -24,7 +24,7 @@ from docframe.functions.text import (
     unix_lines,
     ustrip,
 )
-from docframe.operators.ordered import BLOCK
+from docframe.operators.ordered import BLOCK, running_totals
 
 KEY = ("doc_id", "page_number", "page_table")
 CONFIDENCE = 0.9
@@ -140,24 +140,17 @@ def column_names() -> Column:
 def numbered_tables(tables: DataFrame, block: int = BLOCK) -> DataFrame:
     """Tables with ``table_idx``, 1-based per document in page order, and ``table_id``.
 
-    Tables are numbered within blocks of pages, in the one shuffle they take.
-    Only documents longer than a block need the count of the blocks before,
-    which is summed on slim rows; with a ``page_count`` column all others are
-    left out of that second pass before their text is looked at.
+    Only (document, page, number of tables) rows are brought into order, in
+    blocks of pages; the tables meet their page's start by (doc_id, page_number).
     """
-    page_block = F.floor((F.col("page_number") - 1) / block).alias("_block")
-    inside = Window.partitionBy("doc_id", "_block").orderBy("page_number", "page_table")
-    local = tables.select("*", page_block).withColumn("_rn", F.row_number().over(inside))
-
-    long = tables.filter(F.col("page_count") > block) if "page_count" in tables.columns else tables
-    sizes = long.groupBy("doc_id", page_block).agg(F.count(F.lit(1)).alias("_n"))
-    across = Window.partitionBy("doc_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = sizes.select("doc_id", "_block", F.sum("_n").over(across).alias("_to"))
-
-    idx = (F.col("_rn") + F.coalesce("_to", F.lit(0))).cast("int")
-    joined = local.join(carried, ["doc_id", "_block"], "left").withColumn("table_idx", idx)
+    slim = tables.groupBy("doc_id", "page_number").agg(F.count(F.lit(1)).alias("n"))
+    starts = running_totals(slim, ["doc_id"], "page_number", ["n"], block)
+    on_page = Window.partitionBy("doc_id", "page_number").orderBy("page_table")
+    joined = tables.join(starts, ["doc_id", "page_number"]).withColumn(
+        "table_idx", (F.row_number().over(on_page) + F.col("n_before")).cast("int")
+    )
     text = F.concat_ws("#", F.col("doc_id").cast("string"), F.col("table_idx").cast("string"))
-    return joined.withColumn("table_id", F.substring(F.md5(text), 1, 8)).drop("_block", "_rn", "_to")
+    return joined.withColumn("table_id", F.substring(F.md5(text), 1, 8)).drop("n_before")
 
 
 def table_numbering(tables: DataFrame) -> DataFrame:
@@ -252,6 +245,31 @@ def table_csv_rows(numbered: DataFrame) -> DataFrame:
     )
 
 
+def csv_line(cells: Column) -> Column:
+    """One line of a CSV file: cells with a comma, quote or line end are quoted."""
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    text = F.transform(cells, lambda c: F.coalesce(c, F.lit("")))
+    return F.array_join(F.transform(text, lambda c: F.when(c.rlike('[",\\r\\n]'), quoted(c)).otherwise(c)), ",")
+
+
+def table_csv_files(numbered: DataFrame) -> DataFrame:
+    """(doc_id, table_idx, file, content): each table as a CSV text with its own header, the page before the cells.
+
+    A table stands on one page, so its text is bounded by the page.
+    """
+    file = F.concat(
+        file_stem(F.col("source_file")), F.lit("__table_"), padded(F.col("table_idx")), F.lit(".csv")
+    )
+    named = numbered.withColumn("header", column_names()).filter(F.size("header") > 0)
+    page = F.col("page_number").cast("string")
+    head = csv_line(F.concat(F.array(F.lit("page")), "header"))
+    rows = F.transform("rows", lambda r: csv_line(F.concat(F.array(page), r)))
+    return named.select(
+        "doc_id", "table_idx", file.alias("file"),
+        F.concat(F.array_join(F.concat(F.array(head), rows), "\n"), F.lit("\n")).alias("content"),
+    )
+
+
 def document_warnings(
     pages: DataFrame, tables: DataFrame, errors: DataFrame | None = None
 ) -> DataFrame:
@@ -262,6 +280,7 @@ def document_warnings(
         .join(tables.select("doc_id"), "doc_id", "left_anti")
         .select(
             "doc_id",
+            # Code and message.
             F.lit("EMPTY_DOCUMENT").alias("code"),
             F.lit("No tables or text found — document may be image-only or encrypted").alias("message"),
             F.lit(None).cast("int").alias("page_number"),

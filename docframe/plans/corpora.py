@@ -1,6 +1,7 @@
 """Document corpora rendered from the relational test tables.
 
-Every corpus covers its whole table. A document is a run of numbered pages,
+Every corpus covers its whole table and whole texts; what a query needs beside them
+is put between, never in place of them. A document is a run of numbered pages,
 each page one bounded text cell; no corpus gathers a whole document in one row.
 """
 
@@ -37,19 +38,13 @@ ITEM_ORDER = [
 ]
 
 
-def _numbered_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Order lines numbered 1..n per order: ordinary orders, and those with very many."""
+def invoice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines numbered 1..n per order, with the page they stand on."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "doc_id")
-    return number_rows(
-        lines,
-        ["doc_id"],
-        {"line": F.col("l_linenumber"), "part": F.floor(F.col("l_partkey") / PART_BLOCK)},
-        ITEM_ORDER,
-    )
-
-
-def _items(lines: DataFrame, part: DataFrame) -> DataFrame:
-    return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+    named = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    blocks = {"line": F.col("l_linenumber"), "part": F.floor(F.col("l_partkey") / PART_BLOCK)}
+    return number_rows(named, ["doc_id"], blocks, ITEM_ORDER).select(
         "doc_id",
         F.col("rn").cast("int").alias("rn"),
         (F.floor((F.col("rn") - 1) / ROWS_PER_PAGE) + 1).cast("int").alias("page_number"),
@@ -60,36 +55,16 @@ def _items(lines: DataFrame, part: DataFrame) -> DataFrame:
     )
 
 
-def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-
-
-def invoice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines numbered 1..n per order, with the page they stand on."""
-    part = _parts(spark, sf_dir)
-    ordinary, heavy = _numbered_lines(spark, sf_dir)
-    return _items(ordinary, part).unionByName(_items(heavy, part))
-
-
-def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order that has lines, with the values an invoice shows."""
-    counts = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("doc_id"))
-        .agg(F.count(F.lit(1)).alias("n_items"))
-    )
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order, with the values an invoice shows."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    orders = table(spark, sf_dir, "orders")
     return (
-        orders.join(counts, F.col("o_orderkey") == F.col("doc_id"))
+        table(spark, sf_dir, "orders")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
-            "doc_id",
-            "n_items",
-            F.ceil(F.col("n_items") / ROWS_PER_PAGE).cast("int").alias("page_count"),
-            F.concat(F.lit("invoice_"), "doc_id", F.lit(".pdf")).alias("source_file"),
+            F.col("o_orderkey").alias("doc_id"),
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("invoice_date"),
             money(F.col("o_totalprice")).alias("total_amount"),
             "o_orderstatus",
@@ -101,6 +76,21 @@ def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def source_file() -> Column:
+    return F.concat(F.lit("invoice_"), F.col("doc_id").cast("string"), F.lit(".pdf"))
+
+
+def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order that has lines, with its file and number of pages."""
+    counts = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_orderkey").alias("doc_id"))
+        .agg(F.count(F.lit(1)).alias("n_items"))
+    )
+    pages = F.ceil(F.col("n_items") / ROWS_PER_PAGE).cast("int").alias("page_count")
+    return _orders(spark, sf_dir).join(counts, "doc_id").select("*", pages, source_file().alias("source_file"))
+
+
 def _invoice_head() -> Column:
     k = F.col("doc_id").cast("string")
     return F.concat_ws(
@@ -125,7 +115,13 @@ def _invoice_head() -> Column:
     )
 
 
-def _pages(items: DataFrame, headers: DataFrame) -> DataFrame:
+def invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, page_number, source_file, md): one invoice per order.
+
+    Items are gathered by page, five to a page, and only first pages meet an
+    order's values, by document and page; so an order with very many lines is
+    spread like any other.
+    """
     k = F.col("doc_id")
     cells = F.when(
         (k % 9 == 0) & (F.col("rn") == 1), F.array("description", "quantity", "unit_price")
@@ -133,7 +129,8 @@ def _pages(items: DataFrame, headers: DataFrame) -> DataFrame:
     row = F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
     # a page holds at most ROWS_PER_PAGE rows, so this gathering is bounded
     tables = (
-        items.select("doc_id", "page_number", F.struct("rn", row.alias("line")).alias("r"))
+        invoice_items(spark, sf_dir)
+        .select("doc_id", "page_number", F.struct("rn", row.alias("line")).alias("r"))
         .groupBy("doc_id", "page_number")
         .agg(F.sort_array(F.collect_list("r")).alias("rows"))
     )
@@ -153,65 +150,71 @@ def _pages(items: DataFrame, headers: DataFrame) -> DataFrame:
         ),
     )
     first = F.concat(_invoice_head(), tail)
-    return tables.join(headers, "doc_id").select(
+    heads = _orders(spark, sf_dir).withColumn("page_number", F.lit(1))
+    return tables.join(heads, ["doc_id", "page_number"], "left").select(
         "doc_id",
         "page_number",
-        "page_count",
-        "source_file",
+        source_file().alias("source_file"),
         F.when(F.col("page_number") == 1, first)
         .otherwise(F.concat(F.lit("Continued\n\n"), F.col("table_md")))
         .alias("md"),
     )
 
 
-def invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, page_number, page_count, source_file, md): one invoice per order.
-
-    Rows of ordinary orders are shuffled once, by order: the window, the pages
-    and the join with the headers all use that distribution.
-    """
-    headers, part = invoice_headers(spark, sf_dir), _parts(spark, sf_dir)
-    ordinary, heavy = _numbered_lines(spark, sf_dir)
-    return _pages(_items(ordinary, part), headers).unionByName(_pages(_items(heavy, part), headers))
-
-
 # --------------------------------------------------------------- markdown
 
 def md_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, md): documents with headings, tables, lists and blank lines."""
+    """(doc_id, md): every line of the documents, with front matter, headings, tables, lists, images and marks between."""
     decorated = F.expr(
-        """transform(lines, (line, pos) -> CASE
-             WHEN pos = 0 THEN concat('# ', line)
-             WHEN (doc_id * 31 + pos * 17) % 13 = 0 THEN concat('## ', line)
-             WHEN (doc_id * 31 + pos * 17) % 13 = 1 THEN concat('### ', line)
-             WHEN (doc_id * 31 + pos * 17) % 13 = 2 THEN concat('#### ', line)
-             WHEN (doc_id * 31 + pos * 17) % 13 = 3 THEN concat('##### ', line)
-             WHEN (doc_id * 31 + pos * 17) % 13 = 4 THEN ''
-             WHEN (doc_id * 31 + pos * 17) % 13 = 5
-               THEN concat('| ', replace(substring(line, 1, 10), '|', ''), ' |  | x', pos, ' |')
-             WHEN (doc_id * 31 + pos * 17) % 13 = 6 THEN '|---|---|'
+        """flatten(transform(lines, (line, pos) -> concat(
+             CASE WHEN pos = 0 THEN array()
+             WHEN (doc_id * 31 + pos * 17) % 13 = 0 THEN array(concat('## Parte ', pos))
+             WHEN (doc_id * 31 + pos * 17) % 13 = 1 THEN array(concat('### Capo ', pos))
+             WHEN (doc_id * 31 + pos * 17) % 13 = 2 THEN array(concat('#### Voce ', pos))
+             WHEN (doc_id * 31 + pos * 17) % 13 = 3 THEN array(concat('##### Nota ', pos))
+             WHEN (doc_id * 31 + pos * 17) % 13 = 4 THEN array('')
+             WHEN (doc_id * 31 + pos * 17) % 13 = 5 THEN array(
+               concat('| ', replace(line, '|', ''), ' |  | x', pos, ' |'), '|---|---|---|',
+               CASE WHEN pos % 4 = 0 THEN '| uno | due |' ELSE '| uno | *due* | tre |' END)
+             WHEN (doc_id * 31 + pos * 17) % 13 = 6 THEN array('|---|---|')
+             WHEN (doc_id * 31 + pos * 17) % 13 = 9 THEN array(
+               CASE WHEN pos % 2 = 0 THEN '![a](img/p.png)' ELSE '![b](http://x/p.png)' END)
+             WHEN (doc_id * 31 + pos * 17) % 13 = 10 THEN array(concat('<!-- UNREADABLE: page ', pos, ' -->'))
+             ELSE array() END,
+             array(CASE WHEN pos = 0 THEN concat('# ', line)
              WHEN (doc_id * 31 + pos * 17) % 13 = 7 THEN concat('- ', line)
              WHEN (doc_id * 31 + pos * 17) % 13 = 8 THEN concat('**', line, '**')
-             ELSE line END)"""
+             ELSE line END))))"""
+    )
+    front = F.expr(
+        """CASE doc_id % 3
+             WHEN 0 THEN array('---', concat('titolo: Documento ', doc_id), 'comune: Como', concat('tipo: ', lang),
+               'anno: 2020', '---', '')
+             WHEN 1 THEN array('---', concat('titolo: Documento ', doc_id), 'anno: 2020', '---')
+             ELSE array() END"""
     )
     return (
         spread(table(spark, sf_dir, "documents"))
-        .select("doc_id", F.split("text", "\n").alias("lines"))
-        .select("doc_id", F.array_join(decorated, "\n").alias("md"))
+        .select("doc_id", "lang", F.split("text", "\n").alias("lines"))
+        .select("doc_id", F.array_join(F.concat(front, decorated), "\n").alias("md"))
     )
 
 
 def raw_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, source, lang, text): extracted text with page numbers, notices, TOC lines."""
+    """(doc_id, source, lang, text): every line of the documents, with page numbers, notices, TOC and legal lines between."""
     decorated = F.expr(
-        """transform(lines, (line, pos) -> CASE
-             WHEN pos % 11 = 10 THEN cast(pos AS string)
-             WHEN pos % 17 = 16 THEN concat('Copyright ', doc_id)
-             WHEN pos % 19 = 18 THEN concat('ART. ', pos, ' ........ ', pos)
-             WHEN pos % 23 = 22 THEN concat('TITOLO ', pos)
-             WHEN pos % 29 = 28 THEN concat('ART. ', pos, ' Disposizioni')
-             WHEN pos % 31 = 30 THEN concat(pos, '.1 Generale')
-             ELSE line END)"""
+        """flatten(transform(lines, (line, pos) -> concat(
+             CASE WHEN pos % 11 = 10 THEN array(cast(pos AS string))
+             WHEN pos % 13 = 12 THEN array(concat('Rilascio della autorizzazione ', pos, ' dalla autorità competente'))
+             WHEN pos % 17 = 16 THEN array(concat('Copyright ', doc_id))
+             WHEN pos % 19 = 18 THEN array(concat('ART. ', pos, ' ........ ', pos))
+             WHEN pos % 23 = 22 THEN array(concat('TITOLO ', pos))
+             WHEN pos % 29 = 28 THEN array(concat('ART. ', pos, ' Disposizioni'))
+             WHEN pos % 31 = 30 THEN array(concat(pos, '.1 Generale'))
+             WHEN pos % 37 = 36 THEN array('È vietato il deposito')
+             WHEN pos % 41 = 40 THEN array('Autori: A. Rossi')
+             WHEN pos % 43 = 42 THEN array('Vietata la riproduzione anche parziale')
+             ELSE array() END, array(line))))"""
     )
     return (
         spread(table(spark, sf_dir, "documents"))
@@ -256,82 +259,99 @@ def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(" Anno "), num(2010 + (c + p) % 5), F.lit(". L.R. 12/"), num(2005 + p), F.lit(".")
         ),
     ).otherwise(F.lit(""))
-    return (
-        spread(table(spark, sf_dir, "conversations"))
-        .select(
-            F.col("conv_id").alias("doc_id"),
-            (F.col("turn") + 1).cast("int").alias("page_number"),
-            "text",
-        )
-        .select(
-            "doc_id",
-            F.concat(F.lit("chat_"), num(c), F.lit(".pdf")).alias("source_file"),
-            "page_number",
-            F.when((c + p) % 8 == 0, F.lit(""))
-            .otherwise(F.concat(front, title, heading, F.col("text"), years))
-            .alias("page_md"),
-        )
+    turns = spread(table(spark, sf_dir, "conversations")).select(
+        F.col("conv_id").alias("doc_id"),
+        # some conversations have an empty page far behind the others
+        F.explode(
+            F.when((F.col("turn") == 0) & (F.col("conv_id") % 8 == 0), F.array((F.col("turn") + 1).cast("int"), F.lit(5000)))
+            .otherwise(F.array((F.col("turn") + 1).cast("int")))
+        ).alias("page_number"),
+        "text",
+    )
+    return turns.select(
+        "doc_id",
+        F.concat(F.lit("chat_"), num(c), F.lit(".pdf")).alias("source_file"),
+        "page_number",
+        F.when(p == 5000, F.lit("")).otherwise(F.concat(front, title, heading, F.col("text"), years)).alias("page_md"),
     )
 
 
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, page_number, text, extraction_method) with blank and near-empty pages."""
-    c, p = F.col("conv_id"), F.col("turn") + 1
+    """(doc_id, page_number, text, extraction_method): a page per turn, with blank and near-empty pages between."""
+    c, p = F.col("conv_id"), (2 * F.col("turn") + 1).cast("int")
+    page = lambda number, text: F.struct(number.cast("int").alias("page_number"), text.alias("text"))
+    extra = (
+        F.when((c + p) % 8 == 0, F.lit(" \n\t "))
+        .when((c + p) % 8 == 3, F.concat(F.lit(" - "), (p + 1).cast("string"), F.lit(" - ")))
+    )
+    pages = F.when(extra.isNull(), F.array(page(p, F.col("text")))).otherwise(F.array(page(p, F.col("text")), page(p + 1, extra)))
     return spread(table(spark, sf_dir, "conversations")).select(
         c.alias("doc_id"),
-        p.cast("int").alias("page_number"),
-        F.when((c + p) % 8 == 0, F.lit(" \n\t "))
-        .when((c + p) % 8 == 3, F.concat(F.lit(" - "), p.cast("string"), F.lit(" - ")))
-        .otherwise(F.col("text"))
-        .alias("text"),
+        F.inline(pages),
         F.when(c % 2 == 0, F.lit("pymupdf")).otherwise(F.lit("docling")).alias("extraction_method"),
-    )
+    ).select("doc_id", "page_number", "text", "extraction_method")
 
 
 # ---------------------------------------------------------- model responses
 
+def document_type() -> Column:
+    """Every third document is a shipment, the others are invoices."""
+    return F.when(F.col("doc_id") % 3 == 2, "shipment").otherwise("invoice")
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, raw): a model's JSON answer per order; some are missing or broken."""
+    """(doc_id, document_type, raw): a model's JSON answer per order; some are broken, some repeat a key."""
     k = F.col("o_orderkey")
     s = k.cast("string")
+    ship = k % 3 == 2
     items = F.expr(
-        """transform(sequence(0, cast(o_orderkey % 4 AS int)), i -> concat(
-             '{"description": "Item ', i, '", "quantity": ', (o_orderkey + i) % 50,
-             CASE WHEN o_orderkey % 9 = 0 THEN ', "junk": 1' ELSE '' END,
-             ', "amount": "', o_orderkey % 1000, '.', 10 + i, '"}'))"""
+        """transform(sequence(0, cast(o_orderkey % 4 AS int)), i ->
+             CASE WHEN o_orderkey % 3 = 2 THEN concat('{"goods": "Pallet ', i, '", "pallets": ', (o_orderkey + i) % 50)
+             ELSE concat('{"description": "Item ', i, '", "quantity": ', (o_orderkey + i) % 50,
+               ', "amount": "', o_orderkey % 1000, '.', 10 + i, '"') END
+             || CASE WHEN o_orderkey % 9 = 0 THEN ', "junk": 1}' ELSE '}' END)"""
     )
     items = F.when(k % 8 == 0, F.concat(F.array(F.lit('"not_a_dict"')), items)).otherwise(items)
     confidence = (
         F.when(k % 13 == 0, F.lit('"high"'))
         .when(k % 14 == 0, F.lit("1.7"))
+        .when(k % 15 == 0, F.lit("true"))
+        .when(k % 16 == 0, F.lit('"true"'))
+        .when(k % 18 == 0, F.lit('"0.9d"'))
+        .when(k % 19 == 0, F.lit('"0.75"'))
         .otherwise(F.concat(F.lit("0."), F.lpad((k % 100).cast("string"), 2, "0")))
     )
-    body = F.concat(
-        F.lit('{"document_type": "whatever", "fields": {"invoice_number": "INV-'), s,
-        F.lit('", "invoice_date": "'), F.date_format("o_orderdate", "yyyy-MM-dd"),
-        F.lit('", "vendor_name": "'),
-        F.when(k % 6 == 0, F.lit("  ")).otherwise(F.concat(F.lit("Vendor-"), (k % 25).cast("string"))),
-        F.lit('"'),
+    party = F.when(k % 6 == 0, F.lit("  ")).otherwise(F.concat(F.lit("Vendor-"), (k % 25).cast("string")))
+    number = F.when(ship, F.lit("load_number")).otherwise("invoice_number")
+    fields = F.concat(
+        F.when(k % 23 == 0, F.concat(F.lit('"'), number, F.lit('": "OLD", '))).otherwise(""),
+        F.lit('"'), number, F.lit('": "INV-'), s, F.lit('", '),
+        F.when(ship, F.lit("")).otherwise(
+            F.concat(F.lit('"invoice_date": "'), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit('", '))
+        ),
+        F.when(ship, F.lit('"carrier": "')).otherwise('"vendor_name": "'), party, F.lit('"'),
         F.when(k % 5 == 0, F.lit("")).otherwise(
             F.concat(F.lit(', "total_amount": '), money(F.col("o_totalprice")))
         ),
         F.when(k % 7 == 0, F.lit(', "bogus_field": "b"')).otherwise(F.lit("")),
-        F.lit(', "client_name": null}, "line_items": ['),
-        F.array_join(items, ", "),
-        F.lit('], "confidence": '), confidence,
-        F.lit(', "warnings": ['),
-        F.when(k % 10 == 3, F.lit('"low contrast"')).otherwise(F.lit("")),
-        F.lit("]}"),
+        F.when(ship, F.lit(', "pickup_date": null')).otherwise(', "client_name": null'),
+    )
+    own = (
+        F.when(k % 10 == 3, F.lit('"low contrast"'))
+        .when(k % 10 == 6, F.lit('"Line item 3 has no readable price", "Required field missing on page 2"'))
+        .otherwise("")
+    )
+    body = F.concat(
+        F.lit('{"document_type": "whatever", "fields": {'), fields, F.lit('}, "line_items": ['),
+        F.array_join(items, ", "), F.lit('], "confidence": '), confidence, F.lit(', "warnings": ['), own, F.lit("]}"),
     )
     raw = (
         F.when(k % 11 == 0, F.lit("Sorry, no data"))
         .when(k % 12 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
         .otherwise(body)
     )
-    return (
-        spread(table(spark, sf_dir, "orders"))
-        .filter(k % 17 != 0)
-        .select(k.alias("doc_id"), raw.alias("raw"))
+    return spread(table(spark, sf_dir, "orders")).select(k.alias("doc_id"), raw.alias("raw")).select(
+        "doc_id", document_type().alias("document_type"), "raw"
     )
 
 
@@ -398,7 +418,8 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     title = F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)
     options = F.array(
-        F.when(i % 7 != 0, F.struct(F.lit("primary").alias("method"), F.substring(article, F.lit(1), (i % 2000).cast("int")).alias("text"))),
+        # a primary extraction of every third page finds the headline alone
+        F.when(i % 7 != 0, F.struct(F.lit("primary").alias("method"), F.when(i % 3 == 0, title).otherwise(article).alias("text"))),
         F.struct(
             F.lit("secondary").alias("method"),
             F.when(i % 5 == 0, F.lit("  ")).otherwise(article).alias("text"),
@@ -439,6 +460,10 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~failed, (e % 4).cast("int")).otherwise(F.lit(0)).alias("tables_found"),
         F.when(~failed, (e % 21).cast("int")).otherwise(F.lit(0)).alias("fields_found"),
         F.when(~failed, (e % 3).cast("int")).otherwise(F.lit(0)).alias("warnings_count"),
+        F.slice(
+            F.array(F.lit("EMPTY_DOCUMENT"), F.lit("RAGGED_TABLE")), F.lit(1), F.when(~failed, e % 3).otherwise(0).cast("int")
+        ).alias("warning_codes"),
+        F.when(~failed, (e % 101) / 100.0).alias("confidence"),
         F.when(failed, F.lit(1)).otherwise(F.lit(0)).alias("errors_count"),
         F.col("value").cast("decimal(18,2)").alias("processing_seconds"),
         methods.alias("extraction_methods"),
@@ -456,4 +481,4 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Profiles of a batch manifest and the document type each stands for.
-PROFILES = [("invoice", "generic_invoice"), ("logistics", "logistics_load")]
+PROFILES = {"invoice": "invoice", "logistics": "shipment"}

@@ -20,13 +20,13 @@ def _metadata(spark, sf):
 
 def _checks(spark, sf):
     """Front matter and heading checks of the assembled documents."""
-    parts = assemble.validated_parts(_clean(spark, sf))
-    return parts.select(
+    parts = assemble.validated_parts(_clean(spark, sf), 2).select(
         "doc_id",
         F.col("meta")["tipo"].alias("tipo"),
         (~F.exists("warnings", lambda w: w.startswith("Missing"))).alias("front_matter_ok"),
         (~F.exists("warnings", lambda w: w.startswith("Line"))).alias("no_skips"),
     )
+    return parts.groupBy("doc_id", "tipo").agg(*[F.min(c).alias(c) for c in ("front_matter_ok", "no_skips")])
 
 
 def _document_quality(spark, sf):
@@ -38,16 +38,18 @@ def _document_quality(spark, sf):
 
 
 def _unreadable(spark, sf):
-    return cleanup.mark_unreadable(page_texts(spark, sf)).filter("unreadable").select(
-        "doc_id", "page_number", "text"
+    return cleanup.mark_unreadable(page_texts(spark, sf)).select(
+        "doc_id", "page_number", "text", "unreadable", F.coalesce("marker", F.lit("")).alias("marker")
     )
 
 
 def _unreadable_lists(spark, sf):
+    """Every document with the numbers of its unreadable pages."""
     pages = cleanup.mark_unreadable(page_texts(spark, sf))
+    marked = F.sort_array(F.collect_list(F.when(F.col("unreadable"), F.col("page_number"))))
     return pages.groupBy("doc_id").agg(
         F.count_if("unreadable").alias("n_unreadable"),
-        F.coalesce(F.min(F.when(F.col("unreadable"), F.col("page_number"))), F.lit(0)).alias("first_page"),
+        F.array_join(marked.cast("array<string>"), ",").alias("pages"),
     )
 
 
@@ -64,9 +66,7 @@ QUERIES = {
         "doc_id", "titolo", F.coalesce("comune", F.lit("<null>")).alias("comune"), "tipo"
     ),
     "year_backfill": lambda s, d: _metadata(s, d).select("doc_id", "anno"),
-    "validate_documents": lambda s, d: assemble.validation_warnings(_clean(s, d)).select(
-        "doc_id", "warning_no", "warning"
-    ),
+    "validate_documents": lambda s, d: assemble.validation_warnings(_clean(s, d), 2),
     "document_quality": _document_quality,
     "nonblank_pages": lambda s, d: assemble.nonblank_pages(page_texts(s, d)),
     "documents_without_text": lambda s, d: assemble.documents_without_text(
@@ -84,7 +84,7 @@ QUERIES = {
 FRAGMENTS = f"""
 pages0 AS (
   SELECT conv_id AS c, CAST(turn + 1 AS INTEGER) AS p, text,
-    (conv_id + turn + 1) % 8 = 0 AS blank, turn = 0 AND conv_id % 3 <> 0 AS front FROM conversations
+    false AS blank, turn = 0 AND conv_id % 3 <> 0 AS front FROM conversations
 ),
 parts0 AS (
   SELECT *, concat(
@@ -149,13 +149,12 @@ fixed AS (
 )"""
 
 PAGE_TEXTS = """
+turns AS (SELECT *, CAST(2 * turn + 1 AS INTEGER) AS p FROM conversations),
 page_texts AS (
-  SELECT conv_id AS doc_id, CAST(turn + 1 AS INTEGER) AS page_number,
-    CASE WHEN (conv_id + turn + 1) % 8 = 0 THEN concat(' ', chr(10), chr(9), ' ')
-      WHEN (conv_id + turn + 1) % 8 = 3 THEN concat(' - ', turn + 1, ' - ') ELSE text END AS text,
-    CASE WHEN conv_id % 2 = 0 THEN 'pymupdf' ELSE 'docling' END AS extraction_method,
-    (conv_id + turn + 1) % 8 = 0 AS blank
-  FROM conversations
+  SELECT doc_id, page_number, text, CASE WHEN doc_id % 2 = 0 THEN 'pymupdf' ELSE 'docling' END AS extraction_method, blank FROM (
+    SELECT conv_id AS doc_id, p AS page_number, text, false AS blank FROM turns
+    UNION ALL SELECT conv_id, p + 1, CASE WHEN (conv_id + p) % 8 = 0 THEN concat(' ', chr(10), chr(9), ' ') ELSE concat(' - ', p + 1, ' - ') END,
+      (conv_id + p) % 8 = 0 FROM turns WHERE (conv_id + p) % 8 IN (0, 3))
 )"""
 
 WITH = f"WITH {FRAGMENTS}, {META}"
@@ -163,10 +162,10 @@ PAGES = f"WITH {PAGE_TEXTS}"
 SMALL = r"length(regexp_replace(text, '\s', '', 'g')) < 20"
 
 ORACLES = {
-    "strip_code_fences": f"""WITH {FRAGMENTS} SELECT c AS doc_id, p AS page_number, CASE WHEN blank THEN '' ELSE concat(
+    "strip_code_fences": f"""WITH {FRAGMENTS} SELECT c AS doc_id, p AS page_number, concat(
         CASE WHEN front THEN concat('---', {NL}, entries, '---', {NL}, {NL})
-          WHEN p = 2 AND c % 5 = 0 THEN concat('---', {NL}, 'stray: yes', {NL}, '---', {NL}) ELSE '' END, body) END AS page_md
-        FROM parts0""",
+          WHEN p = 2 AND c % 5 = 0 THEN concat('---', {NL}, 'stray: yes', {NL}, '---', {NL}) ELSE '' END, body) AS page_md
+        FROM parts0 UNION ALL SELECT DISTINCT c, 5000, '' FROM parts0 WHERE p = 1 AND c % 8 = 0""",
     "assemble_documents": f"{WITH} SELECT c AS doc_id, 0 AS part_no, concat(head, body, {NL}) AS md FROM bodies",
     "md_documents": f"""{WITH} SELECT f.c AS doc_id, concat('chat_', f.c, '.pdf') AS source_file, 0 AS part_no,
         concat(head, f.body, {NL}) AS md FROM fixed f JOIN bodies b ON f.c = b.c""",
@@ -180,7 +179,7 @@ ORACLES = {
         FROM meta GROUP BY tipo""",
     "nonblank_pages": f"{PAGES} SELECT doc_id, page_number, text, extraction_method FROM page_texts WHERE NOT blank",
     "documents_without_text": f"""{PAGES} SELECT doc_id, 'no text extracted' AS error FROM page_texts
-        GROUP BY doc_id HAVING bool_and(blank) OR doc_id % 9 = 0""",
+        GROUP BY doc_id HAVING doc_id % 9 = 0""",
     "full_text": f"""{PAGES} SELECT doc_id, 0 AS part_no, string_agg(text, concat({NL}, {NL}) ORDER BY page_number) AS text
         FROM page_texts WHERE NOT blank GROUP BY doc_id""",
     "page_prompts": f"""{PAGES} SELECT doc_id, page_number, concat('Page ', page_number, ' of ', count(*) OVER (PARTITION BY doc_id),
@@ -188,10 +187,10 @@ ORACLES = {
         CASE WHEN page_number = 1 THEN 'Begin with YAML front matter: titolo, comune, tipo, anno.'
           ELSE 'Write no front matter, this is a later page.' END,
         {NL}, {NL}, '<<<PAGE', {NL}, text, {NL}, 'PAGE>>>') AS prompt FROM page_texts""",
-    "mark_unreadable": f"""{PAGES} SELECT doc_id, page_number, concat('<!-- UNREADABLE: page ', page_number, ' -->') AS text
-        FROM page_texts WHERE {SMALL}""",
+    "mark_unreadable": f"""{PAGES} SELECT doc_id, page_number, text, {SMALL} AS unreadable,
+        CASE WHEN {SMALL} THEN concat('<!-- UNREADABLE: page ', page_number, ' -->') ELSE '' END AS marker FROM page_texts""",
     "unreadable_pages": f"""{PAGES} SELECT doc_id, count(*) FILTER ({SMALL}) AS n_unreadable,
-        coalesce(min(page_number) FILTER ({SMALL}), 0) AS first_page FROM page_texts GROUP BY doc_id""",
+        coalesce(string_agg(page_number, ',' ORDER BY page_number) FILTER ({SMALL}), '') AS pages FROM page_texts GROUP BY doc_id""",
     "pages_csv": f"""{PAGES} SELECT doc_id, page_number, text, extraction_method FROM page_texts
         WHERE NOT blank AND doc_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0)""",
 }

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from docframe.operators import batch, fields, prompts
 from docframe.operators import tables as tb
-from docframe.plans.corpora import ROWS_PER_PAGE, invoice_headers, invoice_pages
-from docframe.session import written
-from docframe.sources.schemas import load_schema, schema_aliases
+from docframe.plans.corpora import ROWS_PER_PAGE, document_type, invoice_headers, invoice_pages
+from docframe.session import work_folder
+from docframe.sources.files import write_files
+from docframe.sources.schemas import load_schemas
 
 EXTRACTED_AT = "2025-01-01T00:00:00+00:00"
 TYPES = {"invoice_number": "string", "invoice_date": "date", "vendor_name": "string",
@@ -28,11 +29,11 @@ def _documents(spark, sf):
 
 
 def _raw(pages):
-    return tb.import_markdown_tables(pages, keep=("source_file", "page_count"))
+    return tb.import_markdown_tables(pages, keep=("source_file",))
 
 
 def _raw_tables(spark, sf):
-    return _raw(invoice_pages(spark, sf)).drop("source_file", "page_count")
+    return _raw(invoice_pages(spark, sf)).drop("source_file")
 
 
 def _tables(spark, sf):
@@ -52,11 +53,10 @@ def _fields(spark, sf):
 
 
 def _schema_fields(spark, sf):
-    schema = load_schema("generic_invoice")
-    return fields.schema_guided_fields(_pairs(spark, sf), schema_aliases(spark, schema))
+    return fields.schema_guided_fields(_pairs(spark, sf), load_schemas(spark)["invoice"].aliases)
 
 
-def _ragged(pages):
+def ragged(pages):
     """Tables with rows of unequal width, as extraction warnings."""
     return (
         tb.table_consistency(_raw(pages), keep=("source_file",))
@@ -102,7 +102,7 @@ def _line_items(spark, sf):
 
 
 def _heuristic(spark, sf):
-    return fields.heuristic_record(_stored_pages(spark, sf)).select("doc_id", "kind", "page_number", "a", "b", "key", "value")
+    return fields.heuristic_record(invoice_pages(spark, sf), ragged(invoice_pages(spark, sf)))
 
 
 def _typed(spark, sf):
@@ -116,17 +116,16 @@ def _typed(spark, sf):
 
 
 def _reconcile(spark, sf):
-    pages = _stored_pages(spark, sf)
-    tables = tb.detect_header(tb.import_markdown_tables(pages))
-    items = tb.rows_to_dicts(tables).filter(F.col("key").isin("Amount", "col_3"))
-    pairs = fields.key_value_lines(pages, "md", markdown=True)
-    found = fields.schema_guided_fields(pairs, schema_aliases(spark, load_schema("generic_invoice")))
-    amounts = items.select("doc_id", F.col("value").try_cast("decimal(18,2)").alias("amount"))
-    totals = found.filter(F.col("name") == "total_amount").select(
-        "doc_id", F.col("value").try_cast("decimal(18,2)").alias("total")
+    items = tb.rows_to_dicts(_tables(spark, sf)).filter(F.col("key").isin("Amount", "col_3"))
+    # Some amounts are written the European way, some are no amounts.
+    k, v = F.col("doc_id"), F.col("value")
+    european = F.concat(F.translate(F.format_number(v.cast("decimal(18,2)"), 2), ",.", ".,"), F.lit(" EUR"))
+    shown = F.when(k % 13 == 5, european).when(k % 29 == 7, F.concat(F.lit("ca. "), v)).otherwise(v)
+    totals = _schema_fields(spark, sf).filter(F.col("name") == "total_amount")
+    out = fields.reconcile_totals(items.select("doc_id", shown.alias("value")), totals.select("doc_id", "value"))
+    return out.select(
+        "doc_id", *[F.coalesce(F.col(c).cast("double"), F.lit(-1e18)).alias(c) for c in ("items_total", "total", "difference")], "unread"
     )
-    out = fields.reconcile_totals(amounts, totals)
-    return out.select("doc_id", *[F.col(c).cast("double").alias(c) for c in ("items_total", "total", "difference")])
 
 
 def _combined(spark, sf):
@@ -141,47 +140,52 @@ def _combined(spark, sf):
     )
 
 
-def _stored_pages(spark, sf):
-    """Pages written out once, for queries that read them several times."""
-    return written(invoice_pages(spark, sf), "pages")
+def _doc_text(spark, sf):
+    pages = invoice_pages(spark, sf)
+    texts = pages.select("doc_id", "page_number", F.col("md").alias("text"))
+    return prompts.document_text(texts, tb.numbered_tables(tb.detect_header(_raw(pages))))
 
 
-def _doc_text(spark, sf, max_chars=prompts.MAX_CHARS):
-    pages = _stored_pages(spark, sf)
+def _text_parts(spark, sf):
+    """Parts of one page: their pages and tables in order."""
+    pages = invoice_pages(spark, sf)
     texts = pages.select("doc_id", "page_number", F.col("md").alias("text"))
-    numbered = tb.numbered_tables(tb.detect_header(_raw(pages)))
-    return prompts.document_text(texts, numbered, max_chars)
+    return prompts.document_text(texts, tb.numbered_tables(tb.detect_header(_raw(pages))), 1)
+
+
+def _cut(spark, sf):
+    cut = prompts.cut_text(_text_parts(spark, sf), 900)
+    return cut.groupBy("doc_id").agg(F.sum(F.length("text")).alias("n_chars"), F.max("part_no").alias("last_part"))
 
 
 def _prompts(spark, sf):
-    schema = load_schema("generic_invoice")
-    named = prompts.schema_prompts(_doc_text(spark, sf), schema)
-    lines = F.array(*[F.lit(f"\n  - {n} (") for n in schema.field_names])
-    return named.select(
-        "doc_id",
-        F.size(F.filter(lines, lambda n: F.col("prompt").contains(n))).alias("n_fields"),
-        F.regexp_count("prompt", F.lit("REQUIRED")).alias("n_required"),
-        F.col("prompt").contains(F.concat(F.lit("Invoice Number: INV-"), F.col("doc_id").cast("string"))).alias("has_text"),
-    )
+    texts = prompts.requests(_doc_text(spark, sf), 400).withColumn("document_type", document_type())
+    return prompts.schema_prompts(texts, load_schemas(spark))
 
 
 def _workbook(spark, sf):
-    pages = _stored_pages(spark, sf)
+    """All sheets; the tables of every fifth document are left out, so that its pages are listed."""
+    pages = invoice_pages(spark, sf)
     summary = batch.document_counts(pages).select(
-        "doc_id",
-        F.array("source_file", *[F.col(c).cast("string") for c in ("pages", "tables_found", "fields_found")]).alias("values"),
+        "doc_id", "source_file", F.lit("unknown").alias("document_type"), "pages", "tables_found", "fields_found",
+        F.col("warnings_count").alias("warnings"), F.lit(EXTRACTED_AT).alias("extracted_at"),
+        F.lit("markdown_import").alias("extraction_method"),
     )
     texts = pages.select(
         "doc_id", "page_number", F.col("md").alias("text"), F.lit("markdown_import").alias("extraction_method")
     )
     found = fields.key_values(pages, "md", markdown=True)
-    numbered = tb.numbered_tables(tb.detect_header(_raw(pages)))
-    book = batch.document_workbook(summary, found, numbered, texts, _ragged(pages))
-    return book.groupBy("sheet").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(F.size("values")).alias("n_values"),
-        F.countDistinct("doc_id").alias("n_docs"),
-    )
+    numbered = tb.numbered_tables(tb.detect_header(_raw(pages))).filter(F.col("doc_id") % 5 != 0)
+    book = batch.document_workbook(summary, found, numbered, texts, ragged(pages))
+    return book.withColumn("values", F.array_join("values", "|"))
+
+
+def _csv_files(spark, sf):
+    """Write a CSV file per table and read them back."""
+    folder = work_folder(spark, "tables")
+    write_files(tb.table_csv_files(_numbered(spark, sf)), folder).count()
+    back = spark.read.option("pathGlobFilter", "*.csv").text(folder, wholetext=True)
+    return back.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("content"))
 
 
 def _json_artifacts(spark, sf):
@@ -192,6 +196,30 @@ def _json_artifacts(spark, sf):
                           (back["doc_id"] == F.col("doc_id")).alias("round_trip"))
 
 
+def _document_artifacts(spark, sf):
+    """Documents with pages and tables as JSON and back."""
+    pages = invoice_pages(spark, sf)
+    texts = pages.select("doc_id", "page_number", F.col("md").alias("text"))
+    numbered = tb.numbered_tables(tb.detect_header(_raw(pages)))
+    back = batch.read_document_artifacts(batch.document_artifacts(_documents(spark, sf), texts, numbered))
+    return back.select(
+        "doc_id", "source_file", "page_count", F.array_join(F.transform("pages", lambda p: p["text"]), "\n").alias("text"),
+        F.array_join(F.transform("tables", lambda t: F.concat_ws(":", t["table_idx"], t["page_number"], F.coalesce(F.array_join(t["columns"], "|"), F.lit("")), F.size(t["rows"]))), ";").alias("tables"),
+    )
+
+
+def _with_records(spark, sf):
+    """Counts of fresh and resumed documents, the model's warnings added to the fresh ones."""
+    from docframe.operators import records as rec
+    from docframe.plans.corpora import responses
+
+    found = rec.validated_records(responses(spark, sf), load_schemas(spark))
+    resumed = invoice_headers(spark, sf).select("doc_id").filter(F.col("doc_id") % 4 == 1)
+    return batch.with_records(_counts(spark, sf), found, resumed).withColumn(
+        "extraction_methods", F.array_join("extraction_methods", "+")
+    )
+
+
 def _pairing(spark, sf):
     record = _fields(spark, sf).groupBy("doc_id").agg(F.count(F.lit(1)).alias("fields_found"))
     return batch.doc_record_join(_documents(spark, sf), record).select(
@@ -214,15 +242,17 @@ QUERIES = {
     "fields_csv": lambda s, d: batch.fields_csv(_fields(s, d), "heuristic"),
     "heuristic_record": _heuristic,
     "schema_guided_fields": _schema_fields,
-    "unmatched_keys": lambda s, d: fields.unexpected_keys(
-        _pairs(s, d), schema_aliases(s, load_schema("generic_invoice"))
-    ),
+    "unmatched_keys": lambda s, d: fields.unexpected_keys(_pairs(s, d), load_schemas(s)["invoice"].aliases),
     "typed_record": _typed,
     "reconcile_totals": _reconcile,
     "document_counts": _counts,
-    "batch_warnings": lambda s, d: batch.batch_warnings(_ragged(invoice_pages(s, d))),
+    "batch_warnings": lambda s, d: batch.batch_warnings(ragged(invoice_pages(s, d))),
     "document_text": _doc_text,
-    "document_text_cut": lambda s, d: _doc_text(s, d, max_chars=300),
+    "document_text_parts": _text_parts,
+    "document_text_cut": _cut,
+    "table_csv_files": _csv_files,
+    "document_artifacts": _document_artifacts,
+    "counts_with_records": _with_records,
     "schema_prompts": _prompts,
     "document_workbook": _workbook,
     "json_artifacts": _json_artifacts,
@@ -334,6 +364,7 @@ texts AS (
   FROM (SELECT *, 0 AS part FROM page_md UNION ALL SELECT *, 1 AS part FROM table_text) GROUP BY doc_id
 )"""
 
+CSV = """CASE WHEN regexp_matches(c, '[",\\r\\n]') THEN concat('"', replace(c, '"', '""'), '"') ELSE c END"""
 WITH = f"WITH {ITEMS}"
 COUNTS = f"""{ITEMS},
 counts AS (
@@ -373,7 +404,8 @@ ORACLES = {
     "fields_csv": f"""{WITH} SELECT doc_id, first_page, first_line, key AS field_name, value,
         'heuristic' AS extraction_method FROM found""",
     "heuristic_record": f"""{WITH} SELECT doc_id, 'field' AS kind, first_page AS page_number, first_line AS a, 0 AS b, key, value FROM found
-        UNION ALL SELECT doc_id, 'item', page_number, 1, row_index, key, value FROM dicts""",
+        UNION ALL SELECT doc_id, 'item', page_number, 1, row_index, key, value FROM dicts
+        UNION ALL SELECT doc_id, 'warning', 1, 0, 0, 'RAGGED_TABLE', 'rows differ in width' FROM ragged""",
     "schema_guided_fields": f"WITH {SCHEMA_FOUND} SELECT * FROM schema_found",
     "unmatched_keys": f"{WITH} SELECT doc_id, key FROM found WHERE key IN ('Status', 'Reference')",
     "typed_record": f"""{WITH} SELECT doc_id,
@@ -381,25 +413,72 @@ ORACLES = {
         invoice_date, concat('Vendor-', c_nationkey) AS vendor_name, c_name AS client_name,
         CASE WHEN doc_id % 10 <> 0 THEN CAST(total_value AS DOUBLE) END AS total_amount, '' AS payment_terms,
         'Value of ''payment_terms'' is no date' AS warnings FROM heads""",
-    "reconcile_totals": f"""{WITH} SELECT h.doc_id, CAST(s AS DOUBLE) AS items_total, CAST(total_value AS DOUBLE) AS total,
-        CAST(total_value - s AS DOUBLE) AS difference FROM heads h JOIN (
-          SELECT n.doc_id, sum(CASE WHEN len(cells) = 4 AND len(names) = 4 THEN amount_value END) AS s FROM names n GROUP BY n.doc_id
+    "reconcile_totals": f"""{WITH} SELECT h.doc_id, CASE WHEN h.doc_id % 13 <> 5 AND h.doc_id % 29 = 7 THEN -1e18 ELSE CAST(s AS DOUBLE) END AS items_total,
+        CAST(total_value AS DOUBLE) AS total,
+        CASE WHEN h.doc_id % 13 <> 5 AND h.doc_id % 29 = 7 THEN -1e18 ELSE CAST(total_value - s AS DOUBLE) END AS difference,
+        CASE WHEN h.doc_id % 13 <> 5 AND h.doc_id % 29 = 7 THEN c ELSE 0 END AS unread FROM heads h JOIN (
+          SELECT n.doc_id, sum(CASE WHEN len(cells) = 4 AND len(names) = 4 THEN amount_value END) AS s,
+            count(*) FILTER (len(cells) = 4 AND len(names) = 4) AS c FROM names n GROUP BY n.doc_id
           HAVING count(*) FILTER (len(cells) = 4 AND len(names) = 4) > 0) i
         ON h.doc_id = i.doc_id WHERE h.doc_id % 10 <> 0""",
     "document_counts": f"WITH {COUNTS} SELECT * FROM counts",
     "batch_warnings": f"""{WITH} SELECT concat('invoice_', doc_id, '.pdf') AS source_file, 'RAGGED_TABLE' AS code,
         'rows differ in width' AS message, '1' AS page_number FROM ragged""",
-    "document_text": f"{WITH}, {DOC_TEXT} SELECT doc_id, text FROM texts",
-    "document_text_cut": f"{WITH}, {DOC_TEXT} SELECT doc_id, substring(text, 1, 300) AS text FROM texts",
-    "schema_prompts": f"{WITH} SELECT doc_id, 12 AS n_fields, 4 AS n_required, true AS has_text FROM heads",
-    "document_workbook": f"""WITH {COUNTS},
-        book AS (
-          SELECT doc_id, 'Summary' AS sheet, 4 AS n FROM counts
-          UNION ALL SELECT doc_id, 'Summary', 2 FROM found
-          UNION ALL SELECT doc_id, concat('Table_', lpad(CAST(page_number AS VARCHAR), 3, '0')), 1 + len(cells) FROM cells
-          UNION ALL SELECT doc_id, 'Warnings', 3 FROM ragged)
-        SELECT sheet, count(*) AS n_rows, sum(n) AS n_values, count(DISTINCT doc_id) AS n_docs FROM book GROUP BY sheet""",
+    "document_text": f"{WITH}, {DOC_TEXT} SELECT doc_id, 0 AS part_no, text FROM texts",
+    "document_text_parts": f"""{WITH}, {DOC_TEXT} SELECT p.doc_id, CAST(p.page_number - 1 AS INTEGER) AS part_no,
+        concat(p.md, chr(10), chr(10), t.md) AS text FROM page_md p JOIN table_text t ON p.doc_id = t.doc_id AND p.page_number = t.page_number""",
+    "document_text_cut": f"""{WITH}, {DOC_TEXT}, cut AS (
+          SELECT p.doc_id, p.page_number - 1 AS part_no, length(p.md) + 2 + length(t.md) AS n,
+            900 - coalesce(sum(length(p.md) + 4 + length(t.md)) OVER (PARTITION BY p.doc_id ORDER BY p.page_number
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room
+          FROM page_md p JOIN table_text t ON p.doc_id = t.doc_id AND p.page_number = t.page_number)
+        SELECT doc_id, CAST(sum(least(n, room)) AS BIGINT) AS n_chars, CAST(max(part_no) AS INTEGER) AS last_part FROM cut WHERE room > 0 GROUP BY doc_id""",
+    "schema_prompts": "",
+    "table_csv_files": f"""{WITH} SELECT concat('invoice_', doc_id, '__table_', lpad(CAST(page_number AS VARCHAR), 3, '0'), '.csv') AS file,
+        concat('page,', array_to_string(list_transform(any_value(names), lambda c: {CSV}), ','), chr(10),
+          string_agg(concat(page_number, ',', array_to_string(list_transform(cells, lambda c: {CSV}), ',')), chr(10) ORDER BY rn), chr(10)) AS content
+        FROM names GROUP BY doc_id, page_number""",
+    "document_artifacts": f"""{WITH}, {DOC_TEXT}, t AS (
+          SELECT doc_id, string_agg(concat(page_number, ':', page_number, ':', CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'Description|Quantity|Unit Price|Amount' END, ':', n), ';' ORDER BY page_number) AS tables
+          FROM (SELECT doc_id, page_number, count(*) AS n FROM items GROUP BY 1, 2) GROUP BY doc_id)
+        SELECT h.doc_id, source_file, page_count, p.text, tables FROM heads h
+        JOIN (SELECT doc_id, string_agg(md, chr(10) ORDER BY page_number) AS text FROM page_md GROUP BY doc_id) p ON h.doc_id = p.doc_id
+        JOIN t ON h.doc_id = t.doc_id""",
+    "counts_with_records": f"""WITH {COUNTS},
+        told AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 = 3 THEN 1 WHEN o_orderkey % 10 = 6 THEN 2 ELSE 0 END
+            + CASE WHEN o_orderkey % 6 = 0 THEN 1 ELSE 0 END + CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END
+            + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END + CASE WHEN o_orderkey % 8 = 0 THEN 1 ELSE 0 END AS w
+          FROM orders WHERE o_orderkey % 11 <> 0)
+        SELECT doc_id, source_file, pages, tables_found, fields_found, doc_id % 4 = 1 AS resumed,
+          warnings_count + CASE WHEN doc_id % 4 = 1 THEN 0 ELSE coalesce(w, 0) END AS warnings_count,
+          CASE WHEN w IS NULL THEN 'markdown_import' ELSE 'markdown_import+llm' END AS extraction_methods
+        FROM counts LEFT JOIN told ON doc_id = k""",
+    "document_workbook": f"""WITH {COUNTS}, {DOC_TEXT}
+        SELECT doc_id, 'Summary' AS sheet, -1 AS a, 0 AS b, concat_ws('|', source_file, doc_id, 'unknown', pages, tables_found, fields_found,
+          warnings_count, '{EXTRACTED_AT}', 'markdown_import') AS values FROM counts
+        UNION ALL SELECT doc_id, 'Summary', first_page, first_line, concat(key, '|', value) FROM found
+        UNION ALL SELECT doc_id, concat('Table_', lpad(CAST(page_number AS VARCHAR), 3, '0')), on_page, 0,
+          concat(page_number, '|', array_to_string(cells, '|')) FROM cells WHERE doc_id % 5 <> 0
+        UNION ALL SELECT doc_id, 'Pages', page_number, 0, concat(page_number, '|', md, '|markdown_import') FROM page_md WHERE doc_id % 5 = 0
+        UNION ALL SELECT doc_id, 'Warnings', 1, 0, 'RAGGED_TABLE|rows differ in width|1' FROM ragged""",
     "json_artifacts": f"""{WITH} SELECT doc_id, concat('{{"doc_id":', doc_id, ',"source_file":"', source_file,
         '","page_count":', page_count, ',"document_type":"unknown"}}') AS json, page_count, true AS round_trip FROM heads""",
     "doc_record_join": f"WITH {COUNTS} SELECT doc_id, source_file, pages AS page_count, fields_found FROM counts",
 }
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _prompts_sql() -> str:
+    """The requests, with the instructions of the bundled schemas as texts."""
+    from docframe.sources.schemas import local_schemas
+
+    told = {k: _sql_text(prompts.instructions(v)) for k, v in local_schemas().items()}
+    return f"""{WITH}, {DOC_TEXT}, cut AS (SELECT doc_id, text, unnest(generate_series(0, greatest(1, CAST(ceil(length(text) / 400.0) AS INTEGER)) - 1)) AS n FROM texts)
+        SELECT doc_id, 0 AS part_no, CAST(n AS INTEGER) AS request_no, concat(CASE WHEN doc_id % 3 = 2 THEN {told['shipment']} ELSE {told['invoice']} END,
+          chr(10), substring(text, n * 400 + 1, 400)) AS prompt FROM cut"""
+
+
+ORACLES["schema_prompts"] = _prompts_sql()

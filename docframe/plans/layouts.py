@@ -32,8 +32,19 @@ def _candidates(spark, sf):
     return candidates(spark, sf), files(spark, sf)
 
 
+def _page_text(spark, sf):
+    """Pages from layout: a small table per box, then the blocks outside the boxes."""
+    boxes = table_boxes(spark, sf)
+    raw = boxes.select(
+        "doc_id", "page_number", F.when(F.col("x0") < 100, 1).otherwise(2).alias("page_table"),
+        F.array(F.array(F.lit("a"), F.lit("b")), F.array(F.lit("1"), F.col("doc_id").cast("string"))).alias("raw_rows"),
+    )
+    return layout.layout_page_text(layout_blocks(spark, sf), boxes, tables.table_to_markdown(raw))
+
+
 QUERIES = {
     "blocks_outside_tables": _outside,
+    "layout_page_text": _page_text,
     "page_provenance": lambda s, d: layout.page_provenance(layout_items(s, d)),
     "extraction_density": lambda s, d: layout.extraction_density(*_candidates(s, d)),
     "best_extraction": lambda s, d: layout.best_extraction(*_candidates(s, d)),
@@ -75,7 +86,7 @@ article AS (
     regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title FROM pages
 ),
 cand AS (
-  SELECT page_id AS doc_id, n_bytes, 'primary' AS method, substring(body, 1, page_id % 2000) AS text FROM article WHERE page_id % 7 <> 0
+  SELECT page_id AS doc_id, n_bytes, 'primary' AS method, CASE WHEN page_id % 3 = 0 THEN title ELSE body END AS text FROM article WHERE page_id % 7 <> 0
   UNION ALL SELECT page_id, n_bytes, 'secondary', CASE WHEN page_id % 5 = 0 THEN '  ' ELSE body END FROM article
   UNION ALL SELECT page_id, n_bytes, 'ocr', CASE WHEN page_id % 10 = 0 THEN '' ELSE title END FROM article
 ),
@@ -92,6 +103,13 @@ ORACLES = {
     "blocks_outside_tables": f"""WITH {BLOCKS} SELECT doc_id, page_number, block_no, x0, y0, text FROM blocks b
         WHERE text <> '' AND NOT EXISTS (SELECT 1 FROM boxes t WHERE t.doc_id = b.doc_id AND t.page_number = b.page_number
           AND b.x0 >= t.x0 - 2 AND b.y0 >= t.y0 - 2 AND b.x1 <= t.x1 + 2 AND b.y1 <= t.y1 + 2)""",
+    "layout_page_text": f"""WITH {BLOCKS}, outside AS (SELECT doc_id, page_number, 1 AS kind, block_no AS no, text FROM blocks b
+          WHERE text <> '' AND NOT EXISTS (SELECT 1 FROM boxes t WHERE t.doc_id = b.doc_id AND t.page_number = b.page_number
+            AND b.x0 >= t.x0 - 2 AND b.y0 >= t.y0 - 2 AND b.x1 <= t.x1 + 2 AND b.y1 <= t.y1 + 2)),
+        md AS (SELECT doc_id, page_number, 0 AS kind, CASE WHEN x0 < 100 THEN 1 ELSE 2 END AS no,
+          concat('| a | b |', chr(10), '| --- | --- |', chr(10), '| 1 | ', doc_id, ' |') AS text FROM boxes)
+        SELECT doc_id, CAST(page_number AS INTEGER) AS page_number, string_agg(text, concat(chr(10), chr(10)) ORDER BY kind, no, text) AS text
+        FROM (SELECT * FROM md UNION ALL SELECT * FROM outside) GROUP BY 1, 2""",
     "page_provenance": """WITH items AS (
           SELECT l_orderkey AS doc_id, p_name AS text, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey,
             l_suppkey, l_shipdate, l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) AS rn

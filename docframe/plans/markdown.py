@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docframe.functions.text import inline_plain_text
-from docframe.operators import cleanup, headings, quality, segments
-from docframe.plans.corpora import md_docs, raw_docs, spread, table
+from docframe.operators import assemble, cleanup, headings, quality, segments
+from docframe.plans import fragments as page_plans
+from docframe.plans.corpora import fragments, md_docs, raw_docs, spread, table
 from docframe.session import work_folder
-from docframe.sources.files import scan_markdown
+from docframe.sources.files import scan_markdown, write_markdown
 
 NL = "chr(10)"
 
@@ -34,21 +35,25 @@ raw_lines AS (
   FROM (SELECT doc_id, source, lang, string_split(text, {NL}) AS ls FROM documents)
 )"""
 
-MD_LINES = f"""{RAW_LINES},
+H = "(doc_id * 31 + (i - 1) * 17) % 13"
+MD_LINES = f"""
+md_lists AS (
+  SELECT doc_id, lang, CASE doc_id % 3 WHEN 0 THEN 6 WHEN 1 THEN 4 ELSE 0 END AS front, list_concat(
+    CASE doc_id % 3 WHEN 0 THEN ['---', concat('titolo: Documento ', doc_id), 'comune: Como', concat('tipo: ', lang), 'anno: 2020', '---', '']
+      WHEN 1 THEN ['---', concat('titolo: Documento ', doc_id), 'anno: 2020', '---'] ELSE [] END,
+    flatten(list_transform(string_split(text, {NL}), lambda line, i: list_concat(
+      CASE WHEN i = 1 THEN [] WHEN {H} = 0 THEN [concat('## Parte ', i - 1)] WHEN {H} = 1 THEN [concat('### Capo ', i - 1)]
+        WHEN {H} = 2 THEN [concat('#### Voce ', i - 1)] WHEN {H} = 3 THEN [concat('##### Nota ', i - 1)] WHEN {H} = 4 THEN ['']
+        WHEN {H} = 5 THEN [concat('| ', replace(line, '|', ''), ' |  | x', i - 1, ' |'), '|---|---|---|',
+          CASE WHEN (i - 1) % 4 = 0 THEN '| uno | due |' ELSE '| uno | *due* | tre |' END]
+        WHEN {H} = 6 THEN ['|---|---|']
+        WHEN {H} = 9 THEN [CASE WHEN (i - 1) % 2 = 0 THEN '![a](img/p.png)' ELSE '![b](http://x/p.png)' END]
+        WHEN {H} = 10 THEN [concat('<!-- UNREADABLE: page ', i - 1, ' -->')] ELSE [] END,
+      [CASE WHEN i = 1 THEN concat('# ', line) WHEN {H} = 7 THEN concat('- ', line) WHEN {H} = 8 THEN concat('**', line, '**')
+        ELSE line END])))) AS out FROM documents
+),
 md_lines AS (
-  SELECT doc_id, pos, CASE
-    WHEN pos = 0 THEN concat('# ', raw)
-    WHEN h = 0 THEN concat('## ', raw)
-    WHEN h = 1 THEN concat('### ', raw)
-    WHEN h = 2 THEN concat('#### ', raw)
-    WHEN h = 3 THEN concat('##### ', raw)
-    WHEN h = 4 THEN ''
-    WHEN h = 5 THEN concat('| ', replace(substring(raw, 1, 10), '|', ''), ' |  | x', pos, ' |')
-    WHEN h = 6 THEN '|---|---|'
-    WHEN h = 7 THEN concat('- ', raw)
-    WHEN h = 8 THEN concat('**', raw, '**')
-    ELSE raw END AS line
-  FROM (SELECT *, (doc_id * 31 + pos * 17) % 13 AS h FROM raw_lines)
+  SELECT doc_id, front, unnest(out) AS line, generate_subscripts(out, 1) - 1 AS pos FROM md_lists
 ),
 kept_lines AS (
   SELECT doc_id, pos, line FROM (
@@ -61,8 +66,8 @@ classified AS (
   SELECT doc_id, pos, s, CASE
     WHEN regexp_matches(s, '^#{{1,6}}\s+') THEN 'h'
     WHEN starts_with(s, '|') THEN CASE WHEN regexp_matches(s, '{SEP}') THEN 'b' ELSE 't' END
-    WHEN s = '' THEN 'b' ELSE 'p' END AS kind
-  FROM (SELECT doc_id, pos, trim(line) AS s FROM md_lines)
+    WHEN s = '' OR starts_with(s, '<!--') THEN 'b' ELSE 'p' END AS kind
+  FROM (SELECT doc_id, pos, trim(line) AS s FROM md_lines WHERE pos >= front)
 ),
 islands AS (
   SELECT *, sum(CASE WHEN kind = 'p' AND before = 'p' THEN 0 ELSE 1 END)
@@ -95,16 +100,23 @@ heads AS (
 )"""
 
 RAW_VARIANTS = f"""{RAW_LINES},
-variants AS (
+extra AS (
   SELECT doc_id, source, lang, pos, CASE
     WHEN pos % 11 = 10 THEN CAST(pos AS VARCHAR)
+    WHEN pos % 13 = 12 THEN concat('Rilascio della autorizzazione ', pos, ' dalla autorità competente')
     WHEN pos % 17 = 16 THEN concat('Copyright ', doc_id)
     WHEN pos % 19 = 18 THEN concat('ART. ', pos, ' ........ ', pos)
     WHEN pos % 23 = 22 THEN concat('TITOLO ', pos)
     WHEN pos % 29 = 28 THEN concat('ART. ', pos, ' Disposizioni')
     WHEN pos % 31 = 30 THEN concat(pos, '.1 Generale')
-    ELSE raw END AS line
+    WHEN pos % 37 = 36 THEN 'È vietato il deposito'
+    WHEN pos % 41 = 40 THEN 'Autori: A. Rossi'
+    WHEN pos % 43 = 42 THEN 'Vietata la riproduzione anche parziale' END AS line
   FROM raw_lines
+),
+variants AS (
+  SELECT doc_id, source, lang, 2 * pos AS place, pos, line FROM extra WHERE line IS NOT NULL
+  UNION ALL SELECT doc_id, source, lang, 2 * pos + 1, pos, raw FROM raw_lines
 )"""
 
 
@@ -113,14 +125,38 @@ def _cleaned(spark, sf, name, fn):
 
 
 def _scan_markdown(spark, sf):
-    """Write one text file per document to the shared folder and scan them back."""
+    """Write a Markdown file per document to the shared folder and scan them back."""
     folder = work_folder(spark, "markdown")
-    md_docs(spark, sf).select("md").write.option("maxRecordsPerFile", 1).option(
-        "lineSep", "\x00"
-    ).text(folder)
-    content = F.rtrim("md", F.lit("\x00"))
-    return scan_markdown(spark, folder, ".txt").select(
-        F.length(content).alias("n_chars"), F.md5(content).alias("digest")
+    named = md_docs(spark, sf).select(F.concat(F.lit("doc_"), "doc_id").alias("source_file"), "md")
+    write_markdown(named, folder).count()
+    return scan_markdown(spark, folder).select("source_file", "md", (F.length("doc_id") == 32).alias("keyed"))
+
+
+def _parts(spark, sf):
+    """Documents of two pages a part, as ``md_documents`` gives them."""
+    return assemble.md_documents(assemble.clean_fragments(fragments(spark, sf)), 2).drop("source_file")
+
+
+def _pieces(df, no, *columns):
+    """Sections or chunks of documents in parts, their pieces put together."""
+    text = columns[-1]
+    return df.groupBy("doc_id", no).agg(
+        *[F.min(c).alias(c) for c in columns[:-1] if c != "last_line"],
+        F.max("last_line").alias("last_line"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("piece_no", text))), lambda p: p[text]), "\n").alias(text),
+    )
+
+
+def _tmx_parts(spark, sf):
+    tmx = segments.tmx_documents(_parts(spark, sf), "it", "en", "20250101T000000Z")
+    return tmx.groupBy("doc_id").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part_no", "tmx"))), lambda p: p["tmx"]), "").alias("tmx")
+    )
+
+
+def _checks(spark, sf, docs=None):
+    return quality.quality_checklist(md_docs(spark, sf) if docs is None else docs).withColumn(
+        "unreadable_pages", F.array_join(F.col("unreadable_pages").cast("array<string>"), ",")
     )
 
 
@@ -152,10 +188,22 @@ QUERIES = {
     "classify_headings": lambda s, d: _cleaned(
         s, d, "text", lambda c: cleanup.classify_headings(cleanup.normalize_toc(c))
     ),
-    "quality_checklist": lambda s, d: quality.quality_checklist(md_docs(s, d)),
+    "quality_checklist": _checks,
+    "segments_of_parts": lambda s, d: segments.segments(_parts(s, d)),
+    "tmx_of_parts": _tmx_parts,
+    "heading_skips_of_parts": lambda s, d: headings.heading_skips(
+        assemble.assemble_documents(assemble.clean_fragments(fragments(s, d)), 2)
+    ),
+    "sections_of_parts": lambda s, d: _pieces(
+        headings.sections(_parts(s, d)), "section_no", "level", "title", "path", "first_line", "last_line", "body"
+    ),
+    "chunks_of_parts": lambda s, d: _pieces(
+        headings.chunks(_parts(s, d), lines_per_chunk=10), "chunk_no", "first_line", "last_line", "text"
+    ),
+    "checklist_of_parts": lambda s, d: _checks(s, d, _parts(s, d)),
     "corpus_quality": lambda s, d: quality.corpus_quality(
         quality.quality_checklist(md_docs(s, d)),
-        table(s, d, "documents").select("doc_id", F.col("lang").alias("kind")),
+        md_docs(s, d).select("doc_id", F.coalesce(F.nullif(F.regexp_extract("md", r"\Atipo: (.*)|\ntipo: (.*)", 2), F.lit("")), F.lit("UNKNOWN")).alias("kind")),
     ),
     "line_diff": lambda s, d: quality.line_diff(
         md_docs(s, d), headings.fix_heading_skips(md_docs(s, d))
@@ -199,9 +247,12 @@ uneven AS (
   GROUP BY doc_id
 ),
 checks AS (
-  SELECT d.doc_id, coalesce(one_title, false) AS one_title, coalesce(no_skips, true) AS no_skips,
-    NOT coalesce(bad, false) AS tables_consistent, true AS images_relative, 0 AS unreadable_pages
+  SELECT d.doc_id, d.doc_id % 3 = 0 AS front_matter, coalesce(one_title, false) AS one_title, coalesce(no_skips, true) AS no_skips,
+    NOT coalesce(bad, false) AS tables_consistent, NOT coalesce(linked, false) AS images_relative, coalesce(pages, '') AS unreadable_pages
   FROM documents d LEFT JOIN outline o ON d.doc_id = o.doc_id LEFT JOIN uneven u ON d.doc_id = u.doc_id
+  LEFT JOIN (SELECT doc_id, bool_or(line = '![b](http://x/p.png)') AS linked,
+      string_agg(regexp_extract(line, 'page (\d+) -->', 1), ',' ORDER BY pos) FILTER (starts_with(line, '<!-- UNREADABLE')) AS pages
+    FROM kept_lines GROUP BY doc_id) m ON d.doc_id = m.doc_id
 )"""
 
 WORDS = r"""
@@ -233,33 +284,7 @@ repeated AS (
   HAVING count(DISTINCT page_number) >= 3 AND count(DISTINCT page_number) >= total * 0.1
 )"""
 
-ORACLES = {
-    "segments": f"WITH {SEGMENTS} SELECT * FROM numbered",
-    "table_row_segments": f"""WITH {MD_LINES} SELECT doc_id, CAST(pos + 1 AS INTEGER) AS line_no, segment FROM (
-        SELECT doc_id, pos, s, {ROW} AS segment FROM (SELECT doc_id, pos, trim(line) AS s FROM md_lines)
-        WHERE starts_with(s, '|') AND NOT regexp_matches(s, '{SEP}')) WHERE segment <> ''""",
-    "tmx_units": f"WITH {SEGMENTS} SELECT doc_id, tuid, {UNIT} AS unit FROM numbered",
-    "tmx_documents": f"""WITH {SEGMENTS} SELECT doc_id, concat(
-        '<?xml version="1.0" encoding="utf-8"?>', {NL}, '<!DOCTYPE tmx SYSTEM "tmx14.dtd">', {NL},
-        '<tmx version="1.4">', {NL},
-        '  <header creationtool="docframe" creationtoolversion="1.0"', {NL},
-        '          datatype="plaintext" segtype="paragraph"', {NL},
-        '          adminlang="en-US" srclang="it"', {NL},
-        '          creationdate="20250101T000000Z"/>', {NL}, '  <body>', {NL},
-        string_agg({UNIT}, '' ORDER BY tuid), '  </body>', {NL}, '</tmx>', {NL}) AS tmx
-        FROM numbered GROUP BY doc_id""",
-    "translation_csv": f"WITH {SEGMENTS} SELECT doc_id, tuid AS id, segment AS it, '' AS en FROM numbered",
-    "inline_plain_text": f"""SELECT page_id,
-        {plain_sql("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS title,
-        {plain_sql("regexp_replace(html, '<[^>]*>', ' ', 'g')")} AS text FROM pages""",
-    "heading_skips": f"""WITH {HEADS} SELECT doc_id, CAST(pos + 1 AS INTEGER) AS line_no,
-        CAST(previous AS INTEGER) AS previous_level, CAST(level AS INTEGER) AS level,
-        concat('Line ', pos + 1, ': heading level skips from ', previous, ' to ', level, ' — ''', trim(line), '''') AS message
-        FROM heads WHERE level > previous + 1""",
-    "fix_heading_skips": f"""WITH {FIXED}
-        SELECT doc_id, string_agg(line, {NL} ORDER BY pos, sub) AS md FROM fixed GROUP BY doc_id""",
-    "sections": rf"""WITH {HEADS},
-        ends AS (SELECT doc_id, max(pos) AS last_pos FROM kept_lines GROUP BY doc_id),
+SECTIONS = rf"""ends AS (SELECT doc_id, max(pos) AS last_pos FROM kept_lines GROUP BY doc_id),
         cut AS (SELECT h.doc_id, h.pos, h.level, trim(regexp_replace(line, '^#+\s+', '')) AS title,
             coalesce(next_pos - 1, last_pos) AS end_pos,
             row_number() OVER (PARTITION BY h.doc_id ORDER BY h.pos) AS section_no
@@ -277,41 +302,72 @@ ORACLES = {
         paths AS (SELECT doc_id, section_no, string_agg(title, ' > ' ORDER BY level) AS path
           FROM valid GROUP BY doc_id, section_no)
         SELECT c.doc_id, c.section_no, CAST(c.level AS INTEGER) AS level, c.title, p.path,
-          c.pos + 1 AS first_line, c.end_pos + 1 AS last_line, coalesce(b.body, '') AS body
+          CAST(c.pos + 1 AS INTEGER) AS first_line, CAST(c.end_pos + 1 AS INTEGER) AS last_line, coalesce(b.body, '') AS body
         FROM cut c JOIN paths p ON p.doc_id = c.doc_id AND p.section_no = c.section_no
-        LEFT JOIN bodies b ON b.doc_id = c.doc_id AND b.section_no = c.section_no""",
-    "chunks": f"""WITH {HEADS},
+        LEFT JOIN bodies b ON b.doc_id = c.doc_id AND b.section_no = c.section_no"""
+
+CHUNKS = f"""
         starts AS (SELECT doc_id, pos FROM heads UNION SELECT DISTINCT doc_id, 0 FROM kept_lines),
-        chunk_starts AS (SELECT doc_id, min(pos) AS pos FROM starts GROUP BY doc_id, pos // 20),
+        chunk_starts AS (SELECT doc_id, min(pos) AS pos FROM starts GROUP BY doc_id, pos // PER_CHUNK),
         bounds AS (SELECT doc_id, pos, row_number() OVER w - 1 AS chunk_no,
             lead(pos) OVER w AS next_pos FROM chunk_starts WINDOW w AS (PARTITION BY doc_id ORDER BY pos))
         SELECT b.doc_id, chunk_no, b.pos + 1 AS first_line, max(l.pos) + 1 AS last_line,
             string_agg(l.line, {NL} ORDER BY l.pos) AS text
         FROM bounds b JOIN kept_lines l ON l.doc_id = b.doc_id AND l.pos >= b.pos
             AND (next_pos IS NULL OR l.pos < next_pos)
-        GROUP BY b.doc_id, chunk_no, b.pos""",
-    "drop_boilerplate_lines": rf"""WITH {RAW_VARIANTS} SELECT doc_id, coalesce(string_agg(line, {NL} ORDER BY pos)
+        GROUP BY b.doc_id, chunk_no, b.pos"""
+
+ORACLES = {
+    "segments": f"WITH {SEGMENTS} SELECT * FROM numbered",
+    "table_row_segments": f"""WITH {MD_LINES} SELECT doc_id, CAST(pos + 1 AS INTEGER) AS line_no, segment FROM (
+        SELECT doc_id, pos, s, {ROW} AS segment FROM (SELECT doc_id, pos, trim(line) AS s FROM md_lines)
+        WHERE starts_with(s, '|') AND NOT regexp_matches(s, '{SEP}')) WHERE segment <> ''""",
+    "tmx_units": f"WITH {SEGMENTS} SELECT doc_id, tuid, {UNIT} AS unit FROM numbered",
+    "tmx_documents": f"""WITH {SEGMENTS} SELECT doc_id, concat(
+        '<?xml version="1.0" encoding="utf-8"?>', {NL}, '<!DOCTYPE tmx SYSTEM "tmx14.dtd">', {NL},
+        '<tmx version="1.4">', {NL},
+        '  <header creationtool="docframe" creationtoolversion="1.0"', {NL},
+        '          datatype="plaintext" segtype="paragraph"', {NL},
+        '          adminlang="en-US" srclang="it"', {NL},
+        '          creationdate="20250101T000000Z"/>', {NL}, '  <body>', {NL},
+        string_agg({UNIT}, '' ORDER BY tuid), '  </body>', {NL}, '</tmx>', {NL}) AS tmx
+        FROM numbered GROUP BY doc_id""",
+    "translation_csv": f"WITH {SEGMENTS} SELECT doc_id, tuid AS id, segment AS it, '' AS en FROM numbered",
+    "inline_plain_text": f"""SELECT page_id,
+        {plain_sql("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS title,
+        {plain_sql("regexp_replace(html, '<[^>]*>', ' ', 'g')")} AS text FROM pages""",
+    "heading_skips": f"""WITH {HEADS} SELECT doc_id, CAST(pos + 1 AS INTEGER) AS line_no,
+        CAST(previous AS INTEGER) AS previous_level, CAST(level AS INTEGER) AS level,
+        concat('Line ', pos + 1, ': heading level skips from ', previous, ' to ', level, ' — ''', trim(line), '''') AS message
+        FROM heads WHERE level > previous + 1""",
+    "fix_heading_skips": f"""WITH {FIXED}
+        SELECT doc_id, string_agg(line, {NL} ORDER BY pos, sub) AS md FROM fixed GROUP BY doc_id""",
+    "sections": f"WITH {HEADS}, {SECTIONS}",
+    "chunks": f"WITH {HEADS}, " + CHUNKS.replace("PER_CHUNK", "20"),
+    "drop_boilerplate_lines": rf"""WITH {RAW_VARIANTS} SELECT doc_id, coalesce(string_agg(line, {NL} ORDER BY place)
         FILTER (NOT regexp_matches(trim(line), '^\d+$')
-          AND NOT regexp_matches(lower(line), 'copyright|vietato|autori|estensori')), '') AS text
+          AND NOT regexp_matches(lower(line), '^\W*copyright\b|^\W*autori\s*:|\bvietata\b.*\briproduzione\b')), '') AS text
         FROM variants GROUP BY doc_id""",
     "normalize_toc": f"""WITH {RAW_VARIANTS} SELECT doc_id, string_agg(
         CASE WHEN line = concat('ART. ', pos, ' ........ ', pos) THEN concat('- ART. ', pos) ELSE line END,
-        {NL} ORDER BY pos) AS text FROM variants GROUP BY doc_id""",
+        {NL} ORDER BY place) AS text FROM variants GROUP BY doc_id""",
     "classify_headings": rf"""WITH {RAW_VARIANTS} SELECT doc_id, string_agg(CASE
         WHEN pos = 0 AND trim(line) <> '' THEN concat('# ', trim(line))
         WHEN line = concat('ART. ', pos, ' ........ ', pos) THEN concat('- ART. ', pos)
         WHEN regexp_matches(trim(line), '^TITOLO\s') THEN concat('## ', trim(line))
         WHEN regexp_matches(trim(line), '^(ART\.|CAPO\s)') THEN concat('### ', trim(line))
         WHEN regexp_matches(trim(line), '^\d+\.\d+\s') THEN concat('#### ', trim(line))
-        ELSE line END, {NL} ORDER BY pos) AS text FROM variants GROUP BY doc_id""",
+        ELSE line END, {NL} ORDER BY place) AS text FROM variants GROUP BY doc_id""",
     "quality_checklist": f"WITH {CHECKS} SELECT * FROM checks",
-    "corpus_quality": f"""WITH {CHECKS}
-        SELECT CASE WHEN grouping(lang) = 1 THEN 'all' ELSE lang END AS kind, count(*) AS documents,
+    "corpus_quality": f"""WITH {CHECKS}, kinds AS (
+          SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN lang ELSE 'UNKNOWN' END AS kind FROM documents)
+        SELECT CASE WHEN grouping(kind) = 1 THEN 'all' ELSE kind END AS kind, count(*) AS documents,
+          round(avg(CAST(front_matter AS INTEGER)), 6) AS front_matter,
           round(avg(CAST(one_title AS INTEGER)), 6) AS one_title, round(avg(CAST(no_skips AS INTEGER)), 6) AS no_skips,
           round(avg(CAST(tables_consistent AS INTEGER)), 6) AS tables_consistent,
-          round(avg(CAST(unreadable_pages = 0 AS INTEGER)), 6) AS all_readable,
+          round(avg(CAST(unreadable_pages = '' AS INTEGER)), 6) AS all_readable,
           round(avg(CAST(no_skips AS INTEGER)), 6) >= 0.9 AS accepted
-        FROM checks c JOIN documents d ON c.doc_id = d.doc_id GROUP BY ROLLUP (lang)""",
+        FROM checks c JOIN kinds k ON c.doc_id = k.doc_id GROUP BY ROLLUP (kind)""",
     "line_diff": f"""WITH {FIXED}, a AS (SELECT doc_id, line, count(*) AS n FROM kept_lines GROUP BY 1, 2),
         b AS (SELECT doc_id, line, count(*) AS n FROM fixed GROUP BY 1, 2)
         SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, coalesce(a.line, b.line) AS line,
@@ -335,6 +391,35 @@ ORACLES = {
         SELECT doc_id, page_number, coalesce(string_agg(raw, {NL} ORDER BY pos)
           FILTER (first_page IS NULL OR (first_page = page_number AND nth = 1)), '') AS text
         FROM marked GROUP BY doc_id, page_number""",
-    "scan_markdown": f"""WITH {MD_LINES} SELECT length(md) AS n_chars, md5(md) AS digest
-        FROM (SELECT doc_id, string_agg(line, {NL} ORDER BY pos) AS md FROM md_lines GROUP BY doc_id)""",
+    "scan_markdown": f"""WITH {MD_LINES} SELECT concat('doc_', doc_id, '.md') AS source_file,
+        string_agg(line, {NL} ORDER BY pos) AS md, true AS keyed FROM md_lines GROUP BY doc_id""",
+}
+
+# The same checks over documents that come in parts; the SQL knows whole ones only.
+WHOLE = f"""WITH {page_plans.FRAGMENTS}, {page_plans.META},
+whole AS (SELECT f.c AS doc_id, concat(head, f.body, {NL}) AS md, head FROM fixed f JOIN bodies b ON f.c = b.c),
+md_lines AS (
+  SELECT doc_id, 6 AS front, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS pos
+  FROM (SELECT doc_id, string_split(md, {NL}) AS ls FROM whole)
+),
+kept_lines AS (
+  SELECT doc_id, pos, line FROM (SELECT *, max(pos) OVER (PARTITION BY doc_id) AS last_pos FROM md_lines)
+  WHERE NOT (pos = last_pos AND line = '')
+)"""
+
+
+def _of_parts(sql: str) -> str:
+    """A query over ``md_lines`` of the documents table, over those of the assembled ones."""
+    return WHOLE + sql.removeprefix(f"WITH {MD_LINES}").replace("heads AS (", "outlines AS (").replace("heads", "outlines").replace("outoutlines", "outlines")
+
+
+ORACLES |= {
+    "segments_of_parts": _of_parts(ORACLES["segments"]),
+    "tmx_of_parts": _of_parts(ORACLES["tmx_documents"]),
+    "heading_skips_of_parts": _of_parts(ORACLES["heading_skips"]).replace("FROM fixed f JOIN bodies b ON f.c = b.c", "FROM bodies f JOIN bodies b ON f.c = b.c").replace("AS md, head FROM", "AS md, b.head FROM").replace("concat(head,", "concat(b.head,"),
+    "sections_of_parts": _of_parts(ORACLES["sections"].replace("bodies", "texts")),
+    "chunks_of_parts": _of_parts(f"WITH {HEADS}, " + CHUNKS.replace("PER_CHUNK", "10")),
+    "checklist_of_parts": _of_parts(f"WITH {CHECKS} SELECT * FROM checks").replace("documents d", "whole d").replace(
+        "d.doc_id % 3 = 0 AS front_matter", "(SELECT coalesce(m.comune, '') <> '' FROM meta m WHERE m.c = d.doc_id) AS front_matter"
+    ),
 }

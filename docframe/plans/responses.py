@@ -6,14 +6,21 @@ from pyspark.sql import functions as F
 
 from docframe.functions.text import strip_json_fences
 from docframe.operators import fields, records
-from docframe.plans.corpora import invoice_headers, invoice_pages, responses, table
-from docframe.sources.schemas import load_schema, schema_fields
+from docframe.plans.corpora import document_type, invoice_headers, invoice_pages, responses, table
+from docframe.plans.invoices import ITEMS, ragged
+from docframe.sources.schemas import bundled, load_schemas, schema_columns
 
-SCHEMA = "generic_invoice"
+SCHEMA = "invoice"
+# Columns of a summary template by letter.
+TEMPLATE = {"A": "file_name", "B": "document_type", "C": "invoice_number", "F": "total_amount", "H": "review_status"}
 
 
 def _records(spark, sf):
-    return records.validated_records(responses(spark, sf), load_schema(SCHEMA))
+    return records.validated_records(responses(spark, sf), load_schemas(spark))
+
+
+def _invoices(spark, sf):
+    return _records(spark, sf).filter(F.col("document_type") == SCHEMA)
 
 
 def _files(spark, sf):
@@ -23,55 +30,73 @@ def _files(spark, sf):
     )
 
 
+def _confidence_text():
+    return F.coalesce(F.round("confidence", 6).cast("string"), F.lit(""))
+
+
 def _validated(spark, sf):
     return _records(spark, sf).select(
         "doc_id", "document_type", "extraction_method",
-        F.coalesce(F.round("confidence", 6).cast("string"), F.lit("")).alias("confidence"),
+        _confidence_text().alias("confidence"),
         F.size("fields").alias("n_fields"),
         F.size("line_items").alias("n_items"),
         F.array_join("warnings", ";").alias("warnings"),
     )
 
 
+def _documents(spark, sf):
+    return invoice_headers(spark, sf).select("doc_id").withColumn("document_type", document_type())
+
+
+def _heuristic(spark, sf):
+    """Heuristic rows of the documents that fall back, and of no others."""
+    def of(docs):
+        pages = invoice_pages(spark, sf).join(docs, "doc_id", "left_semi")
+        return fields.heuristic_record(pages, ragged(pages))
+
+    return of
+
+
 def _fallback(spark, sf):
-    heuristic = fields.key_values(invoice_pages(spark, sf), "md", markdown=True)
-    docs = invoice_headers(spark, sf).select("doc_id")
-    rows = records.record_with_fallback(docs, responses(spark, sf), heuristic, load_schema(SCHEMA))
+    """One answer in 17 is missing."""
+    answers = responses(spark, sf).filter(F.col("doc_id") % 17 != 0)
+    rows = records.record_with_fallback(_documents(spark, sf), answers, _heuristic(spark, sf), load_schemas(spark))
     return rows.select(
-        "doc_id", "extraction_method", "document_type",
-        F.coalesce("warning", F.lit("")).alias("warning"),
-        F.coalesce("name", F.lit("")).alias("name"),
-        F.coalesce("value", F.lit("<null>")).alias("value"),
+        "doc_id", "kind", "page_number", "a", "b", "key",
+        F.coalesce(F.when((F.col("kind") == "record") & (F.col("key") == "confidence"), F.round(F.col("value").cast("double"), 6).cast("string")).otherwise(F.col("value")), F.lit("<null>")).alias("value"),
     )
 
 
 def _coverage(spark, sf):
-    """How many records fill each field of the schema."""
-    schema = load_schema(SCHEMA)
+    """How many records fill each field of the schemas."""
     filled = (
-        records.record_fields(_records(spark, sf))
+        explode_fields(_records(spark, sf))
         .filter(F.trim("value") != "")
-        .groupBy("name")
+        .groupBy("document_type", "name")
         .agg(F.count(F.lit(1)).alias("n_filled"))
     )
-    return schema_fields(spark, schema).join(filled, "name", "left").select(
+    columns = schema_columns(bundled(spark)).filter("part = 'field'")
+    return columns.join(filled, ["document_type", "name"], "left").select(
         "document_type", "ord", "name", "type", "required",
         F.coalesce("n_filled", F.lit(0)).alias("n_filled"),
     )
 
 
+def explode_fields(found):
+    return found.select("document_type", F.explode("fields").alias("name", "value"))
+
+
 def _wide(spark, sf):
-    schema = load_schema(SCHEMA)
-    out = records.summary_wide(_records(spark, sf), _files(spark, sf), schema)
-    text = [c for c in schema.field_names]
+    schema = load_schemas(spark)[SCHEMA]
+    out = records.summary_wide(_invoices(spark, sf), _files(spark, sf), schema)
     return out.select(
-        "file_name", "document_type", *[F.coalesce(c, F.lit("")).alias(c) for c in text],
-        F.coalesce(F.round("confidence", 6).cast("string"), F.lit("")).alias("confidence"), "review_status",
+        "file_name", "document_type", *[F.coalesce(c, F.lit("")).alias(c) for c in schema.names],
+        _confidence_text().alias("confidence"), "review_status",
     )
 
 
 def _items_wide(spark, sf):
-    out = records.line_items_wide(_records(spark, sf), _files(spark, sf), load_schema(SCHEMA), "invoice_number")
+    out = records.line_items_wide(_invoices(spark, sf), _files(spark, sf), load_schemas(spark)[SCHEMA], "invoice_number")
     return out.select(
         "file_name", "document_id", "invoice_number", "item_no",
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("description", "quantity", "unit_price", "amount")],
@@ -79,18 +104,30 @@ def _items_wide(spark, sf):
 
 
 def _confidence(spark, sf):
-    v = F.col("value")
-    text = F.when(F.col("event_id") % 10 == 0, F.lit("n/a")).otherwise((v / 100).cast("string"))
+    """Confidences as text: numbers, a word, a truth value and a number with a suffix."""
+    e = F.col("event_id")
+    number = (F.col("value") / 100).cast("string")
+    text = (
+        F.when(e % 10 == 0, F.lit("n/a")).when(e % 10 == 1, F.lit("true")).when(e % 10 == 2, F.concat(number, F.lit("d")))
+        .when(e % 10 == 3, F.concat(F.lit(" "), number, F.lit(" "))).otherwise(number)
+    )
     return table(spark, sf, "events").select(
         "event_id", F.coalesce(F.round(records.clamp_confidence(text), 9), F.lit(-1.0)).alias("confidence")
     )
 
 
+def _artifacts(spark, sf):
+    """Records as JSON and back."""
+    found = _records(spark, sf)
+    back = records.read_record_artifacts(records.record_artifacts(found))
+    return back.select(
+        "doc_id", "document_type", F.size("fields").alias("n_fields"), F.size("line_items").alias("n_items"),
+        F.array_join("warnings", ";").alias("warnings"), _confidence_text().alias("confidence"), "extraction_method",
+    )
+
+
 QUERIES = {
-    "strip_json_fences": lambda s, d: responses(s, d).select(
-        "doc_id", F.length(strip_json_fences(F.col("raw"))).alias("n_chars"),
-        strip_json_fences(F.col("raw")).startswith("{").alias("bare"),
-    ),
+    "strip_json_fences": lambda s, d: responses(s, d).select("doc_id", strip_json_fences(F.col("raw")).alias("text")),
     "parse_responses": lambda s, d: records.parse_responses(responses(s, d)).select("doc_id", "valid"),
     "raw_responses": lambda s, d: records.raw_responses(responses(s, d)).select(
         "doc_id", "valid", (F.get_json_object("raw_json", "$.raw") == F.col("raw")).alias("round_trip")
@@ -108,104 +145,138 @@ QUERIES = {
     "record_with_fallback": _fallback,
     "summary_wide": _wide,
     "line_items_wide": _items_wide,
+    "summary_by_letter": lambda s, d: records.by_letter(_wide(s, d), TEMPLATE),
+    "record_artifacts": _artifacts,
     "load_schema": _coverage,
 }
 
 RESP = """
 base AS (
-  SELECT o_orderkey AS k, o_orderkey % 11 <> 0 AS valid, strftime(o_orderdate, '%Y-%m-%d') AS d,
-    CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS total
-  FROM orders WHERE o_orderkey % 17 <> 0
+  SELECT *, kind = 'shipment' AS ship, CASE WHEN k % 6 = 0 THEN '  ' ELSE concat('Vendor-', k % 25) END AS party FROM (
+    SELECT o_orderkey AS k, o_orderkey % 11 <> 0 AS valid, strftime(o_orderdate, '%Y-%m-%d') AS d,
+      CASE WHEN o_orderkey % 3 = 2 THEN 'shipment' ELSE 'invoice' END AS kind,
+      CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS total
+    FROM orders)
 ),
 rec AS (SELECT * FROM base WHERE valid),
 filled AS (
-  SELECT k, unnest([
-    {'n': 'invoice_number', 'v': concat('INV-', k)}, {'n': 'invoice_date', 'v': d},
-    {'n': 'vendor_name', 'v': CASE WHEN k % 6 = 0 THEN '  ' ELSE concat('Vendor-', k % 25) END},
+  SELECT k, kind, unnest([
+    {'n': CASE WHEN ship THEN 'load_number' ELSE 'invoice_number' END, 'v': concat('INV-', k)},
+    {'n': CASE WHEN NOT ship THEN 'invoice_date' END, 'v': d},
+    {'n': CASE WHEN ship THEN 'carrier' ELSE 'vendor_name' END, 'v': party},
     {'n': CASE WHEN k % 5 <> 0 THEN 'total_amount' END,
      'v': CASE WHEN ends_with(total, '.00') THEN replace(total, '.00', '') ELSE CASE WHEN ends_with(total, '0') THEN left(total, length(total) - 1) ELSE total END END},
-    {'n': 'client_name', 'v': NULL}]) AS f FROM rec
+    {'n': CASE WHEN ship THEN 'pickup_date' ELSE 'client_name' END, 'v': NULL}]) AS f FROM rec
 ),
-flds AS (SELECT k, f.n AS name, f.v AS value FROM filled WHERE f.n IS NOT NULL),
+flds AS (SELECT k, kind, f.n AS name, f.v AS value FROM filled WHERE f.n IS NOT NULL),
 items AS (
-  SELECT k, i, concat('Item ', i) AS description, CAST((k + i) % 50 AS VARCHAR) AS quantity,
-    concat(k % 1000, '.', 10 + i) AS amount
+  SELECT k, ship, i, concat(CASE WHEN ship THEN 'Pallet ' ELSE 'Item ' END, i) AS description, CAST((k + i) % 50 AS VARCHAR) AS quantity,
+    CASE WHEN NOT ship THEN concat(k % 1000, '.', 10 + i) END AS amount
   FROM rec, generate_series(0, 3) AS g(i) WHERE i <= k % 4
 ),
 warned AS (
-  SELECT k, 1 AS o, 'low contrast' AS w FROM rec WHERE k % 10 = 3
-  UNION ALL SELECT k, 2, 'Required field missing or empty: ''vendor_name''' FROM rec WHERE k % 6 = 0
-  UNION ALL SELECT k, 3, 'Required field missing or empty: ''total_amount''' FROM rec WHERE k % 5 = 0
-  UNION ALL SELECT k, 4, 'Unexpected field ignored: ''bogus_field''' FROM rec WHERE k % 7 = 0
-  UNION ALL SELECT k, 5, 'Line item 0 is not a dict — skipped' FROM rec WHERE k % 8 = 0
+  SELECT k, 1 AS o, 'low contrast' AS w, '' AS about FROM rec WHERE k % 10 = 3
+  UNION ALL SELECT k, 1, 'Line item 3 has no readable price', '' FROM rec WHERE k % 10 = 6
+  UNION ALL SELECT k, 2, 'Required field missing on page 2', '' FROM rec WHERE k % 10 = 6
+  UNION ALL SELECT k, 3, concat('Required field missing or empty: ''', p, ''''), p
+    FROM (SELECT *, CASE WHEN ship THEN 'carrier' ELSE 'vendor_name' END AS p FROM rec) WHERE k % 6 = 0
+  UNION ALL SELECT k, 4, 'Required field missing or empty: ''total_amount''', 'total_amount' FROM rec WHERE k % 5 = 0
+  UNION ALL SELECT k, 5, 'Unexpected field ignored: ''bogus_field''', 'bogus_field' FROM rec WHERE k % 7 = 0
+  UNION ALL SELECT k, 6, 'Line item 0 is not a dict — skipped', '0' FROM rec WHERE k % 8 = 0
 ),
 conf AS (
-  SELECT k, CASE WHEN k % 13 = 0 THEN NULL WHEN k % 14 = 0 THEN 1.0 ELSE (k % 100) / 100.0 END AS c FROM rec
+  SELECT k, CASE WHEN k % 13 = 0 THEN NULL WHEN k % 14 = 0 THEN 1.0 WHEN k % 15 = 0 THEN 1.0 WHEN k % 16 = 0 THEN NULL
+    WHEN k % 18 = 0 THEN NULL WHEN k % 19 = 0 THEN 0.75 ELSE (k % 100) / 100.0 END AS c FROM rec
 ),
 notes AS (
   SELECT r.k, count(w.k) AS n, coalesce(string_agg(w.w, ';' ORDER BY w.o), '') AS t FROM rec r LEFT JOIN warned w ON r.k = w.k GROUP BY r.k
 )"""
 CONF_TEXT = "CASE WHEN c IS NULL THEN '' ELSE CAST(CAST(c AS DOUBLE) AS VARCHAR) END"
 WITH = f"WITH {RESP}"
+N_FIELDS = "CAST(4 - CASE WHEN ship THEN 1 ELSE 0 END + CASE WHEN r.k % 5 <> 0 THEN 1 ELSE 0 END AS INTEGER)"
+CATEGORY = """CASE WHEN o <= 2 THEN 'model' WHEN o <= 4 THEN 'missing_required' WHEN o = 5 THEN 'unexpected_field'
+  ELSE 'bad_line_item' END"""
+RECORDS = f"""SELECT r.k AS doc_id, kind AS document_type, 'llm' AS extraction_method, {CONF_TEXT} AS confidence,
+    {N_FIELDS} AS n_fields, CAST(r.k % 4 + 1 AS INTEGER) AS n_items, t AS warnings FROM rec r JOIN conf USING (k) JOIN notes USING (k)"""
+# The keys of a record in JSON stand in the order of their names.
+FIELD_ORDER = "row_number() OVER (PARTITION BY k ORDER BY name) - 1"
 
 ORACLES = {
-    "strip_json_fences": f"""{WITH} SELECT k AS doc_id, valid AS bare, CASE WHEN NOT valid THEN 14 ELSE n END AS n_chars FROM (
-        SELECT b.*, length(concat('{{"document_type": "whatever", "fields": {{"invoice_number": "INV-', k, '", "invoice_date": "', d,
-          '", "vendor_name": "', CASE WHEN k % 6 = 0 THEN '  ' ELSE concat('Vendor-', k % 25) END, '"',
+    "strip_json_fences": f"""{WITH} SELECT k AS doc_id, CASE WHEN NOT valid THEN 'Sorry, no data' ELSE
+        concat('{{"document_type": "whatever", "fields": {{',
+          CASE WHEN k % 23 = 0 THEN concat('"', number, '": "OLD", ') ELSE '' END, '"', number, '": "INV-', k, '", ',
+          CASE WHEN ship THEN '' ELSE concat('"invoice_date": "', d, '", ') END,
+          CASE WHEN ship THEN '"carrier": "' ELSE '"vendor_name": "' END, party, '"',
           CASE WHEN k % 5 = 0 THEN '' ELSE concat(', "total_amount": ', total) END,
-          CASE WHEN k % 7 = 0 THEN ', "bogus_field": "b"' ELSE '' END, ', "client_name": null}}, "line_items": [',
+          CASE WHEN k % 7 = 0 THEN ', "bogus_field": "b"' ELSE '' END,
+          CASE WHEN ship THEN ', "pickup_date": null' ELSE ', "client_name": null' END, '}}, "line_items": [',
           CASE WHEN k % 8 = 0 THEN '"not_a_dict", ' ELSE '' END,
-          array_to_string(list_transform(generate_series(0, k % 4), lambda i: concat('{{"description": "Item ', i, '", "quantity": ', (k + i) % 50,
-            CASE WHEN k % 9 = 0 THEN ', "junk": 1' ELSE '' END, ', "amount": "', k % 1000, '.', 10 + i, '"}}')), ', '),
-          '], "confidence": ', CASE WHEN k % 13 = 0 THEN '"high"' WHEN k % 14 = 0 THEN '1.7' ELSE concat('0.', lpad(CAST(k % 100 AS VARCHAR), 2, '0')) END,
-          ', "warnings": [', CASE WHEN k % 10 = 3 THEN '"low contrast"' ELSE '' END, ']}}')) AS n FROM base b)""",
+          array_to_string(list_transform(generate_series(0, k % 4), lambda i: concat(
+            CASE WHEN ship THEN concat('{{"goods": "Pallet ', i, '", "pallets": ', (k + i) % 50)
+              ELSE concat('{{"description": "Item ', i, '", "quantity": ', (k + i) % 50, ', "amount": "', k % 1000, '.', 10 + i, '"') END,
+            CASE WHEN k % 9 = 0 THEN ', "junk": 1}}' ELSE '}}' END)), ', '),
+          '], "confidence": ', CASE WHEN k % 13 = 0 THEN '"high"' WHEN k % 14 = 0 THEN '1.7' WHEN k % 15 = 0 THEN 'true'
+            WHEN k % 16 = 0 THEN '"true"' WHEN k % 18 = 0 THEN '"0.9d"' WHEN k % 19 = 0 THEN '"0.75"'
+            ELSE concat('0.', lpad(CAST(k % 100 AS VARCHAR), 2, '0')) END,
+          ', "warnings": [', CASE WHEN k % 10 = 3 THEN '"low contrast"'
+            WHEN k % 10 = 6 THEN '"Line item 3 has no readable price", "Required field missing on page 2"' ELSE '' END, ']}}') END AS text
+        FROM (SELECT *, CASE WHEN ship THEN 'load_number' ELSE 'invoice_number' END AS number FROM base)""",
     "parse_responses": f"{WITH} SELECT k AS doc_id, valid FROM base",
     "raw_responses": f"{WITH} SELECT k AS doc_id, valid, true AS round_trip FROM base",
-    "clamp_confidence": """SELECT event_id, CASE WHEN event_id % 10 = 0 THEN -1.0
+    "clamp_confidence": """SELECT event_id, CASE WHEN event_id % 10 < 3 THEN -1.0
         ELSE round(greatest(0.0, least(1.0, value / 100)), 9) END AS confidence FROM events""",
-    "validated_records": f"""{WITH} SELECT r.k AS doc_id, 'generic_invoice' AS document_type, 'llm' AS extraction_method,
-        {CONF_TEXT} AS confidence, 4 + CASE WHEN r.k % 5 <> 0 THEN 1 ELSE 0 END AS n_fields, r.k % 4 + 1 AS n_items, t AS warnings
-        FROM rec r JOIN conf USING (k) JOIN notes USING (k)""",
+    "validated_records": f"{WITH} {RECORDS}",
+    "record_artifacts": f"{WITH} {RECORDS}",
     "record_fields": f"""{WITH} SELECT k AS doc_id, name, coalesce(value, '<null>') AS value, 'llm' AS extraction_method FROM flds""",
-    "clean_line_items": f"""{WITH} SELECT k AS doc_id, i AS item_no, unnest(['description', 'quantity', 'amount']) AS name,
-        unnest([description, quantity, amount]) AS value FROM items""",
-    "missing_required": f"{WITH} SELECT k AS doc_id, w AS warning FROM warned WHERE o IN (2, 3)",
-    "unexpected_fields": f"{WITH} SELECT k AS doc_id, w AS warning FROM warned WHERE o = 4",
-    "skipped_line_items": f"{WITH} SELECT k AS doc_id, w AS warning FROM warned WHERE o = 5",
+    "clean_line_items": f"""{WITH} SELECT * FROM (SELECT k AS doc_id, i AS item_no,
+          unnest(CASE WHEN ship THEN ['goods', 'pallets'] ELSE ['description', 'quantity', 'amount'] END) AS name,
+          unnest(CASE WHEN ship THEN [description, quantity] ELSE [description, quantity, amount] END) AS value FROM items)""",
+    "missing_required": f"{WITH} SELECT k AS doc_id, about AS name, w AS warning FROM warned WHERE o IN (3, 4)",
+    "unexpected_fields": f"{WITH} SELECT k AS doc_id, about AS name, w AS warning FROM warned WHERE o = 5",
+    "skipped_line_items": f"{WITH} SELECT k AS doc_id, 0 AS item_no, w AS warning FROM warned WHERE o = 6",
     "record_warnings_long": f"""{WITH} SELECT k AS doc_id, row_number() OVER (PARTITION BY k ORDER BY o) - 1 AS warning_no,
-        CASE o WHEN 1 THEN 'model' WHEN 2 THEN 'missing_required' WHEN 3 THEN 'missing_required'
-          WHEN 4 THEN 'unexpected_field' ELSE 'bad_line_item' END AS category, w AS warning FROM warned""",
-    "record_with_fallback": f"""{WITH},
-        docs AS (SELECT o_orderkey AS k, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS d, o_orderstatus, o_orderpriority,
-            CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS total
-          FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)),
-        heur AS (SELECT k, unnest([
-            {{'n': 'Invoice Number', 'v': CASE WHEN k % 7 = 0 THEN concat('INV-', k, '-R') ELSE concat('INV-', k) END}},
-            {{'n': 'Invoice Date', 'v': d}}, {{'n': 'Vendor Name', 'v': concat('Vendor-', c_nationkey)}},
-            {{'n': 'Client Name', 'v': c_name}}, {{'n': 'Payment Terms', 'v': o_orderpriority}},
-            {{'n': 'Status', 'v': o_orderstatus}}, {{'n': 'Reference', 'v': concat('R', k)}},
-            {{'n': CASE WHEN k % 10 <> 0 THEN 'Total Amount' END, 'v': total}}]) AS f
-          FROM docs JOIN customer ON o_custkey = c_custkey WHERE k % 17 = 0 OR k % 11 = 0)
-        SELECT k AS doc_id, 'llm' AS extraction_method, 'generic_invoice' AS document_type, '' AS warning, name,
-          coalesce(value, '<null>') AS value FROM flds WHERE k IN (SELECT k FROM docs)
-        UNION ALL
-        SELECT k, 'heuristic', 'unknown', CASE WHEN k % 17 = 0 THEN 'LLM call failed: no response' ELSE 'LLM returned invalid JSON' END,
-          f.n, f.v FROM heur WHERE f.n IS NOT NULL""",
-    "summary_wide": f"""{WITH}, w AS (SELECT k, max(value) FILTER (name = 'invoice_number') AS invoice_number,
-          max(value) FILTER (name = 'invoice_date') AS invoice_date, max(value) FILTER (name = 'vendor_name') AS vendor_name,
-          max(value) FILTER (name = 'total_amount') AS total_amount FROM flds GROUP BY k)
-        SELECT concat('invoice_', w.k, '.pdf') AS file_name, 'generic_invoice' AS document_type, invoice_number, invoice_date,
-          '' AS due_date, vendor_name, '' AS vendor_address, '' AS client_name, '' AS client_address, '' AS subtotal,
-          '' AS tax_amount, coalesce(total_amount, '') AS total_amount, '' AS currency, '' AS payment_terms,
-          {CONF_TEXT} AS confidence, CASE WHEN n > 0 OR c IS NULL OR c < 0.8 THEN 'needs_review' ELSE 'ok' END AS review_status
-        FROM w JOIN conf USING (k) JOIN notes USING (k)""",
+        {CATEGORY} AS category, w AS warning FROM warned""",
+    "record_with_fallback": f"""{WITH}, {ITEMS},
+        docs AS (SELECT doc_id AS k, doc_id % 17 <> 0 AND doc_id % 11 <> 0 AS told FROM heads),
+        method AS (SELECT k, told, kind, c FROM docs JOIN base USING (k) LEFT JOIN conf USING (k)),
+        ordered AS (SELECT f.*, {FIELD_ORDER} AS o FROM flds f),
+        cols AS (SELECT k, i, unnest(CASE WHEN ship THEN ['goods', 'pallets'] ELSE ['amount', 'description', 'quantity'] END) AS name,
+            unnest(CASE WHEN ship THEN [description, quantity] ELSE [amount, description, quantity] END) AS value,
+            generate_subscripts(CASE WHEN ship THEN [1, 2] ELSE [1, 2, 3] END, 1) - 1 AS j FROM items_of),
+        said AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY o) - 1 AS a, {CATEGORY} AS category, w FROM warned)
+        SELECT k AS doc_id, 'record' AS kind, 0 AS page_number, 0 AS a, 0 AS b, 'extraction_method' AS key, CASE WHEN told THEN 'llm' ELSE 'heuristic' END AS value FROM method
+        UNION ALL SELECT k, 'record', 0, 1, 0, 'document_type', CASE WHEN told THEN kind ELSE 'unknown' END FROM method
+        UNION ALL SELECT k, 'record', 0, 2, 0, 'confidence', CASE WHEN told AND c IS NOT NULL THEN CAST(CAST(c AS DOUBLE) AS VARCHAR) ELSE '<null>' END FROM method
+        UNION ALL SELECT k, 'field', 0, o, 0, name, coalesce(value, '<null>') FROM ordered JOIN docs USING (k) WHERE told
+        UNION ALL SELECT k, 'item', 0, i, j, name, value FROM cols JOIN docs USING (k) WHERE told
+        UNION ALL SELECT k, 'warning', 0, a, 0, category, w FROM said JOIN docs USING (k) WHERE told
+        UNION ALL SELECT k, 'warning', 0, 1000000, 0, 'model_failure',
+          CASE WHEN k % 17 = 0 THEN 'LLM call failed: no response' ELSE 'LLM returned invalid JSON' END FROM docs WHERE NOT told
+        UNION ALL SELECT doc_id, 'field', first_page, first_line, 0, key, value FROM found JOIN docs ON doc_id = k WHERE NOT told
+        UNION ALL SELECT doc_id, 'item', page_number, 1, row_index, key, value FROM dicts JOIN docs ON doc_id = k WHERE NOT told
+        UNION ALL SELECT doc_id, 'warning', 1, 0, 0, 'RAGGED_TABLE', 'rows differ in width' FROM ragged JOIN docs ON doc_id = k WHERE NOT told
+        """.replace("items AS (\n  SELECT k, ship", "items_of AS (\n  SELECT k, ship"),
+    "summary_wide": "",
+    "summary_by_letter": "",
     "line_items_wide": f"""{WITH} SELECT concat('invoice_', k, '.pdf') AS file_name, k AS document_id, concat('INV-', k) AS invoice_number,
-        i AS item_no, description, quantity, '' AS unit_price, amount FROM items""",
-    "load_schema": f"""{WITH}, s(ord, name, type, required) AS (VALUES (0, 'invoice_number', 'string', true), (1, 'invoice_date', 'date', true),
-        (2, 'due_date', 'date', false), (3, 'vendor_name', 'string', true), (4, 'vendor_address', 'string', false),
-        (5, 'client_name', 'string', false), (6, 'client_address', 'string', false), (7, 'subtotal', 'currency', false),
-        (8, 'tax_amount', 'currency', false), (9, 'total_amount', 'currency', true), (10, 'currency', 'string', false),
-        (11, 'payment_terms', 'string', false))
-        SELECT 'generic_invoice' AS document_type, ord, s.name, type, required,
-          (SELECT count(*) FROM flds f WHERE f.name = s.name AND trim(f.value) <> '') AS n_filled FROM s""",
+        i AS item_no, description, quantity, '' AS unit_price, amount FROM items WHERE NOT ship""",
+    "load_schema": f"""{WITH}, s(document_type, ord, name, type, required) AS (VALUES
+        ('invoice', 0, 'invoice_number', 'string', true), ('invoice', 1, 'vendor_name', 'string', true),
+        ('invoice', 2, 'client_name', 'string', false), ('invoice', 3, 'invoice_date', 'date', true),
+        ('invoice', 4, 'payment_terms', 'string', false), ('invoice', 5, 'total_amount', 'currency', true),
+        ('shipment', 0, 'load_number', 'string', true), ('shipment', 1, 'carrier', 'string', true),
+        ('shipment', 2, 'pickup_date', 'date', false), ('shipment', 3, 'weight_kg', 'number', false),
+        ('shipment', 4, 'total_amount', 'currency', true))
+        SELECT document_type, ord, s.name, type, required,
+          (SELECT count(*) FROM flds f WHERE f.name = s.name AND f.kind = s.document_type AND trim(f.value) <> '') AS n_filled FROM s""",
 }
+WIDE = f"""SELECT concat('invoice_', w.k, '.pdf') AS file_name, 'invoice' AS document_type, invoice_number, vendor_name, '' AS client_name,
+    invoice_date, '' AS payment_terms, coalesce(total_amount, '') AS total_amount, {CONF_TEXT} AS confidence,
+    CASE WHEN n > 0 OR c IS NULL OR c < 0.8 THEN 'needs_review' ELSE 'ok' END AS review_status
+  FROM (SELECT k, max(value) FILTER (name = 'invoice_number') AS invoice_number,
+      max(value) FILTER (name = 'invoice_date') AS invoice_date, max(value) FILTER (name = 'vendor_name') AS vendor_name,
+      max(value) FILTER (name = 'total_amount') AS total_amount FROM flds WHERE kind = 'invoice' GROUP BY k) w
+  JOIN conf USING (k) JOIN notes USING (k)"""
+ORACLES["summary_wide"] = f"{WITH} {WIDE}"
+ORACLES["summary_by_letter"] = f"""{WITH} SELECT file_name AS "A", document_type AS "B", invoice_number AS "C", '' AS "D", '' AS "E",
+    total_amount AS "F", '' AS "G", review_status AS "H" FROM ({WIDE})"""

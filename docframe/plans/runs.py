@@ -23,8 +23,17 @@ def _inputs(spark, sf):
 
 def _manifest(spark, sf):
     manifest = run_log(spark, sf).select(F.col("source_file").alias("file_path"), "profile")
-    profiles = spark.createDataFrame(PROFILES, "profile string, document_type string")
-    return batch.manifest_scan(manifest, profiles).select("file_path", "document_type")
+    return batch.manifest_scan(manifest, PROFILES).select("file_path", "document_type")
+
+
+def _resumed(spark, sf):
+    """Results of the inputs a second run skips."""
+    log = run_log(spark, sf)
+    pairs = log.filter(F.col("has_document") & F.col("has_record")).select(
+        "doc_id", "pages", "tables_found", "fields_found", "warnings_count"
+    )
+    out = batch.resumed_results(batch.resume_plan(_inputs(spark, sf), pairs), pairs)
+    return out.withColumn("processing_seconds", F.col("processing_seconds").cast("double"))
 
 
 def _ingest(spark, sf):
@@ -60,15 +69,17 @@ QUERIES = {
     ),
     "load_artifacts": _cached,
     "resume_plan": lambda s, d: batch.resume_plan(_inputs(s, d), _cached(s, d)),
-    "resume_plan_forced": lambda s, d: batch.resume_plan(_inputs(s, d), _cached(s, d), force=True)
-    .groupBy("action").agg(F.count(F.lit(1)).alias("n")),
+    "resume_plan_forced": lambda s, d: batch.resume_plan(_inputs(s, d), _cached(s, d), force=True),
+    "resumed_results": _resumed,
     "classify_errors": lambda s, d: batch.classify_errors(run_log(s, d)).select(
         "source_file", "error_message", "retryable"
     ),
     "rejects": lambda s, d: batch.rejects(run_log(s, d)),
     "batch_report": lambda s, d: batch.batch_report(run_log(s, d)),
     "method_report": _methods,
+    "warnings_by_code": lambda s, d: batch.warnings_by_code(run_log(s, d)),
     "run_summary": lambda s, d: batch.run_summary(run_log(s, d)),
+    "outcomes": lambda s, d: batch.outcomes(run_log(s, d)),
     "incremental_ingest": _ingest,
 }
 
@@ -87,12 +98,13 @@ WITH = f"WITH {LOG}"
 CACHED = "e % 3 <> 0 AND e % 4 <> 0"
 REPORT = """count(*) AS total, count(*) FILTER (NOT failed) AS succeeded, count(*) FILTER (failed) AS failed,
     sum(CASE WHEN failed THEN 0 ELSE 1 + e % 9 END) AS pages, sum(CASE WHEN failed THEN 0 ELSE e % 3 END) AS warnings,
-    CAST(sum(seconds) AS DOUBLE) AS seconds, CAST(max(seconds) AS DOUBLE) AS max_seconds"""
+    CAST(sum(seconds) AS DOUBLE) AS seconds, round(CAST(avg(seconds) AS DOUBLE), 6) AS mean_seconds, CAST(max(seconds) AS DOUBLE) AS max_seconds,
+    round(avg(CASE WHEN NOT failed THEN (e % 101) / 100.0 END), 6) AS mean_confidence"""
 
 ORACLES = {
     "scan_inputs": f"{WITH} SELECT source_file FROM log WHERE source_file LIKE '%.pdf'",
     "scan_inputs_listed": f"{WITH} SELECT source_file FROM log WHERE lower(source_file) LIKE '%.pdf'",
-    "manifest_scan": f"""{WITH} SELECT source_file AS file_path, CASE u % 3 WHEN 0 THEN 'generic_invoice' WHEN 1 THEN 'logistics_load'
+    "manifest_scan": f"""{WITH} SELECT source_file AS file_path, CASE u % 3 WHEN 0 THEN 'invoice' WHEN 1 THEN 'shipment'
         ELSE 'generic' END AS document_type FROM log""",
     "admission_filter": f"""{WITH}, r AS (SELECT source_file, CASE WHEN lower(source_file) NOT LIKE '%.pdf' THEN 'not a PDF'
         WHEN n_bytes > 20971520 THEN 'too large' ELSE '' END AS reject_reason FROM log)
@@ -100,7 +112,14 @@ ORACLES = {
     "load_artifacts": f"""{WITH} SELECT e AS doc_id, source_file, CASE WHEN failed THEN 0 ELSE 1 + e % 9 END AS pages,
         CASE WHEN failed THEN 0 ELSE e % 21 END AS fields_found FROM log WHERE {CACHED}""",
     "resume_plan": f"""{WITH} SELECT e AS doc_id, source_file, CASE WHEN {CACHED} THEN 'skip' ELSE 'work' END AS action FROM log""",
-    "resume_plan_forced": f"{WITH} SELECT 'work' AS action, count(*) AS n FROM log",
+    "resume_plan_forced": f"{WITH} SELECT e AS doc_id, source_file, 'work' AS action FROM log",
+    "resumed_results": f"""{WITH} SELECT e AS doc_id, source_file, 'success' AS status, CASE WHEN failed THEN 0 ELSE 1 + e % 9 END AS pages,
+        CASE WHEN failed THEN 0 ELSE e % 4 END AS tables_found, CASE WHEN failed THEN 0 ELSE e % 21 END AS fields_found,
+        CASE WHEN failed THEN 0 ELSE e % 3 END AS warnings_count, CAST(0 AS DOUBLE) AS processing_seconds, true AS resumed FROM log WHERE {CACHED}""",
+    "warnings_by_code": f"""{WITH} SELECT code, count(*) AS n, count(*) AS documents FROM (
+          SELECT 'EMPTY_DOCUMENT' AS code FROM log WHERE NOT failed AND e % 3 >= 1 UNION ALL SELECT 'RAGGED_TABLE' FROM log WHERE NOT failed AND e % 3 = 2)
+        GROUP BY code""",
+    "outcomes": f"""{WITH} SELECT CASE WHEN failed THEN 'failed' WHEN e % 21 = 0 THEN 'skipped' ELSE 'converted' END AS outcome, source_file FROM log""",
     "classify_errors": f"""{WITH} SELECT source_file, error_message, e % 3 = 2 AS retryable FROM log WHERE failed""",
     "rejects": f"{WITH} SELECT source_file, error_message, e % 3 = 2 AS retryable FROM log WHERE failed",
     "batch_report": f"""{WITH}, l AS (SELECT *, CASE WHEN failed THEN 'failed' ELSE 'success' END AS status FROM log)
@@ -109,6 +128,6 @@ ORACLES = {
     "method_report": f"""{WITH} SELECT m AS method, count(*) AS documents, sum(1 + e % 9) AS pages, CAST(sum(seconds) AS DOUBLE) AS seconds
         FROM (SELECT *, unnest(string_split(method, '+')) AS m FROM log WHERE NOT failed) GROUP BY 1""",
     "run_summary": f"""{WITH} SELECT CASE WHEN failed THEN 'failed' WHEN e % 21 = 0 THEN 'skipped' ELSE 'converted' END AS outcome,
-        count(*) AS n, min(source_file) AS first_file, max(source_file) AS last_file FROM log GROUP BY 1""",
+        count(*) AS n FROM log GROUP BY 1""",
     "incremental_ingest": "SELECT conv_id, turn, length(text) AS n_chars FROM conversations",
 }

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "64m",
+    # Of a repeated key in a model's JSON the last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

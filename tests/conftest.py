@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import sys
 from pathlib import Path
 
@@ -14,7 +15,7 @@ from docframe.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "docframe-tests",
-        "local[8]",
+        f"local[{os.environ.get('TEST_CPUS', '8')}]",
         8,
         **{
             "spark.ui.enabled": "false",

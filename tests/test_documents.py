@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from docframe.operators import assemble, ordered, prompts
 from docframe.plans import corpora
 
@@ -51,7 +53,7 @@ def test_year_ties_go_to_the_first_seen(spark):
 
 def test_validation_warnings_and_repair(spark):
     df = make(spark, ["---\ntitolo: T\ncomune:\ntipo: NTA\nanno: 2020\n---\n# T", "### A", "#### B\n\n# C\n#### D"])
-    got = [r.warning for r in assemble.validation_warnings(df).orderBy("part_no", "warning_no").collect()]
+    got = [r.warning for r in assemble.validation_warnings(df).orderBy("warning_no").collect()]
     assert got == [
         "Missing required front matter field: 'comune'",
         "Line 3: heading level skips from 1 to 3 — '### A'",
@@ -69,7 +71,7 @@ def test_parts_give_the_same_documents(spark, per_part):
     for fn in (assemble.assemble_documents, assemble.md_documents):
         assert files(fn(df, per_part)) == files(fn(df))
     warnings = lambda n: sorted(
-        (r.doc_id, r.warning) for r in assemble.validation_warnings(df, n).collect()
+        (r.doc_id, r.warning_no, r.warning) for r in assemble.validation_warnings(df, n).collect()
     )
     assert warnings(per_part) == warnings(1000)
 
@@ -100,26 +102,32 @@ def test_running_totals_across_blocks(spark):
     assert got[2, 5] == 0
 
 
-def test_heavy_keys_are_numbered_like_ordinary_ones(spark):
+def test_rows_are_numbered_across_blocks(spark):
     rows = [(1, i % 13, i % 5) for i in range(300)] + [(2, 4, 4), (2, 4, 4), (3, 1, 0)]
     df = spark.createDataFrame(rows, "k int, a int, b int").repartition(7)
-
-    def numbered(heavy):
-        ordinary, large = ordered.number_rows(df, ["k"], {"a": df.a}, ["a", "b"], heavy=heavy)
-        return ordinary.count(), sorted(tuple(r) for r in ordinary.unionByName(large).collect())
-
-    n_all, plain = numbered(10**6)
-    n_few, cut = numbered(100)
-    assert (n_all, n_few) == (303, 3)
-    assert plain == cut
-    assert [r[3] for r in plain if r[0] == 1] != [] and {r[3] for r in plain if r[0] == 1} == set(range(1, 301))
-
-
-def test_first_chars_is_an_exact_prefix(spark, monkeypatch):
-    monkeypatch.setattr(prompts, "FAN_IN", 3)
-    rows = [(1, p, f"p{p}" * (p % 4 + 1)) for p in range(1, 60)] + [(2, 9, "short")]
-    df = spark.createDataFrame(rows, "doc_id int, pos long, piece string")
-    whole = "\n\n".join(piece for d, _, piece in rows if d == 1)
-    for cut in (1, 10, 57, 10_000):
-        got = {r.doc_id: r.text for r in prompts.first_chars(df, cut).collect()}
-        assert got == {1: whole[:cut], 2: "short"[:cut]}
+    got = sorted(tuple(r) for r in ordered.number_rows(df, ["k"], {"a": df.a}, ["a", "b"]).collect())
+    want = sorted((k, *rest, n) for k in (1, 2, 3) for n, (_, *rest) in enumerate(sorted(r for r in rows if r[0] == k), 1))
+    assert sorted((k, a, b, n) for k, a, b, n in got) == sorted(want)
+
+
+def test_front_matter_may_be_folded(spark):
+    block = "titolo: piano delle regole e del piano\n  dei servizi: parte\ntags:\n  - a: b\ncomune: 'X'"
+    df = spark.createDataFrame([(block,)], "b string").select(assemble.front_matter_entries(F.col("b")).alias("e"))
+    got = {e.key: e.value for e in df.first().e}
+    assert got["titolo"] == "piano delle regole e del piano dei servizi: parte" and got["comune"] == "X"
+
+
+def test_document_text_is_whole(spark):
+    pages = spark.createDataFrame([(1, p, f"p{p} " * 2000) for p in range(1, 8)] + [(1, 9, " ")], "doc_id int, page_number int, text string")
+    rows = [[str(i), "x"] for i in range(80)]
+    tables = spark.createDataFrame([(1, 3, 1, ["n", "v"], rows)], "doc_id int, page_number int, table_idx int, columns array<string>, rows array<array<string>>")
+    text = prompts.document_text(pages, tables).first().text
+    assert all(f"p{p} " * 2000 in text for p in range(1, 8)) and text.count("\n| ") == 82 and len(text) > 40_000
+    asked = prompts.requests(prompts.document_text(pages, tables), 1000).orderBy("request_no").collect()
+    assert "".join(r.text for r in asked) == text
+    parts = prompts.document_text(pages, tables, 2)
+    assert sorted(r.part_no for r in parts.collect()) == [0, 1, 2, 3]
+    for cut in (1, 7, 12_500, 10**6):
+        got = "\n\n".join(r.text for r in prompts.cut_text(parts, cut).orderBy("part_no").collect())
+        whole = "\n\n".join(r.text for r in parts.orderBy("part_no").collect())
+        assert whole.startswith(got) and len(got) >= min(cut, len(whole)) - 4

@@ -86,11 +86,50 @@ def test_chunks_cover_the_document(docs):
 
 
 def test_checklist(docs):
-    good = "# T\n## A\n| a | b |\n|---|---|\n| 1 | 2 |\n![i](img/a.png)"
+    good = "---\ntitolo: a b\n  c: d\ncomune: x\ntipo: y\nanno: 1\n---\n# T\n## A\n| a | b |\n|---|---|\n| 1 | 2 |\n![i](img/a.png)"
     bad = "# T\n# U\n### A\n| a | b |\n| 1 |\n![i](http://x/a.png)\n<!-- UNREADABLE: page 3 -->"
     rows = quality.quality_checklist(docs(good, bad)).orderBy("doc_id").collect()
-    assert tuple(rows[0])[1:] == (True, True, True, True, 0)
-    assert tuple(rows[1])[1:] == (False, False, False, False, 1)
+    assert tuple(rows[0])[1:] == (True, True, True, True, True, [])
+    assert tuple(rows[1])[1:] == (False, False, False, False, False, [3])
+
+
+PIECES = ["---\ntitolo: x\n---\n# A\n\none\n| a |\n|---|", "\n\nmore **text**\nof it\n### C\n| b |", "\n\nlast\n\n#### D\n\nx", "\n\n# E\ntail\n"]
+
+
+def cut(spark):
+    rows = [(7, p, t) for p, t in enumerate(PIECES)] + [(8, 0, "# only\n")]
+    return spark.createDataFrame(rows, "doc_id long, part_no int, md string")
+
+
+def whole(spark):
+    return spark.createDataFrame([(7, "".join(PIECES)), (8, "# only\n")], "doc_id long, md string")
+
+
+def test_parts_are_read_like_whole_documents(spark):
+    same = lambda fn: (sorted(map(tuple, fn(cut(spark)).collect())), sorted(map(tuple, fn(whole(spark)).collect())))
+    for fn in (segments.segments, segments.table_row_segments, headings.heading_skips, quality.quality_checklist):
+        parts, one = same(fn)
+        assert parts == one and one
+    assert quality.line_diff(cut(spark), whole(spark)).count() == 0
+    for fn, text in ((lambda d: segments.tmx_documents(d, "it", "en", "20250101T000000Z"), "tmx"), (headings.fix_heading_skips, "md")):
+        parts = {}
+        for r in fn(cut(spark)).orderBy("part_no").collect():
+            parts[r.doc_id] = parts.get(r.doc_id, "") + r[text]
+        assert parts == {r.doc_id: r[text] for r in fn(whole(spark)).collect()}
+
+
+def test_sections_and_chunks_go_on_in_later_parts(spark):
+    for fn, no, text in ((headings.sections, "section_no", "body"), (lambda d: headings.chunks(d, lines_per_chunk=6), "chunk_no", "text")):
+        rows = {}
+        for r in fn(cut(spark)).orderBy("piece_no").collect():
+            rows.setdefault((r.doc_id, r[no]), []).append(r)
+        one = {(r.doc_id, r[no]): r for r in fn(whole(spark)).collect()}
+        assert set(rows) == set(one)
+        for key, pieces in rows.items():
+            assert "\n".join(p[text] for p in pieces) == one[key][text]
+            assert (pieces[0].first_line, pieces[-1].last_line) == (one[key].first_line, one[key].last_line)
+            if no == "section_no":
+                assert all((p.title, p.path, p.level) == (one[key].title, one[key].path, one[key].level) for p in pieces)
 
 
 def test_line_diff_counts_copies(docs):

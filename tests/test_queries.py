@@ -12,13 +12,7 @@ from docframe.plans import catalog
 from tools.check import TABLES, plain
 
 SF = "/root/testdata/sf0.001"
-NAMES = [
-    "batch_summary", "rows_to_dicts", "table_csv_rows", "typed_record", "document_text_cut",
-    "segments", "tmx_documents", "fix_heading_skips", "sections", "chunks", "corpus_quality",
-    "drop_repeated_lines", "md_documents", "validate_documents", "year_backfill", "full_text",
-    "validated_records", "record_with_fallback", "summary_wide", "blocks_outside_tables",
-    "page_provenance", "best_extraction", "resume_plan", "batch_report", "incremental_ingest",
-]
+NAMES = sorted(catalog.queries())
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 

@@ -5,20 +5,18 @@ import random
 
 import pytest
 
-from docframe.operators import batch, layout, prompts, records
+from docframe.operators import batch, layout, prompts, records, segments
 from docframe.sources import files, schemas
 from docframe.streaming.ingest import incremental_ingest
 
+C = schemas.Column
 SMALL = schemas.Schema(
     "bill",
+    (C("number", required=True, note="its number"), C("total", "currency", True), C("paid")),
+    (C("what", note="thing"), C("n", "number")),
     "A bill",
-    [
-        {"name": "number", "type": "string", "required": True, "description": "its number"},
-        {"name": "total", "type": "currency", "required": True},
-        {"name": "paid", "type": "string"},
-    ],
-    [{"name": "what", "type": "string", "description": "thing"}, {"name": "n", "type": "number"}],
 )
+NOTE = schemas.Schema("note", (C("from", required=True),))
 
 
 def responses(spark, *raws):
@@ -75,47 +73,109 @@ def test_what_is_no_record(spark):
 
 
 @pytest.mark.parametrize(
-    "value, want", [(1.7, 1.0), (-2, 0.0), ("0.25", 0.25), (None, None), ("x", None), (True, 1.0), ("NaN", 1.0)]
+    "value, want",
+    [(1.7, 1.0), (-2, 0.0), ("0.25", 0.25), (None, None), ("x", None), (True, 1.0), (False, 0.0), ("NaN", 1.0),
+     ("true", None), ("0.9d", None), (" .5 ", 0.5), ("1e-1", 0.1), ([0.5], None)],
 )
 def test_confidence(spark, value, want):
     assert validated(spark, {"confidence": value})[0].confidence == want
 
 
+def test_own_warnings_are_no_findings(spark):
+    own = ["Line item 3 has no readable price", "Required field missing on page 2", "LLM is unsure"]
+    df = responses(spark, {"fields": {"number": "7", "zz": 1}, "line_items": [1], "warnings": own})
+    found = records.validated_records(df, SMALL)
+    assert [(r.item_no, r.warning[:11]) for r in records.skipped_line_items(found).collect()] == [(0, "Line item 0")]
+    assert [r.name for r in records.missing_required(found).collect()] == ["total"]
+    assert [r.name for r in records.unexpected_fields(found).collect()] == ["zz"]
+    rows = records.record_warnings(found).orderBy("warning_no").collect()
+    assert [r.category for r in rows] == ["model"] * 3 + ["missing_required", "unexpected_field", "bad_line_item"]
+
+
+def test_of_a_repeated_key_the_last_counts(spark):
+    r = validated(spark, '{"fields": {"number": "old", "total": 1, "number": "new"}}')[0]
+    assert r.fields == {"number": "new", "total": "1"}
+
+
+def test_each_document_has_its_schema(spark):
+    df = spark.createDataFrame(
+        [(0, "bill", '{"fields": {"number": "1", "from": "x"}}'), (1, "note", '{"fields": {"from": "x", "number": "1"}}'), (2, "odd", '{"fields": {"a": 1}}')],
+        "doc_id long, document_type string, raw string",
+    )
+    got = {r.doc_id: (r.document_type, r.fields, len(r.warnings)) for r in records.validated_records(df, {"bill": SMALL, "note": NOTE}).collect()}
+    assert got == {0: ("bill", {"number": "1"}, 2), 1: ("note", {"from": "x"}, 1), 2: ("odd", {}, 1)}
+
+
 def test_fallback(spark):
     docs = spark.createDataFrame([(0,), (1,), (2,), (3,)], "doc_id long")
-    raws = responses(spark, {"fields": {"number": "7"}}, "broken")
-    found = spark.createDataFrame([(1, "K", "v"), (2, "K", "w")], "doc_id long, key string, value string")
-    rows = records.record_with_fallback(docs, raws, found, SMALL).collect()
-    got = {(r.doc_id, r.extraction_method, r.warning, r.name, r.value) for r in rows}
-    assert got == {
-        (0, "llm", None, "number", "7"),
-        (1, "heuristic", "LLM returned invalid JSON", "K", "v"),
-        (2, "heuristic", "LLM call failed: no response", "K", "w"),
-        (3, "heuristic", "LLM call failed: no response", None, None),
+    raws = responses(spark, {"fields": {"number": "7", "total": 1}, "line_items": [{"n": 2}], "confidence": 0.5}, "broken")
+    seen = []
+
+    def heuristic(fallen):
+        seen.extend(r.doc_id for r in fallen.collect())
+        rows = [(d, "field", 1, 3, 0, "K", f"v{d}") for d in (1, 2)] + [(1, "item", 1, 1, 0, "A", "x"), (1, "warning", 0, 0, 0, "EMPTY", "none")]
+        found = spark.createDataFrame(rows, "doc_id long, kind string, page_number int, a int, b int, key string, value string")
+        return found.join(fallen, "doc_id", "left_semi")
+
+    rows = records.record_with_fallback(docs, raws, heuristic, SMALL).collect()
+    assert sorted(seen) == [1, 2, 3]
+    record = {(r.doc_id, r.key): r.value for r in rows if r.kind == "record"}
+    assert record[0, "extraction_method"] == "llm" and record[0, "confidence"] == "0.5" and record[0, "document_type"] == "bill"
+    assert all(record[d, "extraction_method"] == "heuristic" and record[d, "document_type"] == "unknown" for d in (1, 2, 3))
+    rest = {(r.doc_id, r.kind, r.key, r.value) for r in rows if r.kind != "record"}
+    assert rest == {
+        (0, "field", "number", "7"), (0, "field", "total", "1"), (0, "item", "n", "2"),
+        (1, "field", "K", "v1"), (1, "item", "A", "x"), (1, "warning", "EMPTY", "none"),
+        (1, "warning", "model_failure", "LLM returned invalid JSON"),
+        (2, "field", "K", "v2"), (2, "warning", "model_failure", "LLM call failed: no response"),
+        (3, "warning", "model_failure", "LLM call failed: no response"),
     }
 
 
-def test_schema_files(tmp_path):
-    for name, n, required in (("generic_invoice", 12, 4), ("logistics_load", 15, 3), ("bill_of_lading", 20, 3)):
-        s = schemas.load_schema(name)
-        assert (s.document_type, len(s.fields), len(s.required)) == (name, n, required)
-        assert s.empty_record() == dict.fromkeys(s.field_names)
+def test_record_artifacts_come_back(spark):
+    found = records.validated_records(responses(spark, {"fields": {"number": None, "total": "1"}, "line_items": [{"n": 1}], "confidence": 1}), SMALL)
+    back = records.read_record_artifacts(records.record_artifacts(found)).first()
+    r = found.first()
+    assert (back.fields, back.line_items, back.confidence, back.warnings) == (r.fields, r.line_items, r.confidence, r.warnings)
+
+
+def test_sheets_by_letter(spark):
+    wide = spark.createDataFrame([("f.pdf", 1, None)], "file string, n int, x string")
+    sheet = records.by_letter(wide, {"B": "file", "AA": "n", "C": "x", "D": "gone"})
+    assert sheet.columns == [*"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "AA"]
+    assert [v for v in sheet.first() if v] == ["f.pdf", "1"]
+
+
+def test_schema_files(spark, tmp_path):
+    known = schemas.load_schemas(spark)
+    assert known == schemas.local_schemas() and set(known) == {"invoice", "shipment"}
+    assert known["invoice"].required == ["invoice_number", "vendor_name", "invoice_date", "total_amount"]
+    assert known["invoice"].aliases["seller"] == "vendor_name"
+    (tmp_path / "own.json").write_text(json.dumps({"document_type": "t", "fields": [{"name": "a"}, {"name": "b", "type": "date", "required": True}]}))
+    mine = schemas.load_schemas(spark, str(tmp_path))["t"]
+    assert (mine.names, mine.types, mine.required, mine.items) == (["a", "b"], {"a": "string", "b": "date"}, ["b"], ())
     with pytest.raises(schemas.SchemaError):
-        schemas.load_schema(tmp_path / "none.json")
-    for text in ("{", '{"a": 1}', "[]"):
-        bad = tmp_path / "bad.json"
-        bad.write_text(text)
+        schemas.load_schemas(spark, str(tmp_path / "none.json"))
+    for k, text in enumerate(("{", '{"a": 1}', "[]")):
+        bad = tmp_path / f"bad{k}"
+        bad.mkdir()
+        (bad / "x.json").write_text(text)
         with pytest.raises(schemas.SchemaError):
-            schemas.load_schema(bad)
+            schemas.load_schemas(spark, str(bad))
 
 
 def test_schema_prompt(spark):
-    texts = spark.createDataFrame([(1, "DOC BODY")], "doc_id long, text string")
-    prompt = prompts.schema_prompts(texts, SMALL).first().prompt
-    assert prompt.count("REQUIRED") == 2 and "its number" in prompt and "what (string): thing" in prompt
-    shape = prompt[prompt.index("{"): prompt.rindex("}") + 1]
-    assert list(json.loads(shape)["fields"]) == SMALL.field_names
-    assert prompt.rstrip().endswith("DOC BODY")
+    texts = spark.createDataFrame(
+        [(1, 0, "DOC BODY", "bill"), (2, 0, "other", "note"), (3, 0, "x", "odd")], "doc_id long, part_no int, text string, document_type string"
+    )
+    asked = prompts.schema_prompts(prompts.requests(texts, 5), {"bill": SMALL, "note": NOTE})
+    got = {(r.doc_id, r.request_no): r.prompt for r in asked.collect()}
+    assert set(got) == {(1, 0), (1, 1), (2, 0)}
+    prompt = got[1, 0]
+    assert "| number | string | required | its number |" in prompt and "| what | string |  | thing |" in prompt
+    shape = json.loads(next(line for line in prompt.splitlines() if line.startswith("{")))
+    assert list(shape["fields"]) == SMALL.names and list(shape["line_items"][0]) == SMALL.item_names
+    assert got[1, 0].endswith("\nDOC B") and got[1, 1].endswith("\nODY")
 
 
 # ------------------------------------------------------------ layout
@@ -201,16 +261,18 @@ def test_scan_folder_and_manifest(spark, tmp_path):
         (tmp_path / name).write_text(f"# {name}\n\ntext\n")
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "f.md").write_text("no")
-    got = {r.source_file: r.md for r in files.scan_markdown(spark, str(tmp_path)).collect()}
-    assert got == {n: f"# {n}\n\ntext\n" for n in ("a.md", "b.md")}
+    found = files.scan_markdown(spark, str(tmp_path)).union(files.scan_markdown(spark, str(tmp_path / "sub"))).collect()
+    assert {r.source_file: r.md for r in found if r.source_file != "f.md"} == {n: f"# {n}\n\ntext\n" for n in ("a.md", "b.md")}
+    assert len({r.doc_id for r in found}) == 3
     assert files.scan_markdown(spark, str(tmp_path / "a.md")).count() == 1
     names = [r.source_file.rsplit("/", 1)[1] for r in files.scan_folder(spark, str(tmp_path)).collect()]
     assert names == ["d.pdf"]
     manifest = tmp_path / "m.csv"
     manifest.write_text("file_path,profile,notes\nx.pdf,invoice,\ny.pdf,odd,note\n")
-    known = spark.createDataFrame([("invoice", "generic_invoice")], "profile string, document_type string")
-    rows = batch.manifest_scan(files.read_manifest(spark, str(manifest)), known).collect()
-    assert {r.file_path: r.document_type for r in rows} == {"x.pdf": "generic_invoice", "y.pdf": "generic"}
+    rows = batch.manifest_scan(files.read_manifest(spark, str(manifest)), {"invoice": "bill"}).collect()
+    assert {r.file_path: r.document_type for r in rows} == {"x.pdf": "bill", "y.pdf": "generic"}
+    with pytest.raises(ValueError):
+        batch.required_inputs(files.scan_folder(spark, str(tmp_path)), ".docx")
 
 
 def test_csv_round_trip(spark, tmp_path):
@@ -221,6 +283,38 @@ def test_csv_round_trip(spark, tmp_path):
     assert {(r.id, r.it) for r in back.collect()} == {("1", 'a "quoted", text'), ("2", "plain")}
 
 
+def test_files_are_written_whole(spark, tmp_path):
+    rows = [("a/x.md", p, f"part {p}\n" * (p + 1)) for p in range(6)] + [("b.md", 0, ""), ("c.md", 0, "é")]
+    df = spark.createDataFrame(rows, "file string, part_no int, content string").repartition(5)
+    made = {r.file: r.n_bytes for r in files.write_files(df, str(tmp_path / "out")).collect()}
+    assert made == {"a_x.md": sum(7 * (p + 1) for p in range(6)), "b.md": 0, "c.md": 2}
+    assert sorted(f.name for f in (tmp_path / "out").iterdir()) == ["a_x.md", "b.md", "c.md"]
+    assert (tmp_path / "out" / "a_x.md").read_text() == "".join(r[2] for r in rows[:6])
+
+
+def test_documents_and_units_are_written(spark, tmp_path):
+    docs = spark.createDataFrame([(1, 0, "in/one.pdf", "# A\n\ntext"), (1, 1, "in/one.pdf", "\n\nmore\n"), (2, 0, "two.pdf", "x\n")], "doc_id long, part_no int, source_file string, md string")
+    files.write_markdown(docs, str(tmp_path / "md")).count()
+    assert (tmp_path / "md" / "one.md").read_text() == "# A\n\ntext\n\nmore\n" and (tmp_path / "md" / "two.md").read_text() == "x\n"
+    tmx = segments.tmx_documents(docs, "it", "en", "20250101T000000Z")
+    files.write_tmx(tmx, docs.select("doc_id", "source_file").distinct(), str(tmp_path / "tmx")).count()
+    text = (tmp_path / "tmx" / "one.tmx").read_text()
+    assert text.count("<tu ") == 3 and 'tuid="3"' in text and text.startswith("<?xml") and text.endswith("</tmx>\n")
+
+
+def test_csv_takes_arrays(spark, tmp_path):
+    df = spark.createDataFrame([(1, ["a", 'b"c'])], "id int, cells array<string>")
+    files.write_csv(df, str(tmp_path / "out"))
+    back = spark.read.csv(str(tmp_path / "out"), header=True, quote='"', escape='"').first()
+    assert json.loads(back.cells) == ["a", 'b"c']
+
+
+def test_json_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(1, '{"a": 1}'), (2, '{"a": null}')], "doc_id long, json string")
+    files.write_json(df, str(tmp_path / "out"))
+    assert sorted(str(r.a) for r in files.read_json(spark, str(tmp_path / "out"), "a int").collect()) == ["1", "None"]
+
+
 def test_stream_takes_each_file_once(spark, tmp_path):
     inbox, sink, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
     df = spark.range(30).selectExpr("id", "concat('t', id) as text")

@@ -75,6 +75,48 @@ def test_numbers_run_through_long_documents(spark):
         assert [i for d, i, _, _ in by_doc if d == 1] == list(range(1, len(want)))
 
 
+def test_numbers_mind_page_gaps(spark):
+    table = "| a | b |\n|---|---|\n| 1 | 2 |"
+    df = spark.createDataFrame([(1, 1, table, 2), (1, 5000, table, 2)], "doc_id long, page_number int, md string, page_count int")
+    tables = tb.detect_header(tb.import_markdown_tables(df, keep=("page_count",)))
+    rows = tb.numbered_tables(tables).orderBy("page_number").collect()
+    assert [r.table_idx for r in rows] == [1, 2] and rows[0].table_id != rows[1].table_id
+
+
+def test_csv_files_quote_cells(spark):
+    md = '| a,b | c |\n|---|---|\n| 1 | say "x" |'
+    df = spark.createDataFrame([(1, 2, "f.pdf", md)], "doc_id long, page_number int, source_file string, md string")
+    numbered = tb.numbered_tables(tb.detect_header(tb.import_markdown_tables(df, keep=("source_file",))))
+    assert tb.table_csv_files(numbered).first().content == 'page,"a,b",c\n2,1,"say ""x"""\n'
+
+
+def test_amounts(spark):
+    texts = {
+        "1,200.00": 1200.0, "1.395,00": 1395.0, "€ 7,46": 7.46, "(100.00)": -100.0, "-5": -5.0, "1.395.000": 1395000.0,
+        "1 200,50 EUR": 1200.5, "USD 10": 10.0, "1,395": 1395.0, "12.5": 12.5, "10 USD / 2 pcs": None, "INV 12": None,
+        "ca. 5": None, "": None, "1,2,3": None, "12.34.56": None, "$1,000": 1000.0, "- € 3.20": -3.2,
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.t: r.v for r in df.select("t", fields.amount(F.col("t"), "double").alias("v")).collect()}
+    assert got == texts
+
+
+def test_totals_lose_no_amount_silently(spark):
+    items = spark.createDataFrame([(1, "1,200.00"), (1, "3"), (2, "x"), (2, "5")], "doc_id long, value string")
+    totals = spark.createDataFrame([(1, "1.203,00"), (2, "5")], "doc_id long, value string")
+    rows = {r.doc_id: (float(r.items_total), r.difference, r.unread) for r in fields.reconcile_totals(items, totals).collect()}
+    assert float(rows[1][1]) == 0 and rows[1][2] == 0 and rows[2] == (5.0, None, 1)
+
+
+def test_aliases_are_looked_up_in_the_row(spark):
+    pairs = spark.createDataFrame([(1, 1, 1, "Seller", "a"), (1, 1, 2, "vendor name", "b"), (1, 1, 3, "Odd", "c")], "doc_id long, page_number int, line_no int, key string, value string")
+    aliases = {"seller": "vendor_name", "vendor_name": "vendor_name"}
+    assert [tuple(r) for r in fields.schema_guided_fields(pairs, aliases).collect()] == [(1, "vendor_name", "b")]
+    assert [r.key for r in fields.unexpected_keys(pairs, aliases).collect()] == ["Odd"]
+    plan = fields.schema_guided_fields(pairs, aliases)._jdf.queryExecution().toString()
+    assert "Join" not in plan
+
+
 def test_header_only_table_gets_no_csv(spark):
     pages = spark.createDataFrame(
         [(1, 1, "dir/a.b.pdf", "| a |\n|---|\n\nx\n\n| c |\n|---|\n| 1 |")],

@@ -75,8 +75,9 @@ def test_years(spark):
 
 
 def test_boilerplate_and_toc(spark):
-    text = "27\nTesto\nCOPYRIGHT Ente\nART. 1 ......... 2\n12 a\nVietata\nvietato copiare"
-    assert run(spark, cleanup.drop_boilerplate_lines, text) == ["Testo\nART. 1 ......... 2\n12 a\nVietata"]
+    legal = "Rilascio della autorizzazione\nL'autorità competente\nÈ vietato il deposito\ni diritti degli autori\nautoriparazioni: no"
+    text = "27\nTesto\nCOPYRIGHT Ente\nART. 1 ......... 2\n12 a\nVietata\nvietato copiare\n© Ente\nGli autori: A, B\nEstensori\nVietata la riproduzione\n"
+    assert run(spark, cleanup.drop_boilerplate_lines, text + legal) == ["Testo\nART. 1 ......... 2\n12 a\nVietata\n" + legal]
     assert run(spark, cleanup.normalize_toc, "### ART. 1 ......... 2\nART. 2 fine.") == [
         "- ART. 1\nART. 2 fine."
     ]
@@ -93,8 +94,15 @@ def test_unreadable_pages(spark):
     pages = spark.createDataFrame(
         [(1, 1, "   - 1 -  "), (1, 2, "x" * 20)], "doc_id int, page_number int, text string"
     )
-    got = {r.page_number: r.text for r in cleanup.mark_unreadable(pages).collect()}
-    assert got == {1: "<!-- UNREADABLE: page 1 -->", 2: "x" * 20}
+    got = {r.page_number: (r.text, r.marker) for r in cleanup.mark_unreadable(pages).collect()}
+    assert got == {1: ("   - 1 -  ", "<!-- UNREADABLE: page 1 -->"), 2: ("x" * 20, None)}
+
+
+def test_repeated_lines_meet_pages_by_bucket(spark, monkeypatch):
+    monkeypatch.setattr(cleanup, "PAGES_PER_BUCKET", 2)
+    pages = spark.createDataFrame([(1, p, f"Comune di X\nTesto {p}") for p in range(1, 9)], "doc_id int, page_number int, text string")
+    got = [r.text for r in cleanup.drop_repeated_lines(pages).orderBy("page_number").collect()]
+    assert got == ["Comune di X\nTesto 1"] + [f"Testo {p}" for p in range(2, 9)]
 
 
 def test_repeated_lines_keep_the_first(spark):
