@@ -122,11 +122,3 @@ def table_cells(line: Column) -> Column:
     """Cells of one pipe-table line: outer pipes removed, cells stripped, blanks kept."""
     inner = F.regexp_replace(ustrip(line), r"\A\||\|\z", "")
     return F.transform(F.split(inner, r"\|"), ustrip)
-
-
-def is_table_line(line: Column) -> Column:
-    return ustrip(line).startswith("|")
-
-
-def is_separator_line(line: Column) -> Column:
-    return ustrip(line).rlike(TABLE_SEPARATOR)
