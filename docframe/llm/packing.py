@@ -15,6 +15,7 @@ than ``doc_id`` and ``text`` are not read.
 from __future__ import annotations
 
 import re
+import struct
 from collections import deque
 from collections.abc import Iterator
 
@@ -25,8 +26,9 @@ from pyspark.sql import DataFrame
 
 from docframe.llm import words as W
 
-#: White space and what follows it up to the next: no token reaches from one such part into another.
-PART = re.compile(r"\s*\S+|\s+")
+#: White space with the word behind it, a run of letters that ends there or all up to the next white space: no
+#: token reaches from one such part into another, since the tokenizer cuts at the same places.
+PART = re.compile(r"\s*+[A-Za-zÀ-ÖØ-öø-ÿ]++(?![^\W\d_])|\s*+\S++|\s++")
 #: Cost of a cut, in ids of padding: after a sentence, and inside one.
 SENTENCE, INSIDE = 2, 24
 #: Inside a long sentence cuts are allowed at so many ids from each other.
@@ -35,30 +37,78 @@ STRIDE = 64
 BLOCK = 1 << 18
 
 
+# Fixed value: where a byte-level vocabulary of this kind cuts a text.
+CUTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+PROBES = (" the", "The", "don't we'll I'VE", "x1²½ 12345", "a\u0301é日本語 Ωmega", "\n\n  \t z ", "!?...--==", "🙂🙂 ok", " unbelievableness,", "\u00a0nbsp\u2003")
+
+
+def quick(tokenizer, vocabulary: dict[str, int]):
+    """The tokenizer's own vocabulary for a faster encoder, or None where the two don't agree.
+
+    A byte-level vocabulary writes each byte as a character: printable ones as themselves, the others from 256 on.
+    """
+    import tiktoken
+
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    byte = {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(rest)}
+    added = set(tokenizer.get_added_tokens_decoder())
+    if not set(byte) <= set(vocabulary):
+        return None
+    try:
+        ranks = {bytes(byte[c] for c in token): n for token, n in vocabulary.items() if n not in added}
+        encoder = tiktoken.Encoding("own", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={})
+        same = all(encoder.encode_ordinary(p) == tokenizer.encode(p, add_special_tokens=False).ids for p in PROBES)
+    except (KeyError, ValueError):
+        return None
+    return encoder if same else None
+
+
 class Encoder:
-    """Ids of texts; the ids of frequent parts are remembered."""
+    """Ids of texts; those of frequent parts are remembered, in two generations of at most ``most`` parts.
+
+    They are the tokenizer's. Where its vocabulary allows it, parts that are not remembered go through a faster
+    encoder made of the same vocabulary; parts that hold an added token always go through the tokenizer itself.
+    """
 
-    def __init__(self, path: str, most: int = 300_000) -> None:
+    def __init__(self, path: str, most: int = 120_000) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
+        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
+        self.quick = quick(self.tokenizer, vocabulary)
+        self.added = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith((".", "!", "?", "。")) or "Ċ" in token
 
     def _learn(self, parts: list[str]) -> None:
-        for part, code in zip(parts, self.tokenizer.encode_batch(parts, add_special_tokens=False), strict=True):
-            self.known[part] = np.array(code.ids, "<u4").tobytes()
+        known, slow = self.known, parts
+        if self.quick is not None:
+            encode, added, slow = self.quick.encode_ordinary, self.added.search, []
+            for part in parts:
+                if added(part):
+                    slow.append(part)
+                else:
+                    ids = encode(part)
+                    known[part] = struct.pack(f"<{len(ids)}I", *ids)
+        for part, code in zip(slow, self.tokenizer.encode_batch_fast(slow, add_special_tokens=False), strict=True):
+            known[part] = struct.pack(f"<{len(code.ids)}I", *code.ids)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         found = [PART.findall(t) for t in texts]
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        new = list({p for parts in found for p in parts if p not in known})
-        for k in range(0, len(new), 20_000):
-            self._learn(new[k : k + 20_000])
+        if len(self.known) > self.most:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new = set().union(*found).difference(known)
+        for part in [p for p in new if p in older]:
+            known[part] = older[part]
+            new.discard(part)
+        unknown = list(new)
+        for k in range(0, len(unknown), 10_000):
+            self._learn(unknown[k : k + 10_000])
         return [np.frombuffer(b"".join(map(known.__getitem__, parts)), "<u4") for parts in found]
 
 
@@ -175,6 +225,7 @@ def _packed(path: str, length: int):
                         yield out
         if stream and (out := settle(True)) is not None:
             yield out
+        W.released()
 
     return run
 
