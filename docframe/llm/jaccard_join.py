@@ -11,9 +11,10 @@ the sets of a subset are joined to one of them and no pair need be formed.
 *Heavy* sets scan inverted lists. First, all sets count the shingles of a fixed share of the hash range; a set
 with so many shingles that no other has, that the rest can't reach the threshold, is done. The others order
 all their shingles by how many of them hold each, rarest first, and put the first ones (prefix filter) into
-lists with their positions. Lists give pairs that pass the length and positional filters. Of these, each set
-is first compared with its most frequent partner; pairs within a component found so are settled, and the rest
-are compared in full. So the exact components arise without comparing all pairs of a group of copies.
+lists with their positions. Each set is first compared with one set of each of its lists, the one with the
+fewest shingles of its own, as originals have among their copies. Lists whose sets are in one component now are
+done; in the others, pairs from different components that pass the length and positional filters are compared.
+So the exact components arise without forming all pairs of a group of copies.
 
 The boundary is where the cost of both ways, counted on the sizes that occur, is least. Sets just below it
 stand in the lists too, for their links with larger ones.
@@ -150,21 +151,46 @@ def _prefix(n: Column, percent: int) -> Column:
     return n - F.ceil(n * percent / F.lit(100)).cast("long") + 1
 
 
-def candidates(sets: DataFrame, percent: int, limit: int) -> DataFrame:
-    """(a, b, na, nb): pairs of heavy sets, or of a heavy and a light one, that inverted lists and filters leave."""
+def inverted(sets: DataFrame, percent: int) -> DataFrame:
+    """(sig, n, alone, at, shingle): the inverted lists, one row for each shingle in a set's prefix that others hold.
+
+    A set's shingles are ordered rarest first; ``alone`` of them no other set holds, ``at`` come before this one.
+    """
     spread = sets.select("sig", "n", F.explode("shingles").alias("shingle"))
     common = spread.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
     shared = spread.join(common, "shingle").groupBy("sig", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("ordered"))
     # Shingles that no other set holds come first; they are counted, not listed.
     alone = F.col("n") - F.size("ordered")
-    listed = shared.select("sig", "n", alone.alias("alone"), F.posexplode(F.slice("ordered", F.lit(1), F.greatest(F.lit(0), _prefix(F.col("n"), percent) - alone).cast("int"))).alias("k", "s"))
-    lists = written(listed.select("sig", "n", (F.col("alone") + F.col("k")).alias("at"), F.col("s.shingle").alias("shingle")), "lists")
-    a = lists.select("shingle", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"))
-    b = lists.select("shingle", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"))
+    room = F.greatest(F.lit(0), _prefix(F.col("n"), percent) - alone).cast("int")
+    listed = shared.select("sig", "n", alone.alias("alone"), F.posexplode(F.slice("ordered", F.lit(1), room)).alias("k", "s"))
+    return listed.select("sig", "n", "alone", (F.col("alone") + F.col("k")).alias("at"), F.col("s.shingle").alias("shingle"))
+
+
+def _fits(percent: int, limit: int) -> Column:
+    """Length and positional filters on a pair (na, pa), (nb, pb) of which one set at least is heavy."""
     need = overlap(F.col("na"), F.col("nb"), percent)
-    fits = (F.col("a") < F.col("b")) & (F.greatest("na", "nb") > limit) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    fits &= (F.col("na") - F.col("pa") >= need) & (F.col("nb") - F.col("pb") >= need)
-    return a.join(b.withColumnRenamed("shingle", "other"), (F.col("shingle") == F.col("other")) & fits).select("a", "b", "na", "nb").distinct()
+    fits = (F.greatest("na", "nb") > limit) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    return fits & (F.col("na") - F.col("pa") >= need) & (F.col("nb") - F.col("pb") >= need)
+
+
+def hub_pairs(lists: DataFrame, percent: int, limit: int) -> DataFrame:
+    """(a, b, na, nb): each set with the set of each of its lists that has the fewest shingles alone."""
+    hubs = lists.groupBy("shingle").agg(F.min(F.struct("alone", "sig", "n", "at")).alias("h"))
+    pairs = lists.join(hubs, "shingle").select(
+        F.col("sig").alias("a"), F.col("h.sig").alias("b"), F.col("n").alias("na"), F.col("h.n").alias("nb"), F.col("at").alias("pa"), F.col("h.at").alias("pb")
+    )
+    return pairs.filter((F.col("a") != F.col("b")) & _fits(percent, limit)).select("a", "b", "na", "nb").distinct()
+
+
+def cross_pairs(lists: DataFrame, found: DataFrame, percent: int, limit: int) -> DataFrame:
+    """(a, b, na, nb): pairs within a list of sets that are in no common component yet."""
+    tagged = lists.join(found, "sig", "left").select("shingle", "sig", "n", "at", F.coalesce("root", "sig").alias("root"))
+    mixed = tagged.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("shingle")
+    tagged = tagged.join(mixed, "shingle", "left_semi")
+    a = tagged.select("shingle", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("root").alias("ra"))
+    b = tagged.select(F.col("shingle").alias("other"), F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("root").alias("rb"))
+    meet = (F.col("shingle") == F.col("other")) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
+    return a.join(b, meet & _fits(percent, limit)).select("a", "b", "na", "nb").distinct()
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -222,23 +248,13 @@ def join(docs: DataFrame, gram: int = 3, percent: int = 90) -> DataFrame:
     full = texts.mapInArrow(_sets(gram, share, True), columns)
     sets = written(full.filter("n > 0").dropDuplicates(["sig"]).select("sig", "n", "shingles"), "open-sets")
 
-    pairs = written(candidates(sets, percent, limit), "pairs")
-    degree = pairs.select(F.explode(F.array("a", "b")).alias("sig")).groupBy("sig").agg(F.count("*").alias("d"))
-    ranked = pairs.join(degree.select(F.col("sig").alias("a"), F.col("d").alias("da")), "a").join(degree.select(F.col("sig").alias("b"), F.col("d").alias("db")), "b")
-    mine = F.explode(F.array(F.struct(F.col("a").alias("of"), F.col("db").alias("d"), "a", "b", "na", "nb"), F.struct(F.col("b").alias("of"), F.col("da").alias("d"), "a", "b", "na", "nb")))
-    best = ranked.select(mine.alias("x")).groupBy("x.of").agg(F.max(F.struct("x.d", "x.a", "x.b", "x.na", "x.nb")).alias("x"))
-    firsts = written(best.select("x.a", "x.b", "x.na", "x.nb").distinct(), "firsts")
-    links = written(linked(firsts, sets, percent).unionByName(light), "links")
+    lists = written(inverted(sets, percent), "lists")
+    links = written(linked(hub_pairs(lists, percent, limit), sets, percent).unionByName(light), "links")
     found = components(links)
-
-    root = F.coalesce("root", "sig")
-    of_a = found.select(F.col("sig").alias("a"), F.col("root").alias("ra"))
-    of_b = found.select(F.col("sig").alias("b"), F.col("root").alias("rb"))
-    rest = pairs.join(firsts, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
-    rest = rest.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b", "na", "nb")
-    more = linked(rest, sets, percent)
+    more = written(linked(cross_pairs(lists, found, percent, limit), sets, percent), "more")
     found = components(more.unionByName(found.select(F.col("sig").alias("a"), F.col("root").alias("b"))))
 
+    root = F.coalesce("root", "sig")
     rooted = classes.select("sig", "doc_id").join(found, "sig", "left").select("sig", "doc_id", root.alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = rooted.join(least, "root").select("sig", "component_id")
