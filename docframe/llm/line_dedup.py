@@ -22,14 +22,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docframe.functions.rows import computed
 from docframe.session import written
 
 SEGMENTS = 4
 DEPTH = 3
 MIN_DOCS = 10
 SPACE = r"[\x20\x09-\x0D]+"
+OTHER_SPACE = r"[\x09-\x0D]"
 #: A word with a digit, from its start on.
-FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+FIELD = r"(?<![^\x20])[^\x200-9]*+[0-9][^\x20]*+"
 
 
 def _segments(words: Column, depth: int) -> list[Column]:
@@ -42,8 +44,11 @@ def _segments(words: Column, depth: int) -> list[Column]:
 def parsed(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(doc_id, text_key, line, templates): every line that has templates, with their hashes."""
     lines = docs.filter("text is not null").select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    masked = F.regexp_replace("content", FIELD, "0")
-    lines = lines.select("doc_id", "text_key", "line", F.filter(F.split(masked, SPACE), lambda w: w != "").alias("words")).filter(F.size("words") > depth)
+    # Most lines have neither a digit nor white space but blanks, and are only split.
+    content = F.col("content")
+    masked = F.regexp_replace(F.regexp_replace(content, OTHER_SPACE, " "), FIELD, "0")
+    plain = F.when(content.rlike(r"[0-9\x09-\x0D]"), masked).otherwise(content)
+    lines = computed(lines, words=F.array_remove(F.split(plain, " "), "")).drop("content").filter(F.size("words") > depth)
     path = F.xxhash64(F.size("words"), F.slice("words", 1, depth))
     lines = lines.select("doc_id", "text_key", "line", F.struct(path.alias("path"), *(s.alias(f"s{k}") for k, s in enumerate(_segments(F.col("words"), depth)))).alias("t"))
     path, parts = F.col("t.path"), [F.col(f"t.s{k}") for k in range(SEGMENTS)]
