@@ -225,6 +225,7 @@ def _packed(path: str, length: int):
                         yield out
         if stream and (out := settle(True)) is not None:
             yield out
+        del encoder, stream
         W.released()
 
     return run

@@ -172,6 +172,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CHUNK, slice
 
     def probe(key: tuple, table: pa.Table) -> pa.Table:
         keys, flags = Chunk(table, length).probes()
+        W.released()
         return _sent(key[0].as_py(), keys, BITS, bits, flags)
 
     def extend(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
