@@ -42,7 +42,7 @@ def _segments(words: Column, depth: int) -> list[Column]:
 
 
 def parsed(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(doc_id, text_key, line, templates): every line that has templates, with their hashes."""
+    """(doc_id, text_key, line, path, templates): every line that has templates, with the hashes of its path and of them."""
     lines = docs.filter("text is not null").select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line", "content"))
     # Most lines have neither a digit nor white space but blanks, and are only split.
     content = F.col("content")
@@ -53,13 +53,16 @@ def parsed(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     lines = lines.select("doc_id", "text_key", "line", F.struct(path.alias("path"), *(s.alias(f"s{k}") for k, s in enumerate(_segments(F.col("words"), depth)))).alias("t"))
     path, parts = F.col("t.path"), [F.col(f"t.s{k}") for k in range(SEGMENTS)]
     every = [F.xxhash64(path, *parts)] + [F.xxhash64(F.lit(k), path, *(p for i, p in enumerate(parts) if i != k)) for k in range(SEGMENTS)]
-    return lines.select("doc_id", "text_key", "line", F.array(*every).alias("templates"))
+    return lines.select("doc_id", "text_key", "line", path.alias("path"), F.array(*every).alias("templates"))
 
 
 def dropped(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH) -> DataFrame:
     """(doc_id, text_key, lines): numbers of the lines that go, for each document that loses any."""
     lines = written(parsed(docs, depth), "templates")
-    rows = lines.select("doc_id", "text_key", "line", F.explode("templates").alias("template"))
+    # Only paths that enough lines take can hold a template that recurs; the others' templates are never sent.
+    taken = lines.groupBy("path").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs).select("path")
+    kept = lines.join(taken, "path", "left_semi")
+    rows = kept.select("doc_id", "text_key", "line", F.explode("templates").alias("template"))
     # One row for each template and document before a template's documents are counted, so no task gets them all.
     per_doc = rows.groupBy("template", "doc_id", "text_key").agg(F.min("line").alias("line"))
     recurring = per_doc.groupBy("template").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key", "line")).alias("first")).filter(F.col("n") >= min_docs).drop("n")
