@@ -1,7 +1,9 @@
 """License scan: text blocks that contain the words of a license notice.
 
-Words are runs of ASCII letters and digits and non-ASCII characters, A-Z lower-cased; a block is a line.
-A block matches a template if it holds at least ``threshold`` of the template's distinct words. The join is
+Words are runs of ASCII letters and digits and non-ASCII characters, A-Z lower-cased; a block is a line, or a
+run of words that goes over line breaks, ``REACH`` times as long as the template and begun by one of its
+words: every notice wrapped over lines lies in such a run, with as many other words in between. The SQL knows
+lines only. A block matches a template if it holds at least ``threshold`` of the template's distinct words. The join is
 exact: the words of the templates are ordered by how many documents of the corpus hold them, rarest first; a
 block can only match if it holds one of a template's first words (prefix filter) and enough distinct words
 (length filter), and if the words from its first hit on are enough (positional filter). Only blocks that pass
@@ -37,6 +39,8 @@ TEMPLATES = (
     ("public-domain", "this is free and unencumbered software released into the public domain"),
 )
 THRESHOLD = 0.8
+#: Length of a run over line breaks, in lengths of the template.
+REACH = 2
 
 
 def _folded() -> Column:
@@ -85,11 +89,7 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, ph
     phrase_words = [p.split() for p, _ in phrases]
     slim = docs.select("doc_id", _folded().alias("folded"))
     blocks = F.transform(F.split(folded, "\n"), _words)
-    held = slim.select(
-        "doc_id",
-        F.when(folded.rlike(likely), _words(folded)).alias("words") if phrases else F.lit(None).cast("array<string>").alias("words"),
-        blocks.alias("blocks"),
-    )
+    held = slim.select("doc_id", (folded.rlike(likely) if phrases else F.lit(False)).alias("phrased"), blocks.alias("blocks"))
 
     def containment(block: Column, number: int) -> Column:
         """Share of template ``number`` in the block, 0 if a filter rules it out."""
@@ -104,10 +104,22 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, ph
         return F.when(enough, F.when((rest >= need) & (shared >= need), shared / F.lit(float(len(words)))))
 
     near = F.filter("blocks", lambda b: F.arrays_overlap(b, F.array(*map(F.lit, prefix)))) if prefix else F.array().cast("array<array<string>>")
-    held = held.select("doc_id", "words", F.aggregate("blocks", F.lit(0), lambda n, b: n + F.size(b)).cast("long").alias("n_words"), near.alias("near"))
+    held = held.select("doc_id", "phrased", "blocks", near.alias("near"))
+    # Without a line that holds a first word no run of words holds one.
+    words = F.when(F.col("phrased") | (F.size("near") > 0), F.flatten("blocks"))
+    held = held.select("doc_id", words.alias("words"), F.aggregate("blocks", F.lit(0), lambda n, b: n + F.size(b)).cast("long").alias("n_words"), "near")
+
+    def wrapped(number: int) -> Column:
+        """Largest share of template ``number`` in a run of words, whatever lines it stands on."""
+        whole = F.array(*map(F.lit, ordered[number][1]))
+        length = REACH * len(templates[number][1].split())
+        # A best run can start at a word of the template: moved there, it loses none.
+        starts = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_contains(whole, F.col("words")[i]))
+        best = F.array_max(F.transform(starts, lambda i: containment(F.slice("words", i + 1, F.lit(length)), number)))
+        return F.when(containment(F.col("words"), number).isNotNull(), best)
 
     def largest(number: int) -> Column:
-        return F.array_max(F.transform("near", lambda b: containment(b, number)))
+        return F.greatest(F.array_max(F.transform("near", lambda b: containment(b, number))), wrapped(number))
 
     best = [largest(k) for k in range(len(ordered))]
     places = [F.coalesce(_places(F.col("words"), p), F.array().cast("array<int>")) for p in phrase_words]

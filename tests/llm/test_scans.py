@@ -178,6 +178,23 @@ def test_licenses_equal_brute_force(spark, sf, texts, awkward, empty):
     assert license_scan.scan(df, templates=(), phrases=()).filter("labels != '' or score != 0").count() == 0
 
 
+def test_wrapped_notices_are_found(spark):
+    notices = [
+        ("apache", 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.'),
+        ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"),
+        ("bsd", "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions\n# are met:"),
+        ("mpl", "This Source Code Form\nis subject to the terms\nof the Mozilla\nPublic License, v. 2.0."),
+    ]
+    rows = [(k, "one line before\n" + t + "\nand one behind", label) for k, (label, t) in enumerate(notices)]
+    far = "\n".join(w + " other" * 40 for w in license_scan.TEMPLATES[0][1].split())
+    rows += [(100, "\n".join("word" + str(k) for k in range(3000)) + "\n" + notices[1][1].replace(" ", "\n"), "mit"), (101, far, ""), (102, notices[0][1].split("\n")[0], "")]
+    found = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    for d, t, label in rows:
+        assert brute_license(t)[-2:] == ("", 0.0)
+        assert (found[d]["labels"], found[d]["score"]) == (label, 1.0 if label else 0.0)
+        assert found[d]["n_words"] == len(folded(t))
+
+
 def secret_documents(seed=1, n=400):
     rng = random.Random(seed)
     hexes = "0123456789abcdef"
