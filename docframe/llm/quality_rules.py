@@ -7,9 +7,9 @@ steps to the half with the smallest determinant, the blocks' estimates are poole
 over all rows of the group gives the final estimate. Documents whose squared Mahalanobis distance lies
 beyond a far chi-square quantile are rejected.
 
-Null texts have no words; they and all texts of under ``min_words`` words fail the base rules. Groups with
-fewer than ``min_group`` rows are pooled over their language's sources, and rows of a pool that is still too
-small are kept. Null languages and sources are values like others. Repeated rows are judged alike. An empty
+Null texts have no words; they and all texts of under ``min_words`` words fail the base rules. A group with
+fewer than ``min_group`` rows is judged by the estimate of all rows of its language, or, if these are too few,
+of the corpus; rows are kept where even the corpus is too small. Null languages and sources are values like others. Repeated rows are judged alike. An empty
 table gives an empty result. Columns other than those named are not read by ``judge`` and are returned
 unchanged by ``keep``.
 """
@@ -102,10 +102,16 @@ def quantile(share: float) -> float:
     return P * (1 - a + NormalDist().inv_cdf(share) * a**0.5) ** 3
 
 
+def consistency(share: float) -> float:
+    """Factor that makes the scatter of the nearest ``share`` of normal rows that of all (Wilson and Hilferty)."""
+    a = 2 / (9 * (P + 2))
+    return share / NormalDist().cdf(((quantile(share) / (P + 2)) ** (1 / 3) - (1 - a)) / a**0.5)
+
+
 def concentrated(x: np.ndarray, seed: int, starts: int = 6, steps: int = 30) -> tuple[np.ndarray, np.ndarray]:
-    """Centre and scatter of the three quarters of rows whose scatter has the smallest determinant."""
+    """Centre and scatter of the half of rows whose scatter has the smallest determinant, the scatter made consistent."""
     n, floor = len(x), np.diag(np.square(FLOOR))
-    h = max(min(n, P + 1), -(-3 * n // 4))
+    h = min(n, (n + P + 1) // 2)
     rng = np.random.default_rng(seed)
     centre = np.median(x, axis=0)
     spread = np.maximum(1.4826 * np.median(np.abs(x - centre), axis=0), FLOOR)
@@ -126,9 +132,9 @@ def concentrated(x: np.ndarray, seed: int, starts: int = 6, steps: int = 30) ->
             d = new
         det = np.linalg.slogdet(scatter)[1]
         if best is None or det < best[0] - 1e-12:
-            best = det, mean, scatter, new
-    _, mean, scatter, d = best
-    return mean, scatter * max(1.0, float(np.median(d)) / quantile(0.5))
+            best = det, mean, scatter
+    _, mean, scatter = best
+    return mean, scatter * (consistency(h / n) if h < n else 1.0)
 
 
 def _block(key, frame):
@@ -163,20 +169,28 @@ def judge(docs: DataFrame, min_words: int = 20, repeat_percent: int = 30, min_gr
     table = written(statistics(docs), "quality")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     table = table.withColumns({"base_failed": failed, "v": F.array(*_vector())})
-    sizes = table.filter(~F.col("base_failed")).groupBy("grp", "pool").count()
-    pools = sizes.groupBy("pool").agg(F.sum(F.when(F.col("count") < min_group, F.col("count"))).alias("pooled"))
-    named = (
-        sizes.join(pools, "pool")
-        .select("grp", "pool", F.when(F.col("count") >= min_group, F.struct("grp", F.col("count").alias("n"))).when(F.col("pooled") >= min_group, F.struct(F.concat(F.lit("*"), "pool").alias("grp"), F.col("pooled").alias("n"))).alias("to"))
-        .select(F.col("grp").alias("own"), F.col("to.grp").alias("to"), F.ceil(F.col("to.n") / BLOCK).alias("blocks"))
-        .filter("to is not null")
-    )
-    named = spark.read.schema("own string, to string, blocks long").parquet(_put(named))
-    good = table.filter(~F.col("base_failed")).join(named, F.col("grp") == F.col("own")).select(F.col("to").alias("grp"), "v", F.pmod(F.xxhash64("doc_id", "text_key"), F.col("blocks")).alias("block"))
+    sizes = spark.read.schema("grp string, pool string, n long").parquet(_put(table.filter(~F.col("base_failed")).groupBy("grp", "pool").agg(F.count("*").alias("n"))))
+    pools = sizes.groupBy("pool").agg(F.sum("n").alias("in_pool"), (F.min("n") < min_group).alias("lends"))
+    corpus = pools.agg(F.sum("in_pool").alias("in_all"), (F.min("in_pool") < min_group).alias("all_lend"))
+
+    def target(name: Column, n: str) -> Column:
+        return F.when(F.col(n) >= min_group, F.struct(name.alias("grp"), F.ceil(F.col(n) / BLOCK).alias("blocks")))
+
+    own, wide, widest = target(F.col("grp"), "n"), target(F.concat(F.lit("*"), "pool"), "in_pool"), target(F.lit("**"), "in_all")
+    # The estimate that judges a group, and all that its rows take part in: wider ones only where a small group needs them.
+    feeds = F.array_compact(F.array(own, F.when(F.col("lends"), wide), F.when(F.col("all_lend"), widest)))
+    groups = sizes.join(pools, "pool").crossJoin(corpus).select(F.col("grp").alias("own"), F.coalesce(own, wide, widest)["grp"].alias("to"), feeds.alias("feeds")).filter("to is not null")
+    groups = spark.read.schema("own string, to string, feeds array<struct<grp:string,blocks:long>>").parquet(_put(groups))
+    named = groups.select("own", "to")
+    fed = groups.select("own", F.explode("feeds").alias("feed")).select("own", "feed.grp", "feed.blocks")
+    rows = table.filter(~F.col("base_failed")).select(F.col("grp").alias("own"), "doc_id", "text_key", "v")
+    good = rows.join(fed, "own").select("grp", "v", F.pmod(F.xxhash64("doc_id", "text_key"), F.col("blocks")).alias("block"))
     estimates = good.groupBy("grp", "block").applyInPandas(_block, "grp string, n long, mean array<double>, cov array<double>")
     pooled = _weighted(estimates, [F.col("mean")[i] for i in range(P)], [F.col("cov")[k] for k in range(len(PAIRS))], F.col("n"))
     first = spark.read.schema("grp string, m array<double>, w array<double>").parquet(_put(pooled.mapInArrow(_inverted, "grp string, m array<double>, w array<double>")))
-    near = good.join(first, "grp").filter(_distance() <= quantile(0.975)).select("grp", "v")
+    # By block as well, so the rows of a large group spread over tasks.
+    first = first.join(fed.select("grp", "blocks").distinct(), "grp").select("grp", "m", "w", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    near = good.join(first, ["grp", "block"]).filter(_distance() <= quantile(0.975)).select("grp", "v")
     v = [F.col("v")[i] for i in range(P)]
     sums = near.groupBy("grp").agg(F.count("*").alias("n"), *(F.avg(x).alias(f"m{i}") for i, x in enumerate(v)), *(F.covar_pop(v[i], v[j]).alias(f"c{i}{j}") for i, j in PAIRS))
     # The cut at the 0.975 quantile shortens the spread a little; this factor restores it for normal data.

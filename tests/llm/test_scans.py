@@ -75,6 +75,37 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert gone == set(range(1000, 1020))
 
 
+@pytest.mark.parametrize("share", [0.2, 0.3, 0.4, 0.45])
+@pytest.mark.parametrize("n", [60, 400, 2000])
+def test_outliers_of_up_to_nearly_half_do_not_mask_themselves(share, n):
+    rng = np.random.default_rng(int(100 * share) + n)
+    bulk = rng.normal([5.5, 1.6, 0, 0, 0], [0.8, 0.05, 0, 0, 0], (n - int(share * n), 5))
+    off = rng.normal([5.5, 2.08, 0.6, 0, 0], [0.8, 0.02, 0.01, 0, 0], (int(share * n), 5))
+    mean, scatter = quality_rules.concentrated(np.vstack([bulk, off]), 1)
+    inverse = np.linalg.inv(scatter)
+    assert np.einsum("ni,ij,nj->n", off - mean, inverse, off - mean).min() > quality_rules.quantile(1 - 1e-9)
+    assert np.einsum("ni,ij,nj->n", bulk - mean, inverse, bulk - mean).max() < quality_rules.quantile(1 - 1e-9)
+
+
+def judged_sources(spark, sources):
+    """Rejected numbers of documents: per (lang, source) how many are normal and how many are junk, these from 1000 on."""
+    rng = random.Random(8)
+    words = ["alpha", "beta", "gamma", "delta", "of", "the", "very", "longer", "and"]
+    rows = []
+    for lang, source, clean, junk in sources:
+        name = lang + source
+        rows += [(f"{name}{k}", " ".join(rng.choice(words) + str(rng.randrange(99)) for _ in range(rng.randrange(60, 300))), lang, source) for k in range(clean)]
+        rows += [(f"{name}{1000 + k}", " ".join(rng.choice(words) + str(rng.randrange(99)) + "#$%*" for _ in range(200)), lang, source) for k in range(junk)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string, source string")
+    return {r["doc_id"] for r in quality_rules.judge(df).filter("not kept").collect()}
+
+
+def test_a_hot_source_with_much_junk_and_small_ones_beside_it(spark):
+    gone = judged_sources(spark, [("en", "hot", 220, 180), ("en", "small", 20, 5), ("fr", "few", 10, 3)])
+    assert gone == {f"enhot{1000 + k}" for k in range(180)} | {f"ensmall{1000 + k}" for k in range(5)} | {f"frfew{1000 + k}" for k in range(3)}
+    assert judged_sources(spark, [("en", "only", 20, 5)]) == set()
+
+
 def brute_windows(docs, items):
     """(doc_id, words, words hit, items found) with every window of every item sought everywhere."""
     windows = {}
