@@ -30,9 +30,9 @@ from docframe.session import written
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
-#: Smallest spread of each transformed statistic that counts as a difference: log words, log word length,
-#: and the square roots of the shares of symbols, repeated lines and repeated words.
-FLOOR = (0.5, 0.1, 0.05, 0.15, 0.15)
+#: Least spread of each transformed statistic, a bound only: log words, log word length, and the square roots
+#: of the shares of symbols, repeated lines and repeated words. So small that each can reject by itself.
+FLOOR = (0.25, 0.08, 0.05, 0.08, 0.05)
 P = len(FLOOR)
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 #: Rows of a block: an estimate from so many is stable, and its concentration steps take milliseconds.
@@ -108,9 +108,16 @@ def consistency(share: float) -> float:
     return share / NormalDist().cdf(((quantile(share) / (P + 2)) ** (1 / 3) - (1 - a)) / a**0.5)
 
 
+def bounded(scatter: np.ndarray) -> np.ndarray:
+    """The scatter, with the spread of every direction at least one in units of ``FLOOR``."""
+    units = np.outer(FLOOR, FLOOR)
+    values, vectors = np.linalg.eigh(scatter / units)
+    return (vectors * np.maximum(values, 1)) @ vectors.T * units
+
+
 def concentrated(x: np.ndarray, seed: int, starts: int = 6, steps: int = 30) -> tuple[np.ndarray, np.ndarray]:
     """Centre and scatter of the half of rows whose scatter has the smallest determinant, the scatter made consistent."""
-    n, floor = len(x), np.diag(np.square(FLOOR))
+    n = len(x)
     h = min(n, (n + P + 1) // 2)
     rng = np.random.default_rng(seed)
     centre = np.median(x, axis=0)
@@ -118,23 +125,24 @@ def concentrated(x: np.ndarray, seed: int, starts: int = 6, steps: int = 30) ->
     firsts = [np.square((x - centre) / spread).sum(axis=1)]
     for _ in range(starts):
         pick = x[rng.choice(n, min(n, P + 1), replace=False)]
-        inverse = np.linalg.inv(np.cov(pick.T, bias=True).reshape(P, P) + floor)
+        inverse = np.linalg.inv(bounded(np.cov(pick.T, bias=True).reshape(P, P)))
         firsts.append(np.einsum("ni,ij,nj->n", x - pick.mean(0), inverse, x - pick.mean(0)))
     best = None
     for d in firsts:
         for _ in range(steps):
             near = np.argsort(d, kind="stable")[:h]
             mean = x[near].mean(0)
-            scatter = np.cov(x[near].T, bias=True).reshape(P, P) + floor
-            new = np.einsum("ni,ij,nj->n", x - mean, np.linalg.inv(scatter), x - mean)
+            scatter = np.cov(x[near].T, bias=True).reshape(P, P)
+            bound = bounded(scatter)
+            new = np.einsum("ni,ij,nj->n", x - mean, np.linalg.inv(bound), x - mean)
             if np.array_equal(near, np.argsort(new, kind="stable")[:h]):
                 break
             d = new
-        det = np.linalg.slogdet(scatter)[1]
+        det = np.linalg.slogdet(bound)[1]
         if best is None or det < best[0] - 1e-12:
             best = det, mean, scatter
     _, mean, scatter = best
-    return mean, scatter * (consistency(h / n) if h < n else 1.0)
+    return mean, bounded(scatter * (consistency(h / n) if h < n else 1.0))
 
 
 def _block(key, frame):
@@ -154,7 +162,7 @@ def _inverted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             c = np.zeros((P, P))
             for k, (i, j) in enumerate(PAIRS):
                 c[i, j] = c[j, i] = r["cov"][k]
-            rows.append({"grp": r["grp"], "m": r["mean"], "w": np.linalg.inv(c).ravel().tolist()})
+            rows.append({"grp": r["grp"], "m": r["mean"], "w": np.linalg.inv(bounded(c)).ravel().tolist()})
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("grp", pa.string()), ("m", pa.list_(pa.float64())), ("w", pa.list_(pa.float64()))]))
 
 
@@ -194,7 +202,7 @@ def judge(docs: DataFrame, min_words: int = 20, repeat_percent: int = 30, min_gr
     v = [F.col("v")[i] for i in range(P)]
     sums = near.groupBy("grp").agg(F.count("*").alias("n"), *(F.avg(x).alias(f"m{i}") for i, x in enumerate(v)), *(F.covar_pop(v[i], v[j]).alias(f"c{i}{j}") for i, j in PAIRS))
     # The cut at the 0.975 quantile shortens the spread a little; this factor restores it for normal data.
-    final = sums.select("grp", F.array(*(f"m{i}" for i in range(P))).alias("mean"), F.array(*(F.col(f"c{i}{j}") * 1.1 + (FLOOR[i] ** 2 if i == j else 0) for i, j in PAIRS)).alias("cov"))
+    final = sums.select("grp", F.array(*(f"m{i}" for i in range(P))).alias("mean"), F.array(*(F.col(f"c{i}{j}") * 1.1 for i, j in PAIRS)).alias("cov"))
     final = spark.read.schema("grp string, m array<double>, w array<double>").parquet(_put(final.mapInArrow(_inverted, "grp string, m array<double>, w array<double>")))
     params = named.join(final.withColumnRenamed("grp", "to"), "to").select("own", "m", "w")
     judged = table.join(params, F.col("grp") == F.col("own"), "left").withColumn("distance", _distance())

@@ -106,6 +106,30 @@ def test_a_hot_source_with_much_junk_and_small_ones_beside_it(spark):
     assert judged_sources(spark, [("en", "only", 20, 5)]) == set()
 
 
+def odd_text(kind, rng):
+    """A hundred words in twenty lines, odd in one statistic."""
+    words = [f"w{rng.randrange(10**5):05d}" for _ in range(1000 if kind == "words" else 100)]
+    if kind == "length":
+        words = [w + "a" * 6 for w in words]
+    elif kind == "symbols":
+        words = ["#" + w[1:] for w in words]
+    elif kind == "repeated words":
+        words[:24] = words[:12] * 2
+    lines = [" ".join(words[k : k + 5]) for k in range(0, len(words), 5)]
+    if kind == "repeated lines":
+        lines[::2] = lines[:1] * 10
+    return " ".join(words) if kind == "repeated words" else "\n".join(lines)
+
+
+def test_each_statistic_can_reject_alone(spark):
+    rng = random.Random(9)
+    kinds = ["words", "length", "symbols", "repeated lines", "repeated words"]
+    rows = [(str(k), odd_text("", rng), "en", "s") for k in range(100)] + [(kind, odd_text(kind, rng), "en", "s") for kind in kinds]
+    found = quality_rules.judge(spark.createDataFrame(rows, "doc_id string, text string, lang string, source string")).collect()
+    assert not any(r["base_failed"] for r in found)
+    assert {r["doc_id"] for r in found if not r["kept"]} == set(kinds)
+
+
 def brute_windows(docs, items):
     """(doc_id, words, words hit, items found) with every window of every item sought everywhere."""
     windows = {}
