@@ -308,6 +308,23 @@ def test_the_network_learns_and_keeps_its_recall():
     assert secret_scan.train([]).threshold > 1 and secret_scan.train(seen[:3]).threshold > 1
 
 
+def test_few_secrets_among_many_others_keep_their_recall():
+    rng = np.random.default_rng(5)
+    z = np.concatenate([rng.normal(1, 1, 100), rng.normal(-1, 1, 3000)])
+    y = np.repeat([1.0, 0.0], [100, 3000])
+    network = secret_scan.Network()
+    network.calibrate(z, y, 0.95)
+    p = 1 / (1 + np.exp(-(network.scale * z + network.offset)))
+    found = p >= network.threshold
+    assert found[y > 0].mean() >= 0.95 and network.threshold < 0.5
+    assert network.precision == found[y > 0].sum() / found.sum()
+
+
+def test_runs_without_a_digit_are_scored():
+    text = "the key QwErTyUiOpAsDfGhJkLzXcVb here, 1234567890123456 there"
+    assert [c[:2] for c in secret_scan.candidates(text, []) if c[4]] == [(8, 32)]
+
+
 def test_the_network_adds_spans_and_keeps_base_ones(spark):
     rows = secret_documents(3, 600) + [(9000, "see ghs" + "X9fK2mQ7vB4tR8wZ1cL6" * 2 + " there"), (9001, "x" * 5000 + " 1" + "ab" * 300)]
     found = {r["doc_id"]: r for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
