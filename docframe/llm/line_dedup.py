@@ -2,8 +2,10 @@
 
 A parsing tree of fixed depth gives every line its path: the number of its words, then its first ``depth``
 words; a word with a digit is a variable field at once. Below its path a line is a sequence of ``SEGMENTS``
-runs of words, and its templates are the line itself and the line with one run made variable. So lines of
-equal length and beginning that differ in one field, whatever stands in it, meet in one template, and no two
+runs of words, and its templates are the line itself and the line with one run made variable, if at least as
+many of these words stay fixed: the one word below the path of a line of ``depth`` + 1 words is never variable.
+(The SQL makes it variable; the results differ where ``min_docs`` documents hold such lines that begin alike
+and end differently.) So lines of equal length and beginning that differ in one field, whatever stands in it, meet in one template, and no two
 lines of a path need be compared. A template recurs if lines of at least ``min_docs`` documents follow it;
 each of its lines goes but the first (by doc_id, then place), so its content stays once in the corpus.
 
@@ -50,10 +52,13 @@ def parsed(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     plain = F.when(content.rlike(r"[0-9\x09-\x0D]"), masked).otherwise(content)
     lines = computed(lines, words=F.array_remove(F.split(plain, " "), "")).drop("content").filter(F.size("words") > depth)
     path = F.xxhash64(F.size("words"), F.slice("words", 1, depth))
-    lines = lines.select("doc_id", "text_key", "line", F.struct(path.alias("path"), *(s.alias(f"s{k}") for k, s in enumerate(_segments(F.col("words"), depth)))).alias("t"))
+    lines = lines.select("doc_id", "text_key", "line", F.struct(path.alias("path"), (F.size("words") - depth).alias("rest"), *(s.alias(f"s{k}") for k, s in enumerate(_segments(F.col("words"), depth)))).alias("t"))
     path, parts = F.col("t.path"), [F.col(f"t.s{k}") for k in range(SEGMENTS)]
-    every = [F.xxhash64(path, *parts)] + [F.xxhash64(F.lit(k), path, *(p for i, p in enumerate(parts) if i != k)) for k in range(SEGMENTS)]
-    return lines.select("doc_id", "text_key", "line", path.alias("path"), F.array(*every).alias("templates"))
+    exact = F.xxhash64(path, *parts)
+    masks = [F.xxhash64(F.lit(k), path, *(p for i, p in enumerate(parts) if i != k)) for k in range(SEGMENTS)]
+    # Of two words or more below the path no run holds more than half.
+    templates = F.when(F.col("t.rest") > 1, F.array(exact, *masks)).otherwise(F.array(exact))
+    return lines.select("doc_id", "text_key", "line", path.alias("path"), templates.alias("templates"))
 
 
 def dropped(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH) -> DataFrame:

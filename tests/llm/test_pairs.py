@@ -232,6 +232,13 @@ def test_lines_equal_brute_force(spark, sf, texts, empty):
     assert line_dedup.dedup(empty).count() == 0
 
 
+def test_distinct_lines_of_four_words_stay(spark):
+    rows = [(k, f"He went to {a}\nHe went to sleep\nhe was number {k} there") for k, a in enumerate("Rome bed Paris town work school church court sea war market dinner".split())]
+    out = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = {k: rows[0][1] if k == 0 else t.split("\n")[0] for k, t in rows}
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == want
+
+
 def test_lines_of_awkward_rows(awkward):
     out = line_dedup.dedup(awkward)
     assert out.columns == awkward.columns and out.count() == awkward.count()
