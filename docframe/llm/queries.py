@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docframe.llm import decontamination, jaccard_join, license_scan, line_dedup, packing, quality_rules, secret_scan, substring_dedup, url_filters, warc
+from docframe.llm import binary_records, conversation_repair, decontamination, jaccard_join, license_scan, line_dedup, packing, periodic_runs, quality_rules, secret_scan, substring_dedup, url_filters, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,39 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
-OPERATORS = (op1_url_filters, op2_line_dedup, op3_secret_scans, op4_quality_rules, op5_warc, op6_jaccard_join, op7_substring_dedup, op8_benchmark_decontamination, op9_license_scans, op10_packing)
+def planted(docs: DataFrame) -> DataFrame:
+    """Documents of which one in ten, by a checksum of its number, goes on periodically from some word on."""
+    given = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    rows = rows.withColumn("given", F.when(F.col("h") % 10 == 0, given)).withColumn("n", F.size("given").cast("long"))
+    rows = rows.withColumn("g", F.floor(F.col("h") / 10)).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rest = F.col("n") - F.col("a")
+    rows = rows.withColumn("p", 1 + F.floor(rest / (3 + F.col("g") % 8)))
+    unit = F.slice("given", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    again = F.flatten(F.array_repeat(unit, (F.floor(rest / F.col("p")) + 1).cast("int")))
+    whole = F.concat(F.slice("given", 1, F.col("a").cast("int")), F.slice(again, 1, rest.cast("int")))
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(whole, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.runs(planted(table(spark, sf_dir, "documents")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    out = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("longest"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length, period = -F.col("longest.less"), F.col("longest.period")
+    return out.select("doc_id", "n_runs", F.col("longest.start").alias("start"), length.alias("length"), period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op12_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = binary_records.round_trip(table(spark, sf_dir, "documents"), vocabulary())
+    return records.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    original = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damaged(original)).reports(original)
+
+
+OPERATORS = (op1_url_filters, op2_line_dedup, op3_secret_scans, op4_quality_rules, op5_warc, op6_jaccard_join, op7_substring_dedup, op8_benchmark_decontamination, op9_license_scans, op10_packing, op11_periodic_runs, op12_binary_records, op13_conversation_repair)
 QUERIES = {f.__name__: f for f in OPERATORS}
-ORACLES = {"op2_line_dedup": line_dedup.oracle(), "op5_warc": warc.oracle(), "op9_license_scans": license_scan.oracle()}
+ORACLES = {"op2_line_dedup": line_dedup.oracle(), "op5_warc": warc.oracle(), "op9_license_scans": license_scan.oracle(), "op13_conversation_repair": conversation_repair.oracle()}
