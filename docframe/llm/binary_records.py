@@ -2,8 +2,9 @@
 
 A record frames one document's ids: eight bytes of length, its masked checksum, the payload, its masked checksum;
 checksums are CRC-32C, rotated right by 15 bits plus a constant, all numbers little-endian. This is the framing that
-common training loaders read. A payload is the key's length and text, filled up to four bytes, then the ids in 32
-bits; a null key has length -1. The index ``<file>.idx`` holds per record its offset and the number of ids before it
+common training loaders read. A payload is the key's length (-1 for null), the number of ids and the bytes of each in
+32 bits, the key's text and the ids, both filled up to four bytes; ids take two bytes where the whole vocabulary fits
+in them, else four. The index ``<file>.idx`` holds per record its offset and the number of ids before it
 in the file, 64 bits each, and at last the file's size and all ids: a reader finds any record with one small read,
 in any order, and knows where its ids stand in the corpus without reading those before.
 
@@ -110,16 +111,21 @@ def unframed(raw: bytes, offsets: np.ndarray) -> list[bytes]:
     return out
 
 
-def payload(key: str | None, ids: bytes) -> bytes:
-    name = (key or "").encode("utf-8", "surrogatepass")
-    return struct.pack("<i", -1 if key is None else len(name)) + name + bytes(-len(name) % 4) + ids
+HEAD = struct.Struct("<iII")
 
 
-def parsed(raw: bytes) -> tuple[str | None, bytes]:
+def payload(key: str | None, ids: np.ndarray) -> bytes:
+    """A document's key and ids, which come in the width they are written in."""
+    name, raw = (key or "").encode("utf-8", "surrogatepass"), ids.tobytes()
+    return HEAD.pack(-1 if key is None else len(name), len(ids), ids.itemsize) + name + bytes(-len(name) % 4) + raw + bytes(-len(raw) % 4)
+
+
+def parsed(raw: bytes) -> tuple[str | None, np.ndarray]:
     """Key and ids of a payload."""
-    size = struct.unpack_from("<i", raw)[0]
-    end = 4 + max(0, size)
-    return None if size < 0 else raw[4:end].decode("utf-8", "surrogatepass"), raw[end + -end % 4 :]
+    size, n, width = HEAD.unpack_from(raw)
+    end = HEAD.size + max(0, size)
+    ids = np.frombuffer(raw, f"<u{width}", n, end + -end % 4)
+    return None if size < 0 else raw[HEAD.size : end].decode("utf-8", "surrogatepass"), ids
 
 
 MANIFEST = pa.schema([("part", pa.int64()), ("file", pa.string()), ("records", pa.int64()), ("ids", pa.int64()), ("ids_before", pa.int64())])
@@ -130,7 +136,8 @@ def _writer(place: Store, tokenizer: str, end_id: int, most: int):
         task = TaskContext.get()
         system, base = place.opened()
         system.create_dir(base, recursive=True)
-        encoder, end = Encoder(tokenizer), struct.pack("<I", end_id)
+        encoder = Encoder(tokenizer)
+        width = "<u2" if max(len(encoder.ends) - 1, end_id) < 1 << 16 else "<u4"
         out, name, files, size, counted, before, index = None, "", 0, 0, 0, 0, []
 
         def close() -> pa.RecordBatch:
@@ -144,7 +151,7 @@ def _writer(place: Store, tokenizer: str, end_id: int, most: int):
 
         for batch, texts in W.portions(batches):
             ids = encoder.ids([t or "" for t in texts])
-            records = framed([payload(k, i.tobytes() + end) for k, i in zip(batch["key"].to_pylist(), ids, strict=True)])
+            records = framed([payload(k, np.append(i, end_id).astype(width)) for k, i in zip(batch["key"].to_pylist(), ids, strict=True)])
             if out is None:
                 name = f"ids-{task.partitionId():06d}-{files:04d}-{task.taskAttemptId()}.bin"
                 out, files, size, counted, index = system.open_output_stream(f"{base}/{name}"), files + 1, 0, 0, []
@@ -199,14 +206,14 @@ def _reader(place: Store):
                         raw = handle.read(int(index[end, 0] - index[at, 0]))
                         found = [parsed(p) for p in unframed(raw, index[at : end + 1, 0] - index[at, 0])]
                         starts = index[at:end, 1] + work["start"]
-                        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.string()), pa.array(starts), pa.array([i for _, i in found], pa.binary())], schema=ROWS)
+                        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.string()), pa.array(starts), pa.array([i.astype("<u4").tobytes() for _, i in found], pa.binary())], schema=ROWS)
                         at = end
 
     return run
 
 
 def read(manifest: DataFrame, folder: str, seed: int | None = None) -> DataFrame:
-    """key (as text), start (ids of all records before) and ids of each record, with checked checksums.
+    """key (as text), start (ids of all records before) and ids (32 bits each) of each record, with checked checksums.
 
     Without ``seed`` tasks read ranges of neighbouring records. With it each record is read by its own offset, in an
     order that the seed alone decides.
