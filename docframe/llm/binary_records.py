@@ -39,8 +39,8 @@ from docframe.operators.ordered import running_totals
 from docframe.session import work_folder, written
 from docframe.sources.store import Store, store
 
-#: Bytes after which a new file is begun, records one task reads, and bytes read at once.
-MOST, RECORDS, RANGE = 256 << 20, 20_000, 4 << 20
+#: Bytes after which a new file is begun, records one task reads, bytes read at once, and most tasks of a read.
+MOST, RECORDS, RANGE, TASKS = 256 << 20, 10_000, 4 << 20, 10_000
 LANE = 64
 ENTRY = 16
 # Fixed values of the framing: the reflected CRC-32C polynomial and the constant that masks a checksum.
@@ -131,6 +131,17 @@ def parsed(raw: bytes) -> tuple[str | None, np.ndarray]:
 MANIFEST = pa.schema([("part", pa.int64()), ("file", pa.string()), ("records", pa.int64()), ("ids", pa.int64()), ("ids_before", pa.int64())])
 
 
+def encoded(encoder: Encoder, texts: list[str], width: str) -> list[np.ndarray]:
+    """Ids of whole texts; those that hold an added token, or all where there is no faster encoder, by the tokenizer."""
+    if encoder.quick is None:
+        return [ids.astype(width) for ids in encoder.ids(texts)]
+    quick, added, out = encoder.quick.encode_ordinary, encoder.added.search, []
+    for text in texts:
+        ids = encoder.tokenizer.encode(text, add_special_tokens=False).ids if added(text) else quick(text)
+        out.append(np.array(ids, width))
+    return out
+
+
 def _writer(place: Store, tokenizer: str, end_id: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -150,8 +161,8 @@ def _writer(place: Store, tokenizer: str, end_id: int, most: int):
             return pa.RecordBatch.from_pydict({f.name: [v] for f, v in zip(MANIFEST, row, strict=True)}, MANIFEST)
 
         for batch, texts in W.portions(batches):
-            ids = encoder.ids([t or "" for t in texts])
-            records = framed([payload(k, np.append(i, end_id).astype(width)) for k, i in zip(batch["key"].to_pylist(), ids, strict=True)])
+            ids = encoded(encoder, [t or "" for t in texts], width)
+            records = framed([payload(k, np.append(i, np.array(end_id, width))) for k, i in zip(batch["key"].to_pylist(), ids, strict=True)])
             if out is None:
                 name = f"ids-{task.partitionId():06d}-{files:04d}-{task.taskAttemptId()}.bin"
                 out, files, size, counted, index = system.open_output_stream(f"{base}/{name}"), files + 1, 0, 0, []
@@ -221,11 +232,12 @@ def read(manifest: DataFrame, folder: str, seed: int | None = None) -> DataFrame
     first = F.sequence(F.lit(0).cast("long"), F.col("records") - 1, F.lit(RECORDS if seed is None else 1).cast("long"))
     work = manifest.select("file", "start", "records", F.explode(first).alias("first"))
     work = work.select("file", "start", "first", F.least(F.col("first") + (RECORDS if seed is None else 1), "records").alias("last"))
+    ranges = manifest.agg(F.sum(F.ceil(F.col("records") / RECORDS))).first()[0] or 1
     if seed is None:
-        work = work.repartition(F.col("file"), F.col("first"))
+        work = work.repartition(max(1, min(TASKS, ranges)))
     else:
         draw = F.xxhash64("start", "first", F.lit(seed))
-        work = work.withColumn("draw", draw).repartitionByRange("draw").sortWithinPartitions("draw")
+        work = work.withColumn("draw", draw).repartitionByRange(max(1, min(TASKS, ranges)), "draw").sortWithinPartitions("draw")
     return work.select("file", "start", "first", "last").mapInArrow(_reader(store(manifest.sparkSession, folder)), "key string, start long, ids binary")
 
 
