@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docframe.functions.rows import computed, inline
 from docframe.functions.text import WS, split_lines, strip_front_matter, ustrip
 from docframe.operators import tables as tb
+from docframe.session import written
 
 # Separators in the order they are tried, and the key length.
 SEPARATORS = (":", "=", "—", "-")
@@ -49,7 +52,10 @@ def key_value_lines(
     pages: DataFrame, text: str = "text", markdown: bool = False, max_key: int = MAX_KEY
 ) -> DataFrame:
     """(doc_id, page_number, line_no, key, value): every line that holds a pair."""
-    lines = inline(pages, ["doc_id", "page_number"], candidate_lines(F.col(text), markdown))
+    return _paired(inline(pages, ["doc_id", "page_number"], candidate_lines(F.col(text), markdown)), max_key)
+
+
+def _paired(lines: DataFrame, max_key: int = MAX_KEY) -> DataFrame:
     found = computed(lines, p=pair(F.col("line")))
     return found.filter(accepted(F.col("p.key"), F.col("p.value"), max_key)).select(
         "doc_id", "page_number", "line_no", "p.key", "p.value"
@@ -80,24 +86,39 @@ def key_values(pages: DataFrame, text: str = "text", markdown: bool = False) ->
     return last_per_key(key_value_lines(pages, text, markdown))
 
 
-def heuristic_record(pages: DataFrame, warnings: DataFrame | None = None, text: str = "md") -> DataFrame:
+def heuristic_record(
+    pages: DataFrame, warnings: DataFrame | Callable[[DataFrame], DataFrame] | None = None, text: str = "md"
+) -> DataFrame:
     """Fields, line items and warnings of each document in one long table.
 
     Columns: doc_id, kind ('field', 'item' or 'warning'), page_number, a, b
     (position on the page: line and 0, or table and row), key, value.
-    ``warnings`` are the document's (doc_id, code, message, page_number); their
-    key is the code.
+    ``warnings`` are the document's (doc_id, code, message, page_number), or made
+    from its raw tables by a function; their key is the code.
+
+    Pages are read once: the lines that may hold a pair and the runs of pipe lines
+    are written, and all that follows starts from those.
     """
     row = lambda df, kind, page, a, b, key, value: df.select(
         "doc_id", F.lit(kind).alias("kind"), page.cast("int").alias("page_number"), a.cast("int").alias("a"),
         b.cast("int").alias("b"), key.alias("key"), value.alias("value"),
     )
     c, zero = F.col, F.lit(0)
-    found = key_values(pages, text, markdown=True)
-    items = tb.rows_to_dicts(tb.detect_header(tb.import_markdown_tables(pages, text)))
+    piece = lambda kind, at, piece: F.struct(F.lit(kind).alias("kind"), at.cast("int").alias("at"), piece.alias("piece"))
+    pieces = F.concat(
+        F.transform(candidate_lines(F.col(text), markdown=True), lambda r: piece("line", r["line_no"], r["line"])),
+        F.transform(tb.table_runs(F.col(text)), lambda run, i: piece("run", i + 1, run)),
+    )
+    facts = written(inline(pages, ["doc_id", "page_number"], pieces), "facts")
+    lines = facts.filter("kind = 'line'").select("doc_id", "page_number", c("at").alias("line_no"), c("piece").alias("line"))
+    raw = tb.tables_of(facts.filter("kind = 'run'").select("doc_id", "page_number", c("at").alias("page_table"), c("piece").alias("run")))
+    found = last_per_key(_paired(lines))
+    items = tb.rows_to_dicts(tb.detect_header(raw))
     out = row(found, "field", c("first_page"), c("first_line"), zero, c("key"), c("value")).unionByName(
         row(items, "item", c("page_number"), c("page_table"), c("row_index"), c("key"), c("value"))
     )
+    if callable(warnings):
+        warnings = warnings(raw)
     if warnings is None:
         return out
     return out.unionByName(

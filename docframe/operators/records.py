@@ -10,14 +10,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docframe.functions.rows import computed, explode
 from docframe.functions.text import is_blank, strip_json_fences
+from docframe.operators.ordered import number_rows
+from docframe.session import written
 from docframe.sources.schemas import Schema
 
 REVIEW_BELOW = 0.8
+#: Where an answer's request stood in its document, and the number of a fallen document's last warning.
+PLACE = ("part_no", "request_no")
+LATE = 1_000_000
 STRINGS = "array<string>"
 NOTES = "array<struct<kind:string,about:string,text:string>>"
 # How a number may be written in a confidence given as text.
@@ -91,6 +96,10 @@ def validated_records(responses: DataFrame, schemas: Schemas) -> DataFrame:
     return _records(parse_responses(_typed(responses, schemas)).filter("valid"), schemas).drop("valid")
 
 
+def _lacks(name: Column) -> Column:
+    return F.concat(F.lit("Required field missing or empty: '"), name, F.lit("'"))
+
+
 def _records(parsed: DataFrame, schemas: Schemas, keep: tuple[str, ...] = ()) -> DataFrame:
     v = F.col("parsed")
     got = computed(
@@ -111,7 +120,7 @@ def _records(parsed: DataFrame, schemas: Schemas, keep: tuple[str, ...] = ()) ->
     note = lambda kind, about, text: F.struct(F.lit(kind).alias("kind"), about.alias("about"), text.alias("text"))
     missing = F.transform(
         F.filter("needed", lambda n: F.coalesce(is_blank(F.try_element_at("given", n)), F.lit(True))),
-        lambda n: note("missing_required", n, F.concat(F.lit("Required field missing or empty: '"), n, F.lit("'"))),
+        lambda n: note("missing_required", n, _lacks(n)),
     )
     unexpected = F.transform(
         F.array_sort(F.array_except(F.map_keys("given"), F.col("known"))),
@@ -195,30 +204,134 @@ def record_warnings(records: DataFrame) -> DataFrame:
     )
 
 
-def answered(documents: DataFrame, responses: DataFrame, schemas: Schemas) -> DataFrame:
-    """One row per document: the model's record, or an empty one with ``valid`` false and the failure noted.
+def read_answers(responses: DataFrame, schemas: Schemas, documents: DataFrame | None = None) -> DataFrame:
+    """The record each answer gives by itself, with its place, ``valid`` and ``silent`` (no text); written once.
 
-    ``documents`` carry their ``document_type`` if there are several schemas.
+    A document asked for in several requests has several answers; they carry the ``part_no`` and ``request_no`` of
+    their request, others are at 0, 0. An invalid answer has no fields, items or warnings. With ``documents`` only
+    their answers count; parsing comes first, in the pieces the answers were read in.
     """
-    keep = ["doc_id"] if isinstance(schemas, Schema) else ["doc_id", "document_type"]
-    both = documents.select(*keep).join(responses.select("doc_id", "raw"), "doc_id", "left")
-    parsed = parse_responses(_typed(both, schemas)).withColumn("valid", F.coalesce("valid", F.lit(False)))
-    records = _records(parsed, schemas, keep=("raw",))
-    valid, silent = F.col("valid"), F.col("raw").isNull()
-    failure = F.when(silent, "LLM call failed: no response").otherwise("LLM returned invalid JSON")
-    note = F.array(F.struct(F.lit("model_failure").alias("kind"), F.lit("").alias("about"), failure.alias("text")))
-    no_map = F.create_map().cast("map<string,string>")
-    return records.select(
-        "doc_id",
-        "valid",
-        F.when(valid, F.col("document_type")).otherwise("unknown").alias("document_type"),
-        F.when(valid, F.col("fields")).otherwise(no_map).alias("fields"),
-        F.when(valid, F.col("line_items")).otherwise(F.array().cast("array<map<string,string>>")).alias("line_items"),
-        F.when(valid, F.col("confidence")).alias("confidence"),
-        F.when(valid, F.col("warnings")).otherwise(F.array(failure)).alias("warnings"),
-        F.when(valid, F.col("notes")).otherwise(note.cast(NOTES)).alias("notes"),
-        F.when(valid, "llm").otherwise("heuristic").alias("extraction_method"),
+    places = [c if c in responses.columns else F.lit(0).alias(c) for c in PLACE]
+    kind = [] if isinstance(schemas, Schema) else ["document_type"]
+    placed = responses.select("doc_id", *kind, "raw", *places).withColumns({c: F.col(c).cast("int") for c in PLACE})
+    parsed = parse_responses(_typed(placed, schemas)).withColumn("valid", F.coalesce("valid", F.lit(False)))
+    found = _records(parsed.withColumn("silent", F.col("raw").isNull()), schemas, keep=(*PLACE, "silent"))
+    own = F.slice("warnings", F.lit(1), F.size("warnings") - F.size("notes"))
+    notes = F.filter("notes", lambda n: n["kind"] != "missing_required")
+    found = found.select("*", own.alias("own"), notes.alias("others")).drop("warnings", "notes")
+    return written(found if documents is None else found.join(documents.select("doc_id"), "doc_id", "left_semi"), "answers")
+
+
+def _values(valid: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The value that counts per document and field, and the others: (doc_id, name, value, place, blank).
+
+    A value counts if it is not blank, and of those the one that was answered first. Equal values are one.
+    """
+    rows = explode(valid, ["doc_id", F.struct(*PLACE).alias("place")], F.map_entries("fields"), "f")
+    told = rows.select("doc_id", F.col("f.key").alias("name"), F.col("f.value").alias("value"), "place")
+    values = told.groupBy("doc_id", "name", "value").agg(F.min("place").alias("place"))
+    values = written(values.withColumn("blank", F.coalesce(is_blank(F.col("value")), F.lit(True))), "values")
+    best = values.groupBy("doc_id", "name").agg(F.min(F.struct("blank", "place", "value")).alias("best"))
+    others = values.filter("NOT blank").join(best, ["doc_id", "name"]).filter(F.col("place") != F.col("best.place"))
+    return best.select("doc_id", "name", "best.*"), others.select("doc_id", "name", "value", "place", F.col("best.value").alias("kept"))
+
+
+def _findings(told: DataFrame, best: DataFrame, others: DataFrame, schemas: Schemas) -> DataFrame:
+    """Warnings of merged records: doc_id, rank (its kind's turn), place, pos, category, text.
+
+    A sentence or an unexpected field that several answers have is told once, where it stood first. Every further
+    value of a field is a conflict, every answer of a record's document that is none a failure.
+    """
+    place, valid = F.struct(*PLACE).alias("place"), told.filter("valid")
+
+    def rows(df: DataFrame, rank: int, at: Column | str, pos: Column, category: Column | str, text: Column) -> DataFrame:
+        at = F.col(at) if isinstance(at, str) else at
+        return df.select("doc_id", F.lit(rank).alias("rank"), at.alias("place"), pos.cast("int").alias("pos"), (F.lit(category) if isinstance(category, str) else category).alias("category"), text.alias("text"))
+
+    own = explode(valid, ["doc_id", place], "own", "text", pos="pos").groupBy("doc_id", "text").agg(F.min(F.struct("place", "pos")).alias("first"))
+    notes = explode(valid, ["doc_id", place], "others", "n", pos="pos").select("doc_id", "place", "pos", "n.*")
+    once = F.when(F.col("kind") == "bad_line_item", F.col("place"))  # each skipped item is told
+    notes = notes.groupBy("doc_id", "kind", "about", "text", once.alias("once")).agg(F.min(F.struct("place", "pos")).alias("first"))
+    filled = best.filter("NOT blank").groupBy("doc_id").agg(F.collect_set("name").alias("filled"))  # names of the schema
+    kinds = valid.groupBy("doc_id").agg(F.first("document_type").alias("_type")).join(filled, "doc_id", "left")
+    lacking = kinds.withColumn("needed", _by_type(schemas, lambda s: s.required))
+    lacking = explode(lacking, ["doc_id"], F.array_except("needed", F.coalesce("filled", F.array().cast(STRINGS))), "name", pos="pos")
+    start = F.struct(*[F.lit(0).alias(c) for c in PLACE])
+    failed = told.filter("NOT valid").join(valid.select("doc_id").distinct(), "doc_id", "left_semi")
+    quoted = lambda c: F.concat(F.lit("'"), F.col(c), F.lit("'"))
+    differs = F.concat(F.lit("Field "), quoted("name"), F.lit(" differs between answers: "), quoted("kept"), F.lit(" kept, "), quoted("value"), F.lit(" dropped"))
+    return (
+        rows(own, 0, "first.place", F.col("first.pos"), "model", F.col("text"))
+        .unionByName(rows(lacking, 1, start, F.col("pos"), "missing_required", _lacks(F.col("name"))))
+        .unionByName(rows(notes.filter("kind = 'unexpected_field'"), 2, "first.place", F.col("first.pos"), "unexpected_field", F.col("text")))
+        .unionByName(rows(notes.filter("kind = 'bad_line_item'"), 3, "first.place", F.col("first.pos"), "bad_line_item", F.col("text")))
+        .unionByName(rows(others, 4, "place", F.lit(0), "conflict", differs))
+        .unionByName(rows(failed, 5, place, F.lit(0), "model_failure", _failure("silent")))
+    )
+
+
+def _failure(silent: str) -> Column:
+    # The two wordings.
+    return F.when(F.col(silent), "LLM call failed: no response").otherwise("LLM returned invalid JSON")
+
+
+HEAD = "array<struct<a:int,key:string,value:string>>"
+ROW = "doc_id", "kind", *PLACE, "a", "b", "key", "value"
+
+
+def _merged(told: DataFrame, schemas: Schemas) -> DataFrame:
+    best, others = _values(told.filter("valid"))
+    place = F.struct(*PLACE).alias("place")
+    rank = Window.partitionBy("doc_id").orderBy("name")  # at most the fields of the schema
+    fields = best.select("doc_id", F.lit("field").alias("kind"), "place.*", (F.row_number().over(rank) - 1).alias("a"), F.lit(0).alias("b"), F.col("name").alias("key"), "value")
+    no_item, no_text = F.lit(None).cast("map<string,string>"), F.lit(None).cast("string")
+    items = explode(told.filter("valid"), ["doc_id", place], "line_items", "item", pos="pos")
+    found = _findings(told, best, others, schemas)
+    long = items.select("doc_id", F.lit("item").alias("kind"), F.lit(0).alias("rank"), "place.*", "pos", no_text.alias("category"), no_text.alias("text"), "item").unionByName(
+        found.select("doc_id", F.lit("warning").alias("kind"), "rank", "place.*", "pos", "category", "text", no_item.alias("item"))
+    )
+    # Of a block there are the answers to one part's requests.
+    numbered = number_rows(written(long, "findings"), ["doc_id", "kind"], {"rank": F.col("rank"), "part": F.col("part_no")}, ["rank", *PLACE, "pos", "text"])
+    cell = F.struct(F.col("category").alias("key"), F.col("text").alias("value"))
+    cells = F.when(F.col("kind") == "warning", F.array(cell)).otherwise(F.transform(F.map_entries("item"), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))
+    rows = explode(numbered, ["doc_id", "kind", *PLACE, (F.col("rn") - 1).cast("int").alias("a")], cells, "c", pos="b")
+    return fields.select(*ROW).unionByName(rows.select("doc_id", "kind", *PLACE, "a", "b", "c.*").select(*ROW))
+
+
+def _heads(told: DataFrame) -> DataFrame:
+    """(doc_id, valid, document_type, confidence, silent) per answered document; the least confidence counts."""
+    return told.groupBy("doc_id").agg(
+        F.max("valid").alias("valid"),
+        F.first("document_type").alias("document_type"),
+        F.min(F.when(F.col("valid"), F.col("confidence"))).alias("confidence"),
+        F.min("silent").alias("silent"),
+    )
+
+
+def _head_rows(heads: DataFrame) -> DataFrame:
+    valid, row = F.col("valid"), lambda a, key, value: F.struct(F.lit(a).alias("a"), F.lit(key).alias("key"), value.alias("value"))
+    told = F.array(
+        row(0, "extraction_method", F.when(valid, "llm").otherwise("heuristic")),
+        row(1, "document_type", F.when(valid, F.col("document_type")).otherwise("unknown")),
+        row(2, "confidence", F.when(valid, F.col("confidence").cast("string"))),
     )
+    failure = F.struct(F.lit(LATE).alias("a"), F.lit("model_failure").alias("key"), _failure("silent").alias("value"))
+    rows = explode(heads, ["doc_id"], F.concat(told, F.when(valid, F.array().cast(HEAD)).otherwise(F.array(failure))), "r")
+    kind = F.when(F.col("r.a") == LATE, "warning").otherwise("record")
+    return rows.select("doc_id", kind.alias("kind"), *[F.lit(0).alias(c) for c in PLACE], "r.a", F.lit(0).alias("b"), "r.key", "r.value")
+
+
+def merged_records(responses: DataFrame, schemas: Schemas) -> DataFrame:
+    """One record per document from the answers to all its requests, in long form.
+
+    Columns: doc_id, kind, part_no, request_no (whose answer it is from), a, b, key, value. Per kind: 'record' tells
+    method, type and confidence (the least of the answers'), 'field' the first value that is not blank, 'item' the
+    items of all answers in order (a numbers them, b their columns), 'warning' what ``_findings`` says, in order of
+    kind, place and position. The result does not hang on the order of rows. Documents without a valid answer
+    have no record.
+    """
+    told = read_answers(responses, schemas)
+    return _merged(told, schemas).unionByName(_head_rows(_heads(told).filter("valid")))
 
 
 def record_with_fallback(
@@ -227,37 +340,26 @@ def record_with_fallback(
     heuristic: Callable[[DataFrame], DataFrame],
     schemas: Schemas,
 ) -> DataFrame:
-    """Whole records of all documents in long form: the model's if its response is valid, else the heuristic one.
+    """Whole records of all documents in long form: the model's if an answer is valid, else the heuristic one.
 
-    ``heuristic`` gets the (doc_id) of the documents that fall back and returns
-    their rows (doc_id, kind, page_number, a, b, key, value), kind being 'field',
-    'item' or 'warning'; no other document is parsed. Result rows have the same
-    columns, with kind 'record' for one row per document that holds its method,
+    If there are several schemas, the answers carry their ``document_type``, or else the documents. Answers of one
+    document are merged (``merged_records``). ``heuristic`` gets the (doc_id) of the documents that fall back and returns their rows
+    (doc_id, kind, page_number, a, b, key, value), kind being 'field', 'item' or 'warning'; no other document is
+    parsed. Result rows have the same columns, with kind 'record' for three rows per document that hold its method,
     type and confidence, and the failure as its last warning.
     """
-    records = answered(documents, responses, schemas)
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    row = lambda kind, a, b, key, value: F.struct(
-        F.lit(kind).alias("kind"), F.lit(0).alias("page_number"), a.cast("int").alias("a"), b.cast("int").alias("b"),
-        key.alias("key"), value.alias("value"),
-    )
-    zero = F.lit(0)
-    heads = F.array(
-        row("record", zero, zero, F.lit("extraction_method"), F.col("extraction_method")),
-        row("record", F.lit(1), zero, F.lit("document_type"), F.col("document_type")),
-        row("record", F.lit(2), zero, F.lit("confidence"), F.when(F.col("confidence").isNotNull(), text("confidence"))),
-    )
-    fields = F.transform(F.map_entries("fields"), lambda f, i: row("field", i, zero, f["key"], f["value"]))
-    items = F.flatten(F.transform(
-        "line_items",
-        lambda item, i: F.transform(F.map_entries(item), lambda f, j: row("item", i, j, f["key"], f["value"])),
-    ))
-    # What the document itself warns of comes before the failure.
-    late = F.when(F.col("valid"), 0).otherwise(1_000_000)
-    warnings = F.transform(_sentences(), lambda w, i: row("warning", late + i, zero, w["category"], w["warning"]))
-    told = explode(records, ["doc_id"], F.concat(heads, fields, items, warnings), "r").select("doc_id", "r.*")
-    fallen = heuristic(records.filter(~F.col("valid")).select("doc_id"))
-    return told.unionByName(fallen.select(*told.columns))
+    keep = ["doc_id"] if isinstance(schemas, Schema) else ["doc_id", "document_type"]
+    known = documents.select(*keep)
+    if "document_type" in keep and "document_type" not in responses.columns:
+        responses = responses.join(known, "doc_id")
+    told = read_answers(responses, schemas, known)
+    heads = known.select("doc_id").join(_heads(told), "doc_id", "left")
+    # Read by the rows of the record and by those of the heuristic.
+    heads = written(heads.withColumns({"valid": F.coalesce("valid", F.lit(False)), "silent": F.coalesce("silent", F.lit(True))}), "heads")
+    page = F.lit(0).alias("page_number")
+    out = _merged(told, schemas).unionByName(_head_rows(heads)).select("doc_id", "kind", page, "a", "b", "key", "value")
+    fallen = heuristic(heads.filter("NOT valid").select("doc_id"))
+    return out.unionByName(fallen.select(*out.columns))
 
 
 def raw_responses(responses: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ from docframe.functions.text import (
     ustrip,
 )
 from docframe.operators.ordered import BLOCK, running_totals
+from docframe.session import written
 
 KEY = ("doc_id", "page_number", "page_table")
 CONFIDENCE = 0.9
@@ -76,9 +77,12 @@ def import_markdown_tables(
     """
     place = ["doc_id", "page_number", *keep]
     found = explode(pages, place, table_runs(F.col(text)), "run", pos="_pos")
-    run = computed(
-        found.select(*place, (F.col("_pos") + 1).alias("page_table"), "run"), lines=run_lines(F.col("run"))
-    )
+    return tables_of(found.select(*place, (F.col("_pos") + 1).alias("page_table"), "run"), keep)
+
+
+def tables_of(runs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Tables of (KEY, run) rows, a run of pipe lines each."""
+    run = computed(runs, lines=run_lines(F.col("run")))
     first, second = F.get("lines", F.lit(0)), F.get("lines", F.lit(1))
     content = F.filter("lines", lambda s: ~s.rlike(TABLE_SEPARATOR))
     return run.select(
@@ -140,9 +144,11 @@ def column_names() -> Column:
 def numbered_tables(tables: DataFrame, block: int = BLOCK) -> DataFrame:
     """Tables with ``table_idx``, 1-based per document in page order, and ``table_id``.
 
-    Only (document, page, number of tables) rows are brought into order, in
-    blocks of pages; the tables meet their page's start by (doc_id, page_number).
+    The parsed tables are written once; only (document, page, number of tables)
+    rows are brought into order, in blocks of pages, and the tables meet their
+    page's start by (doc_id, page_number).
     """
+    tables = written(tables, "tables")
     slim = tables.groupBy("doc_id", "page_number").agg(F.count(F.lit(1)).alias("n"))
     starts = running_totals(slim, ["doc_id"], "page_number", ["n"], block)
     on_page = Window.partitionBy("doc_id", "page_number").orderBy("page_table")

@@ -56,16 +56,19 @@ def _schema_fields(spark, sf):
     return fields.schema_guided_fields(_pairs(spark, sf), load_schemas(spark)["invoice"].aliases)
 
 
-def ragged(pages):
+def ragged_tables(raw, keep=()):
     """Tables with rows of unequal width, as extraction warnings."""
     return (
-        tb.table_consistency(_raw(pages), keep=("source_file",))
+        tb.table_consistency(raw, keep=keep)
         .filter(~F.col("consistent"))
-        .select("doc_id", "source_file", F.lit("RAGGED_TABLE").alias("code"),
-                F.lit("rows differ in width").alias("message"), "page_number")
+        .select("doc_id", *keep, F.lit("RAGGED_TABLE").alias("code"), F.lit("rows differ in width").alias("message"), "page_number")
     )
 
 
+def ragged(pages):
+    return ragged_tables(_raw(pages), keep=("source_file",))
+
+
 def _counts(spark, sf):
     return batch.document_counts(invoice_pages(spark, sf))
 
@@ -102,7 +105,7 @@ def _line_items(spark, sf):
 
 
 def _heuristic(spark, sf):
-    return fields.heuristic_record(invoice_pages(spark, sf), ragged(invoice_pages(spark, sf)))
+    return fields.heuristic_record(invoice_pages(spark, sf), ragged_tables)
 
 
 def _typed(spark, sf):

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docframe.functions.text import strip_json_fences
+from docframe.functions.text import money, strip_json_fences
 from docframe.operators import fields, records
-from docframe.plans.corpora import document_type, invoice_headers, invoice_pages, responses, table
-from docframe.plans.invoices import ITEMS, ragged
+from docframe.plans.corpora import document_type, invoice_headers, invoice_pages, responses, spread, table
+from docframe.plans.invoices import ITEMS, ragged_tables
 from docframe.sources.schemas import bundled, load_schemas, schema_columns
 
 SCHEMA = "invoice"
@@ -52,7 +52,7 @@ def _heuristic(spark, sf):
     """Heuristic rows of the documents that fall back, and of no others."""
     def of(docs):
         pages = invoice_pages(spark, sf).join(docs, "doc_id", "left_semi")
-        return fields.heuristic_record(pages, ragged(pages))
+        return fields.heuristic_record(pages, ragged_tables)
 
     return of
 
@@ -67,6 +67,44 @@ def _fallback(spark, sf):
     )
 
 
+def split_responses(spark, sf):
+    """Up to three answers per order, each for a request of its own: fields, items and faults are dealt out over them."""
+    orders = spread(table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderdate"))
+    k, r, n = F.col("o_orderkey"), F.col("r"), F.col("n")
+    rows = orders.withColumn("n", (1 + k % 3).cast("int")).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    entry = lambda name, value: F.concat(F.lit(f'"{name}": '), value)
+    text = lambda *parts: F.concat(F.lit('"'), *parts, F.lit('"'))
+    key = k.cast("string")
+    given = F.array_compact(F.array(
+        F.when(r == 0, entry("invoice_number", text(F.lit("INV-"), key))),
+        entry("invoice_date", F.when(r == n - 1, text(F.date_format("o_orderdate", "yyyy-MM-dd"))).otherwise(F.lit('" "'))),
+        F.when(r == k % n, entry("vendor_name", text(F.lit("Vendor-"), (k % 25).cast("string")))),
+        F.when((k % 5 == 0) & (r > 0), entry("total_amount", text(r.cast("string"), F.lit(".00")))).when(
+            k % 4 != 0, entry("total_amount", text(money(F.col("o_totalprice"))))
+        ),
+        F.when((k % 7 == 0) & (r < 2), entry("bogus", F.lit("1"))),
+    ))
+    items = F.expr(
+        """transform(filter(sequence(0, 2), i -> i <= (o_orderkey + r) % 3), i ->
+             CASE WHEN i = 1 AND o_orderkey % 8 = 0 THEN '7' ELSE concat('{"description": "Item ', r, '.', i, '", "quantity": ', i, '}') END)"""
+    )
+    own = F.array_compact(F.array(F.when(k % 10 == 3, F.lit('"low contrast"')), F.when(k % 6 == 0, text(F.lit("page "), r.cast("string"), F.lit(" torn")))))
+    body = F.concat(
+        F.lit('{"fields": {'), F.array_join(given, ", "), F.lit('}, "line_items": ['), F.array_join(items, ", "), F.lit("]"),
+        F.when(k % 13 == 0, F.lit("")).otherwise(F.concat(F.lit(', "confidence": 0.'), (9 - r).cast("string"))),
+        F.lit(', "warnings": ['), F.array_join(own, ", "), F.lit("]}"),
+    )
+    return rows.select(
+        k.alias("doc_id"), F.lit(SCHEMA).alias("document_type"), F.lit(0).alias("part_no"), r.alias("request_no"),
+        F.when((k % 11 == 0) & (r == n - 1), "Sorry").otherwise(body).alias("raw"),
+    )
+
+
+def _merged(spark, sf):
+    rows = records.merged_records(split_responses(spark, sf), load_schemas(spark))
+    return rows.withColumn("value", F.coalesce("value", F.lit("<null>")))
+
+
 def _coverage(spark, sf):
     """How many records fill each field of the schemas."""
     filled = (
@@ -142,6 +180,7 @@ QUERIES = {
     "unexpected_fields": lambda s, d: records.unexpected_fields(_records(s, d)),
     "skipped_line_items": lambda s, d: records.skipped_line_items(_records(s, d)),
     "record_warnings_long": lambda s, d: records.record_warnings(_records(s, d)),
+    "merged_records": _merged,
     "record_with_fallback": _fallback,
     "summary_wide": _wide,
     "line_items_wide": _items_wide,
@@ -256,6 +295,39 @@ ORACLES = {
         UNION ALL SELECT doc_id, 'item', page_number, 1, row_index, key, value FROM dicts JOIN docs ON doc_id = k WHERE NOT told
         UNION ALL SELECT doc_id, 'warning', 1, 0, 0, 'RAGGED_TABLE', 'rows differ in width' FROM ragged JOIN docs ON doc_id = k WHERE NOT told
         """.replace("items AS (\n  SELECT k, ship", "items_of AS (\n  SELECT k, ship"),
+    "merged_records": """WITH asked AS (
+          SELECT o_orderkey AS k, o_orderkey % 3 + 1 AS n, r, strftime(o_orderdate, '%Y-%m-%d') AS d, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS total,
+            NOT (o_orderkey % 11 = 0 AND r = o_orderkey % 3) AS valid
+          FROM orders, (VALUES (0), (1), (2)) AS g(r) WHERE r <= o_orderkey % 3),
+        v AS (SELECT * FROM asked WHERE valid),
+        told AS (
+          SELECT k, r, 'invoice_number' AS name, concat('INV-', k) AS value FROM v WHERE r = 0
+          UNION ALL SELECT k, r, 'invoice_date', CASE WHEN r = n - 1 THEN d ELSE ' ' END FROM v
+          UNION ALL SELECT k, r, 'vendor_name', concat('Vendor-', k % 25) FROM v WHERE r = k % n
+          UNION ALL SELECT k, r, 'total_amount', CASE WHEN k % 5 = 0 AND r > 0 THEN concat(r, '.00') ELSE total END FROM v WHERE k % 4 <> 0 OR (k % 5 = 0 AND r > 0)),
+        single AS (SELECT k, name, value, min(r) AS r, trim(value) = '' AS blank FROM told GROUP BY k, name, value),
+        best AS (SELECT k, name, min({'b': blank, 'r': r, 'v': value}) AS w FROM single GROUP BY k, name),
+        line AS (SELECT k, r, i, i = 1 AND k % 8 = 0 AS bad FROM v, (VALUES (0), (1), (2)) AS g(i) WHERE i <= (k + r) % 3),
+        good AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY r, i) - 1 AS a FROM line WHERE NOT bad),
+        whole AS (SELECT DISTINCT k FROM v),
+        warned AS (
+          SELECT k, 0 AS o, min(r) AS r, 0 AS p, 'model' AS c, 'low contrast' AS t FROM v WHERE k % 10 = 3 GROUP BY k
+          UNION ALL SELECT k, 0, r, 1, 'model', concat('page ', r, ' torn') FROM v WHERE k % 6 = 0
+          UNION ALL SELECT k, 1, 0, p, 'missing_required', concat('Required field missing or empty: ''', name, '''')
+            FROM whole, (VALUES ('invoice_number', 0), ('vendor_name', 1), ('invoice_date', 2), ('total_amount', 3)) AS need(name, p)
+            WHERE NOT EXISTS (SELECT 1 FROM best b WHERE b.k = whole.k AND b.name = need.name AND NOT b.w.b)
+          UNION ALL SELECT k, 2, min(r), 0, 'unexpected_field', 'Unexpected field ignored: ''bogus''' FROM v WHERE k % 7 = 0 AND r < 2 GROUP BY k
+          UNION ALL SELECT k, 3, r, 0, 'bad_line_item', 'Line item 1 is not a dict — skipped' FROM line WHERE bad
+          UNION ALL SELECT s.k, 4, s.r, 0, 'conflict', concat('Field ''', s.name, ''' differs between answers: ''', b.w.v, ''' kept, ''', s.value, ''' dropped')
+            FROM single s JOIN best b ON s.k = b.k AND s.name = b.name WHERE NOT s.blank AND s.r <> b.w.r
+          UNION ALL SELECT k, 5, r, 0, 'model_failure', 'LLM returned invalid JSON' FROM asked WHERE NOT valid AND k IN (SELECT k FROM whole))
+        SELECT k AS doc_id, 'record' AS kind, 0 AS part_no, 0 AS request_no, a, 0 AS b, key, value FROM (
+          SELECT k, unnest([0, 1, 2]) AS a, unnest(['extraction_method', 'document_type', 'confidence']) AS key,
+            unnest(['llm', 'invoice', CASE WHEN k % 13 = 0 THEN '<null>' ELSE concat('0.', 9 - m) END]) AS value FROM (SELECT k, max(r) AS m FROM v GROUP BY k))
+        UNION ALL SELECT k, 'field', 0, w.r, row_number() OVER (PARTITION BY k ORDER BY name) - 1, 0, name, w.v FROM best
+        UNION ALL SELECT k, 'item', 0, r, a, 0, 'description', concat('Item ', r, '.', i) FROM good
+        UNION ALL SELECT k, 'item', 0, r, a, 1, 'quantity', CAST(i AS VARCHAR) FROM good
+        UNION ALL SELECT k, 'warning', 0, r, row_number() OVER (PARTITION BY k ORDER BY o, r, p, t) - 1, 0, c, t FROM warned""",
     "summary_wide": "",
     "summary_by_letter": "",
     "line_items_wide": f"""{WITH} SELECT concat('invoice_', k, '.pdf') AS file_name, k AS document_id, concat('INV-', k) AS invoice_number,
