@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docframe.functions import outline
+from docframe.functions import frontmatter, outline
 from docframe.functions.rows import explode
 from docframe.functions.text import (
     FRONT_MATTER,
@@ -41,7 +41,7 @@ def clean_fragments(fragments: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ front matter
 
 def front_matter_entries(block: Column) -> Column:
-    """[{key, value}] of the flat ``key: value`` lines of a front matter block.
+    """[{key, value}] of the flat ``key: value`` lines of a front matter block, for checks of its scalars.
 
     An indented line that is no list item goes on with the value above it.
     """
@@ -64,17 +64,6 @@ def _scalar(raw: Column) -> Column:
     return F.when(is_quoted, quoted).when(raw.isin("", "~", "null", "Null", "NULL"), None).otherwise(raw)
 
 
-def entries_to_map(entries: str) -> Column:
-    """Map of a materialised entries column; of equal keys the last one counts."""
-    last = F.filter(
-        F.col(entries),
-        lambda e, i: ~F.exists(
-            F.slice(F.col(entries), i + 2, F.size(entries)), lambda later: later["key"] == e["key"]
-        ),
-    )
-    return F.map_from_entries(last)
-
-
 def yaml_value(value: Column) -> Column:
     """A flat YAML scalar; strings that would read as something else are quoted."""
     plain = r"\A[\p{L}\p{Nd}/(][^:#\"'{}\[\],&*!|>%@`]*(?:\([^:#\"']*\))?\z"
@@ -87,12 +76,20 @@ def yaml_value(value: Column) -> Column:
     )
 
 
-def front_matter_text(meta: Column) -> Column:
-    """``key: value`` lines of a map, keys in alphabetical order."""
+def front_matter_text(meta: Column, shown: Column) -> Column:
+    """``key: value`` lines of a map, keys in alphabetical order; ``shown`` has what follows the colon of lists, maps and long texts."""
+    key = lambda k: F.when(k.rlike(r"\A[\p{L}\p{Nd}_][^:#\n]*\z"), k).otherwise(F.concat(F.lit("'"), F.replace(k, F.lit("'"), F.lit("''")), F.lit("'")))
     ordered = F.array_sort(F.map_entries(meta))
-    return F.array_join(
-        F.transform(ordered, lambda e: F.concat(e["key"], F.lit(": "), yaml_value(e["value"]))), "\n"
-    )
+    behind = lambda e: F.coalesce(F.try_element_at(shown, e["key"]), F.concat(F.lit(" "), yaml_value(e["value"])))
+    return F.array_join(F.transform(ordered, lambda e: F.concat(key(e["key"]), F.lit(":"), behind(e))), "\n")
+
+
+def front_matter_values(documents: DataFrame) -> DataFrame:
+    """(doc_id, path, value): every scalar of the front matter that documents open with, ``a.b[0]`` being its path."""
+    opening = documents.filter("part_no = 0") if "part_no" in documents.columns else documents
+    blocks = opening.select("doc_id", F.regexp_extract("md", FRONT_MATTER, 1).alias("block")).filter("block <> ''")
+    read = blocks.select("doc_id", frontmatter.values("block").alias("values"))
+    return explode(read, ["doc_id"], "values", "v").select("doc_id", "v.*")
 
 
 # ------------------------------------------------------------ slim facts
@@ -177,9 +174,10 @@ def _facts(pages: DataFrame) -> DataFrame:
 
 
 def _with_metadata(facts: DataFrame) -> DataFrame:
-    """Facts with ``meta``, the document's completed front matter."""
-    parsed = facts.withColumn("entries", front_matter_entries(F.col("lead.block")))
-    parsed = parsed.withColumn("given", entries_to_map("entries"))
+    """Facts with ``meta``, the document's completed front matter, and ``shown``, the text of its lists and maps."""
+    parsed = facts.withColumn("entries", frontmatter.entries("lead.block"))
+    pairs = lambda of: F.map_from_entries(F.transform("entries", lambda e: F.struct(e["key"], e[of])))
+    parsed = parsed.withColumn("given", pairs("value")).withColumn("forms", F.map_filter(pairs("shown"), lambda k, v: v.isNotNull()))
     has = lambda k: F.map_contains_key("given", F.lit(k))
     missing = lambda k, v: F.when(~has(k), F.struct(F.lit(k).alias("key"), v.alias("value")))
     anno = F.when(has("anno"), F.col("given")["anno"]).otherwise(F.lit(UNKNOWN))
@@ -198,7 +196,8 @@ def _with_metadata(facts: DataFrame) -> DataFrame:
     meta = F.map_concat(
         kept, F.map_from_entries(added), F.create_map(F.lit("anno"), year)
     )
-    return parsed.select(*facts.columns, "given", meta.alias("meta"))
+    same = F.map_filter("forms", lambda k, v: k != "anno")  # a year is written bare
+    return parsed.select(*facts.columns, "given", meta.alias("meta"), same.alias("shown"))
 
 
 def document_metadata(fragments: DataFrame) -> DataFrame:
@@ -249,7 +248,7 @@ def assembled_parts(fragments: DataFrame, pages_per_part: int = PAGES_PER_PART)
             first.alias("is_first"),
             (F.col("part") == F.coalesce("last_part", "first_part")).alias("is_last"),
             "meta",
-            front_matter_text(F.col("meta")).alias("front_matter"),
+            front_matter_text(F.col("meta"), F.col("shown")).alias("front_matter"),
             F.when(first, F.concat("heading", "text")).otherwise(F.col("text")).alias("body"),
             F.when(first, 0).otherwise(F.col("lines_before") + extra).alias("lines_before"),
             F.when(first, 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docframe.operators import assemble, batch, cleanup, prompts
-from docframe.plans.corpora import fragments, page_texts, table_boxes
+from docframe.plans.corpora import fragments, page_texts, table, table_boxes
 
 NL = "chr(10)"
 
@@ -18,6 +18,22 @@ def _metadata(spark, sf):
     return assemble.document_metadata(_clean(spark, sf))
 
 
+def _nested(spark, sf):
+    """A page per customer whose front matter has a map, lists, a literal text and folded lines."""
+    key, name = F.col("c_custkey").cast("string"), F.col("c_name")
+    nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    rows = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    block = F.concat(
+        F.lit("titolo: Cliente\n  "), name, F.lit("\nsede:\n    nazione: "), F.col("n_name"), F.lit("  # dove\n    recapiti: ["), key,
+        F.lit(", \"tel: "), key, F.lit("\",\n      {giorni: [lun, mar]}]\ntags:\n  - segmento: "), F.col("c_mktsegment"),
+        F.lit("\n    vuoto:\n  - '0"), key, F.lit("'\nnote: |\n   riga "), key, F.lit("\n   fine: si\nanno: 2019\n"),
+    )
+    return rows.select(
+        F.col("c_custkey").alias("doc_id"), F.lit("cliente.pdf").alias("source_file"), F.lit(1).alias("page_number"),
+        F.concat(F.lit("---\n"), block, F.lit("---\n\n# "), name, F.lit("\n")).alias("page_md"),
+    )
+
+
 def _checks(spark, sf):
     """Front matter and heading checks of the assembled documents."""
     parts = assemble.validated_parts(_clean(spark, sf), 2).select(
@@ -65,6 +81,9 @@ QUERIES = {
     "front_matter_defaults": lambda s, d: _metadata(s, d).select(
         "doc_id", "titolo", F.coalesce("comune", F.lit("<null>")).alias("comune"), "tipo"
     ),
+    "front_matter_values": lambda s, d: assemble.front_matter_values(assemble.md_documents(_nested(s, d))).withColumn(
+        "value", F.coalesce("value", F.lit("<null>"))
+    ),
     "year_backfill": lambda s, d: _metadata(s, d).select("doc_id", "anno"),
     "validate_documents": lambda s, d: assemble.validation_warnings(_clean(s, d), 2),
     "document_quality": _document_quality,
@@ -169,6 +188,11 @@ ORACLES = {
     "assemble_documents": f"{WITH} SELECT c AS doc_id, 0 AS part_no, concat(head, body, {NL}) AS md FROM bodies",
     "md_documents": f"""{WITH} SELECT f.c AS doc_id, concat('chat_', f.c, '.pdf') AS source_file, 0 AS part_no,
         concat(head, f.body, {NL}) AS md FROM fixed f JOIN bodies b ON f.c = b.c""",
+    "front_matter_values": """SELECT c_custkey AS doc_id, unnest(['titolo', 'comune', 'tipo', 'anno', 'sede.nazione', 'sede.recapiti[0]', 'sede.recapiti[1]',
+          'sede.recapiti[2].giorni[0]', 'sede.recapiti[2].giorni[1]', 'tags[0].segmento', 'tags[0].vuoto', 'tags[1]', 'note']) AS path,
+        unnest([concat('Cliente ', c_name), 'UNKNOWN', 'UNKNOWN', '2019', n_name, CAST(c_custkey AS VARCHAR), concat('tel: ', c_custkey), 'lun', 'mar',
+          c_mktsegment, '<null>', concat('0', c_custkey), concat('riga ', c_custkey, chr(10), 'fine: si', chr(10))]) AS value
+        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "front_matter_defaults": f"{WITH} SELECT c AS doc_id, titolo, coalesce(comune, '<null>') AS comune, tipo FROM meta",
     "year_backfill": f"{WITH} SELECT c AS doc_id, anno FROM meta",
     "validate_documents": f"""{WITH} SELECT c AS doc_id,
