@@ -12,7 +12,7 @@ from docframe.operators import batch, fields, prompts
 from docframe.operators import tables as tb
 from docframe.plans.corpora import ROWS_PER_PAGE, document_type, invoice_headers, invoice_pages
 from docframe.session import work_folder
-from docframe.sources.files import write_files
+from docframe.sources.files import unique_files, write_files
 from docframe.sources.schemas import load_schemas
 
 EXTRACTED_AT = "2025-01-01T00:00:00+00:00"
@@ -186,7 +186,7 @@ def _workbook(spark, sf):
 def _csv_files(spark, sf):
     """Write a CSV file per table and read them back."""
     folder = work_folder(spark, "tables")
-    write_files(tb.table_csv_files(_numbered(spark, sf)), folder).count()
+    write_files(unique_files(tb.table_csv_files(_numbered(spark, sf))), folder)
     back = spark.read.option("pathGlobFilter", "*.csv").text(folder, wholetext=True)
     return back.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("content"))
 

@@ -127,8 +127,8 @@ def _cleaned(spark, sf, name, fn):
 def _scan_markdown(spark, sf):
     """Write a Markdown file per document to the shared folder and scan them back."""
     folder = work_folder(spark, "markdown")
-    named = md_docs(spark, sf).select(F.concat(F.lit("doc_"), "doc_id").alias("source_file"), "md")
-    write_markdown(named, folder).count()
+    named = md_docs(spark, sf).select("doc_id", F.concat(F.lit("doc_"), "doc_id").alias("source_file"), "md")
+    write_markdown(named, folder)
     return scan_markdown(spark, folder).select("source_file", "md", (F.length("doc_id") == 32).alias("keyed"))
 
 

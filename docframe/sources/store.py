@@ -15,8 +15,9 @@ from urllib.parse import unquote, urlsplit
 import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 
-#: Openers of further schemes: (address, settings) -> (file system, path). Tasks must be able to import them.
-OPENERS: dict[str, Callable[[str, dict[str, str]], tuple[pafs.FileSystem, str]]] = {}
+Opener = Callable[[str, dict[str, str]], tuple[pafs.FileSystem, str]]
+#: Openers of further schemes, (address, settings) -> (file system, path); one is sent along with its stores.
+OPENERS: dict[str, Opener] = {}
 
 
 def _s3(address: str, settings: dict[str, str]) -> tuple[pafs.FileSystem, str]:
@@ -65,21 +66,25 @@ def _hadoop(address: str, settings: dict[str, str]) -> tuple[pafs.FileSystem, st
 SCHEMES = {"": _local, "file": _local, "s3": _s3, "s3a": _s3, "s3n": _s3, "gs": _gs, "abfs": _azure, "abfss": _azure, "wasbs": _azure, "dbfs": _mounted}
 
 
+def scheme(address: str) -> str:
+    return urlsplit(address).scheme if ":" in address.split("/")[0] else ""
+
+
 @dataclass(frozen=True)
 class Store:
     """A folder below which tasks read and write."""
 
     address: str
-    settings: dict[str, str] = field(default_factory=dict, compare=False)
+    settings: dict[str, str] = field(default_factory=dict, compare=False, repr=False)
+    opener: Opener | None = field(default=None, compare=False)
 
     def opened(self) -> tuple[pafs.FileSystem, str]:
         """The file system, and the folder's path in it."""
-        scheme = urlsplit(self.address).scheme if ":" in self.address.split("/")[0] else ""
-        system, path = (OPENERS.get(scheme) or SCHEMES.get(scheme) or _hadoop)(self.address, self.settings)
+        system, path = (self.opener or SCHEMES.get(scheme(self.address), _hadoop))(self.address, self.settings)
         return system, path.rstrip("/")
 
 
 def store(spark: SparkSession, address: str) -> Store:
     """The store at ``address`` under the session's settings of file systems."""
     settings = {k.removeprefix("spark.hadoop."): v for k, v in spark.sparkContext.getConf().getAll() if k.startswith("spark.hadoop.fs.")}
-    return Store(address, settings)
+    return Store(address, settings, OPENERS.get(scheme(address)))
