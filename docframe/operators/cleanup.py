@@ -8,12 +8,18 @@ from pyspark.sql import functions as F
 from docframe.functions.rows import explode
 from docframe.functions.text import WS, split_lines, ustrip
 
-# A line is a notice if it opens with a copyright mark, names authors before a
-# colon, or forbids copying. Legal text that merely uses such a word stays.
+# A line is a notice if it opens with a copyright mark, or the word with a year
+# or no more than a holder behind it, if it names authors before a colon, or if it forbids the copying of the
+# document itself. Legal text that merely uses such words stays.
+COPIES = r"(?:riproduzion[ei]|riprodurre|copiare|copia|duplicazione|diffusione|divulgazione)"
+ITSELF = r"(?:(?:quest[oa]|presente|present[ei])\b|document[oi]\b|elaborat[oi]\b|pubblicazion[ei]\b|contenut[oi]\b|test[oi]\b|tavol[ae]\b|disegn[oi]\b|oper[ae]\b|materiale\b|pagin[ae]\b)"
 NOTICES = (
-    r"\A\W*(?:copyright\b|©)",
+    r"\A\W*(?:©|\(c\)|copyright\s*(?:©|\(c\)|:|\d|by\b|\z))",
+    r"\A\W*copyright\s+(?!(?:law|laws|act|rules?|protection|protects?|applies|is|are|in|of|and|holders?|owners?|infringements?)\b)(?:\S+\s*){1,4}\z",
+    r"\A\W*copyright\s(?=.*\b(?:19|20)\d{2}\b).*\ball\s+rights\s+reserved",
     r"\A\W*(?:gli\s+)?(?:autori|estensori)\s*(?::|\z)",
-    r"\bvietat[aeio]\b.*\b(?:riproduzion[ei]|riprodurre|copiare|copia|duplicazione)\b",
+    rf"\bvietat[aeio]\b[^.;]*\b{COPIES}\s*(?:,|anche\b|e\b|o\b|(?:anche\s+)?(?:totale|parziale|integrale)\b|senza\b|non\b|\W*\z)",
+    rf"\bvietat[aeio]\b[^.;]*\b{COPIES}\b(?:\s+\S+){{0,3}}?\s+{ITSELF}",
 )
 TOC_LINE = rf"(?d)\A{WS}*#{{0,6}}{WS}*(.*?){WS}*\.{{3,}}{WS}*\d+{WS}*\z"
 READABLE_CHARS = 20

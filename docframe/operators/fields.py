@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -156,50 +157,63 @@ def unexpected_keys(pairs: DataFrame, aliases: dict[str, str]) -> DataFrame:
     return pairs.filter(_claimed(F.col("key"), aliases).isNull()).select("doc_id", "key").distinct()
 
 
-# Whole amounts: digits with or without grouping, and a decimal part. A point
-# with three digits behind it groups only where a comma or a second group follows.
-PLAIN = r"\d+(?:\.\d+)?"
-POINTS = r"\d{1,3}(?:\.\d{3})+,\d+|\d{1,3}(?:\.\d{3}){2,}|\d+,\d{1,2}|\d{1,3}(?:[  ']\d{3})+,\d+"
-COMMAS = r"\d{1,3}(?:,\d{3})+(?:\.\d+)?|\d{1,3}(?:[  ']\d{3})+(?:\.\d+)?"
+# Whole amounts by the mark before their decimals: groups of three digits, the first
+# of which does not begin with 0, and decimals. Spaces and apostrophes always group.
+GROUPS = r"[1-9]\d{0,2}(?:%s\d{3})+"
+SPACED = GROUPS % "[  \u202f']"
+
+
+def _written(mark: str, other: str) -> str:
+    m, o = re.escape(mark), re.escape(other)
+    return rf"\A(?:\d+|{GROUPS % o}|{SPACED})(?:{m}\d+)?\z"
+
+
+#: A point and three digits behind up to three: decimals in one language, a group in the other.
+EITHER = r"\A[1-9]\d{0,2}\.\d{3}\z"
 # Currency codes and signs.
 UNIT = r"(?:EUR|USD|GBP|CHF|JPY|CNY|CAD|AUD|NZD|SEK|NOK|DKK|PLN|CZK|HUF|RON|INR|BRL|MXN|ZAR|[€$£¥])?"
 
 
-def amount(value: Column, kind: str = "decimal(18,2)") -> Column:
-    """A text that is one amount, with a currency sign or code, grouping, and a sign or parentheses; else null."""
+def amount(value: Column, kind: str = "decimal(18,2)", decimal: str | None = None) -> Column:
+    """A text that is one amount, with a currency sign or code, grouping, and a sign or parentheses; else null.
+
+    ``decimal`` is the mark before the decimals, a point or a comma. Without it
+    the text must tell: ``1.395`` may be either and is null; a single comma before
+    three digits groups, as amounts with three decimals are rare.
+    """
     bare = F.regexp_replace(ustrip(value), rf"\A{UNIT}{WS}*|{WS}*{UNIT}\z", "")
     inside = F.regexp_extract(bare, r"\A\((.*)\)\z", 1)
     sign = F.when((inside != "") | bare.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     digits = F.regexp_replace(F.when(inside != "", inside).otherwise(bare), rf"\A[+-]?{WS}*{UNIT}{WS}*", "")
-    number = (
-        F.when(digits.rlike(rf"\A(?:{PLAIN})\z"), digits)
-        .when(digits.rlike(rf"\A(?:{COMMAS})\z"), F.regexp_replace(digits, "[,  ']", ""))
-        .when(digits.rlike(rf"\A(?:{POINTS})\z"), F.replace(F.regexp_replace(digits, "[.  ']", ""), F.lit(","), F.lit(".")))
-    )
+    point = F.when(digits.rlike(_written(".", ",")), F.regexp_replace(digits, "[,  \u202f']", ""))
+    comma = F.when(digits.rlike(_written(",", ".")), F.replace(F.regexp_replace(digits, "[.  \u202f']", ""), F.lit(","), F.lit(".")))
+    known = {".": point, ",": comma}
+    number = known[decimal] if decimal else F.when(~digits.rlike(EITHER), F.coalesce(point, comma))
     return F.concat(sign, number).try_cast(kind)
 
 
-def typed_value(value: Column, kind: str) -> Column:
+def typed_value(value: Column, kind: str, decimal: str | None = None) -> Column:
     """A value by its declared type: date, currency, number or string; null if it does not fit."""
     if kind == "date":
         return F.try_to_date(ustrip(value), "yyyy-MM-dd")
     if kind == "currency":
-        return amount(value)
+        return amount(value, decimal=decimal)
     if kind == "number":
-        return amount(value, "double")
+        return amount(value, "double", decimal)
     return value
 
 
-def typed_record(fields: DataFrame, types: dict[str, str]) -> DataFrame:
+def typed_record(fields: DataFrame, types: dict[str, str], decimal: str | None = None) -> DataFrame:
     """One row per document with a typed column per schema field, and cast warnings.
 
     ``fields`` is (doc_id, name, value). A value that does not fit its type
-    becomes null and is named in ``warnings``.
+    becomes null and is named in ``warnings``. ``decimal`` is the mark before the
+    decimals of its amounts; without it those that may be read in two ways do not fit.
     """
     wide = fields.groupBy("doc_id").agg(
         *[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in types]
     )
-    typed = {n: typed_value(F.col(n), kind) for n, kind in types.items()}
+    typed = {n: typed_value(F.col(n), kind, decimal) for n, kind in types.items()}
     bad = F.filter(
         F.array(
             *[
@@ -214,18 +228,18 @@ def typed_record(fields: DataFrame, types: dict[str, str]) -> DataFrame:
     return wide.select("doc_id", *[typed[n].alias(n) for n in types], bad.alias("warnings"))
 
 
-def reconcile_totals(items: DataFrame, totals: DataFrame) -> DataFrame:
+def reconcile_totals(items: DataFrame, totals: DataFrame, decimal: str | None = None) -> DataFrame:
     """(doc_id, items_total, total, difference, unread): line amounts summed against the stated total.
 
     ``items`` is (doc_id, value) and ``totals`` (doc_id, value), both as written.
     ``unread`` counts the amounts that are none, the total among them; where
     there are any, the difference is null rather than that of a partial sum.
     """
-    read = items.select("doc_id", "value", amount(F.col("value")).alias("n"))
+    read = items.select("doc_id", "value", amount(F.col("value"), decimal=decimal).alias("n"))
     summed = read.groupBy("doc_id").agg(
         F.sum("n").alias("items_total"), F.count_if(F.col("n").isNull() & F.col("value").isNotNull()).alias("bad")
     )
-    stated = totals.select("doc_id", amount(F.col("value")).alias("total"))
+    stated = totals.select("doc_id", amount(F.col("value"), decimal=decimal).alias("total"))
     unread = F.col("bad") + F.when(F.col("total").isNull(), 1).otherwise(0)
     return summed.join(stated, "doc_id").select(
         "doc_id",

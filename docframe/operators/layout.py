@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docframe.functions.text import is_blank, ustrip
 
 TOLERANCE = 2.0
+# The finest grid, the ratio of a level's cells to those below, and coordinates that no page reaches.
 CELL = 256.0
+STEP = 4
+FARTHEST = 1e15
 METHODS = ("primary", "secondary", "ocr")
 ITEMS_PER_PART = 1000
 
@@ -16,28 +21,46 @@ ITEMS_PER_PART = 1000
 def blocks_outside_tables(blocks: DataFrame, boxes: DataFrame) -> DataFrame:
     """Non-blank blocks that lie in no table box of their page, grown by TOLERANCE.
 
-    A grid cell of the page joins the key: a block has the one its corner lies
-    in, a box those it covers. The blocks of a crowded page then spread over
-    many tasks. Corners are ordered (x0 <= x1, y0 <= y1).
+    Boxes are sorted into levels by their size, each with a grid of its own, whose
+    cells are at least as wide and high as the boxes: a box covers four of them at
+    most, however large it is. A block asks every level that occurs (two or three
+    for boxes of usual pages; their number is bounded by the exponents of a double)
+    for the cell its corner lies in, so the blocks of a crowded page spread over
+    many tasks. Corners are ordered (x0 <= x1, y0 <= y1); a box with a corner that
+    is null, infinite or no number holds no block, and a block with such a one stays.
     """
-    cell_of = lambda c: F.floor(c / CELL)
-    grown = boxes.select(
-        "doc_id",
-        "page_number",
-        (F.col("x0") - TOLERANCE).alias("bx0"),
-        (F.col("y0") - TOLERANCE).alias("by0"),
-        (F.col("x1") + TOLERANCE).alias("bx1"),
-        (F.col("y1") + TOLERANCE).alias("by1"),
-    ).distinct()
-    covered = grown.withColumn(
-        "cx", F.explode(F.sequence(cell_of(F.col("bx0")), cell_of(F.col("bx1"))))
-    ).withColumn("cy", F.explode(F.sequence(cell_of(F.col("by0")), cell_of(F.col("by1")))))
-    located = (
-        blocks.withColumn("text", ustrip(F.col("text")))
-        .filter(F.col("text") != "")
-        .withColumns({"cx": cell_of(F.col("x0")), "cy": cell_of(F.col("y0"))})
+    corners = ("x0", "y0", "x1", "y1")
+    size = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) + 2 * TOLERANCE
+    grown = (
+        boxes.filter(_finite(corners) & size.between(0, FARTHEST))
+        .select(
+            "doc_id",
+            "page_number",
+            F.greatest(F.lit(0), F.ceil(F.log(float(STEP), size / CELL))).cast("int").alias("level"),
+            (F.col("x0") - TOLERANCE).alias("bx0"),
+            (F.col("y0") - TOLERANCE).alias("by0"),
+            (F.col("x1") + TOLERANCE).alias("bx1"),
+            (F.col("y1") + TOLERANCE).alias("by1"),
+        )
+        .distinct()
     )
-    b, t = located.alias("b"), covered.alias("t")
+    out = blocks.withColumn("text", ustrip(F.col("text"))).filter(F.col("text") != "")
+    for row in grown.select("level").distinct().orderBy("level").collect():
+        out = _outside(out, grown.filter(F.col("level") == row.level), CELL * float(STEP) ** row.level)
+    return out
+
+
+def _finite(corners: tuple[str, ...]) -> Column:
+    usual = [F.coalesce(F.abs(F.col(c)) < FARTHEST, F.lit(False)) for c in corners]
+    return functools.reduce(lambda a, b: a & b, usual)
+
+
+def _outside(blocks: DataFrame, grown: DataFrame, cell: float) -> DataFrame:
+    """Blocks in none of the boxes, which are no larger than a cell."""
+    at = lambda c: F.floor(c / cell)
+    over = lambda a, b: F.explode(F.sequence(at(F.col(a)), at(F.col(b))))
+    covered = grown.withColumn("cx", over("bx0", "bx1")).withColumn("cy", over("by0", "by1"))
+    b, t = blocks.withColumns({"cx": at(F.col("x0")), "cy": at(F.col("y0"))}).alias("b"), covered.alias("t")
     same = [F.col(f"b.{k}") == F.col(f"t.{k}") for k in ("doc_id", "page_number", "cx", "cy")]
     inside = [
         F.col("b.x0") >= F.col("t.bx0"),
