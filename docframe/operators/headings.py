@@ -13,6 +13,7 @@ from docframe.functions import outline
 from docframe.functions.rows import computed, explode
 from docframe.functions.text import WS, split_lines, ustrip
 from docframe.operators.parts import in_parts, line_ends, numbered, with_earlier
+from docframe.session import written
 
 LINES_PER_CHUNK = 60
 LEVELS = 4
@@ -143,7 +144,12 @@ def chunks(docs: DataFrame, text: str = "md", lines_per_chunk: int = LINES_PER_C
         F.zip_with("starts", previous, lambda s, p: F.when(p.isNull() | (bucket(s) != bucket(p)), s)),
         lambda s: s.isNotNull(),
     )
-    marked = with_earlier(computed(marked, opened=opened), whole, {"n": F.size("opened")}, {"at": F.when(F.size("opened") > 0, F.col("part_no"))})
+    return _chunk_rows(computed(marked, opened=opened), whole)
+
+
+def _chunk_rows(marked: DataFrame, whole: bool) -> DataFrame:
+    """The chunks that start at the lines ``opened`` names."""
+    marked = with_earlier(marked, whole, {"n": F.size("opened")}, {"at": F.when(F.size("opened") > 0, F.col("part_no"))})
     end = F.size("lines") + F.col("ends_before")
     ends = F.concat(F.transform(F.slice("opened", F.lit(2), F.size("opened")), lambda s: s - 1), F.array(end))
     piece = lambda no, p, s, e: F.struct(
@@ -162,3 +168,81 @@ def chunks(docs: DataFrame, text: str = "md", lines_per_chunk: int = LINES_PER_C
         spans = F.concat(F.filter(F.array(F.when(goes_on, on)), lambda p: p.isNotNull()), spans)
     rows = explode(marked, ["doc_id"], spans, "c").select("doc_id", "c.*")
     return rows.drop("piece_no") if whole else rows
+
+
+def _cut_table(own: Column, lines: int) -> Column:
+    """[{until, to}]: where the open chunk starts behind a part, by where it started before it.
+
+    A chunk that started at ``until`` at the latest, and after the entry before, is closed in the part, and the last
+    one that is opened there starts at ``to``; one that started later goes on. Entries that lead to the same start
+    are one, so few are left: cuts soon fall together wherever they began.
+    """
+    entry = lambda until, to: F.struct(until.cast("int").alias("until"), to.cast("int").alias("to"))
+    none = F.array().cast("array<struct<until:int,to:int>>")
+    onward = lambda h, done: F.get(F.filter(done, lambda e: e["until"] >= h), F.lit(0))["to"]
+    # From the last heading to the first: a chunk cut at a heading goes on as the table behind it says.
+    table = F.aggregate(
+        F.reverse(own), none,
+        lambda done, h: F.concat(F.array(entry(h - lines, F.coalesce(onward(h, done), h))), done),
+    )
+    return _joined_entries(table)
+
+
+def _joined_entries(table: Column) -> Column:
+    none = F.array().cast("array<struct<until:int,to:int>>")
+    first = lambda done: F.get(done, F.lit(0))["to"]
+    return F.aggregate(F.reverse(table), none, lambda done, e: F.when(F.coalesce(first(done) == e["to"], F.lit(False)), done).otherwise(F.concat(F.array(e), done)))
+
+
+def _composed(earlier: Column, later: Column) -> Column:
+    """The table of two neighbouring stretches of a document."""
+    through = F.transform(
+        earlier,
+        lambda e: F.struct(e["until"].alias("until"), F.coalesce(F.get(F.filter(later, lambda x: x["until"] >= e["to"]), F.lit(0))["to"], e["to"]).alias("to")),
+    )
+    reach = F.coalesce(F.get(earlier, F.size(earlier) - 1)["until"], F.lit(-(2**31) + 1))
+    return _joined_entries(F.concat(through, F.filter(later, lambda x: x["until"] > reach)))
+
+
+def _open_before(marked: DataFrame, lines: int) -> DataFrame:
+    """(doc_id, part_no, start_before): where the chunk starts that is open before each part.
+
+    Every part is a step function of that start, and functions compose: in each round a part takes in the stretch
+    of the parts before its own, twice as long as the last round's, so the rounds grow with the logarithm of the
+    longest document's parts. Only tables are joined, no text.
+    """
+    tables = marked.select("doc_id", "part_no", _cut_table(F.col("own"), lines).alias("table"))
+    parts = tables.groupBy("doc_id").agg((F.max("part_no") + 1).alias("n")).agg(F.max("n")).first()[0] or 1
+    reach = 1
+    tables = written(tables, "cuts") if parts > 1 else tables
+    while reach < parts:
+        before = tables.select("doc_id", (F.col("part_no") + reach).alias("part_no"), F.col("table").alias("earlier"))
+        both = tables.join(before, ["doc_id", "part_no"], "left")
+        tables = written(both.select("doc_id", "part_no", F.when(F.col("earlier").isNull(), F.col("table")).otherwise(_composed(F.col("earlier"), F.col("table"))).alias("table")), "cuts")
+        reach *= 2
+    begun = F.coalesce(F.get(F.filter("table", lambda e: e["until"] >= 1), F.lit(0))["to"], F.lit(1))
+    return tables.select("doc_id", (F.col("part_no") + 1).alias("part_no"), begun.alias("start_before"))
+
+
+def greedy_chunks(docs: DataFrame, text: str = "md", lines_per_chunk: int = LINES_PER_CHUNK) -> DataFrame:
+    """Chunks that close at the first heading once they have ``lines_per_chunk`` lines.
+
+    The first begins at the first line. Rows are those of ``chunks``. Part numbers of documents in parts run from 0.
+    """
+    whole = not in_parts(docs)
+    marked = _outlined(docs, text).filter(F.size("lines") > 0)
+    marked = computed(marked, own=F.transform("heads", lambda h: (h["line_no"] + F.col("ends_before")).cast("int")))
+    begins = F.lit(True) if whole else F.col("part_no") == 0
+    if whole:
+        marked = marked.withColumn("start_before", F.lit(1))
+    else:
+        marked = marked.join(_open_before(marked, lines_per_chunk), ["doc_id", "part_no"], "left")
+    none = F.array().cast("array<int>")
+    cut = F.aggregate(
+        "own",
+        F.struct(F.coalesce("start_before", F.lit(1)).cast("int").alias("start"), none.alias("cuts")),
+        lambda at, h: F.when(h - at["start"] >= lines_per_chunk, F.struct(h.alias("start"), F.concat(at["cuts"], F.array(h)).alias("cuts"))).otherwise(at),
+        lambda at: at["cuts"],
+    )
+    opened = F.when(begins, F.concat(F.array(F.lit(1)), cut)).otherwise(cut)
+    return _chunk_rows(computed(marked, opened=opened), whole)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docframe.functions.text import inline_plain_text
-from docframe.operators import assemble, cleanup, headings, quality, segments
+from docframe.operators import assemble, cleanup, diff, headings, quality, segments
 from docframe.plans import fragments as page_plans
 from docframe.plans.corpora import fragments, md_docs, raw_docs, spread, table
 from docframe.session import work_folder
@@ -197,6 +197,10 @@ QUERIES = {
     "sections_of_parts": lambda s, d: _pieces(
         headings.sections(_parts(s, d)), "section_no", "level", "title", "path", "first_line", "last_line", "body"
     ),
+    "greedy_chunks": lambda s, d: headings.greedy_chunks(md_docs(s, d), lines_per_chunk=20),
+    "greedy_chunks_of_parts": lambda s, d: _pieces(
+        headings.greedy_chunks(_parts(s, d), lines_per_chunk=10), "chunk_no", "first_line", "last_line", "text"
+    ),
     "chunks_of_parts": lambda s, d: _pieces(
         headings.chunks(_parts(s, d), lines_per_chunk=10), "chunk_no", "first_line", "last_line", "text"
     ),
@@ -205,6 +209,7 @@ QUERIES = {
         quality.quality_checklist(md_docs(s, d)),
         md_docs(s, d).select("doc_id", F.coalesce(F.nullif(F.regexp_extract("md", r"\Atipo: (.*)|\ntipo: (.*)", 2), F.lit("")), F.lit("UNKNOWN")).alias("kind")),
     ),
+    "ordered_diff": lambda s, d: diff.ordered_diff(md_docs(s, d), headings.fix_heading_skips(md_docs(s, d))).na.fill(0),
     "line_diff": lambda s, d: quality.line_diff(
         md_docs(s, d), headings.fix_heading_skips(md_docs(s, d))
     ),
@@ -317,6 +322,12 @@ CHUNKS = f"""
             AND (next_pos IS NULL OR l.pos < next_pos)
         GROUP BY b.doc_id, chunk_no, b.pos"""
 
+# Each cut hangs on the one before.
+GREEDY = CHUNKS.replace("chunk_starts AS (SELECT doc_id, min(pos) AS pos FROM starts GROUP BY doc_id, pos // PER_CHUNK)", """chunk_starts AS (
+            SELECT DISTINCT doc_id, 0 AS pos FROM kept_lines
+            UNION ALL SELECT c.doc_id, (SELECT min(h.pos) FROM heads h WHERE h.doc_id = c.doc_id AND h.pos >= c.pos + PER_CHUNK)
+            FROM chunk_starts c WHERE EXISTS (SELECT 1 FROM heads h WHERE h.doc_id = c.doc_id AND h.pos >= c.pos + PER_CHUNK))""")
+
 ORACLES = {
     "segments": f"WITH {SEGMENTS} SELECT * FROM numbered",
     "table_row_segments": f"""WITH {MD_LINES} SELECT doc_id, CAST(pos + 1 AS INTEGER) AS line_no, segment FROM (
@@ -343,6 +354,7 @@ ORACLES = {
     "fix_heading_skips": f"""WITH {FIXED}
         SELECT doc_id, string_agg(line, {NL} ORDER BY pos, sub) AS md FROM fixed GROUP BY doc_id""",
     "sections": f"WITH {HEADS}, {SECTIONS}",
+    "greedy_chunks": f"WITH RECURSIVE {HEADS}, " + GREEDY.replace("PER_CHUNK", "20"),
     "chunks": f"WITH {HEADS}, " + CHUNKS.replace("PER_CHUNK", "20"),
     "drop_boilerplate_lines": rf"""WITH {RAW_VARIANTS} SELECT doc_id, coalesce(string_agg(line, {NL} ORDER BY place)
         FILTER (NOT regexp_matches(trim(line), '^\d+$')
@@ -374,6 +386,8 @@ ORACLES = {
           coalesce(a.n, 0) AS n_left, coalesce(b.n, 0) AS n_right
         FROM a FULL JOIN b ON a.doc_id = b.doc_id AND a.line = b.line
         WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)""",
+    "ordered_diff": f"""WITH {FIXED} SELECT doc_id, 'added' AS change, 0 AS left_line, CAST(rn AS INTEGER) AS right_line, line
+        FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos, sub) AS rn FROM fixed) WHERE sub = 0""",
     "split_glued_words": f"WITH {WORDS} SELECT word, first, second, score FROM best WHERE r = 1",
     "repaired_words": rf"""WITH {WORDS}, cut AS (SELECT word, p FROM best WHERE r = 1), {RAW_LINES},
         pieces AS (SELECT doc_id, pos, unnest(ps) AS piece, generate_subscripts(ps, 1) AS nth FROM (
@@ -418,6 +432,7 @@ ORACLES |= {
     "tmx_of_parts": _of_parts(ORACLES["tmx_documents"]),
     "heading_skips_of_parts": _of_parts(ORACLES["heading_skips"]).replace("FROM fixed f JOIN bodies b ON f.c = b.c", "FROM bodies f JOIN bodies b ON f.c = b.c").replace("AS md, head FROM", "AS md, b.head FROM").replace("concat(head,", "concat(b.head,"),
     "sections_of_parts": _of_parts(ORACLES["sections"].replace("bodies", "texts")),
+    "greedy_chunks_of_parts": _of_parts(f"WITH {HEADS}, " + GREEDY.replace("PER_CHUNK", "10")).replace("WITH ", "WITH RECURSIVE ", 1),
     "chunks_of_parts": _of_parts(f"WITH {HEADS}, " + CHUNKS.replace("PER_CHUNK", "10")),
     "checklist_of_parts": _of_parts(f"WITH {CHECKS} SELECT * FROM checks").replace("documents d", "whole d").replace(
         "d.doc_id % 3 = 0 AS front_matter", "(SELECT coalesce(m.comune, '') <> '' FROM meta m WHERE m.c = d.doc_id) AS front_matter"
