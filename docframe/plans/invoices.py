@@ -6,11 +6,15 @@ relational columns the text was made of.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
-from docframe.operators import batch, fields, prompts
+from docframe.functions.text import money
+from docframe.operators import batch, fields, prompts, rules
 from docframe.operators import tables as tb
-from docframe.plans.corpora import ROWS_PER_PAGE, document_type, invoice_headers, invoice_pages
+from docframe.operators.rules import Holds, InOrder, SumsTo, UniqueOver
+from docframe.plans.corpora import ROWS_PER_PAGE, document_type, invoice_headers, invoice_pages, table
 from docframe.session import work_folder
 from docframe.sources.files import unique_files, write_files
 from docframe.sources.schemas import load_schemas
@@ -131,6 +135,34 @@ def _reconcile(spark, sf):
     )
 
 
+RULES = (
+    SumsTo("total", "amount", Decimal("5000.00")),
+    SumsTo("net", "amount"),
+    InOrder(("ordered", "shipped", "received")),
+    UniqueOver(("customer", "ordered")),
+    Holds("priority is stated", lambda c: c("priority") != "4-NOT SPECIFIED", "a priority"),
+)
+
+
+def _rules(spark, sf):
+    """Orders as typed records, their lines as items; the stated net total is off for some."""
+    lines = table(spark, sf, "lineitem")
+    dates = lines.groupBy("l_orderkey").agg(
+        F.min("l_shipdate").cast("date").alias("shipped"), F.max("l_shipdate").cast("date").alias("received"),
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("sum"),
+    )
+    k = F.col("o_orderkey")
+    records = table(spark, sf, "orders").join(dates, k == F.col("l_orderkey"), "left").select(
+        k.alias("doc_id"), F.col("o_totalprice").cast("decimal(18,2)").alias("total"),
+        F.when(k % 9 != 0, F.coalesce("sum", F.lit(0)) + F.when(k % 10 == 3, Decimal("0.01")).otherwise(Decimal("0.00"))).alias("net"),
+        F.col("o_orderdate").cast("date").alias("ordered"), "shipped", "received",
+        F.col("o_custkey").alias("customer"), F.col("o_orderpriority").alias("priority"),
+    )
+    shown = F.when(F.col("l_orderkey") % 31 == 4, F.concat(F.lit("ca. "), money(F.col("l_extendedprice")))).otherwise(money(F.col("l_extendedprice")))
+    items = lines.select(F.col("l_orderkey").alias("doc_id"), F.lit("amount").alias("name"), shown.alias("value"))
+    return rules.rule_violations(records, RULES, items)
+
+
 def _combined(spark, sf):
     return (
         tb.combined_table(_tables(spark, sf))
@@ -232,6 +264,7 @@ def _pairing(spark, sf):
 
 QUERIES = {
     "batch_summary": batch_summary,
+    "rule_violations": _rules,
     "import_markdown_tables": _import,
     "detect_header": _detect,
     "rows_to_dicts": lambda s, d: tb.rows_to_dicts(_tables(s, d)),
@@ -416,6 +449,19 @@ ORACLES = {
         invoice_date, concat('Vendor-', c_nationkey) AS vendor_name, c_name AS client_name,
         CASE WHEN doc_id % 10 <> 0 THEN CAST(total_value AS DOUBLE) END AS total_amount, '' AS payment_terms,
         'Value of ''payment_terms'' is no date' AS warnings FROM heads""",
+    "rule_violations": """WITH s AS (SELECT l_orderkey AS k, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS s, count(*) AS n,
+            CAST(min(l_shipdate) AS DATE) AS shipped, CAST(max(l_shipdate) AS DATE) AS received FROM lineitem GROUP BY 1),
+        r AS (SELECT o_orderkey AS k, CAST(o_totalprice AS DECIMAL(18,2)) AS total, CAST(coalesce(s, 0) AS DECIMAL(20,2)) AS s, n, k % 31 = 4 AND n > 0 AS bad,
+            CAST(o_orderdate AS DATE) AS ordered, shipped, o_custkey AS c, o_orderpriority AS p FROM orders LEFT JOIN s ON k = o_orderkey),
+        u AS (SELECT c, ordered, count(*) AS m, min(k) AS f FROM r GROUP BY c, ordered HAVING count(*) > 1)
+        SELECT k AS doc_id, 'sum' AS rule, 'amount to total' AS about, CAST(total AS VARCHAR) AS expected,
+          CASE WHEN bad THEN concat(n, ' values are no amounts') ELSE CAST(s AS VARCHAR) END AS found FROM r WHERE coalesce(bad, false) OR abs(total - s) > 5000
+        UNION ALL SELECT k, 'sum', 'amount to net', CAST(CAST(s + CASE WHEN k % 10 = 3 THEN 0.01 ELSE 0 END AS DECIMAL(20,2)) AS VARCHAR),
+          CASE WHEN bad THEN concat(n, ' values are no amounts') ELSE CAST(s AS VARCHAR) END FROM r WHERE k % 9 <> 0 AND (coalesce(bad, false) OR k % 10 = 3)
+        UNION ALL SELECT k, 'order', 'ordered to shipped', concat('at least ', ordered), CAST(shipped AS VARCHAR) FROM r WHERE ordered > shipped
+        UNION ALL SELECT k, 'holds', 'priority is stated', 'a priority', '' FROM r WHERE p = '4-NOT SPECIFIED'
+        UNION ALL SELECT k, 'unique', 'customer, ordered', concat('in one document, first in ', f), concat(r.c, ' | ', r.ordered, ' in ', m)
+          FROM r JOIN u ON r.c = u.c AND r.ordered = u.ordered""",
     "reconcile_totals": f"""{WITH} SELECT h.doc_id, CASE WHEN h.doc_id % 13 <> 5 AND h.doc_id % 29 = 7 THEN -1e18 ELSE CAST(s AS DOUBLE) END AS items_total,
         CAST(total_value AS DOUBLE) AS total,
         CASE WHEN h.doc_id % 13 <> 5 AND h.doc_id % 29 = 7 THEN -1e18 ELSE CAST(total_value - s AS DOUBLE) END AS difference,
