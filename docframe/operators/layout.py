@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docframe.functions.text import is_blank, ustrip
+from docframe.session import written
 
 TOLERANCE = 2.0
 # The finest grid, the ratio of a level's cells to those below, and coordinates that no page reaches.
@@ -85,23 +86,24 @@ def page_provenance(items: DataFrame, items_per_part: int = ITEMS_PER_PART) -> D
     )
     parts = (
         cited.groupBy("doc_id", "page_number", "part_no")
-        .agg(F.sort_array(F.collect_list(F.struct("item_no", "text"))).alias("rows"))
+        .agg(F.sort_array(F.collect_list(F.struct("item_no", "text"))).alias("rows"), F.max(~is_blank(F.col("text"))).alias("filled"))
         .select(
             "doc_id",
             "page_number",
             "part_no",
+            "filled",
             F.array_join(F.transform("rows", lambda r: r["text"]), "\n\n").alias("text"),
         )
     )
-    # Which part of a page is the first, and whether the page has text, from slim rows, met by part.
-    slim = cited.groupBy("doc_id", "page_number", "part_no").agg(F.max(~is_blank(F.col("text"))).alias("filled"))
+    # Read for the texts, and for which part of a page is the first and whether the page has text.
+    parts = written(parts, "parts")
     page = Window.partitionBy("doc_id", "page_number")
-    places = slim.select(
+    places = parts.select(
         "doc_id", "page_number", "part_no",
         (F.col("part_no") == F.min("part_no").over(page)).alias("first"),
         F.max("filled").over(page).alias("filled"),
     ).filter("filled")
-    return parts.join(places, ["doc_id", "page_number", "part_no"]).select(
+    return parts.drop("filled").join(places, ["doc_id", "page_number", "part_no"]).select(
         "doc_id",
         "page_number",
         "part_no",

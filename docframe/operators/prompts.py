@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docframe.functions.rows import explode
 from docframe.functions.text import is_blank
 from docframe.operators.tables import column_names
 from docframe.sources.schemas import Schema
@@ -88,10 +89,19 @@ def cut_text(parts: DataFrame, max_chars: int, separator: str = "\n\n") -> DataF
     )
 
 
-def requests(parts: DataFrame, chars: int = CHARS_PER_REQUEST) -> DataFrame:
-    """The parts with ``request_no`` and ``text`` cut into pieces of at most ``chars`` characters, none left out."""
-    n = F.greatest(F.lit(1), F.ceil(F.length("text") / chars)).cast("int")
+def requests(parts: DataFrame, chars: int = CHARS_PER_REQUEST, lines: bool = False) -> DataFrame:
+    """The parts with ``request_no`` and ``text`` cut into pieces of at most ``chars`` characters, none left out.
+
+    With ``lines`` a piece ends behind the last line end it has room for, so no word or table row is cut; where it
+    has none it ends behind the last white space, and only a longer word is cut. Pieces joined are the text.
+    """
     others = [c for c in parts.columns if c != "text"]
+    if lines:
+        n = max(1, chars)
+        piece = rf"(?s).{{1,{n}}}\z|.{{0,{n - 1}}}\n|.{{0,{n - 1}}}\s|.{{1,{n}}}"
+        pieces = F.when(F.length("text") > 0, F.regexp_extract_all("text", F.lit(piece), F.lit(0))).otherwise(F.array(F.lit("")))
+        return explode(parts, others, pieces, "text", pos="request_no").select(*others, "request_no", "text")
+    n = F.greatest(F.lit(1), F.ceil(F.length("text") / chars)).cast("int")
     cut = parts.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("request_no"))
     return cut.select(*others, "request_no", F.substring("text", F.col("request_no") * chars + 1, F.lit(chars)).alias("text"))
 

@@ -135,6 +135,26 @@ def _reconcile(spark, sf):
     )
 
 
+def _misread(spark, sf):
+    """Keys of the lines of an order, of which one letter is wrong, missing or too many, beside some exact ones."""
+    k = F.col("o_orderkey")
+    spelled = F.array(*[F.lit(x) for x in ("Invoice Number", "Vendor Name", "Invoice Date", "Total Amount", "Reference")])
+    rows = table(spark, sf, "orders").select(k.alias("doc_id"), F.posexplode(spelled).alias("i", "right"))
+    d, i, right = F.col("doc_id"), F.col("i"), F.col("right")
+    at = (d % 7 + 2).cast("int")
+    head, tail = F.substr(right, F.lit(1), at - 1), F.substr(right, at + 1)
+    letter = F.substr(right, at, F.lit(1))
+    wrong = (
+        F.when((d + i) % 4 == 0, F.concat(head, F.lit("q"), tail)).when((d + i) % 4 == 1, F.concat(head, tail))
+        .when((d + i) % 4 == 2, F.concat(head, letter, F.lit("q"), tail)).otherwise(F.concat(F.lit("qz"), right))
+    )
+    shown = F.explode(F.when((d % 5 == 0) & (i == 1), F.array(right, wrong)).otherwise(F.array(wrong)))
+    pairs = rows.select("doc_id", "i", shown.alias("key")).select(
+        "doc_id", F.lit(1).alias("page_number"), (F.col("i") * 2 + F.when(F.col("key").contains("q"), 1).otherwise(0)).alias("line_no"), "key", F.col("key").alias("value")
+    )
+    return fields.schema_guided_fields(pairs, load_schemas(spark)["invoice"].aliases, misread=True)
+
+
 RULES = (
     SumsTo("total", "amount", Decimal("5000.00")),
     SumsTo("net", "amount"),
@@ -265,6 +285,7 @@ def _pairing(spark, sf):
 QUERIES = {
     "batch_summary": batch_summary,
     "rule_violations": _rules,
+    "misread_fields": _misread,
     "import_markdown_tables": _import,
     "detect_header": _detect,
     "rows_to_dicts": lambda s, d: tb.rows_to_dicts(_tables(s, d)),
@@ -449,6 +470,11 @@ ORACLES = {
         invoice_date, concat('Vendor-', c_nationkey) AS vendor_name, c_name AS client_name,
         CASE WHEN doc_id % 10 <> 0 THEN CAST(total_value AS DOUBLE) END AS total_amount, '' AS payment_terms,
         'Value of ''payment_terms'' is no date' AS warnings FROM heads""",
+    "misread_fields": """WITH s(i, name, w) AS (VALUES (0, 'invoice_number', 'Invoice Number'), (1, 'vendor_name', 'Vendor Name'), (2, 'invoice_date', 'Invoice Date'), (3, 'total_amount', 'Total Amount')),
+        k AS (SELECT o_orderkey AS d, s.*, o_orderkey % 7 + 2 AS a FROM orders, s)
+        SELECT d AS doc_id, name, CASE WHEN d % 5 = 0 AND i = 1 THEN w WHEN (d + i) % 4 = 0 THEN concat(left(w, a - 1), 'q', substring(w, a + 1))
+          WHEN (d + i) % 4 = 1 THEN concat(left(w, a - 1), substring(w, a + 1)) ELSE concat(left(w, a), 'q', substring(w, a + 1)) END AS value
+        FROM k WHERE (d + i) % 4 <> 3 OR (d % 5 = 0 AND i = 1)""",
     "rule_violations": """WITH s AS (SELECT l_orderkey AS k, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS s, count(*) AS n,
             CAST(min(l_shipdate) AS DATE) AS shipped, CAST(max(l_shipdate) AS DATE) AS received FROM lineitem GROUP BY 1),
         r AS (SELECT o_orderkey AS k, CAST(o_totalprice AS DECIMAL(18,2)) AS total, CAST(coalesce(s, 0) AS DECIMAL(20,2)) AS s, n, k % 31 = 4 AND n > 0 AS bad,

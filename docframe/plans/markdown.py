@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docframe.functions.text import inline_plain_text
-from docframe.operators import assemble, cleanup, diff, headings, quality, segments
+from docframe.operators import assemble, cleanup, diff, headings, prompts, quality, segments
 from docframe.plans import fragments as page_plans
 from docframe.plans.corpora import fragments, md_docs, raw_docs, spread, table
 from docframe.session import work_folder
@@ -197,6 +197,9 @@ QUERIES = {
     "sections_of_parts": lambda s, d: _pieces(
         headings.sections(_parts(s, d)), "section_no", "level", "title", "path", "first_line", "last_line", "body"
     ),
+    "requests_of_lines": lambda s, d: prompts.requests(
+        spread(table(s, d, "documents")).select("doc_id", F.coalesce("text", F.lit("")).alias("text")), 300, lines=True
+    ),
     "greedy_chunks": lambda s, d: headings.greedy_chunks(md_docs(s, d), lines_per_chunk=20),
     "greedy_chunks_of_parts": lambda s, d: _pieces(
         headings.greedy_chunks(_parts(s, d), lines_per_chunk=10), "chunk_no", "first_line", "last_line", "text"
@@ -354,6 +357,16 @@ ORACLES = {
     "fix_heading_skips": f"""WITH {FIXED}
         SELECT doc_id, string_agg(line, {NL} ORDER BY pos, sub) AS md FROM fixed GROUP BY doc_id""",
     "sections": f"WITH {HEADS}, {SECTIONS}",
+    "requests_of_lines": """WITH RECURSIVE cut AS (
+          SELECT doc_id, -1 AS request_no, '' AS text, coalesce(text, '') AS rest, true AS more FROM documents
+          UNION ALL
+          SELECT doc_id, request_no + 1, left(rest, n), substring(rest, n + 1), length(rest) > n FROM (
+            SELECT *, CASE WHEN length(rest) <= 300 THEN length(rest)
+                WHEN contains(head, chr(10)) THEN 301 - strpos(reverse(head), chr(10))
+                WHEN regexp_matches(head, '\\s') THEN 300 - length(regexp_extract(head, '[^\\s]*$'))
+                ELSE 300 END AS n
+            FROM (SELECT *, left(rest, 300) AS head FROM cut WHERE more)))
+        SELECT doc_id, request_no, text FROM cut WHERE request_no >= 0""",
     "greedy_chunks": f"WITH RECURSIVE {HEADS}, " + GREEDY.replace("PER_CHUNK", "20"),
     "chunks": f"WITH {HEADS}, " + CHUNKS.replace("PER_CHUNK", "20"),
     "drop_boilerplate_lines": rf"""WITH {RAW_VARIANTS} SELECT doc_id, coalesce(string_agg(line, {NL} ORDER BY place)
