@@ -159,6 +159,53 @@ def numbered_tables(tables: DataFrame, block: int = BLOCK) -> DataFrame:
     return joined.withColumn("table_id", F.substring(F.md5(text), 1, 8)).drop("n_before")
 
 
+def spanning_tables(pages: DataFrame, text: str = "md", block: int = BLOCK) -> DataFrame:
+    """Tables that run over pages: (doc_id, table_no, page_number, page_table, first_row, header, rows).
+
+    A table goes on where a page ends with pipe lines, the next page begins with some, their rows are equally wide,
+    and the next page repeats the header or has none. One row per fragment; those of a table share ``table_no``
+    (from 1 per document) and the header of the first, a repeated header is no row, and ``first_row`` counts the
+    table's rows on earlier pages. Pages are read once and only borders, counts and headers are brought together;
+    the number of a table is how many began so far, so chains of any length are found without following them.
+    """
+    place = lambda at: F.regexp_replace(F.col(text), r"\A\s+|\s+\z", "").rlike(at)
+    marked = pages.withColumns({"_top": place(r"\A\|"), "_bottom": place(r"(?:\A|\n)[^\S\n]*\|[^\n]*\z")})
+    raw = written(import_markdown_tables(marked, text, keep=("_top", "_bottom")), "fragments")
+    first = F.coalesce(F.get("raw_rows", F.lit(0)), F.array().cast("array<string>"))
+    on_page = Window.partitionBy("doc_id", "page_number").orderBy("page_table")
+    whole_page = Window.partitionBy("doc_id", "page_number")
+    slim = raw.select(
+        *KEY, "_top", "_bottom", "has_separator", F.transform(first, ustrip).alias("first"), F.size("raw_rows").alias("n"),
+        (F.row_number().over(on_page) == 1).alias("is_first"), (F.col("page_table") == F.max("page_table").over(whole_page)).alias("is_last"),
+    )
+    ends = slim.filter("is_last AND _bottom").select(
+        "doc_id", (F.col("page_number") + 1).alias("page_number"), F.col("first").alias("above"), F.col("has_separator").alias("titled")
+    )
+    met = slim.join(ends, ["doc_id", "page_number"], "left")
+    repeated = F.col("has_separator") & F.col("titled") & (F.col("above") == F.col("first"))
+    goes_on = F.coalesce(F.col("is_first") & F.col("_top") & (F.size("above") == F.size("first")) & (~F.col("has_separator") | repeated), F.lit(False))
+    named = F.col("has_separator") | ((F.col("n") > 1) & is_header_row(F.col("first")))
+    judged = met.select(*KEY, goes_on.alias("goes_on"), F.when(~goes_on & named, F.col("first")).alias("own"), (~goes_on).cast("int").alias("starts"),
+                        (F.col("n") - F.when(F.when(goes_on, F.col("has_separator")).otherwise(named), 1).otherwise(0)).cast("long").alias("n"))
+    judged = written(judged, "borders")
+    totals = judged.groupBy("doc_id", "page_number").agg(F.sum("starts").alias("starts"), F.sum("n").alias("n"))
+    before = running_totals(totals, ["doc_id"], "page_number", ["starts", "n"], block)
+    earlier = on_page.rowsBetween(Window.unboundedPreceding, -1)
+    numbered = judged.join(before, ["doc_id", "page_number"]).select(
+        *KEY, "goes_on", "own",
+        (F.col("starts_before") + F.sum("starts").over(on_page)).cast("int").alias("table_no"),
+        (F.col("n_before") + F.coalesce(F.sum("n").over(earlier), F.lit(0))).alias("at"),
+    )
+    begun = numbered.filter("NOT goes_on").select("doc_id", "table_no", F.col("own").alias("header"), F.col("at").alias("begun_at"))
+    found = numbered.join(begun, ["doc_id", "table_no"]).select(*KEY, "table_no", "header", (F.col("at") - F.col("begun_at")).alias("first_row"), "goes_on")
+    skipped = F.when(F.col("goes_on"), F.col("has_separator")).otherwise(F.col("header").isNotNull())
+    rows = F.transform("raw_rows", lambda r: F.transform(r, lambda c: ustrip(F.coalesce(c, F.lit("")))))
+    return raw.join(found, list(KEY)).select(
+        "doc_id", "table_no", "page_number", "page_table", "first_row", "header",
+        F.when(skipped, F.slice(rows, F.lit(2), F.size("raw_rows"))).otherwise(rows).alias("rows"),
+    )
+
+
 def table_numbering(tables: DataFrame) -> DataFrame:
     """KEY, table_idx, table_id."""
     return numbered_tables(tables).select(*KEY, "table_idx", "table_id")

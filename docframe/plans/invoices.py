@@ -14,7 +14,7 @@ from docframe.functions.text import money
 from docframe.operators import batch, fields, prompts, rules
 from docframe.operators import tables as tb
 from docframe.operators.rules import Holds, InOrder, SumsTo, UniqueOver
-from docframe.plans.corpora import ROWS_PER_PAGE, document_type, invoice_headers, invoice_pages, table
+from docframe.plans.corpora import ROWS_PER_PAGE, document_type, invoice_headers, invoice_items, invoice_pages, table
 from docframe.session import work_folder
 from docframe.sources.files import unique_files, write_files
 from docframe.sources.schemas import load_schemas
@@ -135,6 +135,22 @@ def _reconcile(spark, sf):
     )
 
 
+def _spanning(spark, sf):
+    """Item lists over pages: with the header on every page, on the first alone, or broken by a foot on every second page."""
+    k, p = F.col("doc_id"), F.col("page_number")
+    line = F.concat(F.lit("| "), "description", F.lit(" | "), "quantity", F.lit(" |"))
+    body = invoice_items(spark, sf).groupBy("doc_id", "page_number").agg(F.sort_array(F.collect_list(F.struct("rn", line.alias("line")))).alias("rows"))
+    head = F.when((p == 1) | (k % 3 == 0), F.lit("| Description | Quantity |\n|---|---|\n")).otherwise("")
+    foot = F.when((k % 3 == 2) & (p % 2 == 0), F.concat(F.lit("\n\npag. "), p.cast("string"))).otherwise(F.lit("\n"))
+    intro = F.when(p == 1, F.lit("Order\n\n")).otherwise("")
+    md = F.concat(intro, head, F.array_join(F.transform("rows", lambda r: r["line"]), "\n"), foot)
+    found = tb.spanning_tables(body.select("doc_id", "page_number", md.alias("md")))
+    return found.select(
+        "doc_id", "table_no", "page_number", "page_table", "first_row", F.coalesce(F.array_join("header", "|"), F.lit("")).alias("header"),
+        F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), ";").alias("rows"),
+    )
+
+
 def _misread(spark, sf):
     """Keys of the lines of an order, of which one letter is wrong, missing or too many, beside some exact ones."""
     k = F.col("o_orderkey")
@@ -286,6 +302,7 @@ QUERIES = {
     "batch_summary": batch_summary,
     "rule_violations": _rules,
     "misread_fields": _misread,
+    "spanning_tables": _spanning,
     "import_markdown_tables": _import,
     "detect_header": _detect,
     "rows_to_dicts": lambda s, d: tb.rows_to_dicts(_tables(s, d)),
@@ -470,6 +487,12 @@ ORACLES = {
         invoice_date, concat('Vendor-', c_nationkey) AS vendor_name, c_name AS client_name,
         CASE WHEN doc_id % 10 <> 0 THEN CAST(total_value AS DOUBLE) END AS total_amount, '' AS payment_terms,
         'Value of ''payment_terms'' is no date' AS warnings FROM heads""",
+    "spanning_tables": f"""{WITH}, f AS (
+          SELECT doc_id, page_number, count(*) AS n, string_agg(concat(description, '|', quantity), ';' ORDER BY rn) AS rows,
+            CASE WHEN doc_id % 3 = 2 THEN (page_number + 1) // 2 ELSE 1 END AS table_no FROM items GROUP BY doc_id, page_number)
+        SELECT doc_id, CAST(table_no AS INTEGER) AS table_no, page_number, 1 AS page_table,
+          CAST(coalesce(sum(n) OVER (PARTITION BY doc_id, table_no ORDER BY page_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first_row,
+          CASE WHEN table_no = 1 THEN 'Description|Quantity' ELSE '' END AS header, rows FROM f""",
     "misread_fields": """WITH s(i, name, w) AS (VALUES (0, 'invoice_number', 'Invoice Number'), (1, 'vendor_name', 'Vendor Name'), (2, 'invoice_date', 'Invoice Date'), (3, 'total_amount', 'Total Amount')),
         k AS (SELECT o_orderkey AS d, s.*, o_orderkey % 7 + 2 AS a FROM orders, s)
         SELECT d AS doc_id, name, CASE WHEN d % 5 = 0 AND i = 1 THEN w WHEN (d + i) % 4 = 0 THEN concat(left(w, a - 1), 'q', substring(w, a + 1))
