@@ -15,7 +15,7 @@ from docframe.operators import batch, fields, prompts, rules
 from docframe.operators import tables as tb
 from docframe.operators.rules import Holds, InOrder, SumsTo, UniqueOver
 from docframe.plans.corpora import ROWS_PER_PAGE, document_type, invoice_headers, invoice_items, invoice_pages, table
-from docframe.session import work_folder
+from docframe.session import work_folder, written
 from docframe.sources.files import unique_files, write_files
 from docframe.sources.schemas import load_schemas
 
@@ -24,6 +24,11 @@ TYPES = {"invoice_number": "string", "invoice_date": "date", "vendor_name": "str
          "client_name": "string", "total_amount": "currency", "payment_terms": "date"}
 
 
+def _pages(spark, sf):
+    """The pages, stored like a corpus that several operators read."""
+    return written(invoice_pages(spark, sf), "pages")
+
+
 def _documents(spark, sf):
     """Documents as the batch sees them, without reading their pages."""
     return invoice_headers(spark, sf).select(
@@ -236,7 +241,7 @@ def _prompts(spark, sf):
 
 def _workbook(spark, sf):
     """All sheets; the tables of every fifth document are left out, so that its pages are listed."""
-    pages = invoice_pages(spark, sf)
+    pages = _pages(spark, sf)
     summary = batch.document_counts(pages).select(
         "doc_id", "source_file", F.lit("unknown").alias("document_type"), "pages", "tables_found", "fields_found",
         F.col("warnings_count").alias("warnings"), F.lit(EXTRACTED_AT).alias("extracted_at"),
@@ -269,7 +274,7 @@ def _json_artifacts(spark, sf):
 
 def _document_artifacts(spark, sf):
     """Documents with pages and tables as JSON and back."""
-    pages = invoice_pages(spark, sf)
+    pages = _pages(spark, sf)
     texts = pages.select("doc_id", "page_number", F.col("md").alias("text"))
     numbered = tb.numbered_tables(tb.detect_header(_raw(pages)))
     back = batch.read_document_artifacts(batch.document_artifacts(_documents(spark, sf), texts, numbered))
