@@ -26,13 +26,13 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docframe.llm import words as W
 from docframe.session import work_folder, written
+from docframe.sources.store import Store, store
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -136,16 +136,16 @@ class Archive:
         return self._read(*self.place(name))
 
 
-def _writer(folder: str, date: str):
+def _writer(place: Store, date: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        store, base = pafs.FileSystem.from_uri(folder)
-        store.create_dir(base, recursive=True)
+        system, base = place.opened()
+        system.create_dir(base, recursive=True)
         state: dict = {}
 
         def begin() -> None:
             name = f"{base}/pages-{task.partitionId():06d}-{task.taskAttemptId()}-{state.get('files', 0)}.wacz"
-            out = store.open_output_stream(name)
+            out = system.open_output_stream(name)
             archive = zipfile.ZipFile(out, "w", zipfile.ZIP_STORED, allowZip64=True)
             state.update(name=name, out=out, zip=archive, data=archive.open(DATA, "w", force_zip64=True), at=0, index=[], files=state.get("files", 0) + 1)
 
@@ -185,19 +185,19 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str
     revisits = slim.join(firsts, "digest").filter(F.col("k").isNull() | (F.col("k") > F.col("first"))).select(F.col("k").alias("rk"), F.col("digest").alias("rd"), "first").distinct()
     both = rows.join(revisits, rows["k"].eqNullSafe(F.col("rk")) & (F.col("digest") == F.col("rd")), "left")
     ready = both.select(F.col("k").cast("string").alias("key"), "url", "payload", "digest", F.col("first").cast("string").alias("refers_to"))
-    return written(ready.mapInArrow(_writer(folder, date), "archive string, records long"), "manifest")
+    return written(ready.mapInArrow(_writer(store(pages.sparkSession, folder), date), "archive string, records long"), "manifest")
 
 
 RECORD = pa.schema([("key", pa.string()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.string()), ("payload", pa.binary())])
 
 
-def _reader(folder: str, payloads: bool):
+def _reader(place: Store, payloads: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = pafs.FileSystem.from_uri(folder)
+        system, _ = place.opened()
         for batch in batches:
             for work in batch.to_pylist():
-                size = store.get_file_info(work["archive"]).size
-                with store.open_input_file(work["archive"]) as handle:
+                size = system.get_file_info(work["archive"]).size
+                with system.open_input_file(work["archive"]) as handle:
                     archive = Archive(handle, size)
                     index = [json.loads(x) for x in archive.member(INDEX).decode().splitlines()[work["first"] : work["first"] + RECORDS]]
                     start, _ = archive.place(DATA)
@@ -221,7 +221,7 @@ def read(manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """Records of the archives that ``manifest`` lists, in parallel by ranges of records."""
     work = manifest.select("archive", F.explode(F.sequence(F.lit(0), F.col("records") - 1, F.lit(RECORDS))).alias("first"))
     spread = max(1, min(10_000, work.count()))
-    return work.repartition(spread).mapInArrow(_reader(folder, payloads), "key string, url string, record_type string, payload_bytes long, payload_digest string, refers_to string, payload binary")
+    return work.repartition(spread).mapInArrow(_reader(store(manifest.sparkSession, folder), payloads), "key string, url string, record_type string, payload_bytes long, payload_digest string, refers_to string, payload binary")
 
 
 def round_trip(pages: DataFrame, key: str = "page_id") -> DataFrame:
