@@ -6,8 +6,9 @@ central directory (ZIP64 as well), locates the stored members, reads the index,
 records it is to return; nothing is unpacked to disk.
 
 Of rows with equal payloads of at least ``least`` bytes, that with the smallest key is written in full, the
-others as revisits of it. Equal payloads are found by SHA-256; only key and digest are shuffled for that, and
-then each row meets its verdict by key, so a payload that a third of all rows share burdens no task.
+others as revisits of it. Equal payloads are found by SHA-256; only key and digest are shuffled for that, the rows
+of one digest in parts, and then each row meets its verdict by key, so a payload that a third of all rows share
+burdens no task.
 
 Null payloads are empty. Null URLs have no target header. A null key comes after all others. Rows with the
 same key and payload are all written in full or all as revisits. An empty table gives no records. Files carry
@@ -36,6 +37,8 @@ from docframe.sources.store import Store, store
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Parts that the rows of one payload are dealt out to.
+SALTS = 16
 #: Bytes of data after which a new archive is begun, records that one task reads, and bytes read at once.
 MOST, RECORDS, RANGE = 256 << 20, 4000, 4 << 20
 
@@ -182,7 +185,10 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str
     rows = pages.select(F.col(key).alias("k"), F.col(url).alias("url"), text.alias("payload"), F.sha2(text, 256).alias("digest"))
     slim = rows.filter(F.octet_length("payload") >= least).select("k", "digest")
     firsts = slim.groupBy("digest").agg(F.min("k").alias("first"), F.count("*").alias("n")).filter((F.col("n") > 1) & F.col("first").isNotNull())
-    revisits = slim.join(firsts, "digest").filter(F.col("k").isNull() | (F.col("k") > F.col("first"))).select(F.col("k").alias("rk"), F.col("digest").alias("rd"), "first").distinct()
+    # A payload that very many rows share is dealt out: its first row is told to each of SALTS parts of them.
+    told = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).drop("n")
+    salted = slim.withColumn("salt", F.pmod(F.xxhash64("k"), F.lit(SALTS)).cast("int"))
+    revisits = salted.join(told, ["digest", "salt"]).filter(F.col("k").isNull() | (F.col("k") > F.col("first"))).select(F.col("k").alias("rk"), F.col("digest").alias("rd"), "first").distinct()
     both = rows.join(revisits, rows["k"].eqNullSafe(F.col("rk")) & (F.col("digest") == F.col("rd")), "left")
     ready = both.select(F.col("k").cast("string").alias("key"), "url", "payload", "digest", F.col("first").cast("string").alias("refers_to"))
     return written(ready.mapInArrow(_writer(store(pages.sparkSession, folder), date), "archive string, records long"), "manifest")
