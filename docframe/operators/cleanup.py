@@ -81,9 +81,9 @@ def is_unreadable(text: Column) -> Column:
 
 
 def mark_unreadable(pages: DataFrame) -> DataFrame:
-    """Pages with ``unreadable`` and ``marker``, the comment for pages with next to no text; the text stays."""
+    """Pages with ``unreadable`` and ``marker``, the comment for pages with next to no text, null among them; the text stays."""
     marker = F.concat(F.lit("<!-- UNREADABLE: page "), F.col("page_number").cast("string"), F.lit(" -->"))
-    flagged = pages.withColumn("unreadable", is_unreadable(F.col("text")))
+    flagged = pages.withColumn("unreadable", is_unreadable(F.coalesce("text", F.lit(""))))
     return flagged.withColumn("marker", F.when(F.col("unreadable"), marker))
 
 

@@ -139,16 +139,12 @@ def _literal_map(entries: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
 
 
-def _shortened(word: str) -> set[str]:
-    return {word[:i] + word[i + 1 :] for i in range(len(word))}
-
-
 def _claimed(key: Column, aliases: dict[str, str], misread: bool = False) -> Column:
     """Name of the schema field that claims a key, by a literal table of spellings; null if none does.
 
     With ``misread`` a key that is one letter off a spelling (wrong, missing or too many) is claimed as well, unless
-    spellings of two fields are that near. Such a key and the spelling have a form in common with at most one letter
-    left out, so a second literal table, of those forms, finds the spellings to compare with.
+    spellings of two fields are that near. A schema has a few dozen spellings; each is compared in a band of one
+    letter, and only with keys the table does not have.
     """
     if not aliases:
         return F.lit(None).cast("string")
@@ -157,17 +153,9 @@ def _claimed(key: Column, aliases: dict[str, str], misread: bool = False) -> Col
     long = {a: f for a, f in aliases.items() if len(a) >= LEAST_MISREAD}
     if not misread or not long:
         return exact
-    near: dict[str, set[str]] = {}
-    for spelling in long:
-        for form in _shortened(spelling) | {spelling}:
-            near.setdefault(form, set()).add(spelling)
-    table = F.create_map(*[x for form, of in sorted(near.items()) for x in (F.lit(form), F.array(*[F.lit(s) for s in sorted(of)]))])
-    at = F.sequence(F.lit(1), F.greatest(F.length(spelled), F.lit(1)))
-    forms = F.concat(F.array(spelled), F.transform(at, lambda i: F.concat(F.substr(spelled, F.lit(1), i - 1), F.substr(spelled, i + 1))))
-    found = F.array_distinct(F.flatten(F.array_compact(F.transform(forms, lambda f: F.try_element_at(table, f)))))
-    names = F.array_distinct(F.transform(F.filter(found, lambda s: F.levenshtein(s, spelled) <= 1), lambda s: F.element_at(_literal_map(long), s)))
-    close = F.length(spelled).between(LEAST_MISREAD - 1, max(map(len, long)) + 1)
-    return F.coalesce(exact, F.when(close & (F.size(names) == 1), F.get(names, F.lit(0))))
+    near = [F.when(F.length(spelled).between(len(a) - 1, len(a) + 1) & (F.levenshtein(spelled, F.lit(a), 1) >= 0), F.lit(f)) for a, f in long.items()]
+    names = F.array_distinct(F.array_compact(F.array(*near)))
+    return F.coalesce(exact, F.when(F.size(names) == 1, F.get(names, F.lit(0))))
 
 
 def schema_guided_fields(pairs: DataFrame, aliases: dict[str, str], misread: bool = False) -> DataFrame:
@@ -179,7 +167,7 @@ def schema_guided_fields(pairs: DataFrame, aliases: dict[str, str], misread: boo
     exact one for the field.
     """
     claims = computed(
-        pairs, exact=_claimed(F.col("key"), aliases), name=_claimed(F.col("key"), aliases, misread)
+        computed(pairs, _key=normalised_key(F.col("key"))), exact=_claimed(F.col("_key"), aliases), name=_claimed(F.col("_key"), aliases, misread)
     ) if misread else pairs.withColumn("name", _claimed(F.col("key"), aliases)).withColumn("exact", F.col("name"))
     matched = claims.filter(F.col("name").isNotNull())
     at = F.struct("page_number", "line_no")

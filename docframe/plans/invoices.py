@@ -14,7 +14,7 @@ from docframe.functions.text import money
 from docframe.operators import batch, fields, prompts, rules
 from docframe.operators import tables as tb
 from docframe.operators.rules import Holds, InOrder, SumsTo, UniqueOver
-from docframe.plans.corpora import ROWS_PER_PAGE, document_type, invoice_headers, invoice_items, invoice_pages, table
+from docframe.plans.corpora import ROWS_PER_PAGE, document_type, invoice_headers, invoice_items, invoice_pages, spread, table
 from docframe.session import work_folder, written
 from docframe.sources.files import unique_files, write_files
 from docframe.sources.schemas import load_schemas
@@ -160,7 +160,7 @@ def _misread(spark, sf):
     """Keys of the lines of an order, of which one letter is wrong, missing or too many, beside some exact ones."""
     k = F.col("o_orderkey")
     spelled = F.array(*[F.lit(x) for x in ("Invoice Number", "Vendor Name", "Invoice Date", "Total Amount", "Reference")])
-    rows = table(spark, sf, "orders").select(k.alias("doc_id"), F.posexplode(spelled).alias("i", "right"))
+    rows = spread(table(spark, sf, "orders").select("o_orderkey")).select(k.alias("doc_id"), F.posexplode(spelled).alias("i", "right"))
     d, i, right = F.col("doc_id"), F.col("i"), F.col("right")
     at = (d % 7 + 2).cast("int")
     head, tail = F.substr(right, F.lit(1), at - 1), F.substr(right, at + 1)

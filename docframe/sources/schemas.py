@@ -22,7 +22,7 @@ FILE = f"document_type string, description string, fields array<{COLUMN}>, line_
 
 
 class SchemaError(Exception):
-    """A schema file that is missing, is no JSON object, or lists no fields."""
+    """A schema file that is missing, is no JSON object, lists no fields, or has the type of another."""
 
 
 class Column(NamedTuple):
@@ -131,6 +131,12 @@ def load_schemas(spark: SparkSession, path: str | None = None) -> dict[str, Sche
     broken = sorted({r.file for r in rows if r.name is None})
     if broken or not rows:
         raise SchemaError(f"no schema with fields: {', '.join(broken) or path}")
+    by_type: dict[str, set[str]] = {}
+    for r in rows:
+        by_type.setdefault(r.document_type, set()).add(r.file)
+    several = {kind: sorted(of) for kind, of in by_type.items() if len(of) > 1}
+    if several:
+        raise SchemaError("; ".join(f"type {kind} in several files: {', '.join(of)}" for kind, of in several.items()))
     found = {}
     for (kind, about), columns in groupby(rows, lambda r: (r.document_type, r.about)):
         parts: dict[str, list[Column]] = {"field": [], "item": []}

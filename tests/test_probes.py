@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docframe.operators import cleanup, fields, layout
+from docframe.sources import schemas
 
 CORNERS = "x0 double, y0 double, x1 double, y1 double"
 
@@ -77,3 +78,15 @@ def test_amounts_of_a_language_or_of_none(spark):
     assert unsure[1] == (None, ["Value of 'total' is no currency"]) and str(unsure[2][0]) == "1395.10"
     sure = {r.doc_id: str(r.total) for r in fields.typed_record(df, types, decimal=",").collect()}
     assert sure == {1: "1395.00", 2: "1395.10"}
+
+
+def test_a_page_without_text_is_unreadable(spark):
+    pages = spark.createDataFrame([(1, 1, None), (1, 2, "x" * 30)], "doc_id int, page_number int, text string")
+    assert [(r.unreadable, r.marker) for r in cleanup.mark_unreadable(pages).orderBy("page_number").collect()] == [(True, "<!-- UNREADABLE: page 1 -->"), (False, None)]
+
+
+def test_a_type_in_two_schema_files_is_an_error(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.json").write_text('{"document_type": "t", "fields": [{"name": "%s"}]}' % name)
+    with pytest.raises(schemas.SchemaError, match="several files"):
+        schemas.load_schemas(spark, str(tmp_path))
