@@ -195,10 +195,21 @@ def crossings(steps: Sequence, start: int, end: tuple[int, ...]) -> list[int]:
 
 def summed(steps: Sequence) -> Step:
     """Many steps as one."""
+    if len(steps) == 1 and not isinstance(steps, bytes):
+        return steps[0]
+    return _summed_rows(steps) if isinstance(steps, bytes) else _summed(steps)
+
+
+def _summed(steps: Sequence) -> Step:
     vectors = [forward(steps, begun(s)) for s in STATES]
     return Step(tuple(v.costs for v in vectors), tuple(v.ranks for v in vectors))
 
 
+# Short conversations are much alike, so those of one task share most of their work.
+_summed_rows = lru_cache(1 << 12)(_summed)
+
+
+@lru_cache(1 << 12)
 def edits(kinds: bytes, start: int, end: tuple[int, ...]) -> str:
     """Letters of the best edits of rows of these kinds."""
     out, state = [], start
