@@ -201,8 +201,9 @@ def judge(docs: DataFrame, min_words: int = 20, repeat_percent: int = 30, min_gr
     near = good.join(first, ["grp", "block"]).filter(_distance() <= quantile(0.975)).select("grp", "v")
     v = [F.col("v")[i] for i in range(P)]
     sums = near.groupBy("grp").agg(F.count("*").alias("n"), *(F.avg(x).alias(f"m{i}") for i, x in enumerate(v)), *(F.covar_pop(v[i], v[j]).alias(f"c{i}{j}") for i, j in PAIRS))
-    # The cut at the 0.975 quantile shortens the spread a little; this factor restores it for normal data.
-    final = sums.select("grp", F.array(*(f"m{i}" for i in range(P))).alias("mean"), F.array(*(F.col(f"c{i}{j}") * 1.1 for i, j in PAIRS)).alias("cov"))
+    # The cut at the 0.975 quantile shortens the spread a little; the factor restores it for normal data.
+    factor = consistency(0.975)
+    final = sums.select("grp", F.array(*(f"m{i}" for i in range(P))).alias("mean"), F.array(*(F.col(f"c{i}{j}") * factor for i, j in PAIRS)).alias("cov"))
     final = spark.read.schema("grp string, m array<double>, w array<double>").parquet(_put(final.mapInArrow(_inverted, "grp string, m array<double>, w array<double>")))
     params = named.join(final.withColumnRenamed("grp", "to"), "to").select("own", "m", "w")
     judged = table.join(params, F.col("grp") == F.col("own"), "left").withColumn("distance", _distance())

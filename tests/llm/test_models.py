@@ -68,6 +68,22 @@ def test_trees_learn_from_labelled_urls(spark):
     got = url_filters.judge(spark.createDataFrame(fresh, "page_id long, url string"), rules=(), labelled=labelled)
     right = sum((r["verdict"] == "block") == bool(r["page_id"] % 2) for r in got.collect())
     assert right >= 390
+    figures = url_filters.held_out(labelled.filter("blocked is not null"))
+    assert figures["precision"] > 0.95 and figures["recall"] > 0.95 and figures["urls"] > 200
+    # One labelled URL that fills the table is one URL, and labels that disagree make a share.
+    hot = labelled.union(spark.range(20_000).selectExpr("'http://hot.example.net/a/b'", "0")).union(spark.createDataFrame([("http://hot.example.net/a/b", 1)] * 5, "url string, blocked int"))
+    got = url_filters.judge(spark.createDataFrame(fresh, "page_id long, url string"), rules=(), labelled=hot, most=500)
+    assert sum((r["verdict"] == "block") == bool(r["page_id"] % 2) for r in got.collect()) >= 380
+    again = url_filters.distinct(hot.filter("url like '%hot%'")).collect()
+    assert len(again) == 1 and again[0]["blocked"] == 5 / 20_005
+
+
+def test_a_label_is_no_part_of_its_own_share(spark):
+    rows = [(f"http://a.s{k}/x", k % 2) for k in range(50)]
+    x, y, _ = url_filters.sampled(url_filters.distinct(spark.createDataFrame(rows, "url string, blocked int")), 50)
+    buckets = [url_filters.bucket(f"a.s{k}") for k in range(50)]
+    alone = sum(buckets.count(b) == 1 for b in buckets)
+    assert len(y) == 50 and alone > 30 and (np.abs(x[:, -1] - 0.5) < 1e-9).sum() >= alone
 
 
 def test_trees_without_two_kinds_give_the_only_one():
