@@ -8,6 +8,7 @@ from docframe.operators import batch
 from docframe.plans.corpora import PROFILES, run_log, table
 from docframe.session import work_folder
 from docframe.streaming.ingest import incremental_ingest
+from docframe.streaming.parts import completed_documents, completed_parts
 
 
 def _cached(spark, sf):
@@ -51,6 +52,20 @@ def _ingest(spark, sf):
     return spark.read.parquet(sink)
 
 
+def _deliveries(spark, sf):
+    """Lines as pages of their orders: odd ones first, then even ones and the first again; every fifth order lacks its last."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    counts = lines.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("page_count"))
+    pages = lines.join(counts, "l_orderkey").filter("l_orderkey % 5 <> 0 OR l_linenumber < page_count")
+    pages = pages.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page_no"), "page_count", F.col("l_quantity").cast("double").alias("quantity"))
+    inbox, sink, marks = (work_folder(spark, n) for n in ("pages", "parts", "marks"))
+    for wanted in ("(page_no + doc_id) % 2 = 1", "(page_no + doc_id) % 2 = 0 OR page_no = 1"):
+        pages.filter(wanted).write.mode("append").parquet(inbox)
+        # Parts of three pages, so that most orders take several.
+        incremental_ingest(spark, inbox, pages.schema, sink, marks, lambda df: completed_parts(df, ["quantity"], part=3))
+    return completed_documents(spark.read.parquet(sink), ["quantity"])
+
+
 def _methods(spark, sf):
     log = run_log(spark, sf).filter("status = 'success'")
     return log.select(F.explode("extraction_methods").alias("method"), "pages", "processing_seconds").groupBy("method").agg(
@@ -81,6 +96,7 @@ QUERIES = {
     "run_summary": lambda s, d: batch.run_summary(run_log(s, d)),
     "outcomes": lambda s, d: batch.outcomes(run_log(s, d)),
     "incremental_ingest": _ingest,
+    "documents_in_deliveries": _deliveries,
 }
 
 LOG = """
@@ -129,5 +145,7 @@ ORACLES = {
         FROM (SELECT *, unnest(string_split(method, '+')) AS m FROM log WHERE NOT failed) GROUP BY 1""",
     "run_summary": f"""{WITH} SELECT CASE WHEN failed THEN 'failed' WHEN e % 21 = 0 THEN 'skipped' ELSE 'converted' END AS outcome,
         count(*) AS n FROM log GROUP BY 1""",
+    "documents_in_deliveries": """SELECT l_orderkey AS doc_id, CAST(count(*) AS BIGINT) AS pages, CAST(sum(l_quantity) AS DOUBLE) AS quantity
+      FROM lineitem WHERE l_orderkey % 5 <> 0 GROUP BY l_orderkey""",
     "incremental_ingest": "SELECT conv_id, turn, length(text) AS n_chars FROM conversations",
 }

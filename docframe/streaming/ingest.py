@@ -20,8 +20,9 @@ def incremental_ingest(
     """Process the Parquet files in ``source`` that no earlier call has, then stop.
 
     The checkpoint remembers the files; the Parquet sink's log makes a repeated
-    batch after a failure write nothing twice. ``transform`` must be stateless
-    per row, so a batch's work does not depend on how files fall into batches.
+    batch after a failure write nothing twice. ``transform`` works on rows, so a
+    batch's work does not depend on how files fall into batches, or keeps state
+    over batches by key, as ``parts.completed_parts`` does.
     """
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     query = (
