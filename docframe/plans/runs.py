@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docframe.operators import batch
@@ -54,10 +55,14 @@ def _ingest(spark, sf):
 
 def _deliveries(spark, sf):
     """Lines as pages of their orders: odd ones first, then even ones and the first again; every fifth order lacks its last."""
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    counts = lines.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("page_count"))
-    pages = lines.join(counts, "l_orderkey").filter("l_orderkey % 5 <> 0 OR l_linenumber < page_count")
-    pages = pages.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page_no"), "page_count", F.col("l_quantity").cast("double").alias("quantity"))
+    order = Window.partitionBy("l_orderkey")
+    pages = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("doc_id"),
+        F.row_number().over(order.orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")).alias("page_no"),
+        F.count(F.lit(1)).over(order).alias("page_count"),
+        F.col("l_quantity").cast("double").alias("quantity"),
+    )
+    pages = pages.filter("doc_id % 5 <> 0 OR page_no < page_count")
     inbox, sink, marks = (work_folder(spark, n) for n in ("pages", "parts", "marks"))
     for wanted in ("(page_no + doc_id) % 2 = 1", "(page_no + doc_id) % 2 = 0 OR page_no = 1"):
         pages.filter(wanted).write.mode("append").parquet(inbox)
