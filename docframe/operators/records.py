@@ -386,6 +386,15 @@ def read_record_artifacts(artifacts: DataFrame) -> DataFrame:
     return artifacts.select("doc_id", F.from_json("json", RECORD).alias("r")).select("doc_id", "r.*")
 
 
+def _with_files(records: DataFrame, documents: DataFrame) -> DataFrame:
+    """Rows of records with the ``source_file`` of their document, joined by shuffle.
+
+    How large parsed rows are is unknown before they are parsed, and the optimizer's guess is far too low: it would
+    broadcast all of them.
+    """
+    return records.join(documents.select("doc_id", "source_file").hint("merge"), "doc_id")
+
+
 def review_status(records: DataFrame) -> Column:
     low = F.col("confidence").isNull() | (F.col("confidence") < REVIEW_BELOW)
     return F.when((F.size("warnings") > 0) | low, "needs_review").otherwise("ok")
@@ -393,7 +402,7 @@ def review_status(records: DataFrame) -> Column:
 
 def summary_wide(records: DataFrame, documents: DataFrame, schema: Schema) -> DataFrame:
     """One row per record: file name, type, a column per schema field, confidence, review status."""
-    return records.join(documents.select("doc_id", "source_file"), "doc_id").select(
+    return _with_files(records, documents).select(
         F.col("source_file").alias("file_name"),
         "document_type",
         *[F.try_element_at("fields", F.lit(n)).alias(n) for n in schema.names],
@@ -413,7 +422,7 @@ def line_items_wide(
         "item",
         pos="item_no",
     )
-    return items.join(documents.select("doc_id", "source_file"), "doc_id").select(
+    return _with_files(items, documents).select(
         F.col("source_file").alias("file_name"),
         F.col("doc_id").alias("document_id"),
         parent,
