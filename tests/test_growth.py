@@ -8,7 +8,10 @@ import io
 from pyspark.sql import functions as F
 
 from docframe.operators import records
+from docframe.sources.files import read_files, write_files
 from docframe.sources.schemas import load_schemas
+from docframe.streaming.ingest import incremental_ingest
+from docframe.streaming.parts import completed_documents, completed_parts
 
 SCHEMA = "doc_id long, document_type string, fields map<string,string>, line_items array<map<string,string>>, confidence double, warnings array<string>"
 
@@ -29,3 +32,27 @@ def test_records_meet_files_without_a_broadcast(spark):
     assert "Broadcast" not in plan(wide) and "Broadcast" not in plan(items)
     assert sorted((r.file_name, r.invoice_number, r.review_status) for r in wide.collect()) == [("a.pdf", "I1", "ok"), ("b.pdf", "I2", "ok"), ("b.pdf", "I2", "ok")]
     assert items.count() == 6 and items.filter(F.col("file_name") == "b.pdf").count() == 4
+
+
+def test_parts_are_called_for_by_the_bucket(spark, tmp_path):
+    rows = [(f"d{d}", p, 3, 1.0) for d in range(200) for p in (1, 2, 3) if (d, p) != (7, 2)]
+    pages = spark.createDataFrame(rows, "doc_id string, page_no int, page_count int, q double")
+    pages.write.parquet(str(tmp_path / "in"))
+    places = [str(tmp_path / n) for n in ("in", "out", "marks")]
+    incremental_ingest(spark, places[0], pages.schema, *places[1:], lambda df: completed_parts(df, ["q"], buckets=2))
+    found = completed_documents(spark.read.parquet(places[1]), ["q"]).collect()
+    assert {tuple(r) for r in found} == {(f"d{d}", 3, 3.0) for d in range(200) if d != 7} and len(found) == 199
+    state = spark.read.format("statestore").load(places[2])
+    assert 0 < state.count() <= 2
+    pages.filter("doc_id = 'd1'").union(spark.createDataFrame([("d7", 2, 3, 1.0)], pages.schema)).write.mode("append").parquet(places[0])
+    incremental_ingest(spark, places[0], pages.schema, *places[1:], lambda df: completed_parts(df, ["q"], buckets=2))
+    assert completed_documents(spark.read.parquet(places[1]), ["q"]).count() == 200
+
+
+def test_files_are_read_by_their_names(spark, tmp_path):
+    rows = [("a b.csv", "x\n1\n"), ("c.csv", "é\n"), ("e.csv", "")]
+    made = write_files(spark.createDataFrame(rows, "file string, content string"), str(tmp_path / "out"))
+    (tmp_path / "out" / "other.csv").write_text("not named")
+    back = read_files(made, str(tmp_path / "out"))
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    assert back.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
