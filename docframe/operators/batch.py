@@ -10,6 +10,7 @@ from docframe.functions.text import is_blank
 from docframe.operators import fields
 from docframe.operators import tables as tb
 from docframe.operators.prompts import is_retryable
+from docframe.session import written
 
 MAX_UPLOAD_BYTES = 20 * 1024 * 1024
 
@@ -296,8 +297,10 @@ def document_workbook(
     """All sheets of all documents: (doc_id, sheet, a, b, values).
 
     ``a`` and ``b`` order the rows of a sheet. ``summary`` has doc_id and the
-    columns of METADATA but document_id, which is the doc_id.
+    columns of METADATA but document_id, which is the doc_id. The numbered tables,
+    which two sheets read, are written once.
     """
+    numbered = written(numbered, "numbered")
     row = lambda df, sheet, a, b, values: df.select(
         "doc_id",
         sheet.alias("sheet"),
