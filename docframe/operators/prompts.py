@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docframe.functions.rows import explode
 from docframe.functions.text import is_blank
 from docframe.operators.tables import column_names
+from docframe.session import written
 from docframe.sources.schemas import Schema
 
 PAGES_PER_PART = 1000
@@ -76,9 +77,10 @@ def document_text(pages: DataFrame, tables: DataFrame, pages_per_part: int = PAG
 def cut_text(parts: DataFrame, max_chars: int, separator: str = "\n\n") -> DataFrame:
     """(doc_id, part_no, text): the first ``max_chars`` characters of each document, for callers who ask for a cut.
 
-    Only the lengths of the parts are brought into order; what lies beyond the
-    cut is not shuffled.
+    The parts are written once; only their lengths are brought into order, and
+    what lies beyond the cut is not shuffled.
     """
+    parts = written(parts, "parts")
     slim = parts.select("doc_id", "part_no", F.length("text").alias("n"))
     before = Window.partitionBy("doc_id").orderBy("part_no").rowsBetween(Window.unboundedPreceding, -1)
     used = F.coalesce(F.sum(F.col("n") + len(separator)).over(before), F.lit(0))
