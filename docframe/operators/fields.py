@@ -139,8 +139,8 @@ def _literal_map(entries: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
 
 
-def _claimed(key: Column, aliases: dict[str, str], misread: bool = False) -> Column:
-    """Name of the schema field that claims a key, by a literal table of spellings; null if none does.
+def _claimed(spelled: Column, aliases: dict[str, str], misread: bool = False) -> Column:
+    """Name of the schema field that claims a normalised key, by a literal table of spellings; null if none does.
 
     With ``misread`` a key that is one letter off a spelling (wrong, missing or too many) is claimed as well, unless
     spellings of two fields are that near. A schema has a few dozen spellings; each is compared in a band of one
@@ -148,7 +148,6 @@ def _claimed(key: Column, aliases: dict[str, str], misread: bool = False) -> Col
     """
     if not aliases:
         return F.lit(None).cast("string")
-    spelled = normalised_key(key)
     exact = F.try_element_at(_literal_map(aliases), spelled)
     long = {a: f for a, f in aliases.items() if len(a) >= LEAST_MISREAD}
     if not misread or not long:
@@ -166,9 +165,10 @@ def schema_guided_fields(pairs: DataFrame, aliases: dict[str, str], misread: boo
     With ``misread`` keys that are one letter off count where a document has no
     exact one for the field.
     """
-    claims = computed(
-        computed(pairs, _key=normalised_key(F.col("key"))), exact=_claimed(F.col("_key"), aliases), name=_claimed(F.col("_key"), aliases, misread)
-    ) if misread else pairs.withColumn("name", _claimed(F.col("key"), aliases)).withColumn("exact", F.col("name"))
+    # Normalised once; the comparisons with all spellings read the result.
+    spelled = computed(pairs, _key=normalised_key(F.col("key")))
+    exact = computed(spelled, exact=_claimed(F.col("_key"), aliases))
+    claims = computed(exact, name=F.coalesce("exact", _claimed(F.col("_key"), aliases, misread)) if misread else F.col("exact"))
     matched = claims.filter(F.col("name").isNotNull())
     at = F.struct("page_number", "line_no")
     return (
@@ -180,7 +180,7 @@ def schema_guided_fields(pairs: DataFrame, aliases: dict[str, str], misread: boo
 
 def unexpected_keys(pairs: DataFrame, aliases: dict[str, str]) -> DataFrame:
     """(doc_id, key) of pairs that no schema field claims."""
-    return pairs.filter(_claimed(F.col("key"), aliases).isNull()).select("doc_id", "key").distinct()
+    return pairs.filter(_claimed(normalised_key(F.col("key")), aliases).isNull()).select("doc_id", "key").distinct()
 
 
 # Whole amounts by the mark before their decimals: groups of three digits, the first

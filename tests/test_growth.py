@@ -8,7 +8,10 @@ import io
 from pyspark.sql import functions as F
 
 from docframe.operators import records
-from docframe.sources.files import read_files, write_files
+from docframe.operators.batch import with_records
+from docframe.operators.fields import schema_guided_fields
+from docframe.operators.prompts import cut_text
+from docframe.sources.files import read_files, scan_markdown, write_files
 from docframe.sources.schemas import load_schemas
 from docframe.streaming.ingest import incremental_ingest
 from docframe.streaming.parts import completed_documents, completed_parts
@@ -56,3 +59,39 @@ def test_files_are_read_by_their_names(spark, tmp_path):
     back = read_files(made, str(tmp_path / "out"))
     assert sorted(map(tuple, back.collect())) == sorted(rows)
     assert back.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_small_files_are_read_together(spark, tmp_path):
+    for k in range(900):
+        (tmp_path / f"{k}.md").write_bytes(b"# x\r\n\xc3\xa9" * (k % 2))
+    found = scan_markdown(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert {tuple(r) for r in found.select("source_file", "md").collect()} == {(f"{k}.md", "# x\r\né") for k in range(1, 900, 2)}
+
+
+def test_parts_are_made_once_for_a_cut(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            calls.add(b.num_rows)
+            yield b
+
+    parts = spark.createDataFrame([(1, p, "x" * 10) for p in range(3)], "doc_id long, part_no int, text string").mapInArrow(seen, "doc_id long, part_no int, text string")
+    assert sorted((r.part_no, len(r.text)) for r in cut_text(parts, 15).collect()) == [(0, 10), (1, 3)]
+    assert calls.value == 3
+
+
+def test_keys_are_normalised_once(spark):
+    pairs = spark.createDataFrame([(1, 1, 1, "Invoice Numberr", "7"), (1, 1, 2, "invoice number", "8"), (2, 1, 1, "Invoyce Number", "9")], "doc_id long, page_number int, line_no int, key string, value string")
+    for misread, want in ((True, {(1, "8"), (2, "9")}), (False, {(1, "8")})):
+        found = schema_guided_fields(pairs, load_schemas(spark)["invoice"].aliases, misread=misread)
+        assert plan(found).count("regexp_replace(lower(key") == 1
+        assert {(r.doc_id, r.value) for r in found.collect()} == want
+
+
+def test_counts_meet_records_without_a_broadcast(spark):
+    counts = spark.createDataFrame([(1, 2), (2, 0)], "doc_id long, warnings_count long")
+    told = spark.createDataFrame([(1, "llm", ["a"])], "doc_id long, extraction_method string, warnings array<string>")
+    out = with_records(counts, told)
+    assert "Broadcast" not in plan(out) and {(r.doc_id, r.warnings_count) for r in out.collect()} == {(1, 3), (2, 0)}
