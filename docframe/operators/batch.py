@@ -206,7 +206,8 @@ def with_records(counts: DataFrame, records: DataFrame, resumed: DataFrame | Non
 
     ``records`` is (doc_id, extraction_method, warnings); ``resumed`` is (doc_id).
     """
-    told = records.select("doc_id", "extraction_method", F.size("warnings").alias("_w"))
+    # Records are parsed, so their size is a guess that is far too low; they are never broadcast on it.
+    told = records.select("doc_id", "extraction_method", F.size("warnings").alias("_w")).hint("merge")
     joined = counts.join(told, "doc_id", "left")
     if resumed is None:
         joined = joined.withColumn("resumed", F.lit(False))
