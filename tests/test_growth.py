@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import io
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from docframe.operators import records
 from docframe.operators.batch import with_records
 from docframe.operators.fields import schema_guided_fields
 from docframe.operators.prompts import cut_text
+from docframe.plans import corpora
 from docframe.sources.files import read_files, scan_markdown, write_files
 from docframe.sources.schemas import load_schemas
 from docframe.streaming.ingest import incremental_ingest
@@ -95,3 +97,26 @@ def test_counts_meet_records_without_a_broadcast(spark):
     told = spark.createDataFrame([(1, "llm", ["a"])], "doc_id long, extraction_method string, warnings array<string>")
     out = with_records(counts, told)
     assert "Broadcast" not in plan(out) and {(r.doc_id, r.warnings_count) for r in out.collect()} == {(1, 3), (2, 0)}
+
+
+def test_an_order_meets_its_lines_values_and_pages_once(spark, tmp_path):
+    at = str(tmp_path)
+    part = spark.createDataFrame([(p, f"part {p}", 1.0) for p in range(40)], "p_partkey long, p_name string, p_retailprice double")
+    lines = [(o, p, 1, 1 + p % 7, float(p), 2.0, 0.0, 0.0, "N", "O", datetime(2020, 1, 1)) for o, n in ((1, 3), (2, 23), (4, 6)) for p in range(n)]
+    part.union(part.filter("p_partkey = 3")).write.parquet(f"{at}/part.parquet")
+    spark.createDataFrame(
+        [*lines, (None, 1, 1, 1, 1.0, 2.0, 0.0, 0.0, "N", "O", None)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+    ).write.parquet(f"{at}/lineitem.parquet")
+    spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "c_custkey long, c_name string, c_nationkey int").write.parquet(f"{at}/customer.parquet")
+    spark.createDataFrame([(1, "N")], "n_nationkey int, n_name string").write.parquet(f"{at}/nation.parquet")
+    orders = [(o, 1, "O", 9.0, datetime(2020, 1, 2), "1-URGENT") for o in (1, 2, 2)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(f"{at}/orders.parquet")
+    assert {r.doc_id for r in corpora.large_orders(spark, at, 6).collect()} == {2, 4}  # order 4 has 6 lines, one of a part that comes twice
+    pages = {most: sorted(map(str, corpora.invoice_pages(spark, at, most).collect())) for most in (0, 6, 4096)}
+    items = {most: sorted(map(str, corpora.invoice_items(spark, at, most).collect())) for most in (0, 6, 4096)}
+    assert pages[0] == pages[6] == pages[4096] and items[0] == items[6] == items[4096]
+    # pages: 1 of order 1, 5 of order 2 and its first again, 2 of order 4
+    assert len(pages[0]) == 9 and len(items[0]) == 3 + 24 + 7
+    assert sum("INV-2\\n" in p for p in pages[0]) == 2
+    assert plan(corpora.invoice_pages(spark, at)).count("Window [row_number") == 2
