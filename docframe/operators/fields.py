@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docframe.functions.rows import computed, inline
-from docframe.functions.text import WS, split_lines, strip_front_matter, ustrip
+from docframe.functions.text import WS, WS_CHARS, split_lines, strip_front_matter, ustrip
 from docframe.operators import tables as tb
 from docframe.session import written
 
@@ -45,8 +47,15 @@ def candidate_lines(text: Column, markdown: bool = False) -> Column:
     numbered = F.transform(
         lines, lambda s, i: F.struct((i + 1).alias("line_no"), s.alias("line"))
     )
-    pattern = rf"\A{WS}*+(?![|#]).*[:=—-]" if markdown else "[:=—-]"
-    return F.filter(numbered, lambda r: r["line"].rlike(pattern))
+
+    def wanted(line: Column) -> Column:
+        found = reduce(or_, [line.contains(s) for s in SEPARATORS])
+        if not markdown:
+            return found
+        text = F.ltrim(line, F.lit(WS_CHARS))
+        return found & ~(text.startswith("|") | text.startswith("#"))
+
+    return F.filter(numbered, lambda r: wanted(r["line"]))
 
 
 def key_value_lines(
@@ -114,7 +123,7 @@ def heuristic_record(
     lines = facts.filter("kind = 'line'").select("doc_id", "page_number", c("at").alias("line_no"), c("piece").alias("line"))
     raw = tb.tables_of(facts.filter("kind = 'run'").select("doc_id", "page_number", c("at").alias("page_table"), c("piece").alias("run")))
     found = last_per_key(_paired(lines))
-    items = tb.rows_to_dicts(tb.detect_header(raw))
+    items = tb.rows_to_dicts(tb.detect_header(raw, stripped=True))
     out = row(found, "field", c("first_page"), c("first_line"), zero, c("key"), c("value")).unionByName(
         row(items, "item", c("page_number"), c("page_table"), c("row_index"), c("key"), c("value"))
     )
