@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from docframe.operators import records
 from docframe.operators.batch import with_records
-from docframe.operators.fields import schema_guided_fields
+from docframe.operators.fields import key_value_lines, schema_guided_fields
+from docframe.operators.ordered import number_rows
 from docframe.operators.prompts import cut_text
+from docframe.operators.tables import detect_header, import_markdown_tables
 from docframe.plans import corpora
 from docframe.sources.files import read_files, scan_markdown, write_files
 from docframe.sources.schemas import load_schemas
@@ -120,3 +122,26 @@ def test_an_order_meets_its_lines_values_and_pages_once(spark, tmp_path):
     assert len(pages[0]) == 9 and len(items[0]) == 3 + 24 + 7
     assert sum("INV-2\\n" in p for p in pages[0]) == 2
     assert plan(corpora.invoice_pages(spark, at)).count("Window [row_number") == 2
+
+
+def test_pages_are_searched_without_patterns_over_whole_texts(spark):
+    rows = [(1, 1, "x\r\n | a | b |\n||c\n|\n---\nk: v\n# h: 1\n| p: q |\u2028key = w"), (1, 2, "---\nt: x\n---\nName - y\n\t|z|"), (2, 1, None)]
+    pages = spark.createDataFrame(rows, "doc_id long, page_number int, md string")
+    raw = import_markdown_tables(pages)
+    found = {(r.doc_id, r.page_number, r.page_table): r.raw_rows for r in raw.collect()}
+    assert found == {(1, 1, 1): [["a", "b"], ["", "c"], [""]], (1, 1, 2): [["p: q"]], (1, 2, 1): [["z"]]}
+    pairs = key_value_lines(pages, "md", markdown=True)
+    assert sorted((r.page_number, r.line_no, r.key, r.value) for r in pairs.collect()) == [(1, 9, "key", "w"), (2, 1, "Name", "y")]
+    # one pattern each, for other line ends and front matter, and only on texts that hold some
+    assert plan(raw).count("regexp_replace(") == 1 and plan(pairs).count("regexp_replace(") == 2
+    assert plan(pairs).count("RLIKE") == 0
+    numbered = detect_header(raw)
+    assert sorted(map(str, numbered.collect())) == sorted(map(str, detect_header(raw, stripped=True).collect()))
+
+
+def test_rows_are_sorted_once_for_their_numbers(spark):
+    rows = spark.createDataFrame([(k % 3, k % 5, k) for k in range(40)], "k int, a int, b int")
+    numbered = number_rows(rows.repartition(4), ["k"], {"a": F.col("a")}, ["a", "b"])
+    of = plan(numbered.hint("merge"))
+    assert of.index("Join") < of.index("Window [row_number")
+    assert sorted((r.k, r.rn) for r in numbered.collect()) == sorted((k, n + 1) for k in range(3) for n in range(len(range(k, 40, 3))))
