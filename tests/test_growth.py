@@ -107,7 +107,7 @@ def test_an_order_meets_its_lines_values_and_pages_once(spark, tmp_path):
     lines = [(o, p, 1, 1 + p % 7, float(p), 2.0, 0.0, 0.0, "N", "O", datetime(2020, 1, 1)) for o, n in ((1, 3), (2, 23), (4, 6)) for p in range(n)]
     part.union(part.filter("p_partkey = 3")).write.parquet(f"{at}/part.parquet")
     spark.createDataFrame(
-        [*lines, (None, 1, 1, 1, 1.0, 2.0, 0.0, 0.0, "N", "O", None)],
+        [*lines, (None, 1, 1, 1, 1.0, 2.0, 0.0, 0.0, "N", "O", None), (1, 1, 1, None, 1.0, 2.0, 0.0, 0.0, "N", "O", None)],
         "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
     ).write.parquet(f"{at}/lineitem.parquet")
     spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "c_custkey long, c_name string, c_nationkey int").write.parquet(f"{at}/customer.parquet")
@@ -118,6 +118,7 @@ def test_an_order_meets_its_lines_values_and_pages_once(spark, tmp_path):
     pages = {most: sorted(map(str, corpora.invoice_pages(spark, at, most).collect())) for most in (0, 6, 4096)}
     items = {most: sorted(map(str, corpora.invoice_items(spark, at, most).collect())) for most in (0, 6, 4096)}
     assert pages[0] == pages[6] == pages[4096] and items[0] == items[6] == items[4096]
+    assert [r.rn for r in corpora.invoice_items(spark, at).filter("doc_id = 1").sort("rn").collect()] == [2, 3, 4]  # a line without a number counts
     # pages: 1 of order 1, 5 of order 2 and its first again, 2 of order 4
     assert len(pages[0]) == 9 and len(items[0]) == 3 + 24 + 7
     assert sum("INV-2\\n" in p for p in pages[0]) == 2
