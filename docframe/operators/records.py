@@ -24,6 +24,7 @@ REVIEW_BELOW = 0.8
 PLACE = ("part_no", "request_no")
 LATE = 1_000_000
 STRINGS = "array<string>"
+ITEMS = "array<map<string,string>>"
 NOTES = "array<struct<kind:string,about:string,text:string>>"
 # How a number may be written in a confidence given as text.
 NUMBER = r"(?i)\A\s*[+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|inf|infinity|nan)\s*\z"
@@ -31,10 +32,6 @@ NUMBER = r"(?i)\A\s*[+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|inf|infi
 Schemas = Schema | dict[str, Schema]
 
 
-def _is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-
-
 def _kind(v: Column, path: str) -> Column:
     return F.coalesce(F.schema_of_variant(F.try_variant_get(v, path, "variant")), F.lit("VOID"))
 
@@ -44,12 +41,22 @@ def parse_responses(responses: DataFrame) -> DataFrame:
 
     Of a repeated key the last value counts, which is a setting of the session.
     """
+    return _parsed(responses).drop("_fields")
+
+
+def _parsed(responses: DataFrame) -> DataFrame:
+    """``parse_responses`` with ``_fields``, the fields as a map.
+
+    What begins with a brace is an object, and a value becomes a map if and only if it is one; so no schema of a
+    value is written out to be told.
+    """
     responses.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    parsed = computed(responses, parsed=F.try_parse_json(strip_json_fences(F.col("raw"))))
-    v = F.col("parsed")
-    fields = _kind(v, "$.fields")
-    valid = _is_object(v) & (fields.startswith("OBJECT") | (fields == "VOID"))
-    return computed(parsed, valid=valid)
+    text, v = computed(responses, _text=strip_json_fences(F.col("raw"))), F.col("parsed")
+    parsed = computed(text, parsed=F.try_parse_json("_text"))
+    found = computed(parsed, _fields=F.try_variant_get(v, "$.fields", "map<string,string>"))
+    fields = F.try_variant_get(v, "$.fields", "variant")
+    valid = v.isNotNull() & F.col("_text").startswith("{") & (F.col("_fields").isNotNull() | fields.isNull() | F.is_variant_null(fields))
+    return found.withColumn("valid", valid).drop("_text")
 
 
 def clamp_confidence(text: Column) -> Column:
@@ -93,24 +100,33 @@ def validated_records(responses: DataFrame, schemas: Schemas) -> DataFrame:
     ``notes`` (missing required fields, unexpected fields by name, items that are
     no objects).
     """
-    return _records(parse_responses(_typed(responses, schemas)).filter("valid"), schemas).drop("valid")
+    found = _judged(_parsed(_typed(responses, schemas)).filter("valid"), schemas)
+    noted = computed(found, notes=F.concat("missing", "others"))
+    return noted.select(
+        "doc_id",
+        "document_type",
+        "fields",
+        "line_items",
+        "confidence",
+        F.concat("own", F.transform("notes", lambda n: n["text"])).alias("warnings"),
+        "notes",
+        F.lit("llm").alias("extraction_method"),
+    )
 
 
 def _lacks(name: Column) -> Column:
     return F.concat(F.lit("Required field missing or empty: '"), name, F.lit("'"))
 
 
-def _records(parsed: DataFrame, schemas: Schemas, keep: tuple[str, ...] = ()) -> DataFrame:
+def _judged(parsed: DataFrame, schemas: Schemas, keep: tuple[str, ...] = ()) -> DataFrame:
+    """What each answer says: its fields, items, confidence and ``own`` warnings, and the notes on it, ``missing`` fields
+    and ``others``."""
     v = F.col("parsed")
     got = computed(
         parsed,
-        given=F.coalesce(
-            F.try_variant_get(v, "$.fields", "map<string,string>"),
-            F.create_map().cast("map<string,string>"),
-        ),
-        items=F.coalesce(
-            F.try_variant_get(v, "$.line_items", "array<variant>"), F.array().cast("array<variant>")
-        ),
+        given=F.coalesce("_fields", F.create_map().cast("map<string,string>")),
+        # An item that is no object becomes null.
+        items=F.coalesce(F.try_variant_get(v, "$.line_items", ITEMS), F.array().cast(ITEMS)),
         own=F.coalesce(F.try_variant_get(v, "$.warnings", STRINGS), F.array().cast(STRINGS)),
         known=_by_type(schemas, lambda s: s.names),
         needed=_by_type(schemas, lambda s: s.required),
@@ -123,23 +139,20 @@ def _records(parsed: DataFrame, schemas: Schemas, keep: tuple[str, ...] = ()) ->
         lambda n: note("missing_required", n, _lacks(n)),
     )
     unexpected = F.transform(
-        F.array_sort(F.array_except(F.map_keys("given"), F.col("known"))),
+        F.sort_array(F.array_except(F.map_keys("given"), F.col("known"))),
         lambda k: note("unexpected_field", k, F.concat(F.lit("Unexpected field ignored: '"), k, F.lit("'"))),
     )
     places = F.filter(
-        F.transform("items", lambda x, i: F.when(~_is_object(x), i.cast("string"))), lambda i: i.isNotNull()
+        F.transform("items", lambda x, i: F.when(x.isNull(), i.cast("string"))), lambda i: i.isNotNull()
     )
     bad = F.transform(
         places, lambda i: note("bad_line_item", i, F.concat(F.lit("Line item "), i, F.lit(" is not a dict — skipped")))
     )
     good = F.transform(
-        F.filter("items", _is_object),
-        lambda x: F.map_filter(
-            F.try_variant_get(x, "$", "map<string,string>"), lambda k, _: F.array_contains("columns", k)
-        ),
+        F.filter("items", lambda x: x.isNotNull()),
+        lambda x: F.map_filter(x, lambda k, _: F.array_contains("columns", k)),
     )
-    noted = computed(got, notes=F.concat(missing, unexpected, bad))
-    return noted.select(
+    return got.select(
         "doc_id",
         "valid",
         *keep,
@@ -147,9 +160,9 @@ def _records(parsed: DataFrame, schemas: Schemas, keep: tuple[str, ...] = ()) ->
         F.map_filter("given", lambda k, _: F.array_contains("known", k)).alias("fields"),
         good.alias("line_items"),
         _confidence(v).alias("confidence"),
-        F.concat("own", F.transform("notes", lambda n: n["text"])).alias("warnings"),
-        "notes",
-        F.lit("llm").alias("extraction_method"),
+        "own",
+        missing.alias("missing"),
+        F.concat(unexpected, bad).alias("others"),
     )
 
 
@@ -209,17 +222,19 @@ def read_answers(responses: DataFrame, schemas: Schemas, documents: DataFrame |
 
     A document asked for in several requests has several answers; they carry the ``part_no`` and ``request_no`` of
     their request, others are at 0, 0. An invalid answer has no fields, items or warnings. With ``documents`` only
-    their answers count; parsing comes first, in the pieces the answers were read in.
+    their answers count, and tell how many ``answers`` their document has; parsing comes first, in the pieces the
+    answers were read in.
     """
     places = [c if c in responses.columns else F.lit(0).alias(c) for c in PLACE]
     kind = [] if isinstance(schemas, Schema) else ["document_type"]
     placed = responses.select("doc_id", *kind, "raw", *places).withColumns({c: F.col(c).cast("int") for c in PLACE})
-    parsed = parse_responses(_typed(placed, schemas)).withColumn("valid", F.coalesce("valid", F.lit(False)))
-    found = _records(parsed.withColumn("silent", F.col("raw").isNull()), schemas, keep=(*PLACE, "silent"))
-    own = F.slice("warnings", F.lit(1), F.size("warnings") - F.size("notes"))
-    notes = F.filter("notes", lambda n: n["kind"] != "missing_required")
-    found = found.select("*", own.alias("own"), notes.alias("others")).drop("warnings", "notes")
-    return written(found if documents is None else found.join(documents.select("doc_id"), "doc_id", "left_semi"), "answers")
+    parsed = _parsed(_typed(placed, schemas)).withColumn("silent", F.col("raw").isNull())
+    found = _judged(parsed, schemas, keep=(*PLACE, "silent")).drop("missing")
+    if documents is not None:
+        counts = responses.groupBy("doc_id").agg(F.count(F.lit(1)).alias("answers"))
+        # Parsed answers are far larger than the optimizer's guess, which would broadcast them.
+        found = found.join(documents.select("doc_id").distinct().join(counts, "doc_id").hint("merge"), "doc_id")
+    return written(found, "answers")
 
 
 def _values(valid: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -279,7 +294,47 @@ HEAD = "array<struct<a:int,key:string,value:string>>"
 ROW = "doc_id", "kind", *PLACE, "a", "b", "key", "value"
 
 
+def _shared(told: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """The answers that are their document's only ones, and those of documents with several.
+
+    Where answers were not counted, all are taken as one of several.
+    """
+    if "answers" not in told.columns:
+        return None, told
+    return told.filter("answers = 1"), told.filter("answers > 1")
+
+
 def _merged(told: DataFrame, schemas: Schemas) -> DataFrame:
+    """The rows of all records without their heads. A document's only answer is its record, nothing has to be brought
+    together for it."""
+    alone, several = _shared(told)
+    rows = _merged_rows(several, schemas)
+    return rows if alone is None else _rows_of(alone.filter("valid"), schemas).unionByName(rows)
+
+
+def _rows_of(alone: DataFrame, schemas: Schemas) -> DataFrame:
+    """What ``_merged_rows`` says of documents with one answer, from that answer's row."""
+    kind, zero = lambda name: F.lit(name).alias("kind"), F.lit(0)
+    filled = F.map_keys(F.map_filter("fields", lambda _, x: ~F.coalesce(is_blank(x), F.lit(True))))
+    lacking = F.array_except(_by_type(schemas, lambda s: s.required), filled)
+    said = lambda category, text, at: F.struct(category.alias("key"), text.alias("value"), *[p.alias(c) for c, p in zip(PLACE, at)])
+    place = [F.col(c) for c in PLACE]
+    findings = F.concat(
+        F.transform(F.array_distinct("own"), lambda w: said(F.lit("model"), w, place)),
+        F.transform(lacking, lambda n: said(F.lit("missing_required"), _lacks(n), [zero for _ in PLACE])),
+        F.transform("others", lambda n: said(n["kind"], n["text"], place)),
+    )
+    fields = explode(alone, ["doc_id", *PLACE], F.sort_array(F.map_entries("fields")), "e", pos="a")
+    items = explode(explode(alone, ["doc_id", *PLACE], "line_items", "item", pos="a"), ["doc_id", *PLACE, "a"], F.map_entries("item"), "e", pos="b")
+    warnings = explode(alone.withColumn("_type", F.col("document_type")), ["doc_id"], findings, "w", pos="a")
+    return (
+        fields.select("doc_id", kind("field"), *PLACE, "a", zero.alias("b"), "e.key", "e.value")
+        .unionByName(items.select("doc_id", kind("item"), *PLACE, "a", "b", "e.key", "e.value"))
+        .unionByName(warnings.select("doc_id", kind("warning"), *[f"w.{c}" for c in PLACE], "a", zero.alias("b"), "w.key", "w.value"))
+    )
+
+
+def _merged_rows(told: DataFrame, schemas: Schemas) -> DataFrame:
     best, others = _values(told.filter("valid"))
     place = F.struct(*PLACE).alias("place")
     rank = Window.partitionBy("doc_id").orderBy("name")  # at most the fields of the schema
@@ -300,12 +355,15 @@ def _merged(told: DataFrame, schemas: Schemas) -> DataFrame:
 
 def _heads(told: DataFrame) -> DataFrame:
     """(doc_id, valid, document_type, confidence, silent) per answered document; the least confidence counts."""
-    return told.groupBy("doc_id").agg(
+    alone, several = _shared(told)
+    rated = F.when(F.col("valid"), F.col("confidence"))
+    heads = several.groupBy("doc_id").agg(
         F.max("valid").alias("valid"),
         F.first("document_type").alias("document_type"),
-        F.min(F.when(F.col("valid"), F.col("confidence"))).alias("confidence"),
+        F.min(rated).alias("confidence"),
         F.min("silent").alias("silent"),
     )
+    return heads if alone is None else alone.select("doc_id", "valid", "document_type", rated.alias("confidence"), "silent").unionByName(heads)
 
 
 def _head_rows(heads: DataFrame) -> DataFrame:
@@ -349,7 +407,8 @@ def record_with_fallback(
     type and confidence, and the failure as its last warning.
     """
     keep = ["doc_id"] if isinstance(schemas, Schema) else ["doc_id", "document_type"]
-    known = documents.select(*keep)
+    # Read for the answers that count and for the heads.
+    known = written(documents.select(*keep), "documents")
     if "document_type" in keep and "document_type" not in responses.columns:
         responses = responses.join(known, "doc_id")
     told = read_answers(responses, schemas, known)

@@ -51,8 +51,7 @@ def _documents(spark, sf):
 def _heuristic(spark, sf):
     """Heuristic rows of the documents that fall back, and of no others."""
     def of(docs):
-        pages = invoice_pages(spark, sf).join(docs, "doc_id", "left_semi")
-        return fields.heuristic_record(pages, ragged_tables)
+        return fields.heuristic_record(invoice_pages(spark, sf, only=docs), ragged_tables)
 
     return of
 

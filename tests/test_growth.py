@@ -125,6 +125,31 @@ def test_an_order_meets_its_lines_values_and_pages_once(spark, tmp_path):
     assert plan(corpora.invoice_pages(spark, at)).count("Window [row_number") == 2
 
 
+def test_only_the_orders_asked_for_are_rendered(spark, tmp_path):
+    at, day = str(tmp_path), datetime(2020, 1, 1)
+    spark.createDataFrame([(p, f"part {p}", 1.0) for p in range(9)], "p_partkey long, p_name string, p_retailprice double").write.parquet(f"{at}/part.parquet")
+    lines = [(o, p, 1, 1 + p, float(p), 2.0, 0.0, 0.0, "N", "O", day) for o, n in ((1, 3), (2, 7), (3, 8), (4, 2)) for p in range(n)]
+    spark.createDataFrame(
+        [*lines, (None, *lines[0][1:])],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+    ).write.parquet(f"{at}/lineitem.parquet")
+    spark.createDataFrame([(1, "a", 1)], "c_custkey long, c_name string, c_nationkey int").write.parquet(f"{at}/customer.parquet")
+    spark.createDataFrame([(1, "N")], "n_nationkey int, n_name string").write.parquet(f"{at}/nation.parquet")
+    spark.createDataFrame([(o, 1, "O", 9.0, day, "1-URGENT") for o in (1, 2, 3, 3)], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(f"{at}/orders.parquet")
+    asked = spark.createDataFrame([(2,), (2,), (3,), (4,), (8,), (None,)], "doc_id long")
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with ids that are too many to be broadcast
+    try:
+        for most in (0, 4096):
+            some = corpora.invoice_pages(spark, at, most, only=asked)
+            want = corpora.invoice_pages(spark, at, most).join(asked, "doc_id", "left_semi")
+            assert sorted(map(str, some.collect())) == sorted(map(str, want.collect())) and some.count() == 7
+        of = plan(some)
+        assert "LeftSemi" in of[of.index("Window [row_number"):of.index("Union") if of.index("Union") > of.index("Window [row_number") else None]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+
+
 def test_pages_are_searched_without_patterns_over_whole_texts(spark):
     rows = [(1, 1, "x\r\n | a | b |\n||c\n|\n---\nk: v\n# h: 1\n| p: q |\u2028key = w"), (1, 2, "---\nt: x\n---\nName - y\n\t|z|"), (2, 1, None)]
     pages = spark.createDataFrame(rows, "doc_id long, page_number int, md string")

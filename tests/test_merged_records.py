@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import json
 import random
 
@@ -80,3 +82,32 @@ def test_fallback_takes_one_record_per_document(spark):
 
 def test_no_answers(spark):
     assert merged(spark, []) == []
+
+
+def test_a_document_with_one_answer_needs_no_others(spark):
+    """Its rows are those that bringing answers together gives, without a shuffle."""
+    single = [
+        (1, 0, 2, answer({"number": " ", "total": 10, "odd": 1, "also": None}, [{"n": 1, "what": "a", "x": 2}, 7, None, {}, {"n": [2]}], ["torn", "torn", None, "faint"], 0.9)),
+        (2, 0, 0, answer({"total": "t", "number": "N", "city": None}, [], [], "x")), (3, 0, 0, "[]"), (4, 0, 0, answer()), (5, 1, 0, "```json\n{\"fields\": {\"city\": \"```\"}}\n```"),
+        (6, 0, 0, '{"fields": [1], "line_items": [{"n": 1}]}'), (None, 0, 0, answer({"number": "0"})),
+    ]
+    rows = [*single, (7, 0, 0, answer({"number": "7"})), (7, 0, 0, answer({"number": "7"})), (8, 0, 0, answer({"number": "8"}))]
+    docs = spark.createDataFrame([(k,) for k in (1, 2, 2, 3, 4, 5, 6, 7, None)], "doc_id long")
+    told = records.read_answers(spark.createDataFrame(rows, SHAPE), BILL, docs)
+    assert sorted((r.doc_id, r.answers) for r in told.collect()) == [(k, 1) for k in (1, 2, 3, 4, 5, 6)] + [(7, 2), (7, 2)]
+    shown = lambda df: sorted(map(str, df.select(*records.ROW).collect()))
+    together = shown(records._merged(told.drop("answers"), BILL))
+    assert shown(records._merged(told, BILL)) == together and len(together) > 20
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        records._rows_of(told.filter("answers = 1 AND valid"), BILL).explain()
+    assert "Exchange" not in out.getvalue()
+
+
+def test_what_is_an_object_is_told_without_a_schema(spark):
+    raws = ['{"fields": {}}', '  {"fields": null}', "{}", "[{}]", "1", '{"fields": "x"}', '{"fields": [{}]}', "{", None, "```\n{\"line_items\": 3}\n```"]
+    rows = spark.createDataFrame(list(enumerate(raws)), "doc_id long, raw string")
+    found = records.parse_responses(rows)
+    assert [bool(r.valid) for r in found.sort("doc_id").collect()] == [True, True, True, False, False, False, False, False, False, True]
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        found.explain()
+    assert "schema_of_variant" not in out.getvalue()
