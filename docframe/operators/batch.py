@@ -294,14 +294,16 @@ def document_workbook(
     numbered: DataFrame,
     pages: DataFrame,
     warnings: DataFrame,
+    together: bool = False,
 ) -> DataFrame:
     """All sheets of all documents: (doc_id, sheet, a, b, values).
 
     ``a`` and ``b`` order the rows of a sheet. ``summary`` has doc_id and the
     columns of METADATA but document_id, which is the doc_id. The numbered tables,
-    which two sheets read, are written once.
+    which two sheets read, are written once, by document if those are of bounded
+    size and their pages lie ``together``.
     """
-    numbered = written(numbered, "numbered")
+    numbered = written(numbered, "numbered", ["doc_id"] if together else ())
     row = lambda df, sheet, a, b, values: df.select(
         "doc_id",
         sheet.alias("sheet"),

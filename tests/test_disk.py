@@ -51,6 +51,13 @@ def test_tables_that_lie_together_are_numbered_in_place(pages):
     assert sorted((r.doc_id, r.table_idx, r.page_number) for r in found.collect()) == [(1, 1, 1), (1, 2, 2), (1, 3, 2), (1, 4, 4), (2, 1, 1), (2, 2, 3000)]
 
 
+def test_sheets_of_pages_that_lie_together_are_not_shuffled(pages):
+    """The values of the rows are compared without those of the tables left out, as the query does."""
+    books = {kept: invoices._sheets(pages, kept) for kept in (True, False)}
+    same(books[True], books[False])
+    assert "Exchange hashpartitioning" not in plan(books[True]) and {r.sheet for r in books[True].collect()} >= {"Summary", "Table_002"}
+
+
 def test_names_in_question_meet_contents_in_place(spark, tmp_path):
     rows = [(k, f"f{k % 9}.csv" if k < 11 else f"g{k}.csv", f"{k}\n") for k in range(40)]
     found = unique_files(spark.createDataFrame(rows, "doc_id long, file string, content string"))
