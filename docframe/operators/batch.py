@@ -9,6 +9,7 @@ from docframe.functions.rows import computed, inline
 from docframe.functions.text import is_blank
 from docframe.operators import fields
 from docframe.operators import tables as tb
+from docframe.operators.parts import gathered
 from docframe.operators.prompts import is_retryable
 from docframe.session import written
 
@@ -351,21 +352,21 @@ TABLE = "struct<table_idx:int,page_number:int,columns:array<string>,rows:array<a
 PART = f"doc_id long, part_no int, source_file string, page_count int, pages array<{PAGE}>, tables array<{TABLE}>"
 
 
-def document_artifacts(documents: DataFrame, pages: DataFrame, numbered: DataFrame, pages_per_part: int = 1000) -> DataFrame:
+def document_artifacts(
+    documents: DataFrame, pages: DataFrame, numbered: DataFrame, pages_per_part: int = 1000, together: bool = False
+) -> DataFrame:
     """(doc_id, part_no, json): each document with its pages and tables as JSON, in parts of so many pages.
 
-    ``documents`` is (doc_id, source_file, page_count), ``pages`` (doc_id, page_number, text).
+    ``documents`` is (doc_id, source_file, page_count), ``pages`` (doc_id, page_number, text). Documents of bounded size
+    whose pages lie ``together``, their tables with them, are not shuffled.
     """
     part = F.floor((F.col("page_number") - 1) / pages_per_part).cast("int").alias("part_no")
-    none_page, none_table = F.lit(None).cast(PAGE), F.lit(None).cast(TABLE)
-    texts = pages.select("doc_id", part, F.struct("page_number", "text").cast(PAGE).alias("page"), none_table.alias("table"))
-    tables = numbered.select(
-        "doc_id", part, none_page.alias("page"), F.struct("table_idx", "page_number", "columns", "rows").cast(TABLE).alias("table")
-    )
-    together = texts.unionByName(tables).groupBy("doc_id", "part_no").agg(
-        F.sort_array(F.collect_list("page")).alias("pages"), F.array_sort(F.collect_list("table")).alias("tables")
+    texts = pages.select("doc_id", part, F.struct("page_number", "text").cast(PAGE).alias("item"))
+    tables = numbered.select("doc_id", part, F.struct("table_idx", "page_number", "columns", "rows").cast(TABLE).alias("item"))
+    found = gathered(texts, tables, together).select(
+        "doc_id", "part_no", F.sort_array("first").alias("pages"), F.array_sort("second").alias("tables")
     )
-    return together.join(documents.select("doc_id", "source_file", "page_count"), "doc_id").select(
+    return found.join(documents.select("doc_id", "source_file", "page_count"), "doc_id").select(
         "doc_id", "part_no", F.to_json(F.struct("doc_id", "part_no", "source_file", "page_count", "pages", "tables")).alias("json")
     )
 

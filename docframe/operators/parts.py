@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docframe.functions.rows import inline
 from docframe.functions.text import unix_lines
 
 KEY = ("doc_id", "part_no")
@@ -26,6 +27,27 @@ def line_ends(text: Column) -> Column:
     return F.size(F.split(unix_lines(text), "\n")) - 1
 
 
+def gathered(first: DataFrame, second: DataFrame, together: bool = False) -> DataFrame:
+    """(doc_id, part_no, first, second): the items of two (doc_id, part_no, item) frames by part; null items are left out.
+
+    Parts without any item have no row. Both frames are shuffled by part, so no group grows with a document. Documents
+    of bounded size whose rows lie ``together`` in both frames meet where they are, and are dealt to their parts in the
+    row; there ``first`` has a row of each document that ``second`` has.
+    """
+    if not together:
+        none_a, none_b = (F.lit(None).cast(df.schema["item"].dataType) for df in (first, second))
+        rows = lambda df, a, b: df.filter("item IS NOT NULL").select(*KEY, a.alias("a"), b.alias("b"))
+        both = rows(first, F.col("item"), none_b).unionByName(rows(second, none_a, F.col("item")))
+        return both.groupBy(*KEY).agg(F.collect_list("a").alias("first"), F.collect_list("b").alias("second"))
+    items = F.collect_list(F.when(F.col("item").isNotNull(), F.struct("part_no", "item")))
+    of = lambda df, name: df.groupBy("doc_id").agg(items.alias(name))
+    # The size of what was parsed is a guess that is far too low; it is never broadcast on it.
+    both = of(first, "a").join(of(second, "b").hint("merge"), "doc_id", "left").select("doc_id", "a", F.coalesce("b", F.array()).alias("b"))
+    found = F.array_distinct(F.concat(F.transform("a", lambda x: x["part_no"]), F.transform("b", lambda x: x["part_no"])))
+    own = lambda name, p: F.transform(F.filter(name, lambda x: x["part_no"].eqNullSafe(p)), lambda x: x["item"])
+    return inline(both, ["doc_id"], F.transform(found, lambda p: F.struct(p.alias("part_no"), own("a", p).alias("first"), own("b", p).alias("second"))))
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """``docs`` with ``part_no``, 0 for whole documents."""
     return docs if in_parts(docs) else docs.withColumn("part_no", F.lit(0))
