@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docframe.functions.rows import explode
 from docframe.functions.text import is_blank
+from docframe.operators.parts import gathered
 from docframe.operators.tables import column_names
 from docframe.session import written
 from docframe.sources.schemas import Schema
@@ -52,25 +53,24 @@ def _table_text() -> Column:
     )
 
 
-def document_text(pages: DataFrame, tables: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFrame:
+def document_text(
+    pages: DataFrame, tables: DataFrame, pages_per_part: int = PAGES_PER_PART, together: bool = False
+) -> DataFrame:
     """(doc_id, part_no, text): non-blank page texts, then the numbered tables, all of both.
 
     A document of up to ``pages_per_part`` pages is one part. A longer one comes
     in parts of so many pages, each followed by its own tables, so text is
-    shuffled once and no group grows with a document.
+    shuffled once and no group grows with a document. Documents of bounded size
+    whose pages lie ``together``, their tables with them, are not shuffled.
     """
     part = F.floor((F.col("page_number") - 1) / pages_per_part).cast("int").alias("part_no")
-    place = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.cast("long").alias("a"), b.cast("long").alias("b"))
-    texts = pages.filter(~is_blank(F.col("text"))).select(
-        "doc_id", part, place(0, F.col("page_number"), F.lit(0)).alias("at"), F.col("text").alias("piece")
-    )
+    piece = lambda at, text: F.struct(F.col(at).cast("long").alias("at"), text.alias("piece"))
+    texts = pages.select("doc_id", part, F.when(~is_blank(F.col("text")), piece("page_number", F.col("text"))).alias("item"))
     named = tables.filter(F.size("rows") > 0).withColumn("names", column_names())
-    found = named.select("doc_id", part, place(1, F.col("table_idx"), F.lit(0)).alias("at"), _table_text().alias("piece"))
-    return (
-        texts.unionByName(found)
-        .groupBy("doc_id", "part_no")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("pieces"))
-        .select("doc_id", "part_no", F.array_join(F.transform("pieces", lambda p: p["piece"]), "\n\n").alias("text"))
+    found = named.select("doc_id", part, piece("table_idx", _table_text()).alias("item"))
+    pieces = F.concat(F.sort_array("first"), F.sort_array("second"))
+    return gathered(texts, found, together).select(
+        "doc_id", "part_no", F.array_join(F.transform(pieces, lambda p: p["piece"]), "\n\n").alias("text")
     )
 
 

@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from docframe.operators import batch
+from docframe.operators import batch, prompts
 from docframe.operators import tables as tb
 from docframe.plans import corpora, invoices
 from docframe.session import written
@@ -52,6 +52,14 @@ def test_tables_that_lie_together_are_numbered_in_place(pages):
     assert sorted((r.doc_id, r.table_idx, r.page_number) for r in found.collect()) == [(1, 1, 1), (1, 2, 2), (1, 3, 2), (1, 4, 4), (2, 1, 1), (2, 2, 3000)]
 
 
+@pytest.mark.parametrize("per_part", [1, 2, 1000])
+def test_text_that_lies_together_is_not_shuffled(pages, per_part):
+    found = prompts.document_text(texts(pages), numbered(pages, True), per_part, together=True)
+    same(found, prompts.document_text(texts(pages), numbered(pages, False), per_part))
+    asked = prompts.requests(found, 7)
+    assert "Exchange" not in plan(asked)
+
+
 @pytest.mark.parametrize("per_part", [1, 1000])
 def test_artifacts_of_pages_that_lie_together_meet_documents_in_place(spark, pages, per_part):
     documents = spark.createDataFrame([(1, "1.pdf", 5), (2, "2.pdf", 3), (3, "3.pdf", 1)], "doc_id long, source_file string, page_count int")
