@@ -74,21 +74,25 @@ def document_text(
     )
 
 
-def cut_text(parts: DataFrame, max_chars: int, separator: str = "\n\n") -> DataFrame:
+def cut_text(parts: DataFrame, max_chars: int, separator: str = "\n\n", together: bool = False) -> DataFrame:
     """(doc_id, part_no, text): the first ``max_chars`` characters of each document, for callers who ask for a cut.
 
     The parts are written once; only their lengths are brought into order, and
-    what lies beyond the cut is not shuffled.
+    what lies beyond the cut is not shuffled. Of documents of bounded size whose
+    parts lie ``together`` they are cut where they are, unwritten.
     """
-    parts = written(parts, "parts")
-    slim = parts.select("doc_id", "part_no", F.length("text").alias("n"))
     before = Window.partitionBy("doc_id").orderBy("part_no").rowsBetween(Window.unboundedPreceding, -1)
     used = F.coalesce(F.sum(F.col("n") + len(separator)).over(before), F.lit(0))
-    room = slim.select("doc_id", "part_no", (F.lit(max_chars) - used).cast("int").alias("room")).filter("room > 0")
-    head = parts.select("doc_id", "part_no", F.substring("text", 1, max_chars).alias("text"))
-    return head.join(room, ["doc_id", "part_no"]).select(
-        "doc_id", "part_no", F.substring("text", F.lit(1), F.col("room")).alias("text")
-    )
+    room = (F.lit(max_chars) - used).cast("int").alias("room")
+    n, head = F.length("text").alias("n"), F.substring("text", 1, max_chars).alias("text")
+    if together:
+        placed = parts.filter("doc_id IS NOT NULL AND part_no IS NOT NULL")
+        cut = placed.select("doc_id", "part_no", head, n).select("doc_id", "part_no", "text", room)
+    else:
+        parts = written(parts, "parts")
+        starts = parts.select("doc_id", "part_no", n).select("doc_id", "part_no", room).filter("room > 0")
+        cut = parts.select("doc_id", "part_no", head).join(starts, ["doc_id", "part_no"])
+    return cut.filter("room > 0").select("doc_id", "part_no", F.substring("text", F.lit(1), F.col("room")).alias("text"))
 
 
 def requests(parts: DataFrame, chars: int = CHARS_PER_REQUEST, lines: bool = False) -> DataFrame:

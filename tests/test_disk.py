@@ -58,6 +58,9 @@ def test_text_that_lies_together_is_not_shuffled(pages, per_part):
     same(found, prompts.document_text(texts(pages), numbered(pages, False), per_part))
     asked = prompts.requests(found, 7)
     assert "Exchange" not in plan(asked)
+    cut = prompts.cut_text(found, 60, together=True)
+    same(cut, prompts.cut_text(found, 60))
+    assert "Exchange" not in plan(cut)
 
 
 @pytest.mark.parametrize("per_part", [1, 1000])
